@@ -7,6 +7,7 @@ crawler whose pages we process, so the texts are kept exactly and in order.
 
 # --- fixed values: identifiers -------------------------------------------------
 NPU = r"\d{7}-\d{2}\.\d{4}\.\d\.\d{2}\.\d{4}"
+NUMBER_CLASSES = ["processo-numero", "numero-processo"]
 LEGACY_NUMBER = r"\(([0-9]{2}\.[0-9]{2}\.[0-9]+-[0-9])\)"
 NPU_DIGITS = 20
 CNPJ_DIGITS = 14

@@ -2,7 +2,8 @@
 
 These are lexical scans with Java regex over one page at a time: they stay in
 the JVM, keep document order in arrays and never shuffle. Element ends are not
-tracked: text is taken up to the next tag, items up to the next item.
+tracked: text is taken up to the next tag, items up to the next item. Element
+lookups expect ``markup(html)``, computed once per page by the caller.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docketry import constants as C
-from docketry.functions.text import rx, strip
+from docketry.functions.text import first_group, let, strip
 
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
 _ROW = (
@@ -47,20 +48,25 @@ def decode_entities(c: Column) -> Column:
         )
 
     def piece(p: Column, i: Column) -> Column:
-        ref = F.regexp_extract(p, _ENTITY, 1)
-        char = (
-            F.when(ref.rlike("^#[0-9]"), from_point(F.substring(ref, 2, 8).try_cast("bigint")))
+        char = let(
+            F.regexp_extract(p, _ENTITY, 1),
+            lambda ref: F.when(ref.rlike("^#[0-9]"), from_point(F.substring(ref, 2, 8).try_cast("bigint")))
             .when(ref.startswith("#"), from_point(F.conv(F.substring(ref, 3, 8), 16, 10).try_cast("bigint")))
-            .otherwise(F.try_element_at(names, ref))
+            .otherwise(F.try_element_at(names, ref)),
         )
-        return (
-            F.when(i == 0, p)
-            .when(char.isNotNull(), F.concat(char, F.regexp_replace(p, _ENTITY, "")))
-            .otherwise(F.concat(F.lit("&"), p))
+        decoded = let(
+            char,
+            lambda x: F.when(x.isNotNull(), F.concat(x, F.regexp_replace(p, _ENTITY, ""))).otherwise(
+                F.concat(F.lit("&"), p)
+            ),
         )
+        return F.when(i == 0, p).otherwise(decoded)
 
-    decoded = F.array_join(F.transform(F.split(c, "&"), piece), "")
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+    def decode(v: Column) -> Column:
+        joined = F.array_join(F.transform(F.split(v, "&"), piece), "")
+        return F.when(F.contains(v, F.lit("&")), joined).otherwise(v)
+
+    return let(c, decode)
 
 
 def first_text(c: Column) -> Column:
@@ -68,10 +74,10 @@ def first_text(c: Column) -> Column:
     return decode_entities(F.regexp_extract(c, _FIRST_TEXT, 1))
 
 
-def table_rows(html: Column) -> Column:
+def table_rows(mk: Column) -> Column:
     """array<struct<raw, last, cells>>: rows in page order, ``last`` = ends its table part."""
     return F.transform(
-        F.regexp_extract_all(markup(html), F.lit(_ROW), F.lit(0)),
+        F.regexp_extract_all(mk, F.lit(_ROW), F.lit(0)),
         lambda r: F.struct(
             r.alias("raw"),
             r.rlike(_LAST_ROW).alias("last"),
@@ -80,10 +86,8 @@ def table_rows(html: Column) -> Column:
     )
 
 
-def text_nodes(html: Column) -> Column:
-    return F.transform(
-        F.regexp_extract_all(markup(html), F.lit(_TEXT_NODE), F.lit(1)), decode_entities
-    )
+def text_nodes(mk: Column) -> Column:
+    return F.transform(F.regexp_extract_all(mk, F.lit(_TEXT_NODE), F.lit(1)), decode_entities)
 
 
 def tag_text(c: Column, tag: str) -> Column:
@@ -137,7 +141,7 @@ def attribute(tag: Column, name: str) -> Column:
     return decode_entities(F.regexp_replace(quoted, r"""^["']|["']$""", ""))
 
 
-def anchors(html: Column) -> Column:
+def anchors(mk: Column) -> Column:
     """array<struct<href, cls, text, npu>> of all anchors in document order."""
 
     def parse(a: Column) -> Column:
@@ -148,14 +152,14 @@ def anchors(html: Column) -> Column:
             first_text(F.regexp_replace(a, _TAG_HEAD, "")).alias("text"),
         )
 
-    parsed = F.transform(F.regexp_extract_all(markup(html), F.lit(_ANCHOR), F.lit(0)), parse)
+    parsed = F.transform(F.regexp_extract_all(mk, F.lit(_ANCHOR), F.lit(0)), parse)
     return F.transform(
         parsed,
         lambda a: F.struct(
             a["href"].alias("href"),
             a["cls"].alias("cls"),
             a["text"].alias("text"),
-            F.nullif(F.regexp_extract(a["href"], C.NPU, 0), F.lit("")).alias("npu"),
+            first_group(a["href"], C.NPU, group=0).alias("npu"),
         ),
     )
 
@@ -164,9 +168,9 @@ def has_class(cls: Column, token: str) -> Column:
     return F.array_contains(F.split(cls, r"\s+"), token)
 
 
-def input_tags(html: Column) -> Column:
+def input_tags(mk: Column) -> Column:
     """array<struct<name, type, value>> of all inputs in document order."""
-    tags = F.regexp_extract_all(markup(html), F.lit(r"(?is)<input\b[^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(mk, F.lit(r"(?is)<input\b[^>]*>"), F.lit(0))
     return F.transform(
         tags,
         lambda t: F.struct(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -23,9 +24,23 @@ def any_of(patterns: list[str], flags: str = "") -> str:
     return rx("|".join(patterns), flags)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind a costly value once for a body that uses it several times.
+
+    Conditionals and lambdas are outside common-subexpression elimination, so a
+    regex written twice there also runs twice.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def non_empty(c: Column) -> Column:
+    """'' becomes NULL."""
+    return let(c, lambda v: F.when(v != "", v))
+
+
 def first_group(c: Column, pattern: str, flags: str = "", group: int = 1) -> Column:
     """First match's group, NULL when the pattern does not match or is empty."""
-    return F.nullif(F.regexp_extract(c, rx(pattern, flags), group), F.lit(""))
+    return non_empty(F.regexp_extract(c, rx(pattern, flags), group))
 
 
 def strip(c: Column) -> Column:
@@ -48,11 +63,14 @@ cnpj_digits = digits
 
 def npu_hyphenated(c: Column) -> Column:
     """20 digits -> NNNNNNN-DD.AAAA.J.TR.OOOO; anything else is left as it is."""
-    only = digits(c)
-    shaped = F.regexp_replace(
-        only, r"(?U)^(\d{7})(\d{2})(\d{4})(\d)(\d{2})(\d{4})$", r"$1-$2.$3.$4.$5.$6"
-    )
-    return F.when(F.length(only) == C.NPU_DIGITS, shaped).otherwise(F.coalesce(c, F.lit("")))
+
+    def shape(only: Column) -> Column:
+        grouped = F.regexp_replace(
+            only, r"(?U)^(\d{7})(\d{2})(\d{4})(\d)(\d{2})(\d{4})$", r"$1-$2.$3.$4.$5.$6"
+        )
+        return F.when(F.length(only) == C.NPU_DIGITS, grouped).otherwise(F.coalesce(c, F.lit("")))
+
+    return let(digits(c), shape)
 
 
 def br_date_to_iso(c: Column) -> Column:
@@ -60,14 +78,20 @@ def br_date_to_iso(c: Column) -> Column:
 
     Works on zone-free types, so a session zone with DST gaps cannot move a value.
     """
-    s = strip(c)
-    stamp = F.regexp_replace(s, rx(C.DATE_TIME_PREFIX, "s") + ".*$", "$3-$2-$1 $4:$5:00")
-    day = F.regexp_replace(s, rx(C.DATE_PREFIX, "s") + ".*$", "$3-$2-$1")
-    iso = F.when(
-        s.rlike(rx(C.DATE_TIME_PREFIX)),
-        F.replace(stamp.try_cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T")),
-    ).when(s.rlike(C.DATE_PREFIX), day.try_cast("date").cast("string"))
-    return F.when(~iso.startswith("0000"), iso)
+
+    def parse(s: Column) -> Column:
+        stamp = F.regexp_replace(s, rx(C.DATE_TIME_PREFIX, "s") + ".*$", "$3-$2-$1 $4:$5:00")
+        day = F.regexp_replace(s, rx(C.DATE_PREFIX, "s") + ".*$", "$3-$2-$1")
+        return (
+            F.when(s.rlike(r"^\d{1,2}/\d{1,2}/0000"), None)
+            .when(
+                s.rlike(rx(C.DATE_TIME_PREFIX)),
+                F.replace(stamp.try_cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T")),
+            )
+            .when(s.rlike(C.DATE_PREFIX), day.try_cast("date").cast("string"))
+        )
+
+    return let(strip(c), parse)
 
 
 def strip_judge_title(c: Column) -> Column:
