@@ -29,49 +29,71 @@ _ANCHOR = r"(?is)<a\s[^>]*>.*?(?=</a\s*>|<a\s|$)"
 _TAG_HEAD = r"(?s)^<[^>]*>"
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
-
-def markup(html: Column) -> Column:
-    """HTML without comments, scripts and styles, for element lookups."""
-    return F.regexp_replace(html, _HIDDEN, "")
+# references that stand for markup characters stay escaped until text is cut out
+_ESCAPED = {"quot": '"', "apos": "'", "lt": "<", "gt": ">", "amp": "&"}
 
 
-def decode_entities(c: Column) -> Column:
-    """Character references -> characters, in one pass over the '&' pieces."""
-    names = F.create_map(
-        *[F.lit(x) for name, point in name2codepoint.items() for x in (name, chr(point))]
+def _pairs(items) -> Column:
+    """Map constant (folded by the optimizer)."""
+    return F.str_to_map(
+        F.lit("\x01".join(f"{k}\x02{v}" for k, v in items)), F.lit("\x01"), F.lit("\x02")
     )
 
+
+def decode_references(page: Column) -> Column:
+    """Character references -> characters, except those of markup characters.
+
+    One pass over the '&' pieces of a page. Markup characters keep a named
+    reference, so tags and attributes can still be cut; see ``unescape``.
+    """
+    names = _pairs((n, chr(p)) for n, p in name2codepoint.items() if n not in _ESCAPED)
+    kept = _pairs((str(ord(c)), f"&{n};") for n, c in _ESCAPED.items())
+
     def from_point(n: Column) -> Column:
-        return F.when(
-            n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF),
-            F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"),
+        return F.coalesce(
+            F.try_element_at(kept, n.cast("string")),
+            F.when(
+                n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF),
+                F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"),
+            ),
         )
 
-    def piece(p: Column, i: Column) -> Column:
-        char = let(
-            F.regexp_extract(p, _ENTITY, 1),
-            lambda ref: F.when(ref.rlike("^#[0-9]"), from_point(F.substring(ref, 2, 8).try_cast("bigint")))
-            .when(ref.startswith("#"), from_point(F.conv(F.substring(ref, 3, 8), 16, 10).try_cast("bigint")))
-            .otherwise(F.try_element_at(names, ref)),
+    def char_of(ref: Column) -> Column:
+        number = F.when(ref.startswith("#x") | ref.startswith("#X"), F.conv(F.substring(ref, 3, 8), 16, 10)).otherwise(
+            F.substring(ref, 2, 8)
         )
+        return F.when(
+            ref.startswith("#"), let(number.try_cast("bigint"), from_point)
+        ).otherwise(F.try_element_at(names, ref))
+
+    def piece(p: Column, i: Column) -> Column:
         decoded = let(
-            char,
+            char_of(F.regexp_extract(p, _ENTITY, 1)),
             lambda x: F.when(x.isNotNull(), F.concat(x, F.regexp_replace(p, _ENTITY, ""))).otherwise(
                 F.concat(F.lit("&"), p)
             ),
         )
         return F.when(i == 0, p).otherwise(decoded)
 
-    def decode(v: Column) -> Column:
-        joined = F.array_join(F.transform(F.split(v, "&"), piece), "")
-        return F.when(F.contains(v, F.lit("&")), joined).otherwise(v)
+    joined = F.array_join(F.transform(F.split(page, "&"), piece), "")
+    return F.when(F.contains(page, F.lit("&")), joined).otherwise(page)
+
+
+def markup(html: Column) -> Column:
+    """HTML without comments, scripts and styles and with decoded references."""
+    return let(F.regexp_replace(html, _HIDDEN, ""), decode_references)
+
 
-    return let(c, decode)
+def unescape(c: Column) -> Column:
+    """Text or attribute cut from ``markup`` -> plain characters."""
+    for name, char in _ESCAPED.items():
+        c = F.replace(c, F.lit(f"&{name};"), F.lit(char))
+    return c
 
 
 def first_text(c: Column) -> Column:
     """First text run below a fragment (whitespace counts as text)."""
-    return decode_entities(F.regexp_extract(c, _FIRST_TEXT, 1))
+    return unescape(F.regexp_extract(c, _FIRST_TEXT, 1))
 
 
 def table_rows(mk: Column) -> Column:
@@ -87,12 +109,12 @@ def table_rows(mk: Column) -> Column:
 
 
 def text_nodes(mk: Column) -> Column:
-    return F.transform(F.regexp_extract_all(mk, F.lit(_TEXT_NODE), F.lit(1)), decode_entities)
+    return F.transform(F.regexp_extract_all(mk, F.lit(_TEXT_NODE), F.lit(1)), unescape)
 
 
 def tag_text(c: Column, tag: str) -> Column:
     """Text right after the first ``<tag>`` that is followed by text."""
-    return decode_entities(F.regexp_extract(c, rf"(?is)<{tag}\b[^>]*>([^<]+)", 1))
+    return unescape(F.regexp_extract(c, rf"(?is)<{tag}\b[^>]*>([^<]+)", 1))
 
 
 def class_attr(*tokens: str) -> str:
@@ -107,7 +129,7 @@ def class_attr(*tokens: str) -> str:
 def class_texts(c: Column, *tokens: str) -> Column:
     """Text right after every element of the given classes."""
     pattern = rf"(?is)<[a-z][^>]*?{class_attr(*tokens)}[^>]*>([^<]+)"
-    return F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), decode_entities)
+    return F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), unescape)
 
 
 def class_blocks(c: Column, *tokens: str) -> Column:
@@ -130,7 +152,7 @@ def own_texts(c: Column, tag: str, containing: str) -> Column:
             F.regexp_replace(b, r"(?is)<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>|<[^>]*>", "<"), "<"
         ),
     )
-    return F.transform(F.flatten(nodes), decode_entities)
+    return F.transform(F.flatten(nodes), unescape)
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -138,7 +160,7 @@ def attribute(tag: Column, name: str) -> Column:
     quoted = F.regexp_extract(
         tag, rf"""(?is)[\s"']{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1
     )
-    return decode_entities(F.regexp_replace(quoted, r"""^["']|["']$""", ""))
+    return unescape(F.regexp_replace(quoted, r"""^["']|["']$""", ""))
 
 
 def anchors(mk: Column) -> Column:

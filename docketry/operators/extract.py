@@ -96,7 +96,7 @@ def _judge_from_elements(mk: Column) -> Column:
     )
     sources = (
         [M.class_texts(mk, name) for name in C.JUDGE_CLASSES_FIRST]
-        + [F.transform(after_label, M.decode_entities)]
+        + [F.transform(after_label, M.unescape)]
         + [M.own_texts(mk, "span", "RELATOR"), M.own_texts(mk, "p", "RELATOR")]
         + [M.class_texts(mk, name) for name in C.JUDGE_CLASSES_LAST]
     )
