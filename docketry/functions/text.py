@@ -33,6 +33,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def present(value: Column, test: Callable[[Column], Column] | None = None) -> Column:
+    """Generator that keeps the rows whose computed value passes (is not NULL).
+
+    A filter on a computed column is pushed below its projection and computes
+    the value once more; a generator computes it once.
+    """
+    return F.explode(F.filter(F.array(value), test or (lambda v: v.isNotNull())))
+
+
 def non_empty(c: Column) -> Column:
     """'' becomes NULL."""
     return let(c, lambda v: F.when(v != "", v))

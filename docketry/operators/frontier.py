@@ -1,9 +1,10 @@
 """Detail links to follow and how much of them has been captured.
 
-Choice within a page uses arrays of that page and never shuffles. The cap per
-crawl is a window over (crawl) whose rank is bounded by the largest allowed
-crawl, so Spark drops the excess before the shuffle (window group limit): a
-crawl with a third of all pages sends only that many rows per map task.
+Choice within a page uses arrays of that page and never shuffles; only short
+link lists leave the page, never its content. A crawl may hold a third of all
+pages, but it emits at most 1000 links, and every page with a link emits at
+least one: its first 1000 such pages decide. That rank limit is applied before
+the shuffle (window group limit), so a task sends at most 1000 rows per crawl.
 """
 
 from __future__ import annotations
@@ -13,26 +14,27 @@ from pyspark.sql import functions as F
 
 from docketry import constants as C
 from docketry.functions import markup as M
-from docketry.functions.text import let
+from docketry.functions.text import let, present
 from docketry.functions.urls import url_join
 
-_MAX_CRAWL_DETAILS = C.CAP_MAX_PAGES * C.CAP_MAX_DETAILS
+MAX_CRAWL_DETAILS = C.CAP_MAX_PAGES * C.CAP_MAX_DETAILS
 
 
 def _has(c: Column, text: str) -> Column:
     return F.contains(c, F.lit(text))
 
 
-def with_limits(pages: DataFrame, limits: DataFrame) -> DataFrame:
-    """Add the limits of the crawl (one row per tax id) to its list pages."""
-    return pages.join(
-        limits.select(F.col("valor").alias("_cnpj"), "max_pages", "max_details_per_page"),
-        F.col("context.cnpj") == F.col("_cnpj"),
-        "left",
-    ).select(
-        *pages.columns,
-        F.coalesce("max_pages", F.lit(C.DEFAULT_MAX_PAGES)).alias("max_pages"),
-        F.coalesce("max_details_per_page", F.lit(C.DEFAULT_MAX_DETAILS)).alias("max_details_per_page"),
+def with_limits(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """Add the limits of the crawl (one row per tax id) to rows with ``cnpj``."""
+    known = limits.select(
+        F.col("valor").alias("_cnpj"),
+        F.col("max_pages").alias("_pages"),
+        F.col("max_details_per_page").alias("_details"),
+    )
+    return rows.join(known, F.col("cnpj") == F.col("_cnpj"), "left").select(
+        *rows.columns,
+        F.coalesce("_pages", F.lit(C.DEFAULT_MAX_PAGES)).alias("max_pages"),
+        F.coalesce("_details", F.lit(C.DEFAULT_MAX_DETAILS)).alias("max_details_per_page"),
     )
 
 
@@ -79,79 +81,90 @@ def best_link(links: Column, target: Column) -> Column:
 
 def best_detail_link(pages: DataFrame) -> DataFrame:
     """Per list page with a target number: the link to follow, resolved."""
-    return (
-        pages.select(
-            "page_id",
-            "url",
-            F.col("context.numero").alias("numero"),
-            best_link(M.anchors(M.markup(F.col("html"))), F.col("context.numero")).alias("b"),
-        )
-        .where(F.col("b").isNotNull())
-        .select(
-            "page_id",
-            "numero",
-            F.col("b.href").alias("href"),
-            F.col("b.score").alias("score"),
-            url_join(F.col("url"), F.col("b.href")).alias("detail_url"),
-        )
+    best = best_link(M.anchors(M.markup(F.col("html"))), F.col("context.numero"))
+    return pages.select(
+        "page_id", "url", F.col("context.numero").alias("numero"), present(best).alias("b")
+    ).select(
+        "page_id",
+        "numero",
+        F.col("b.href").alias("href"),
+        F.col("b.score").alias("score"),
+        url_join(F.col("url"), F.col("b.href")).alias("detail_url"),
     )
 
 
-def _capped(pages: DataFrame, links: Column) -> DataFrame:
+def _requests(pages: DataFrame, links: Column, limits: DataFrame, plain_host: str | None = None) -> DataFrame:
     """Page cap by slicing the page's links, crawl cap by rank in page order."""
-    per_page = F.slice(
-        F.filter(links, lambda a: a["href"] != ""), F.lit(1), F.col("max_details_per_page")
+    usable = F.transform(
+        F.slice(F.filter(links, lambda a: a["href"] != ""), F.lit(1), F.lit(C.CAP_MAX_DETAILS)),
+        lambda a: F.struct(a["href"].alias("href"), a["npu"].alias("npu")),
     )
-    flat = pages.select(
+    listed = pages.select(
         "page_id",
         "url",
         F.col("context.cnpj").alias("cnpj"),
         F.coalesce(F.col("context.page_idx"), F.lit(0)).alias("page_idx"),
+        present(usable, lambda x: F.size(x) > 0).alias("links"),
+    )
+    page_order = Window.partitionBy("cnpj").orderBy("page_idx", "page_id")
+    deciding = listed.withColumn("nth", F.row_number().over(page_order)).where(
+        F.col("nth") <= MAX_CRAWL_DETAILS
+    )
+    flat = with_limits(deciding.drop("nth"), limits).select(
+        "page_id",
+        "url",
+        "cnpj",
+        "page_idx",
         (F.col("max_pages") * F.col("max_details_per_page")).alias("crawl_cap"),
-        F.posexplode(per_page).alias("pos", "a"),
-    ).select("page_id", "url", "cnpj", "page_idx", "crawl_cap", "pos", "a.href", "a.npu")
-    crawl = Window.partitionBy("cnpj").orderBy("page_idx", "page_id", "pos")
+        F.posexplode(F.slice("links", F.lit(1), F.col("max_details_per_page"))).alias("pos", "a"),
+    )
+    link_order = Window.partitionBy("cnpj").orderBy("page_idx", "page_id", "pos")
+    joined = url_join(F.col("url"), F.col("a.href"))
+    if plain_host:
+        joined = let(
+            joined,
+            lambda u: F.when(
+                u.startswith(plain_host), F.replace(u, F.lit("http://"), F.lit("https://"))
+            ).otherwise(u),
+        )
     return (
-        flat.withColumn("rn", F.row_number().over(crawl))
-        .where(F.col("rn") <= _MAX_CRAWL_DETAILS)
+        flat.withColumn("rn", F.row_number().over(link_order))
         .where(F.col("rn") <= F.col("crawl_cap"))
+        .select(
+            "page_id",
+            "cnpj",
+            "page_idx",
+            "pos",
+            F.col("a.npu").alias("numero"),
+            joined.alias("detail_url"),
+        )
     )
 
 
-def _requests(capped: DataFrame, detail_url: Column) -> DataFrame:
-    return capped.select(
-        "page_id", "cnpj", "page_idx", "pos", F.col("npu").alias("numero"), detail_url.alias("detail_url")
-    )
-
-
-def frontier_form(pages: DataFrame) -> DataFrame:
+def frontier_form(pages: DataFrame, limits: DataFrame) -> DataFrame:
     """Detail requests of form-route list pages, with page and crawl caps."""
     links = F.filter(M.anchors(M.markup(F.col("html"))), lambda a: _has(a["href"], "processo"))
-    return _requests(_capped(pages, links), url_join(F.col("url"), F.col("href")))
+    return _requests(pages, links, limits)
 
 
-def frontier_stable(pages: DataFrame, plain_host: str | None = None) -> DataFrame:
+def frontier_stable(pages: DataFrame, limits: DataFrame, plain_host: str | None = None) -> DataFrame:
     """Detail requests of stable-route list pages: first link tier that has any link.
 
     ``plain_host`` (``http://host``) names the site whose links are forced to https.
     """
-    staged = pages.withColumn("links", M.anchors(M.markup(F.col("html"))))
-    links = F.col("links")
-    tiers = [
-        F.filter(
-            links, lambda a: M.has_class(a["cls"], "linkar") & a["href"].startswith("/processo/")
-        ),
-        F.filter(links, lambda a: _has(a["href"], "/processo/")),
-        F.filter(links, lambda a: _has(a["href"], "processo")),
-    ]
-    chosen = F.coalesce(*[let(t, lambda x: F.when(F.size(x) > 0, x)) for t in tiers])
-    staged = staged.select(*pages.columns, chosen.alias("links"))
-    joined = url_join(F.col("url"), F.col("href"))
-    if plain_host:
-        joined = F.when(
-            joined.startswith(plain_host), F.replace(joined, F.lit("http://"), F.lit("https://"))
-        ).otherwise(joined)
-    return _requests(_capped(staged, F.col("links")), joined)
+
+    def first_tier(links: Column) -> Column:
+        tiers = [
+            F.filter(
+                links, lambda a: M.has_class(a["cls"], "linkar") & a["href"].startswith("/processo/")
+            ),
+            F.filter(links, lambda a: _has(a["href"], "/processo/")),
+            F.filter(links, lambda a: _has(a["href"], "processo")),
+        ]
+        return F.coalesce(*[let(t, lambda x: F.when(F.size(x) > 0, x)) for t in tiers])
+
+    links = let(M.anchors(M.markup(F.col("html"))), first_tier)
+    return _requests(pages, links, limits, plain_host)
 
 
 def frontier_coverage(links: DataFrame, captured: DataFrame) -> DataFrame:

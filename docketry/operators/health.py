@@ -79,10 +79,17 @@ def exception_class(log: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ running state
-def _chunked(log: DataFrame, chunk: int) -> DataFrame:
+def _chunked(flagged: DataFrame, chunk: int, keep: tuple[str, ...]) -> DataFrame:
     """Narrow rows with everything a chunk can know about itself."""
-    narrow = with_flags(log).select(
-        "host", "seq", "ts", "failed", F.floor(F.col("seq") / F.lit(chunk)).alias("chunk")
+    # keys that cannot be NULL: no filter is inferred on either use of these rows,
+    # so both uses stay equal and share one shuffle
+    narrow = flagged.select(
+        F.coalesce("host", F.lit("")).alias("host"),
+        "seq",
+        "ts",
+        "failed",
+        F.expr(f"coalesce(seq div {int(chunk)}, 0L)").alias("chunk"),
+        *keep,
     )
     w = Window.partitionBy("host", "chunk").orderBy("seq")
     to_here = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -162,14 +169,16 @@ def server_health(
     start: DataFrame | None = None,
     started_at: Column | None = None,
     chunk: int = CHUNK,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """State after every event of a host.
 
     ``started_at`` replaces the host's first timestamp as the time of the last
     success before any was seen. ``start`` is a state table of ``health_state``
-    from which the log goes on.
+    from which the log goes on. ``keep`` passes further log columns through.
     """
-    chunks = _chunked(log, chunk)
+    flagged = log if "failed" in log.columns else with_flags(log)
+    chunks = _chunked(flagged, chunk, keep)
     carry = _carry(_summaries(chunks), start).select(
         F.col("host").alias("_host"),
         F.col("chunk").alias("_chunk"),
@@ -209,6 +218,7 @@ def server_health(
         last_ok.alias("last_success"),
         "started",
         ok_rn.alias("ok_rn"),
+        *keep,
     )
     rate = F.col("recent_failures") / F.col("recent_total")
     silence = F.unix_micros("ts") - F.unix_micros("last_success")
@@ -308,17 +318,17 @@ def _endpoint_value(position: int, default: float) -> Column:
     return value
 
 
-def retry_plan(log: DataFrame, health: DataFrame) -> DataFrame:
+def retry_plan(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Per failed retryable attempt: give-up flag, delay bounds and timeout.
 
-    Bounds replace a random draw. The state used is the one after the event; the
-    join is on (host, seq), which is unique, so a busy host spreads evenly.
+    Bounds replace a random draw. The state used is the one after the event, so
+    the attempt's columns travel with the health rows and nothing is joined back.
     """
     retryable = F.when(
         F.col("exception").isNotNull(), F.col("exception").isin(C.RETRYABLE_EXCEPTIONS)
     ).otherwise(status_retry(F.col("status")) | F.col("content_failed"))
-    attempts = with_flags(log).where(retryable).select("host", "seq", "endpoint", "retry_times")
-    state = health.select(F.col("host").alias("_host"), F.col("seq").alias("_seq"), "degraded")
+    events = with_flags(log).withColumn("retryable", retryable)
+    rows = server_health(events, chunk=chunk, keep=("endpoint", "retry_times", "retryable"))
     attempt = F.coalesce("retry_times", F.lit(0)) + 1
     allowed = _endpoint_value(0, C.RETRY_DEFAULT_MAX).cast("int")
     base = F.least(
@@ -330,9 +340,7 @@ def retry_plan(log: DataFrame, health: DataFrame) -> DataFrame:
         F.col("degraded"), F.least(F.lit(C.TIMEOUT_SEC) * _endpoint_value(2, 1.0), F.lit(C.TIMEOUT_CAP))
     ).otherwise(C.TIMEOUT_SEC)
     go_on = attempt <= allowed
-    return attempts.join(
-        state, (F.col("host") == F.col("_host")) & (F.col("seq") == F.col("_seq"))
-    ).select(
+    return rows.where("retryable").select(
         "host",
         "seq",
         "endpoint",

@@ -9,6 +9,7 @@ from docketry import constants as C
 from docketry.functions import markup as M
 from docketry.functions.text import first_group, let, rx, strip
 from docketry.functions.urls import page_url, url_join
+from docketry.operators.frontier import with_limits
 
 
 def total_of(html: Column) -> Column:
@@ -120,56 +121,67 @@ def page_ranges(states: DataFrame, clip: bool = False) -> DataFrame:
     return states.select("state_id", F.explode(pages).alias("page_idx"))
 
 
-def next_pages_form(pages: DataFrame) -> DataFrame:
+def _current_page() -> Column:
+    return F.coalesce(F.col("context.page_idx"), F.lit(0)).cast("bigint")
+
+
+def next_pages_form(pages: DataFrame, limits: DataFrame) -> DataFrame:
     """Next list URLs of the form route, per list page of a crawl in page order.
 
     Pages done so far are ``page_idx + 1``. With a total the remaining range is
-    planned, otherwise the "next" link is followed.
+    planned, otherwise the "next" link is followed. Pages past the largest
+    allowed crawl are dropped before their content is read.
     """
     html = F.col("html")
-    current = F.coalesce(F.col("context.page_idx"), F.lit(0)).cast("bigint")
-    limit = F.col("max_pages").cast("bigint")
-    staged = pages.select(
+    read = pages.where(_current_page() + 1 < C.CAP_MAX_PAGES).select(
         "page_id",
         "url",
         F.col("context.cnpj").alias("cnpj"),
-        current.alias("cur"),
-        limit.alias("lim"),
+        _current_page().alias("cur"),
         total_of(html).alias("total"),
         nav_columns(html)["next_page"].alias("next_page"),
-    ).where(F.col("cur") + 1 < F.col("lim"))
+    )
+    limited = with_limits(read, limits).withColumn("lim", F.col("max_pages").cast("bigint"))
+    after = F.col("cur") + 1
     planned = F.transform(
-        page_range(F.col("cur") + 1, last_page_of(F.col("total")).cast("bigint"), F.col("lim") - F.col("cur") - 1),
+        page_range(after, last_page_of(F.col("total")).cast("bigint"), F.col("lim") - after),
         lambda p: F.struct(p.alias("page_idx"), page_url(F.col("url"), p).alias("next_url")),
     )
     followed = F.array(
         F.struct(
-            (F.col("cur") + 1).alias("page_idx"),
+            after.alias("page_idx"),
             url_join(F.col("url"), F.concat(F.lit("?page="), F.col("next_page").cast("string"))).alias("next_url"),
         )
     )
     nexts = F.when(F.col("total").isNotNull(), planned).when(F.col("next_page").isNotNull(), followed)
-    return staged.select("page_id", "cnpj", F.explode(nexts).alias("n")).select(
-        "page_id", "cnpj", "n.page_idx", "n.next_url"
+    return (
+        limited.where(after < F.col("lim"))
+        .select("page_id", "cnpj", F.explode(nexts).alias("n"))
+        .select("page_id", "cnpj", "n.page_idx", "n.next_url")
     )
 
 
-def next_pages_stable(pages: DataFrame, route: str) -> DataFrame:
+def next_pages_stable(pages: DataFrame, limits: DataFrame, route: str) -> DataFrame:
     """Next sequential URL below ``route``: on a next link, or freely on early pages."""
-    current = F.coalesce(F.col("context.page_idx"), F.lit(0)).cast("bigint")
     texts = F.transform(
         M.anchors(M.block_of_class(M.markup(F.col("html")), "consulta_paginas")),
         lambda a: F.lower(strip(a["text"])),
     )
     says_next = F.exists(texts, lambda t: t.rlike("|".join(C.STABLE_NEXT_WORDS)))
-    # the page is only looked at when the cheap rules leave it open
-    follow = (current + 1 < F.col("max_pages").cast("bigint")) & (
-        (current < C.STABLE_FREE_PAGES) | says_next
-    )
-    cnpj = F.col("context.cnpj")
-    return pages.where(follow).select(
+    read = pages.where(_current_page() + 1 < C.CAP_MAX_PAGES).select(
         "page_id",
-        cnpj.alias("cnpj"),
-        (current + 1).alias("page_idx"),
-        F.concat(F.lit(route.rstrip("/") + "/"), cnpj, F.lit("/"), (current + 1).cast("string")).alias("next_url"),
+        F.col("context.cnpj").alias("cnpj"),
+        _current_page().alias("cur"),
+        F.when(_current_page() < C.STABLE_FREE_PAGES, True).otherwise(says_next).alias("goes_on"),
+    )
+    after = F.col("cur") + 1
+    return (
+        with_limits(read, limits)
+        .where(F.col("goes_on") & (after < F.col("max_pages")))
+        .select(
+            "page_id",
+            "cnpj",
+            after.alias("page_idx"),
+            F.concat(F.lit(route.rstrip("/") + "/"), F.col("cnpj"), F.lit("/"), after.cast("string")).alias("next_url"),
+        )
     )

@@ -79,16 +79,16 @@ def _flat(records: DataFrame) -> DataFrame:
     )
 
 
-def _listed(spark: SparkSession, sf: str) -> DataFrame:
-    return frontier.with_limits(R.list_pages(spark, sf), R.crawl_limit_rows(spark, sf))
-
-
 def _form_listed(spark: SparkSession, sf: str) -> DataFrame:
-    return _listed(spark, sf).where(classify.page_class(F.col("html")) == "list")
+    return R.list_pages(spark, sf).where(classify.page_class(F.col("html")) == "list")
 
 
 def _stable_listed(spark: SparkSession, sf: str) -> DataFrame:
-    return _listed(spark, sf).where(classify.stable_list_class(F.col("html")) == "list")
+    return R.list_pages(spark, sf).where(classify.stable_list_class(F.col("html")) == "list")
+
+
+def _stable_links(spark: SparkSession, sf: str) -> DataFrame:
+    return frontier.frontier_stable(_stable_listed(spark, sf), R.crawl_limit_rows(spark, sf), R.PLAIN_SITE)
 
 
 def _details(spark: SparkSession, sf: str) -> DataFrame:
@@ -418,12 +418,12 @@ def best_detail_link(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def frontier_form(spark: SparkSession, sf: str) -> DataFrame:
-    return frontier.frontier_form(_form_listed(spark, sf))
+    return frontier.frontier_form(_form_listed(spark, sf), R.crawl_limit_rows(spark, sf))
 
 
 @_query
 def frontier_stable(spark: SparkSession, sf: str) -> DataFrame:
-    return frontier.frontier_stable(_stable_listed(spark, sf), R.PLAIN_SITE)
+    return _stable_links(spark, sf)
 
 
 @_query
@@ -457,12 +457,12 @@ def page_ranges(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def next_pages_form(spark: SparkSession, sf: str) -> DataFrame:
-    return pagination.next_pages_form(_form_listed(spark, sf))
+    return pagination.next_pages_form(_form_listed(spark, sf), R.crawl_limit_rows(spark, sf))
 
 
 @_query
 def next_pages_stable(spark: SparkSession, sf: str) -> DataFrame:
-    return pagination.next_pages_stable(_stable_listed(spark, sf), R.ROUTE)
+    return pagination.next_pages_stable(_stable_listed(spark, sf), R.crawl_limit_rows(spark, sf), R.ROUTE)
 
 
 def _captured(spark: SparkSession, sf: str) -> DataFrame:
@@ -471,17 +471,17 @@ def _captured(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def frontier_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return frontier.frontier_coverage(frontier.frontier_stable(_stable_listed(spark, sf)), _captured(spark, sf))
+    return frontier.frontier_coverage(_stable_links(spark, sf), _captured(spark, sf))
 
 
 @_query
 def missing_details(spark: SparkSession, sf: str) -> DataFrame:
-    return frontier.missing_details(frontier.frontier_stable(_stable_listed(spark, sf)), _captured(spark, sf))
+    return frontier.missing_details(_stable_links(spark, sf), _captured(spark, sf))
 
 
 @_query
 def done_details(spark: SparkSession, sf: str) -> DataFrame:
-    return frontier.done_details(frontier.frontier_stable(_stable_listed(spark, sf)), _captured(spark, sf))
+    return frontier.done_details(_stable_links(spark, sf), _captured(spark, sf))
 
 
 # ------------------------------------------------------------------------------- health
@@ -527,8 +527,7 @@ def health_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def retry_plan(spark: SparkSession, sf: str) -> DataFrame:
-    log = R.fetch_log(spark, sf)
-    return health.retry_plan(log, health.server_health(log)).withColumns(
+    return health.retry_plan(R.fetch_log(spark, sf)).withColumns(
         {c: F.round(c, 6) for c in ("delay_lo", "delay_hi", "timeout_sec")}
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.operators.intake import accepted, crawl_limits, request_intake
-from docketry.sources.pages import land_raw_pages
+from docketry.sources.pages import land_raw_pages, spread
 
 SITE = "https://docket.example"
 PLAIN_SITE = "http://docket.example"
@@ -53,7 +53,7 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     names = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     k, d = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
-    return orders.join(names, F.col("o_custkey") == F.col("c_custkey")).select(
+    return spread(orders, "o_orderkey").join(names, F.col("o_custkey") == F.col("c_custkey")).select(
         k.alias("k"),
         F.col("c_name").alias("nm"),
         d.alias("d"),
@@ -386,7 +386,7 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     endpoint = F.element_at(
         F.array(*[F.lit(x) for x in ("form", "detail", "list", "stable_route", "detalhe")]), (e % 5 + 1).cast("int")
     )
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         _cat("h", _text(user % 4)).alias("host"),
         e.alias("seq"),
         F.timestamp_micros(F.floor(micros / 10).cast("bigint")).alias("ts"),
@@ -402,7 +402,7 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` read as fetched pages without any stored type."""
     p = F.col("page_id")
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages"), "page_id").select(
         p,
         "url",
         F.lit("GET").alias("method"),
