@@ -8,6 +8,7 @@ lookups expect ``markup(html)``, computed once per page by the caller.
 
 from __future__ import annotations
 
+from functools import reduce
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -17,15 +18,16 @@ from docketry import constants as C
 from docketry.functions.text import first_group, let, strip
 
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+# possessive groups: linear time, and no recursion however long a page is
 _ROW = (
-    r"(?is)<tr\b[^>]*>.*?"
-    r"(?:(?=<tr\b)|</tr\s*>(?:\s*</t(?:able|body|head|foot)\s*>)?|</table\s*>|$)"
+    r"(?i)<tr\b[^>]*+>[^<]*+(?:<(?!/?tr\b|/table\b)[^<]*+)*+"
+    r"(?:</tr\s*+>(?:\s*+</t(?:able|body|head|foot)\s*+>)?|</table\s*+>)?"
 )
-_LAST_ROW = r"(?is)</t(?:able|body|head|foot)\s*>$"
-_CELL = r"(?is)<td\b[^>]*>(.*?)(?=</?t[dhr]\b|</table\b|$)"
+_LAST_ROW = r"(?i)</t(?:able|body|head|foot)\s*>$"
+_CELL = r"(?i)<td\b[^>]*+>([^<]*+(?:<(?!/?t[dhr]\b|/table\b)[^<]*+)*+)"
 _FIRST_TEXT = r"(?s)^(?:<[^>]*>)*+([^<]+)"
 _TEXT_NODE = r">([^<]+)<"
-_ANCHOR = r"(?is)<a\s[^>]*>.*?(?=</a\s*>|<a\s|$)"
+_ANCHOR = r"(?i)<a\s[^>]*+>[^<]*+(?:<(?!/a\s*>|a\s)[^<]*+)*+"
 _TAG_HEAD = r"(?s)^<[^>]*>"
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
@@ -46,7 +48,9 @@ def decode_references(page: Column) -> Column:
     One pass over the '&' pieces of a page. Markup characters keep a named
     reference, so tags and attributes can still be cut; see ``unescape``.
     """
-    names = _pairs((n, chr(p)) for n, p in name2codepoint.items() if n not in _ESCAPED)
+    # looked up in order: the accented letters come first
+    by_point = sorted(name2codepoint.items(), key=lambda x: x[1])
+    names = _pairs((n, chr(p)) for n, p in by_point if n not in _ESCAPED)
     kept = _pairs((str(ord(c)), f"&{n};") for n, c in _ESCAPED.items())
 
     def from_point(n: Column) -> Column:
@@ -112,6 +116,12 @@ def text_nodes(mk: Column) -> Column:
     return F.transform(F.regexp_extract_all(mk, F.lit(_TEXT_NODE), F.lit(1)), unescape)
 
 
+def text_nodes_with(mk: Column, *words: str) -> Column:
+    """Text nodes holding one of the words."""
+    pattern = r">([^<]*?(?:" + "|".join(words) + r")[^<]*)<"
+    return _if_named(mk, words, F.transform(F.regexp_extract_all(mk, F.lit(pattern), F.lit(1)), unescape))
+
+
 def tag_text(c: Column, tag: str) -> Column:
     """Text right after the first ``<tag>`` that is followed by text."""
     return unescape(F.regexp_extract(c, rf"(?is)<{tag}\b[^>]*>([^<]+)", 1))
@@ -121,21 +131,29 @@ def class_attr(*tokens: str) -> str:
     """Regex for a class attribute holding one of the tokens."""
     any_token = "(?:" + "|".join(tokens) + ")"
     return (
-        rf"""\bclass\s*=\s*(?:"(?:[^">]*\s)?{any_token}(?:\s[^">]*)?\""""
+        rf"""\b(?i:class)\s*=\s*(?:"(?:[^">]*\s)?{any_token}(?:\s[^">]*)?\""""
         rf"""|'(?:[^'>]*\s)?{any_token}(?:\s[^'>]*)?'|{any_token}(?=[\s>]))"""
     )
 
 
+def _if_named(c: Column, tokens: tuple[str, ...], found: Column) -> Column:
+    """Skip the regex scan of a page that does not hold the class names at all."""
+    named = reduce(Column.__or__, [F.contains(c, F.lit(t)) for t in tokens])
+    return F.when(named, found).otherwise(F.array().cast("array<string>"))
+
+
 def class_texts(c: Column, *tokens: str) -> Column:
     """Text right after every element of the given classes."""
-    pattern = rf"(?is)<[a-z][^>]*?{class_attr(*tokens)}[^>]*>([^<]+)"
-    return F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), unescape)
+    pattern = rf"<[a-zA-Z][^>]*?{class_attr(*tokens)}[^>]*>([^<]+)"
+    found = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), unescape)
+    return _if_named(c, tokens, found)
 
 
 def class_blocks(c: Column, *tokens: str) -> Column:
     """For every element of the classes, the page from it to the next one."""
-    head = rf"<[a-z][^>]*?{class_attr(*tokens)}[^>]*>"
-    return F.regexp_extract_all(c, F.lit(rf"(?is){head}(.*?)(?={head}|$)"), F.lit(1))
+    head = rf"<[a-zA-Z][^>]*?{class_attr(*tokens)}[^>]*>"
+    body = rf"([^<]*+(?:(?!{head})<[^<]*+)*+)"
+    return _if_named(c, tokens, F.regexp_extract_all(c, F.lit(head + body), F.lit(1)))
 
 
 def own_texts(c: Column, tag: str, containing: str) -> Column:
@@ -152,7 +170,14 @@ def own_texts(c: Column, tag: str, containing: str) -> Column:
             F.regexp_replace(b, r"(?is)<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>|<[^>]*>", "<"), "<"
         ),
     )
-    return F.transform(F.flatten(nodes), unescape)
+    return _if_named(c, (containing,), F.transform(F.flatten(nodes), unescape))
+
+
+def text_of_next(c: Column, tag: str, containing: str) -> Column:
+    """Leading text of the ``tag`` element that follows one whose text holds a word."""
+    pattern = rf"(?i)<{tag}\b[^>]*>(?-i:[^<]*{containing}[^<]*)</{tag}>\s*<{tag}\b[^>]*>([^<]+)"
+    found = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), unescape)
+    return _if_named(c, (containing,), found)
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -206,7 +231,7 @@ def input_tags(mk: Column) -> Column:
 def block_of_class(c: Column, token: str) -> Column:
     """Content of the first element of a class, up to its first same-name end tag."""
     return F.regexp_extract(
-        c, rf"(?is)<([a-z][a-z0-9]*)\b[^>]*?{class_attr(token)}[^>]*>(.*?)(?=</\1\s*>|$)", 2
+        c, rf"(?s)<([a-zA-Z][a-zA-Z0-9]*)\b[^>]*?{class_attr(token)}[^>]*>(.*?)(?=</\1\s*>|$)", 2
     )
 
 

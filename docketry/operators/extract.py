@@ -37,9 +37,8 @@ def numero(html: Column, mk: Column, profile: str = "online") -> Column:
         return first_group(_first(F.filter(texts, lambda t: t.rlike(C.NPU))), C.NPU, group=0)
 
     labelled = F.filter(
-        M.text_nodes(mk),
-        lambda t: (F.contains(t, F.lit("PROCESSO")) & F.contains(t, F.lit("Nº")))
-        | F.contains(t, F.lit("Processo:")),
+        M.text_nodes_with(mk, "PROCESSO", "Processo:"),
+        lambda t: F.contains(t, F.lit("Nº")) | F.contains(t, F.lit("Processo:")),
     )
     hidden = [in_texts(labelled)]
     if profile == "online":
@@ -62,8 +61,7 @@ def data_autuacao(html: Column, mk: Column, profile: str = "online") -> Column:
         dated = _first(F.filter(texts, lambda t: t.rlike(C.DATE_ANYWHERE)))
         return first_group(dated, C.DATE_ANYWHERE, group=0)
 
-    marks = "|".join(C.FILED_ON_NODE_MARKS)
-    marked = first_date(F.filter(M.text_nodes(mk), lambda t: t.rlike(marks)))
+    marked = first_date(M.text_nodes_with(mk, *C.FILED_ON_NODE_MARKS))
     if profile == "offline":
         return br_date_to_iso(marked)
     by_class = [first_date(M.class_texts(mk, name)) for name in C.FILED_ON_CLASSES]
@@ -89,14 +87,10 @@ def _judge_from_rows(rows: Column) -> Column:
 
 def _judge_from_elements(mk: Column) -> Column:
     labelled = rx(C.JUDGE_LABEL, "iu")
-    after_label = F.regexp_extract_all(
-        mk,
-        F.lit(r"(?is)<div\b[^>]*>(?-i:[^<]*RELATOR[^<]*)</div>\s*<div\b[^>]*>([^<]+)"),
-        F.lit(1),
-    )
+    after_label = M.text_of_next(mk, "div", "RELATOR")
     sources = (
         [M.class_texts(mk, name) for name in C.JUDGE_CLASSES_FIRST]
-        + [F.transform(after_label, M.unescape)]
+        + [after_label]
         + [M.own_texts(mk, "span", "RELATOR"), M.own_texts(mk, "p", "RELATOR")]
         + [M.class_texts(mk, name) for name in C.JUDGE_CLASSES_LAST]
     )

@@ -45,7 +45,7 @@ def stable_totals(pages: DataFrame) -> DataFrame:
     total = F.coalesce(
         shown(M.class_texts(M.block_of_class(mk, "consulta_paginas"), "texto_consulta")),
         shown(M.class_texts(mk, "texto_consulta")),
-        shown(F.filter(M.text_nodes(mk), lambda t: F.contains(t, F.lit("Total:")))),
+        shown(M.text_nodes_with(mk, "Total:")),
     )
     return pages.select("page_id", M.markup(F.col("html")).alias("mk")).select(
         "page_id", total.try_cast("bigint").alias("total")
