@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docketry import constants as C
 from docketry.functions.text import first_group, let, strip
 
-_HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+_HIDDEN = r"(?is)<(?:!--.*?-->|(script|style)\b[^>]*+>.*?</\1\s*+>)"
 # possessive groups: linear time, and no recursion however long a page is
 _ROW = (
     r"(?i)<tr\b[^>]*+>[^<]*+(?:<(?!/?tr\b|/table\b)[^<]*+)*+"

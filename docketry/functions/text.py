@@ -15,7 +15,11 @@ WS = r"[\s\x1C-\x1F\x85\p{Z}]"
 
 
 def rx(pattern: str, flags: str = "") -> str:
-    """Pattern with unicode whitespace; ``flags`` like ``iu`` or ``ius``."""
+    """Pattern with unicode whitespace; ``flags`` like ``i``, ``iu`` or ``ius``.
+
+    ``u`` (case folding beyond ASCII) is slow and only needed by patterns with
+    accented letters.
+    """
     return (f"(?{flags})" if flags else "") + pattern.replace(r"\s", WS)
 
 
@@ -106,7 +110,7 @@ def br_date_to_iso(c: Column) -> Column:
 def strip_judge_title(c: Column) -> Column:
     """Remove the titles in their fixed order, each once."""
     bare = reduce(
-        lambda col, title: F.regexp_replace(col, rx(title, "iu"), ""),
+        lambda col, title: F.regexp_replace(col, rx(title, "i"), ""),
         C.JUDGE_TITLES,
         clean_text(c),
     )

@@ -20,8 +20,10 @@ def _is_detail(upper: Column, html: Column) -> Column:
         & upper.rlike(any_of(C.PARTY_WORDS))
         & upper.rlike(any_of(C.TIMELINE_WORDS))
     )
-    wide = html.rlike(C.NPU) & upper.rlike(
-        any_of(C.JUDGE_WORDS + C.PARTY_WORDS_WIDE + C.TIMELINE_WORDS)
+    # nearly every detail page names a judge: look for that word before the others
+    wide = html.rlike(C.NPU) & (
+        F.contains(upper, F.lit(C.JUDGE_WORDS[0]))
+        | upper.rlike(any_of(C.JUDGE_WORDS[1:] + C.PARTY_WORDS_WIDE + C.TIMELINE_WORDS))
     )
     return wide | classic
 
@@ -121,7 +123,7 @@ def stable_list_class(html: Column) -> Column:
         F.when(~_present(html) | F.contains(upper, F.lit(C.STABLE_INVALID)), "error")
         .when(
             F.contains(html, F.lit(C.STABLE_RESULTS))
-            | html.rlike(rx(C.STABLE_TAX_ID_HEADER, "iu")),
+            | html.rlike(rx(C.STABLE_TAX_ID_HEADER, "i")),
             "list",
         )
         .otherwise("error")

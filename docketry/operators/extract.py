@@ -65,7 +65,7 @@ def data_autuacao(html: Column, mk: Column, profile: str = "online") -> Column:
     if profile == "offline":
         return br_date_to_iso(marked)
     by_class = [first_date(M.class_texts(mk, name)) for name in C.FILED_ON_CLASSES]
-    return br_date_to_iso(F.coalesce(first_group(html, C.FILED_ON, "iu"), marked, *by_class))
+    return br_date_to_iso(F.coalesce(first_group(html, C.FILED_ON, "i"), marked, *by_class))
 
 
 # -------------------------------------------------------------------------- judge
@@ -86,7 +86,7 @@ def _judge_from_rows(rows: Column) -> Column:
 
 
 def _judge_from_elements(mk: Column) -> Column:
-    labelled = rx(C.JUDGE_LABEL, "iu")
+    labelled = rx(C.JUDGE_LABEL, "i")
     after_label = M.text_of_next(mk, "div", "RELATOR")
     sources = (
         [M.class_texts(mk, name) for name in C.JUDGE_CLASSES_FIRST]
@@ -115,7 +115,7 @@ def _judge_from_elements(mk: Column) -> Column:
 def _judge_from_text(html: Column) -> Column:
     def long_match(pattern: str) -> Column:
         found = F.transform(
-            F.regexp_extract_all(html, F.lit(rx(pattern, "iu")), F.lit(1)), clean_text
+            F.regexp_extract_all(html, F.lit(rx(pattern, "i")), F.lit(1)), clean_text
         )
         return _first(F.filter(found, lambda t: F.length(t) > 3))
 
@@ -160,10 +160,12 @@ def _dated(entries: Column) -> Column:
 
 
 def _anchored_movements(rows: Column) -> Column:
-    anchor = r"""(?is)<a\b(?=[^>]*\bname\s*=\s*["']?mov_)[^>]*>(.*?)(?=</a|$)"""
+    anchor = r"""(?is)<a\b(?=[^>]*\bname\s*=\s*["']?(?-i:mov_))[^>]*>(.*?)(?=</a|$)"""
 
     def of_row(r: Column, i: Column) -> Column:
-        links = F.regexp_extract_all(r["raw"], F.lit(anchor), F.lit(1))
+        links = F.when(
+            F.contains(r["raw"], F.lit("mov_")), F.regexp_extract_all(r["raw"], F.lit(anchor), F.lit(1))
+        ).otherwise(F.array().cast("array<string>"))
         below = F.when(~r["last"], F.get(rows, i + 1))
         text = clean_text(M.first_text(F.get(below["cells"], F.lit(1))))
         text = clean_text(F.regexp_replace(text, C.RECEIPT_TAIL, ""))

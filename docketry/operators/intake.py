@@ -41,6 +41,23 @@ def rejected(intake: DataFrame) -> DataFrame:
     return intake.where(F.col("reject_reason").isNotNull())
 
 
+def seed_requests(intake: DataFrame, form_url: str, route: str) -> DataFrame:
+    """First page to fetch per accepted request: the form, or list page 0 of a tax id."""
+    value, by_number = F.col("valor_normalizado"), F.col("modo") == "numero"
+    return accepted(intake).select(
+        "req_id",
+        F.when(by_number, form_url)
+        .otherwise(F.concat(F.lit(route.rstrip("/") + "/"), value, F.lit("/0")))
+        .alias("url"),
+        F.when(by_number, "form").otherwise("lista").alias("tipo"),
+        F.col("modo").alias("busca"),
+        F.when(by_number, value).alias("numero"),
+        F.when(~by_number, value).alias("cnpj"),
+        F.when(~by_number, 0).alias("page_idx"),
+        F.when(by_number, "form").otherwise("stable_route").alias("endpoint"),
+    )
+
+
 def _limit(c: Column, default: int, cap: int) -> Column:
     return F.when(c.isNull() | (c <= 0), F.lit(default)).otherwise(F.least(c, F.lit(cap)))
 

@@ -14,7 +14,7 @@ from docketry.operators.frontier import with_limits
 
 def total_of(html: Column) -> Column:
     """First total by pattern order, NULL when no pattern matches."""
-    return F.coalesce(*[first_group(html, p, "iu") for p in C.TOTAL_PATTERNS]).try_cast("bigint")
+    return F.coalesce(*[first_group(html, p, "i") for p in C.TOTAL_PATTERNS]).try_cast("bigint")
 
 
 def last_page_of(total: Column, page_size: int = C.PAGE_SIZE) -> Column:
@@ -36,7 +36,7 @@ def list_totals(pages: DataFrame, page_size: int = C.PAGE_SIZE) -> DataFrame:
 def stable_totals(pages: DataFrame) -> DataFrame:
     """Total shown in the query text, else in any text node."""
     mk = F.col("mk")
-    pattern = rx(C.TOTAL_PATTERNS[0], "iu")
+    pattern = rx(C.TOTAL_PATTERNS[0], "i")
 
     def shown(texts: Column) -> Column:
         hit = F.get(F.filter(texts, lambda t: t.rlike(pattern)), F.lit(0))
@@ -68,13 +68,13 @@ def _nav_href(html: Column, kind: str) -> Column:
 
 def nav_columns(html: Column) -> dict[str, Column]:
     found = {
-        kind: first_group(_nav_href(html, kind), C.PAGE_PARAM, "iu").try_cast("bigint")
+        kind: first_group(_nav_href(html, kind), C.PAGE_PARAM, "i").try_cast("bigint")
         for kind in C.NAV_TEXT
     }
     numbers = F.array_sort(
         F.array_distinct(
             F.transform(
-                F.regexp_extract_all(html, F.lit(rx(C.NUMBERED_LINK, "iu")), F.lit(1)),
+                F.regexp_extract_all(html, F.lit(rx(C.NUMBERED_LINK, "i")), F.lit(1)),
                 lambda n: n.try_cast("bigint"),
             )
         )

@@ -164,7 +164,7 @@ def non_iso_dates(records: DataFrame) -> DataFrame:
 
 def untitled_check(records: DataFrame, samples: int = 3) -> DataFrame:
     """Judges that still carry a title: their number, and the first few by ``_id``."""
-    titled = records.select("_id", "relator").where(F.col("relator").rlike(rx(C.TITLE_LEFT, "iu")))
+    titled = records.select("_id", "relator").where(F.col("relator").rlike(rx(C.TITLE_LEFT, "i")))
     count = titled.agg(F.count("*").alias("n")).select(
         F.lit("count").alias("kind"), F.lit(None).cast("string").alias("_id"), F.lit(None).cast("string").alias("relator"), "n"
     )

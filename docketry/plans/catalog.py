@@ -186,6 +186,11 @@ def request_intake(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def seed_requests(spark: SparkSession, sf: str) -> DataFrame:
+    return intake.seed_requests(intake.request_intake(R.crawl_requests(spark, sf)), f"{R.SITE}/cp/", R.ROUTE)
+
+
 @_query
 def crawl_limits(spark: SparkSession, sf: str) -> DataFrame:
     return intake.crawl_limits(R.crawl_requests(spark, sf))
@@ -267,6 +272,11 @@ def page_signals(spark: SparkSession, sf: str) -> DataFrame:
     return classify.page_signals(R.site_pages(spark, sf))
 
 
+@_query
+def page_signals_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    return classify.page_signals(R.mixed_pages(spark, sf))
+
+
 @_query
 def classify_pages(spark: SparkSession, sf: str) -> DataFrame:
     return classify.classify_pages(R.mixed_pages(spark, sf)).select("page_id", "page_class")

@@ -211,8 +211,8 @@ SELECT host, seq, us AS ts, CASE WHEN degraded THEN 'degraded' ELSE 'recovered'
 FROM c WHERE degraded <> prev"""
 
 
-def _site_signals() -> str:
-    """Signals on ``pages`` with DuckDB's own regex engine."""
+def _signals(source: str) -> str:
+    """Signals of a page relation with DuckDB's own regex engine."""
     cols = {"sig_case_header": C.CASE_HEADER}
     for prefix, patterns in (
         ("sig_judge", C.JUDGE_WORDS),
@@ -226,7 +226,8 @@ def _site_signals() -> str:
         for i, p in enumerate(patterns, 1):
             cols[f"{prefix}_{i}"] = p
     tests = ", ".join(f"regexp_matches(u, {_lit(p)}) AS {n}" for n, p in cols.items())
-    return f"""WITH u AS (SELECT page_id, html, upper(html) AS u FROM pages)
+    return f"""WITH {_MIXED},
+u AS (SELECT page_id, coalesce(html, '') AS html, upper(coalesce(html, '')) AS u FROM {source})
 SELECT page_id, {tests}, regexp_matches(html, {_lit(C.NPU)}) AS sig_npu,
        len(regexp_extract_all(html, {_lit(C.NPU)})) > 1 AS sig_many_npu,
        contains(u, '<HTML') AS sig_html_tag, contains(u, '<BODY') AS sig_body_tag, length(trim(u)) < 100 AS sig_short
@@ -303,6 +304,12 @@ SELECT q AS req_id, modo, valor,
        CASE WHEN modo IS NULL OR valor IS NULL THEN 'missing_parameter' WHEN modo = 'outro' THEN 'invalid_mode'
             WHEN q % 20 = 4 THEN 'invalid_npu' WHEN q % 20 = 0 THEN 'invalid_cnpj' END AS reject_reason
 FROM req""",
+    "seed_requests": f"""WITH {_REQUESTS}
+SELECT q AS req_id, CASE modo WHEN 'numero' THEN '{SITE}/cp/' ELSE '{ROUTE}/' || tax || '/0' END AS url,
+       CASE modo WHEN 'numero' THEN 'form' ELSE 'lista' END AS tipo, modo AS busca,
+       CASE modo WHEN 'numero' THEN npu END AS numero, CASE modo WHEN 'cnpj' THEN tax END AS cnpj,
+       CASE modo WHEN 'cnpj' THEN 0 END AS page_idx, CASE modo WHEN 'numero' THEN 'form' ELSE 'stable_route' END AS endpoint
+FROM req WHERE q % 10 < 8 AND q % 20 NOT IN (0, 4)""",
     "crawl_limits": """
 SELECT c_custkey AS req_id, mp AS max_pages, md AS max_details_per_page, mp * md AS max_total_details FROM (
   SELECT c_custkey, CASE c_custkey % 4 WHEN 2 THEN 3 WHEN 3 THEN 20 ELSE 5 END AS mp,
@@ -334,7 +341,8 @@ SELECT batch_id, count(*) AS n, count(CASE WHEN length(iso) = 10 THEN 1 END) AS
     "judge_directory": f"""WITH {_CASES}
 SELECT relator, count(*) AS n_cases, count(DISTINCT v) AS n_spellings FROM (
   SELECT CASE WHEN k % 6 = 3 THEN 'JUÍZA FEDERAL ' || nm ELSE nm END AS relator, k % 6 AS v FROM o) GROUP BY relator""",
-    "page_signals": _site_signals(),
+    "page_signals": _signals("pages"),
+    "page_signals_mixed": _signals("mixed"),
     "classify_pages": f"WITH {_MIXED} SELECT page_id, page_class FROM mixed",
     "classify_site_pages": "SELECT 'error' AS page_class, count(*) AS n FROM pages",
     "page_rules": f"""WITH {_MIXED}

@@ -111,6 +111,8 @@ def test_selection_order_skip_and_limit(make_pages):
     rows = pg.select_raw_pages(pages, tipo="lista", skip=2, limit=3).collect()
     assert [r.page_id for r in rows] == [15, 14, 13]
     assert pg.select_raw_pages(pages, limit=None).count() == 17
+    rest = pg.select_raw_pages(pages, skip=4, limit=None)
+    assert sorted(r.page_id for r in rest.collect()) == [0, 2, *range(3, 14)]
 
 
 def test_layout_prunes_by_type(spark, make_pages, tmp_path):
