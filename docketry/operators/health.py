@@ -9,11 +9,13 @@ the last 19 flags) computed over one summary row per chunk.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry import constants as C
-from docketry.functions.text import let, strip
+from docketry.functions.text import WS, let, strip
 
 CHUNK = 200_000
 _TAIL = C.HEALTH_RECENT - 1
@@ -25,18 +27,22 @@ def status_retry(status: Column) -> Column:
 
 
 def content_failure(status: Column, html: Column) -> Column:
-    """A 200 page with an error phrase, almost no body or almost no text."""
+    """A 200 page with an error phrase, almost no body or almost no text.
+
+    One unbroken run of text is enough to see that a page is not empty, so tags
+    are only stripped from pages that lack such a run.
+    """
+    solid = "[^<>" + WS[1:]
+    run = f"{solid}[^<>]{{{C.MIN_TEXT_CHARS - 2},}}{solid}"
+    body = f"(?s)[^{WS[1:]}.{{{C.MIN_BODY_CHARS - 2},}}[^{WS[1:]}"
 
     def bad(low: Column) -> Column:
+        phrase = reduce(Column.__or__, [F.contains(low, F.lit(p)) for p in C.FAILURE_PHRASES])
         shown = strip(F.regexp_replace(low, r"<[^>]+>", ""))
-        return (
-            low.rlike("|".join(C.FAILURE_PHRASES))
-            | (F.length(strip(low)) < C.MIN_BODY_CHARS)
-            | (F.length(shown) < C.MIN_TEXT_CHARS)
-        )
+        return phrase | ~low.rlike(body) | (~low.rlike(run) & (F.length(shown) < C.MIN_TEXT_CHARS))
 
-    body = F.lower(F.coalesce(html, F.lit("")))
-    return F.when(status == 200, let(body, bad)).otherwise(False)
+    page = F.lower(F.coalesce(html, F.lit("")))
+    return F.when(status == 200, let(page, bad)).otherwise(False)
 
 
 def with_flags(log: DataFrame) -> DataFrame:

@@ -137,6 +137,11 @@ def test_failure_reasons(spark):
         (200, "ACESSO NEGADO" + OK, "content", False),
         (200, " " * 200, "content", False),
         (200, "<i>" * 80, "content", False),
+        (200, "<i>" * 80 + "a " * 24 + "b", "content", False),
+        (200, "<i>" * 80 + "a " * 24 + "bc", "none", True),
+        (200, ("<i>" * 8 + "abcde") * 10, "none", True),
+        (200, "\u00a0" + "a" * 99 + "\n", "content", False),
+        (200, "\u00a0" + "a" * 100 + "\n", "none", True),
         (302, "", "none", True),
         (404, OK, "none", False),
         (200, OK, "none", True),
