@@ -113,8 +113,8 @@ TIMELINE_INDICATORS = ["MOVIMENTAÇÃO", "ANDAMENTO", "JUNTADA"]
 TOTAL_PATTERNS = [
     r"Total:\s*(\d+)",
     r"Total\s+de\s+(\d+)",
-    r"(\d+)\s+resultados?",
-    r"(\d+)\s+processos?",
+    r"(?<!\d)(\d++)\s+resultados?",
+    r"(?<!\d)(\d++)\s+processos?",
     r"Encontrados?\s+(\d+)",
     r"Localizado[s]?\s+(\d+)",
 ]

@@ -2,7 +2,8 @@
 
 These are lexical scans with Java regex over one page at a time: they stay in
 the JVM, keep document order in arrays and never shuffle. Element ends are not
-tracked: text is taken up to the next tag, items up to the next item. Element
+tracked: text is taken up to the next tag, items up to the next item. A tag ends
+at '>' and holds no '<', which keeps every scan linear in the page. Element
 lookups expect ``markup(html)``, computed once per page by the caller.
 """
 
@@ -20,15 +21,18 @@ from docketry.functions.text import first_group, let, strip
 _HIDDEN = r"(?is)<(?:!--.*?-->|(script|style)\b[^>]*+>.*?</\1\s*+>)"
 # possessive groups: linear time, and no recursion however long a page is
 _ROW = (
-    r"(?i)<tr\b[^>]*+>[^<]*+(?:<(?!/?tr\b|/table\b)[^<]*+)*+"
+    r"(?i)<tr\b[^<>]*+>[^<]*+(?:<(?!/?tr\b|/table\b)[^<]*+)*+"
     r"(?:</tr\s*+>(?:\s*+</t(?:able|body|head|foot)\s*+>)?|</table\s*+>)?"
 )
 _LAST_ROW = r"(?i)</t(?:able|body|head|foot)\s*>$"
-_CELL = r"(?i)<td\b[^>]*+>([^<]*+(?:<(?!/?t[dhr]\b|/table\b)[^<]*+)*+)"
-_FIRST_TEXT = r"(?s)^(?:<[^>]*>)*+([^<]+)"
-_TEXT_NODE = r">([^<]+)<"
-_ANCHOR = r"(?i)<a\s[^>]*+>[^<]*+(?:<(?!/a\s*>|a\s)[^<]*+)*+"
-_TAG_HEAD = r"(?s)^<[^>]*>"
+_CELL = r"(?i)<td\b[^<>]*+>([^<]*+(?:<(?!/?t[dhr]\b|/table\b)[^<]*+)*+)"
+_FIRST_TEXT = r"^(?:<[^<>]*+>)*+([^<]++)"
+_ANCHOR = r"(?i)<a\s[^<>]*+>[^<]*+(?:<(?!/a\s*>|a\s)[^<]*+)*+"
+_TAG_HEAD = r"^<[^<>]*+>"
+# an element with its content, or a lone tag; void elements have no content to look for
+_CHILD = (
+    r"(?is)<(?!(?:br|hr|img|input|link|meta|wbr)\b)([a-z][a-z0-9]*)\b[^<>]*+>.*?</\1\s*+>|<[^<>]*+>"
+)
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 # references that stand for markup characters stay escaped until text is cut out
@@ -112,27 +116,23 @@ def table_rows(mk: Column) -> Column:
     )
 
 
-def text_nodes(mk: Column) -> Column:
-    return F.transform(F.regexp_extract_all(mk, F.lit(_TEXT_NODE), F.lit(1)), unescape)
-
-
 def text_nodes_with(mk: Column, *words: str) -> Column:
     """Text nodes holding one of the words."""
-    pattern = r">([^<]*?(?:" + "|".join(words) + r")[^<]*)<"
+    pattern = r">([^<>]*?(?:" + "|".join(words) + r")[^<]*+)<"
     return _if_named(mk, words, F.transform(F.regexp_extract_all(mk, F.lit(pattern), F.lit(1)), unescape))
 
 
 def tag_text(c: Column, tag: str) -> Column:
     """Text right after the first ``<tag>`` that is followed by text."""
-    return unescape(F.regexp_extract(c, rf"(?is)<{tag}\b[^>]*>([^<]+)", 1))
+    return unescape(F.regexp_extract(c, rf"(?i)<{tag}\b[^<>]*+>([^<]++)", 1))
 
 
 def class_attr(*tokens: str) -> str:
     """Regex for a class attribute holding one of the tokens."""
     any_token = "(?:" + "|".join(tokens) + ")"
     return (
-        rf"""\b(?i:class)\s*=\s*(?:"(?:[^">]*\s)?{any_token}(?:\s[^">]*)?\""""
-        rf"""|'(?:[^'>]*\s)?{any_token}(?:\s[^'>]*)?'|{any_token}(?=[\s>]))"""
+        rf"""\b(?i:class)\s*=\s*(?:"(?:[^"<>]*\s)?{any_token}(?:\s[^"<>]*)?\""""
+        rf"""|'(?:[^'<>]*\s)?{any_token}(?:\s[^'<>]*)?'|{any_token}(?=[\s>]))"""
     )
 
 
@@ -144,14 +144,14 @@ def _if_named(c: Column, tokens: tuple[str, ...], found: Column) -> Column:
 
 def class_texts(c: Column, *tokens: str) -> Column:
     """Text right after every element of the given classes."""
-    pattern = rf"<[a-zA-Z][^>]*?{class_attr(*tokens)}[^>]*>([^<]+)"
+    pattern = rf"<[a-zA-Z][^<>]*?{class_attr(*tokens)}[^<>]*+>([^<]++)"
     found = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), unescape)
     return _if_named(c, tokens, found)
 
 
 def class_blocks(c: Column, *tokens: str) -> Column:
     """For every element of the classes, the page from it to the next one."""
-    head = rf"<[a-zA-Z][^>]*?{class_attr(*tokens)}[^>]*>"
+    head = rf"<[a-zA-Z][^<>]*?{class_attr(*tokens)}[^<>]*+>"
     body = rf"([^<]*+(?:(?!{head})<[^<]*+)*+)"
     return _if_named(c, tokens, F.regexp_extract_all(c, F.lit(head + body), F.lit(1)))
 
@@ -159,15 +159,15 @@ def class_blocks(c: Column, *tokens: str) -> Column:
 def own_texts(c: Column, tag: str, containing: str) -> Column:
     """Direct text nodes of the ``tag`` elements whose text holds a word."""
     blocks = F.regexp_extract_all(
-        c, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)(?=</{tag}\s*>|<{tag}\b|$)"), F.lit(1)
+        c, F.lit(rf"(?i)<{tag}\b[^<>]*+>([^<]*+(?:<(?!/?{tag}\b)[^<]*+)*+)"), F.lit(1)
     )
     hits = F.filter(
-        blocks, lambda b: F.contains(F.regexp_replace(b, r"<[^>]*>", ""), F.lit(containing))
+        blocks, lambda b: F.contains(F.regexp_replace(b, r"<[^<>]*+>", ""), F.lit(containing))
     )
     nodes = F.transform(
         hits,
         lambda b: F.split(
-            F.regexp_replace(b, r"(?is)<([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>|<[^>]*>", "<"), "<"
+            F.regexp_replace(b, _CHILD, "<"), "<"
         ),
     )
     return _if_named(c, (containing,), F.transform(F.flatten(nodes), unescape))
@@ -175,7 +175,7 @@ def own_texts(c: Column, tag: str, containing: str) -> Column:
 
 def text_of_next(c: Column, tag: str, containing: str) -> Column:
     """Leading text of the ``tag`` element that follows one whose text holds a word."""
-    pattern = rf"(?i)<{tag}\b[^>]*>(?-i:[^<]*{containing}[^<]*)</{tag}>\s*<{tag}\b[^>]*>([^<]+)"
+    pattern = rf"(?i)<{tag}\b[^<>]*+>(?-i:[^<]*{containing}[^<]*)</{tag}>\s*<{tag}\b[^<>]*+>([^<]++)"
     found = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), unescape)
     return _if_named(c, (containing,), found)
 
@@ -217,7 +217,7 @@ def has_class(cls: Column, token: str) -> Column:
 
 def input_tags(mk: Column) -> Column:
     """array<struct<name, type, value>> of all inputs in document order."""
-    tags = F.regexp_extract_all(mk, F.lit(r"(?is)<input\b[^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(mk, F.lit(r"(?i)<input\b[^<>]*+>"), F.lit(0))
     return F.transform(
         tags,
         lambda t: F.struct(
@@ -231,7 +231,7 @@ def input_tags(mk: Column) -> Column:
 def block_of_class(c: Column, token: str) -> Column:
     """Content of the first element of a class, up to its first same-name end tag."""
     return F.regexp_extract(
-        c, rf"(?s)<([a-zA-Z][a-zA-Z0-9]*)\b[^>]*?{class_attr(token)}[^>]*>(.*?)(?=</\1\s*>|$)", 2
+        c, rf"<([a-zA-Z][a-zA-Z0-9]*)\b[^<>]*?{class_attr(token)}[^<>]*+>([^<]*+(?:(?!</\1\s*>)<[^<]*+)*+)", 2
     )
 
 

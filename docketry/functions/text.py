@@ -57,7 +57,8 @@ def first_group(c: Column, pattern: str, flags: str = "", group: int = 1) -> Col
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    # looked for at the start of a run only, so long inner runs cost nothing extra
+    return F.regexp_replace(c, f"^{WS}++|(?<!{WS}){WS}++$", "")
 
 
 def clean_text(c: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +31,13 @@ def _is_detail(upper: Column, html: Column) -> Column:
 
 
 def _is_list(upper: Column, html: Column) -> Column:
-    return (
-        upper.rlike(any_of([C.TOTAL_MARK] + C.PAGER_WORDS))
-        | (html.rlike(rf"(?s){C.NPU}.*?{C.NPU}") & upper.rlike(any_of(C.TABLE_MARKS, "s")))
+    # an element can only be complete where its end tag occurs: look for that first
+    complete = [
+        F.contains(upper, F.lit(end)) & upper.rlike(rx(mark, "s"))
+        for end, mark in zip(("</TABLE>", "</TBODY>", "</TR>"), C.TABLE_MARKS)
+    ]
+    return upper.rlike(any_of([C.TOTAL_MARK] + C.PAGER_WORDS)) | (
+        html.rlike(rf"(?s){C.NPU}.*?{C.NPU}") & reduce(Column.__or__, complete)
     )
 
 

@@ -38,7 +38,10 @@ def content_failure(status: Column, html: Column) -> Column:
 
     def bad(low: Column) -> Column:
         phrase = reduce(Column.__or__, [F.contains(low, F.lit(p)) for p in C.FAILURE_PHRASES])
-        shown = strip(F.regexp_replace(low, r"<[^>]+>", ""))
+        # past the last '>' no tag can end: leaving that part out keeps the scan linear
+        tail = F.substring_index(low, ">", -1)
+        head = F.substring(low, F.lit(1), F.length(low) - F.length(tail))
+        shown = strip(F.concat(F.regexp_replace(head, r"<[^>]++>", ""), tail))
         return phrase | ~low.rlike(body) | (~low.rlike(run) & (F.length(shown) < C.MIN_TEXT_CHARS))
 
     page = F.lower(F.coalesce(html, F.lit("")))

@@ -387,6 +387,14 @@ def extract_movimentacoes_offline(spark: SparkSession, sf: str) -> DataFrame:
     return extract.extract_movimentacoes(_details(spark, sf), "offline")
 
 
+@_query
+def extract_movimentacoes_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole document texts as movements: length and hash of every extracted text."""
+    return extract.extract_movimentacoes(R.text_pages(spark, sf)).select(
+        "page_id", "pos", "data", F.length("texto").alias("n_chars"), F.sha2("texto", 256).alias("digest")
+    )
+
+
 @_query
 def extract_processos(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(extract.extract_processos(_details(spark, sf)))

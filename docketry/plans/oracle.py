@@ -397,6 +397,10 @@ SELECT k AS page_id, (row_number() OVER (PARTITION BY k ORDER BY grp, j) - 1)::I
     "extract_movimentacoes": f"WITH {_DETAIL} SELECT k AS page_id, i::INTEGER AS pos, data, texto FROM moves",
     "extract_movimentacoes_offline": f"""WITH {_DETAIL}
 SELECT k AS page_id, i::INTEGER AS pos, data, texto FROM moves WHERE k % 6 = 5""",
+    "extract_movimentacoes_long": r"""
+WITH t AS (SELECT doc_id, trim(regexp_replace(text, '[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]+', ' ', 'g')) AS t FROM documents)
+SELECT doc_id AS page_id, 0 AS pos, '2002-02-01T03:04:00' AS data, length(t)::INTEGER AS n_chars, sha256(t) AS digest
+FROM t WHERE length(t) > 5""",
     "extract_processos": f"WITH {_ONLINE} SELECT {_RECORD_COLUMNS} FROM ext",
     "extract_processos_offline": f"WITH {_OFFLINE} SELECT {_RECORD_COLUMNS} FROM ext",
     "form_fields": f"""

@@ -156,6 +156,22 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail pages whose single movement is a whole document text."""
+    text = F.col("text")
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(char), F.lit(name))
+    npu = case_number(F.col("doc_id"), F.lit(2002))
+    html = _cat(
+        "<html><body><p>", npu, '</p><table><tr><td><a name="mov_1">Em 01/02/2002 03:04</a></td></tr>',
+        "<tr><td></td><td>", text, "</td></tr></table></body></html>",
+    )
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _pages(
+        spread(documents, "doc_id"), html, _cat(f"{SITE}/processo/", npu), F.col("doc_id"), tipo=F.lit("detalhe"), numero=npu
+    )
+
+
 def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetched list pages: ten consecutive order keys per page, a hundred per crawl."""
     rows = cases(spark, sf_dir).select("k", "npu")

@@ -160,6 +160,37 @@ def test_long_pages_do_not_overflow(values):
     assert (n, links) == (1, 1)
 
 
+HOSTILE = [
+    "<a <a <a ",
+    "<tr><td>x",
+    "<b class=",
+    "1234567",
+    " " * 50,
+    "&",
+    "<p>RELATOR<br>",
+    "<table><i>",
+    "<div class='timeline'>",
+]
+
+
+def test_scans_stay_linear_on_large_hostile_pages(spark, make_pages):
+    """A large page of each pattern, through everything, within seconds."""
+    import time
+
+    from docketry.operators import classify, extract, health
+
+    pages = make_pages(["0015648-78.1999.4.05.0000 " + h * (300_000 // len(h)) for h in HOSTILE])
+    start = time.time()
+    extract.extract_processos(pages).write.format("noop").mode("overwrite").save()
+    pages.select(
+        classify.page_class(F.col("html")),
+        classify.is_error(F.col("html")),
+        health.content_failure(F.lit(200), F.col("html")),
+        F.size(M.anchors(M.markup(F.col("html")))),
+    ).write.format("noop").mode("overwrite").save()
+    assert time.time() - start < 60
+
+
 def test_class_names_match_whole_tokens(values):
     html = (
         '<p class="x relator y">a</p><p class=relator>b</p><p class="relatora">c</p>'
