@@ -142,11 +142,23 @@ def _if_named(c: Column, tokens: tuple[str, ...], found: Column) -> Column:
     return F.when(named, found).otherwise(F.array().cast("array<string>"))
 
 
+def _direct_texts(contents: Column) -> Column:
+    """Text nodes directly below elements, given the elements' contents."""
+    nodes = F.transform(contents, lambda b: F.split(F.regexp_replace(b, _CHILD, "<"), "<"))
+    return F.transform(F.filter(F.flatten(nodes), lambda t: t != ""), unescape)
+
+
+def _plain(content: Column) -> Column:
+    return F.regexp_replace(content, r"<[^<>]*+>", "")
+
+
 def class_texts(c: Column, *tokens: str) -> Column:
-    """Text right after every element of the given classes."""
-    pattern = rf"<[a-zA-Z][^<>]*?{class_attr(*tokens)}[^<>]*+>([^<]++)"
-    found = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), unescape)
-    return _if_named(c, tokens, found)
+    """Direct text nodes of the elements of the given classes."""
+    pattern = (
+        rf"<([a-zA-Z][a-zA-Z0-9]*)\b[^<>]*?{class_attr(*tokens)}[^<>]*+>"
+        r"([^<]*+(?:(?!</\1\s*+>)<[^<]*+)*+)"
+    )
+    return _if_named(c, tokens, _direct_texts(F.regexp_extract_all(c, F.lit(pattern), F.lit(2))))
 
 
 def class_blocks(c: Column, *tokens: str) -> Column:
@@ -161,23 +173,22 @@ def own_texts(c: Column, tag: str, containing: str) -> Column:
     blocks = F.regexp_extract_all(
         c, F.lit(rf"(?i)<{tag}\b[^<>]*+>([^<]*+(?:<(?!/?{tag}\b)[^<]*+)*+)"), F.lit(1)
     )
-    hits = F.filter(
-        blocks, lambda b: F.contains(F.regexp_replace(b, r"<[^<>]*+>", ""), F.lit(containing))
-    )
-    nodes = F.transform(
-        hits,
-        lambda b: F.split(
-            F.regexp_replace(b, _CHILD, "<"), "<"
-        ),
-    )
-    return _if_named(c, (containing,), F.transform(F.flatten(nodes), unescape))
+    hits = F.filter(blocks, lambda b: F.contains(_plain(b), F.lit(containing)))
+    return _if_named(c, (containing,), _direct_texts(hits))
 
 
 def text_of_next(c: Column, tag: str, containing: str) -> Column:
     """Leading text of the ``tag`` element that follows one whose text holds a word."""
-    pattern = rf"(?i)<{tag}\b[^<>]*+>(?-i:[^<]*{containing}[^<]*)</{tag}>\s*<{tag}\b[^<>]*+>([^<]++)"
-    found = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), unescape)
-    return _if_named(c, (containing,), found)
+    pair = F.lit(
+        rf"(?i)<{tag}\b[^<>]*+>([^<]*+(?:<(?!/?{tag}\b)[^<]*+)*+)</{tag}\s*+>"
+        rf"(?=\s*+<{tag}\b[^<>]*+>([^<]++))"
+    )
+    after = F.zip_with(
+        F.regexp_extract_all(c, pair, F.lit(1)),
+        F.regexp_extract_all(c, pair, F.lit(2)),
+        lambda before, text: F.when(F.contains(_plain(before), F.lit(containing)), unescape(text)),
+    )
+    return _if_named(c, (containing,), F.filter(after, lambda t: t.isNotNull()))
 
 
 def attribute(tag: Column, name: str) -> Column:

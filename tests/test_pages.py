@@ -69,6 +69,10 @@ def test_judge_strategies_in_order(make_pages):
         "<div>RELATOR</div> <div>JUIZ FEDERAL I J</div>": "I J",
         "<p><b>RELATOR</b> <i>x</i> DR. K L</p>": "K L",
         "<div class=info-relator>M N</div>": "M N",
+        "<div class='relator'><b>Relator</b> Des. <i>x</i> Xis</div>": "Des.",
+        "<div class='relator'><b>Relator</b><br> Des. Xis</div>": "Xis",
+        "<div>a</div><div><b>RELATOR</b></div><div>Des. Ypsilon</div>": "Ypsilon",
+        "<div class=juiz><p>oculto</p></div><h5>JUIZ FEDERAL Zeta</h5>": "Zeta",
         "<h3>Relator: Oto P</h3>": "Oto P",
         "<h3>RELATORA: Q R</h3>": "A: Q R",
         "<h3>RELATOR: ab</h3><h4>DESEMBARGADOR FEDERAL: Sa T</h4>": "Sa T",
