@@ -62,12 +62,16 @@ def _limit(c: Column, default: int, cap: int) -> Column:
     return F.when(c.isNull() | (c <= 0), F.lit(default)).otherwise(F.least(c, F.lit(cap)))
 
 
-def crawl_limits(requests: DataFrame) -> DataFrame:
-    """Effective limits per request; NULL or non-positive values take the default."""
+def crawl_limits(requests: DataFrame, *keep: str) -> DataFrame:
+    """Effective limits per request; NULL or non-positive values take the default.
+
+    ``keep`` names further request columns to pass through.
+    """
     pages = _limit(F.col("max_pages"), C.DEFAULT_MAX_PAGES, C.CAP_MAX_PAGES)
     details = _limit(F.col("max_details_per_page"), C.DEFAULT_MAX_DETAILS, C.CAP_MAX_DETAILS)
     return requests.select(
         "req_id",
+        *keep,
         pages.alias("max_pages"),
         details.alias("max_details_per_page"),
         (pages * details).alias("max_total_details"),

@@ -9,7 +9,7 @@ a task grow.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.operators.intake import accepted, crawl_limits, request_intake
@@ -178,12 +178,11 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     tens = rows.groupBy(F.floor(F.col("k") / 10).alias("ten")).agg(
         F.array_sort(F.collect_list(F.struct("k", "npu"))).alias("items")
     )
-    crawl = F.floor(F.col("ten") / 10)
-    crawls = (
-        tens.groupBy(crawl.alias("crawl"))
-        .agg(F.sum(F.size("items")).alias("n"))
+    # at most ten pages per crawl, as order keys are unique
+    crawl_pages = Window.partitionBy("crawl")
+    pages = tens.withColumn("crawl", F.floor(F.col("ten") / 10)).withColumn(
+        "n", F.sum(F.size("items")).over(crawl_pages)
     )
-    pages = tens.withColumn("crawl", crawl).join(crawls, "crawl")
     c, i, n = F.col("crawl"), F.col("ten") % 10, F.col("n")
     last = F.ceil(n / 10) - 1
     cnpj = F.lpad(_text(c), 14, "0")
@@ -337,10 +336,8 @@ def crawl_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crawl_limit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Effective limits per accepted tax id."""
     requests = accepted(request_intake(crawl_requests(spark, sf_dir)))
-    by_cnpj = requests.where(F.col("modo") == "cnpj").select(
-        "req_id", F.col("valor_normalizado").alias("valor"), "max_pages", "max_details_per_page"
-    )
-    return by_cnpj.select("req_id", "valor").join(crawl_limits(by_cnpj), "req_id")
+    by_cnpj = requests.where(F.col("modo") == "cnpj").withColumn("valor", F.col("valor_normalizado"))
+    return crawl_limits(by_cnpj, "valor")
 
 
 def raw_pages(fetched: DataFrame) -> DataFrame:

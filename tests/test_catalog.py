@@ -26,6 +26,14 @@ def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
+def test_written_tables_go_to_the_shared_folder(spark):
+    from docketry.session import scratch
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch(spark, "x"), scratch(spark, "x")
+    assert first.startswith(shared + "/x-") and first != second
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "_id" in df.columns
