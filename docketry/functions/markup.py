@@ -116,6 +116,16 @@ def table_rows(mk: Column) -> Column:
     )
 
 
+def second_cell(row: Column) -> Column:
+    """Content of a row's second cell, NULL when that is a header cell or missing."""
+    head_and_content = F.get(
+        F.regexp_extract_all(row, F.lit(_CELL.replace("<td", "<t[dh]", 1)), F.lit(0)), F.lit(1)
+    )
+    return let(
+        head_and_content, lambda x: F.when(x.rlike("(?i)^<td"), F.regexp_replace(x, _TAG_HEAD, ""))
+    )
+
+
 def text_nodes_with(mk: Column, *words: str) -> Column:
     """Text nodes holding one of the words."""
     pattern = r">([^<>]*?(?:" + "|".join(words) + r")[^<]*+)<"

@@ -167,7 +167,7 @@ def _anchored_movements(rows: Column) -> Column:
             F.contains(r["raw"], F.lit("mov_")), F.regexp_extract_all(r["raw"], F.lit(anchor), F.lit(1))
         ).otherwise(F.array().cast("array<string>"))
         below = F.when(~r["last"], F.get(rows, i + 1))
-        text = clean_text(M.first_text(F.get(below["cells"], F.lit(1))))
+        text = clean_text(M.first_text(M.second_cell(below["raw"])))
         text = clean_text(F.regexp_replace(text, C.RECEIPT_TAIL, ""))
         return F.transform(
             links,

@@ -136,6 +136,8 @@ MOVES = (
     "<table><tr><td><a name='mov_1'>Em 11/09/2021 16:50</a></td></tr><tr><td></td><td>Juntada longa [Guia: 1] x</td></tr>"
     "<tr><td><a name='mov_2'>Em 31/02/2021 16:50</a></td></tr><tr><td></td><td>Data ruim aqui</td></tr>"
     "<tr><td><a name='mov_3'>Em 01/01/2021 1:5</a></td></tr><tr><td></td><td>Curto</td></tr>"
+    "<tr><td><a name='mov_5'>Em 03/01/2021 10:00</a></td></tr><tr><th>1</th><td class=x>Depois do cabecalho</td><td>z</td></tr>"
+    "<tr><td><a name='mov_6'>Em 04/01/2021 10:00</a></td></tr><tr><td>1</td><th>2</th><td>Terceira celula</td></tr>"
     "<tr><td><a name='mov_4'><b>Em 02/01/2021 10:00</b></a></td></tr></table>"
     "<table><tr><td></td><td>Outra tabela nao conta</td></tr></table>"
 )
@@ -149,7 +151,7 @@ LISTED = (
 def test_movements_by_anchor_then_by_list(make_pages):
     pages = make_pages([MOVES, LISTED, MOVES + LISTED])
     rows = extract.extract_movimentacoes(pages).orderBy("page_id", "pos").collect()
-    anchored = [("2021-09-11T16:50:00", "Juntada longa")]
+    anchored = [("2021-09-11T16:50:00", "Juntada longa"), ("2021-01-03T10:00:00", "Depois do cabecalho")]
     listed = [("2005-04-03T06:07:00", "Um dois"), ("2005-04-04", "Outro")]
     by_page = {i: [(r.data, r.texto) for r in rows if r.page_id == i] for i in range(3)}
     assert by_page == {0: anchored, 1: listed, 2: anchored}
