@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import decontaminate, mixing, rules, simhash
+from docketry.llm import decontaminate, lines, mixing, oracle, rules, simhash
 from docketry.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.line_dedup(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_cut", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -35,4 +40,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
