@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import decontaminate, lines, mixing, oracle, rules, simhash
+from docketry.llm import decontaminate, lines, mixing, oracle, rules, secrets, simhash
 from docketry.llm.common import table
 
 
+def _listed(spans: str) -> Column:
+    """kind:start:end of an array of spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.secrets(table(spark, folder, "documents"))
+    digest = F.sha2(_listed("base_spans"), 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, _listed("spans").alias("spans"), "n_crf")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
