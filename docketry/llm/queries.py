@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import decontaminate, lines, mixing, oracle, rules, secrets, simhash
+from docketry.llm import decontaminate, lines, mixing, oracle, rules, secrets, simhash, toxicity
 from docketry.llm.common import table
 
 
@@ -41,6 +41,11 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "flagged")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
