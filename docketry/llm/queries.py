@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import decontaminate, lines, mixing, oracle, rules, secrets, simhash, toxicity
+from docketry.llm import decontaminate, lines, mixing, oracle, pages, rules, secrets, simhash, toxicity
 from docketry.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, _listed("spans").alias("spans"), "n_crf")
 
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
