@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docketry.llm import decontaminate, rules, simhash
+from docketry.llm import decontaminate, lines, mixing, rules, simhash
 from docketry.llm.common import stored, table
 
 
@@ -13,6 +14,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, cross-site boilerplate lines cut from their texts."""
+    cut = lines.line_dedup(docs)
+    names = [F.when(F.col("n_cut") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
+    return cut.select(*names)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the smallest doc_id within reach of links of 3 bits."""
     return simhash.keep_one(docs)
@@ -23,10 +31,17 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed corpus: a row per draw, with the pass, the output shard and the words taken."""
+    return mixing.mixed_corpus(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
     ("simhash near-dedup", simhash_near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
+    ("mixing to target weights", mixing_to_targets),
 ]
 
 #: The learned rules, XXH64 fingerprints and hash-driven draws have no SQL form; tests hold run() against plain code.

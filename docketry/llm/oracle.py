@@ -51,4 +51,22 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM low LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
-SQL = {"op6_line_dedup": OP6, "op7_decontamination": OP7}
+OP3 = r"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spot AS (
+  SELECT r, s, array_to_string(w[s:s + 34], ' ') AS win
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS s FROM doc WHERE len(w) >= 35)
+),
+twice AS (SELECT win FROM spot GROUP BY win HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 35)) AS p FROM spot JOIN twice USING (win)),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM doc),
+kept AS (
+  SELECT r, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE gone.p IS NULL) AS left_words
+  FROM words LEFT JOIN gone USING (r, p) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(left_words, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""
+
+SQL = {"op3_substring_dedup": OP3, "op6_line_dedup": OP6, "op7_decontamination": OP7}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import decontaminate, lines, mixing, oracle, pages, rules, secrets, simhash, toxicity
+from docketry.llm import decontaminate, kneser, lines, mixing, oracle, pages, passages, rules, secrets, simhash, toxicity
 from docketry.llm.common import table
 
 
@@ -22,6 +22,14 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, _listed("spans").alias("spans"), "n_crf")
 
 
+def op2_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.substring_dedup(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract(table(spark, folder, "pages"))
 
