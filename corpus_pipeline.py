@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from docketry.llm import decontaminate, lines, mixing, rules, simhash
 from docketry.llm.common import stored, table
@@ -16,9 +15,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, cross-site boilerplate lines cut from their texts."""
-    cut = lines.line_dedup(docs)
-    names = [F.when(F.col("n_cut") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
-    return cut.select(*names)
+    return lines.cut_boilerplate(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

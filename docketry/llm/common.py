@@ -28,6 +28,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """docs with its columns named c0, c1, ..., so that no name can clash, and the new names of `names`."""
+    exact = {c: f"c{i}" for i, c in reversed(list(enumerate(docs.columns)))}
+    alike = {c.lower(): n for c, n in reversed(list(exact.items()))}
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), [exact.get(n) or alike[n.lower()] for n in names]
+
+
+def renamed(rows: DataFrame, docs: DataFrame, *added: str) -> DataFrame:
+    """The numbered columns under the names of docs, then `added`, which replace input columns of their names."""
+    new = {a.lower() for a in added}
+    old = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in new]
+    return rows.select(*old, *added)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

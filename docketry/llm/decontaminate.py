@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import map_batches, stored
+from docketry.llm.common import map_batches, numbered, renamed, stored
 
 #: UTF-8 bytes: letters lowered, digits and bytes of non-ASCII characters kept, others a space
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256))
@@ -165,7 +165,9 @@ def contamination(
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
     """Documents without a hit, columns as given. Equal rows share their verdict."""
-    bad = contamination(docs, benchmark, **settings).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")).distinct()
-    return docs.join(stored(bad, "contaminated"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text")), "left_anti")
+    bad = contamination(docs, benchmark, text=text, key=key, **settings).where("contaminated").select("doc_id", "text_key").distinct()
+    rows, (of_key, of_text) = numbered(docs, key, text)
+    same = F.col(of_key).eqNullSafe(F.col("doc_id")) & (F.xxhash64(of_text) == F.col("text_key"))
+    return renamed(rows.join(stored(bad, "contaminated"), same, "left_anti"), docs)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import SPACES, stored, text_or_empty
+from docketry.llm.common import SPACES, numbered, renamed, stored, text_or_empty
 
 
 def _line_key(line: Column) -> Column:
@@ -65,25 +65,21 @@ def boilerplate(
     return stored(found.where(clear).select("line").unionByName(counted.select("line")), "lines-boilerplate")
 
 
-def strip_lines(docs: DataFrame, bad: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs with the bad lines cut out of text, and n_lines, n_cut. Other lines stay as they are, in order.
+def _stripped(docs: DataFrame, bad: DataFrame, text: str, key: str) -> tuple[DataFrame, str]:
+    """Numbered rows of docs with the bad lines cut, and n_lines, n_cut; the name of the text column.
 
     Only hashes of lines meet the table of bad lines; per distinct text, the bad hashes
     found in it come back and the text is filtered by them.
     """
-    lines = F.split(text_or_empty(text), "\n")
-    whole = docs.withColumn("__text", F.xxhash64(F.col(f"`{text}`")))
-    keys = whole.select(F.struct(F.col(f"`{key}`"), F.col("__text")).alias("__row"), F.explode(F.array_distinct(F.transform(lines, _line_key))).alias("line"))
-    hit = keys.join(bad, "line").groupBy("__row").agg(F.collect_set("line").alias("__bad"))  # bounded by the lines of one text
-    hit = stored(hit.select(F.col(f"__row.`{key}`").alias("__id"), F.col("__row.__text").alias("__hit"), "__bad"), "lines-hits")
-    rows = whole.join(hit, F.col(f"`{key}`").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hit")), "left")
-    bad_here = F.coalesce("__bad", F.expr("cast(array() as array<bigint>)"))
-    kept = F.filter(lines, lambda x: ~F.array_contains("__known", _line_key(x)))
-    rows = rows.withColumn("__known", bad_here).withColumn("n_lines", F.size(lines).cast("long"))
-    rows = rows.withColumn("__kept", F.when(F.size("__known") > 0, kept).otherwise(lines)).withColumn("n_cut", F.col("n_lines") - F.size("__kept"))
-    cut = F.when(F.col("n_cut") > 0, F.array_join("__kept", "\n")).otherwise(F.col(f"`{text}`"))
-    names = [cut.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return rows.select(*names, "n_lines", "n_cut")
+    rows, (of_key, of_text) = numbered(docs, key, text)
+    lines = F.split(text_or_empty(of_text), "\n")
+    whole = rows.withColumn("mark", F.xxhash64(of_text))
+    keys = whole.select(F.col(of_key).alias("id"), F.col("mark").alias("of"), F.explode(F.array_distinct(F.transform(lines, _line_key))).alias("line"))
+    hit = keys.join(bad, "line").groupBy("id", "of").agg(F.collect_set("line").alias("bad"))  # bounded by the lines of one text
+    rows = whole.join(stored(hit, "lines-hits"), F.col(of_key).eqNullSafe(F.col("id")) & (F.col("mark") == F.col("of")), "left")
+    kept = F.when(F.col("bad").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("bad", _line_key(x))))
+    rows = rows.withColumn("n_lines", F.size(lines).cast("long")).withColumn("kept", kept).withColumn("n_cut", F.col("n_lines") - F.size("kept"))
+    return rows.withColumn(of_text, F.when(F.col("n_cut") > 0, F.array_join("kept", "\n")).otherwise(F.col(of_text))), of_text
 
 
 def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", site: str = "source", **settings) -> DataFrame:
@@ -92,9 +88,18 @@ def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", site: s
     Lines are compared without white space at their ends; lines of white space are
     never boilerplate and stay. A null text stays null (one empty line); a text of
     boilerplate only becomes empty; repeated rows count once per site and neighbours and
-    are cut alike; a null site is a site of its own; ids may be null. Columns named
-    n_lines or n_cut raise an error. An empty table gives an empty result.
+    are cut alike; a null site is a site of its own; ids may be null. Input columns named
+    n_lines or n_cut are replaced, others pass. An empty table gives an empty result.
     """
-    if taken := {"n_lines", "n_cut"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"rename columns {sorted(taken)}")
-    return strip_lines(docs, boilerplate(docs, text=text, site=site, **settings), text, key)
+    rows, _ = _stripped(docs, boilerplate(docs, text=text, site=site, **settings), text, key)
+    return renamed(rows, docs, "n_lines", "n_cut")
+
+
+def cut_boilerplate(docs: DataFrame, text: str = "text", key: str = "doc_id", site: str = "source", length: str = "n_chars", **settings) -> DataFrame:
+    """docs with the boilerplate cut; only the columns of docs, `length` (where there is one) set anew for changed texts."""
+    rows, of_text = _stripped(docs, boilerplate(docs, text=text, site=site, **settings), text, key)
+    if length in docs.columns:
+        at = f"c{docs.columns.index(length)}"
+        changed = F.when(F.col("n_cut") > 0, F.length(of_text)).otherwise(F.col(at)).cast(docs.schema[length].dataType)
+        rows = rows.withColumn(at, changed)
+    return renamed(rows, docs)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docketry.llm.common import WORD, n_words, stored
+from docketry.llm.common import WORD, n_words, numbered, renamed, stored
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, passes: int = 2) -> DataFrame:
@@ -146,6 +146,34 @@ def plan(blocks: DataFrame, wanted: DataFrame, shards: int, passes: int, seed: i
     return rows.join(draws, ["no", "block"], "left").select("source", "block", "source_size", "target", "draws")
 
 
+def _mixed(docs: DataFrame, weights, share, passes, shards, blocks, shard_words, text, key, source, seed) -> tuple[DataFrame, str]:
+    """Numbered rows of docs with size, source_size, target, draws, taken; the name of the text column."""
+    rows, (of_key, of_source, of_text) = numbered(docs, key, source, text)
+    sized = rows.withColumn("size", n_words(of_text)).withColumn("order", F.xxhash64(F.lit(seed), F.col(of_key), F.col(of_text)))
+    sized = sized.withColumn("part", F.pmod("order", F.lit(blocks)))
+    by_block = sized.groupBy(F.col(of_source).alias("source"), F.col("part").alias("block"))
+    table = stored(by_block.agg(F.sum("size").alias("words")), "mix-blocks")
+    sizes = stored(table.groupBy("source").agg(F.sum("words").alias("source_size")), "mix-sources")
+    if shards is None:
+        total = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+        shards = max(8, math.ceil(share * total / shard_words))
+    wanted = stored(targets(sizes, weights, share, passes), "mix-targets")
+    plans = stored(plan(table, wanted, shards, passes, seed), "mix-plan")
+    rows = sized.join(plans, F.col(of_source).eqNullSafe(F.col("source")) & (F.col("part") == F.col("block")))
+    inside = W.partitionBy("source", "block").orderBy("order", of_key).rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+
+    def cut(d: Column) -> Column:
+        words = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), d["words"] - F.col("before")))
+        order = F.xxhash64(F.lit(seed), d["pass"], F.col("order"))
+        return F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"), words.alias("words"), order.alias("order_key"))
+
+    empty = F.expr("cast(array() as array<struct<pass:int,shard:int,words:bigint,order_key:bigint>>)")
+    draws = F.filter(F.coalesce(F.transform("draws", cut), empty), lambda d: d["words"] > 0)
+    rows = rows.withColumn("draws", draws).withColumn("taken", F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]))
+    return rows, of_text
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = (3, 1, 2),
@@ -167,39 +195,32 @@ def mix(
     about `shard_words` words.
 
     Null text has size 0 and is never drawn; null sources are one source, the last;
-    repeated rows are drawn as separate rows; ids may be null; columns named as the
-    added ones raise an error; an empty table gives an empty result.
+    repeated rows are drawn as separate rows; ids may be null; input columns named as
+    the added ones are replaced, others pass; an empty table gives an empty result.
     """
-    added = {"size", "source_size", "target", "draws", "taken"} & {c.lower() for c in docs.columns}
-    if added:
-        raise ValueError(f"rename columns {sorted(added)}")
-    sized = docs.withColumn("size", n_words(text)).withColumn("__order", F.xxhash64(F.lit(seed), F.col(f"`{key}`"), F.col(f"`{text}`")))
-    by_source = sized.groupBy(F.col(f"`{source}`").alias("source"), F.pmod("__order", F.lit(blocks)).alias("block"))
-    table = stored(by_source.agg(F.sum("size").alias("words")), "mix-blocks")
-    sizes = stored(table.groupBy("source").agg(F.sum("words").alias("source_size")), "mix-sources")
-    if shards is None:
-        total = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
-        shards = max(8, math.ceil(share * total / shard_words))
-    wanted = stored(targets(sizes, weights, share, passes), "mix-targets")
-    plans = stored(plan(table, wanted, shards, passes, seed), "mix-plan").withColumnsRenamed({"source": "__source", "block": "__block", "draws": "__draws"})
-    same = F.col(f"`{source}`").eqNullSafe(F.col("__source")) & (F.pmod("__order", F.lit(blocks)) == F.col("__block"))
-    inside = W.partitionBy("__source", "__block").orderBy("__order", F.col(f"`{key}`")).rowsBetween(W.unboundedPreceding, -1)
-    rows = sized.join(plans, same).withColumn("__before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    rows, _ = _mixed(docs, weights, share, passes, shards, blocks, shard_words, text, key, source, seed)
+    return renamed(rows, docs, "size", "source_size", "target", "draws", "taken")
 
-    def cut(d: Column) -> Column:
-        words = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), d["words"] - F.col("__before")))
-        order = F.xxhash64(F.lit(seed), d["pass"], F.col("__order"))
-        return F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"), words.alias("words"), order.alias("order_key"))
-
-    empty = F.expr("cast(array() as array<struct<pass:int,shard:int,words:bigint,order_key:bigint>>)")
-    draws = F.filter(F.coalesce(F.transform("__draws", cut), empty), lambda d: d["words"] > 0)
-    rows = rows.withColumn("draws", draws).withColumn("taken", F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], "size", "source_size", "target", "draws", "taken")
 
+def mixed_corpus(
+    docs: DataFrame,
+    weights: tuple[int, ...] = (3, 1, 2),
+    share: float = 1.5,
+    passes: int = 2,
+    shards: int | None = None,
+    blocks: int = 1024,
+    shard_words: int = 20_000_000,
+    text: str = "text",
+    key: str = "doc_id",
+    source: str = "source",
+    seed: int = 17,
+) -> DataFrame:
+    """The mixed corpus: a row per draw with docs' columns, pass, shard and words, dealt and shuffled by shard.
 
-def mixed_corpus(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
-    """The mixed corpus: a row per draw with docs' columns, pass, shard and words, dealt and shuffled by shard."""
-    rows = mix(docs, text=text, **settings).select(*[F.col(f"`{c}`") for c in docs.columns], "size", F.inline("draws"))
-    start = F.array_join(F.slice(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(WORD), 0), 1, F.col("words").cast("int")), " ")
-    rows = rows.withColumn(text, F.when(F.col("words") == F.col("size"), F.col(f"`{text}`")).otherwise(start))
-    return rows.repartition("shard").sortWithinPartitions("shard", "order_key").drop("order_key", "size")
+    Cases as in mix(); input columns named pass, shard or words are replaced.
+    """
+    rows, of_text = _mixed(docs, weights, share, passes, shards, blocks, shard_words, text, key, source, seed)
+    rows = rows.select(*[f"c{i}" for i in range(len(docs.columns))], "size", F.inline("draws"))
+    start = F.array_join(F.slice(F.regexp_extract_all(F.col(of_text), F.lit(WORD), 0), 1, F.col("words").cast("int")), " ")
+    rows = rows.withColumn(of_text, F.when(F.col("words") == F.col("size"), F.col(of_text)).otherwise(start))
+    return renamed(rows.repartition("shard").sortWithinPartitions("shard", "order_key"), docs, "pass", "shard", "words")

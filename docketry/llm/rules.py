@@ -12,10 +12,11 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import SPACES, map_batches
+from docketry.llm.common import SPACES, map_batches, numbered, renamed, small_batches
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_shouts", "n_lines", "n_distinct"]
@@ -236,20 +237,14 @@ def keep_good(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
 
 def apply_rules(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     """Filter without a shuffle: the counts are computed beside each whole row."""
-    import pyarrow as pa
-
-    from docketry.llm.common import small_batches
-
-    schema = docs.schema
-    wide = docs.withColumns({f"__{c}": F.lit(0).cast("long") for c in COUNTS})
+    rows, (at,) = numbered(docs, text)
+    wide = rows.withColumns({c: F.lit(0).cast("long") for c in COUNTS})
+    width = len(docs.columns)
 
     def run(batches):
-        for batch in small_batches(batches, text):
-            rows = [text_counts(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            counts = [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(COUNTS))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(schema)], *counts], names=batch.schema.names)
-
-    done = wide.mapInArrow(run, wide.schema).withColumnsRenamed({f"__{c}": c for c in COUNTS} if not set(COUNTS) & set(docs.columns) else {})
-    if set(COUNTS) & set(docs.columns):
-        raise ValueError(f"rename columns {sorted(set(COUNTS) & set(docs.columns))}")
-    return done.where(~base_failed() & verdict(rules)).select(*[F.col(f"`{c}`") for c in docs.columns])
+        for batch in small_batches(batches, at):
+            found = [text_counts(t) for t in batch.column(int(at[1:])).to_pylist()]
+            counts = [pa.array([r[i] for r in found], pa.int64()) for i in range(len(COUNTS))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *counts], names=batch.schema.names)
+
+    return renamed(wide.mapInArrow(run, wide.schema).where(~base_failed() & verdict(rules)), docs)

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import map_batches, stored
+from docketry.llm.common import map_batches, numbered, renamed, stored
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -163,15 +163,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     return prints.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, **settings) -> DataFrame:
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
     """The rows of docs that stand for their component: the one with the smallest doc_id.
 
     Among rows that share that doc_id, or in a component without ids, the smallest text
-    stays. Columns are those of docs.
+    stays, then the smallest values of the other columns. Columns are those of docs.
     """
-    found = near_duplicates(docs, **settings).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    found = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"), F.col("root").alias("__root")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text"))
-    whole = F.struct(*[F.col(f"`{c}`") for c in ["text", *[c for c in docs.columns if c != "text"]]])
-    one = docs.join(found, same).groupBy("__id", "__root").agg(F.min(whole).alias("r"))
-    return one.select(*[F.col(f"r.`{c}`").alias(c) for c in docs.columns])
+    found = near_duplicates(docs, text, key, **settings).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = stored(found.select("doc_id", "text_key", "root").distinct(), "keepers")
+    rows, (of_key, of_text) = numbered(docs, key, text)
+    same = F.col(of_key).eqNullSafe(F.col("doc_id")) & (F.xxhash64(of_text) == F.col("text_key"))
+    order = [of_text, *[c for c in rows.columns if c != of_text]]
+    one = rows.join(found, same).groupBy("doc_id", "root").agg(F.min(F.struct(*order)).alias("r"))
+    return renamed(one.select("r.*"), docs)
