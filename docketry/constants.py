@@ -1,7 +1,9 @@
 """Patterns, phrases, limits and names the data model depends on.
 
 Every literal here is a fixed value: results must be the same as those of the
-crawler whose pages we process, so the texts are kept exactly and in order.
+crawler whose pages we process, so the values keep their texts and their order.
+Patterns matched on upper-cased pages are in upper case, navigation texts are the
+link texts alone, and counts before a word are possessive, which matches the same.
 ``functions.text.rx`` adapts the patterns to Java regex (unicode whitespace).
 """
 
@@ -118,15 +120,13 @@ TOTAL_PATTERNS = [
     r"Encontrados?\s+(\d+)",
     r"Localizado[s]?\s+(\d+)",
 ]
-ANCHOR_HREF = r"""<a[^>]*href=["']([^"']*)["'][^>]*>"""
 NAV_TEXT = {
-    "next": [r"\s*pr[óo]xima?\s*</a>", r"\s*seguinte\s*</a>", r"\s*>\s*</a>"],
-    "last": [r"\s*[úu]ltima?\s*</a>", r"\s*fim\s*</a>", r"\s*>>\s*</a>"],
-    "first": [r"\s*primeira?\s*</a>", r"\s*in[íi]cio\s*</a>", r"\s*<<\s*</a>"],
-    "prev": [r"\s*anterior\s*</a>", r"\s*<\s*</a>"],
+    "next": [r"pr[óo]xima?", r"seguinte", r">"],
+    "last": [r"[úu]ltima?", r"fim", r">>"],
+    "first": [r"primeira?", r"in[íi]cio", r"<<"],
+    "prev": [r"anterior", r"<"],
 }
 PAGE_PARAM = r"page[=](\d+)"
-NUMBERED_LINK = r"""<a[^>]*href=["'][^"']*page[=]\d+[^"']*["'][^>]*>\s*(\d+)\s*</a>"""
 STABLE_NEXT_WORDS = ["próxima", "next", "seguinte"]
 STABLE_FREE_PAGES = 5
 PAGE_SIZE = 10

@@ -1,10 +1,12 @@
 """Detail links to follow and how much of them has been captured.
 
-Choice within a page uses arrays of that page and never shuffles; only short
-link lists leave the page, never its content. A crawl may hold a third of all
-pages, but it emits at most 1000 links, and every page with a link emits at
-least one: its first 1000 such pages decide. That rank limit is applied before
-the shuffle (window group limit), so a task sends at most 1000 rows per crawl.
+A crawl is one request (``context.req_id``); a page fetched for no request is a
+crawl of its own and shares no budget. Choice within a page uses arrays of that
+page and never shuffles; only short link lists leave the page, never its content.
+A page captured again counts once per crawl. A crawl may hold a third of all
+pages, but every page with a link emits at least one, so no more pages decide
+than the largest crawl may emit links. That rank limit comes from the limits
+table and is applied before the shuffle (window group limit).
 """
 
 from __future__ import annotations
@@ -17,27 +19,54 @@ from docketry.functions import markup as M
 from docketry.functions.text import let, present
 from docketry.functions.urls import url_join
 
-MAX_CRAWL_DETAILS = C.CAP_MAX_PAGES * C.CAP_MAX_DETAILS
-
 
 def _has(c: Column, text: str) -> Column:
     return F.contains(c, F.lit(text))
 
 
+def request_of(pages: DataFrame) -> Column:
+    """The request a page was fetched for, NULL where none is known."""
+    known = "req_id" in pages.schema["context"].dataType.names
+    return (F.col("context.req_id") if known else F.lit(None)).cast("bigint")
+
+
+def crawl_of(req_id: Column) -> Column:
+    """Key of a page's crawl: its request, else the page itself."""
+    return F.coalesce(
+        F.concat(F.lit("r"), req_id.cast("string")), F.concat(F.lit("p"), F.col("page_id").cast("string"))
+    )
+
+
+def largest_limits(limits: DataFrame) -> tuple[int, int, int]:
+    """Largest number of pages, details per page and details per crawl any request may have."""
+    known = limits.agg(
+        F.max("max_pages"),
+        F.max("max_details_per_page"),
+        F.max(F.col("max_pages").cast("bigint") * F.col("max_details_per_page")),
+    ).first()
+    default = (C.DEFAULT_MAX_PAGES, C.DEFAULT_MAX_DETAILS, C.DEFAULT_MAX_PAGES * C.DEFAULT_MAX_DETAILS)
+    return tuple(max(d, k or 0) for d, k in zip(default, known))
+
+
 def with_limits(rows: DataFrame, limits: DataFrame) -> DataFrame:
-    """Add the limits of the crawl (one row per tax id) to rows with ``cnpj``."""
-    known = limits.select(
-        F.col("valor").alias("_cnpj"),
-        F.col("max_pages").alias("_pages"),
-        F.col("max_details_per_page").alias("_details"),
+    """Add the limits of the crawl to rows with ``req_id``; one row per request is used."""
+    known = limits.groupBy(F.col("req_id").alias("_req")).agg(
+        F.max("max_pages").alias("_pages"), F.max("max_details_per_page").alias("_details")
     )
-    return rows.join(known, F.col("cnpj") == F.col("_cnpj"), "left").select(
+    return rows.join(known, F.col("req_id") == F.col("_req"), "left").select(
         *rows.columns,
         F.coalesce("_pages", F.lit(C.DEFAULT_MAX_PAGES)).alias("max_pages"),
         F.coalesce("_details", F.lit(C.DEFAULT_MAX_DETAILS)).alias("max_details_per_page"),
     )
 
 
+def first_captures(rows: DataFrame) -> DataFrame:
+    """One row per crawl and URL, the first captured (reduced on the map side)."""
+    values = [c for c in rows.columns if c not in ("crawl", "url")]
+    first = F.min_by(F.struct(*values), "page_id").alias("first")
+    return rows.groupBy("crawl", "url").agg(first).select("crawl", "url", "first.*")
+
+
 def best_link(links: Column, target: Column) -> Column:
     """Best detail link struct(href, score) of a page for a target case number.
 
@@ -95,30 +124,36 @@ def best_detail_link(pages: DataFrame) -> DataFrame:
 
 def _requests(pages: DataFrame, links: Column, limits: DataFrame, plain_host: str | None = None) -> DataFrame:
     """Page cap by slicing the page's links, crawl cap by rank in page order."""
+    _, most_details, most_links = largest_limits(limits)
     usable = F.transform(
-        F.slice(F.filter(links, lambda a: a["href"] != ""), F.lit(1), F.lit(C.CAP_MAX_DETAILS)),
+        F.slice(F.filter(links, lambda a: a["href"] != ""), F.lit(1), F.lit(most_details)),
         lambda a: F.struct(a["href"].alias("href"), a["npu"].alias("npu")),
     )
+    req_id = request_of(pages)
     listed = pages.select(
-        "page_id",
+        crawl_of(req_id).alias("crawl"),
         "url",
+        "page_id",
+        req_id.alias("req_id"),
         F.col("context.cnpj").alias("cnpj"),
         F.coalesce(F.col("context.page_idx"), F.lit(0)).alias("page_idx"),
         present(usable, lambda x: F.size(x) > 0).alias("links"),
     )
-    page_order = Window.partitionBy("cnpj").orderBy("page_idx", "page_id")
-    deciding = listed.withColumn("nth", F.row_number().over(page_order)).where(
-        F.col("nth") <= MAX_CRAWL_DETAILS
+    page_order = Window.partitionBy("crawl").orderBy("page_idx", "page_id")
+    deciding = first_captures(listed).withColumn("nth", F.row_number().over(page_order)).where(
+        F.col("nth") <= most_links
     )
     flat = with_limits(deciding.drop("nth"), limits).select(
+        "crawl",
         "page_id",
         "url",
+        "req_id",
         "cnpj",
         "page_idx",
         (F.col("max_pages") * F.col("max_details_per_page")).alias("crawl_cap"),
         F.posexplode(F.slice("links", F.lit(1), F.col("max_details_per_page"))).alias("pos", "a"),
     )
-    link_order = Window.partitionBy("cnpj").orderBy("page_idx", "page_id", "pos")
+    link_order = Window.partitionBy("crawl").orderBy("page_idx", "page_id", "pos")
     joined = url_join(F.col("url"), F.col("a.href"))
     if plain_host:
         joined = let(
@@ -132,6 +167,8 @@ def _requests(pages: DataFrame, links: Column, limits: DataFrame, plain_host: st
         .where(F.col("rn") <= F.col("crawl_cap"))
         .select(
             "page_id",
+            "crawl",
+            "req_id",
             "cnpj",
             "page_idx",
             "pos",
@@ -173,11 +210,11 @@ def frontier_coverage(links: DataFrame, captured: DataFrame) -> DataFrame:
     Both sides are reduced to distinct numbers first, so repeated links or
     captures of one case cost one row each in the join.
     """
-    wanted = links.where(F.col("numero").isNotNull()).select("cnpj", "numero").distinct()
+    wanted = links.where(F.col("numero").isNotNull()).select("crawl", "cnpj", "numero").distinct()
     done = captured.select(F.col("numero").alias("_done")).distinct()
     return (
         wanted.join(done, F.col("numero") == F.col("_done"), "left")
-        .groupBy("cnpj")
+        .groupBy("crawl", "cnpj")
         .agg(
             F.count("*").alias("discovered"),
             F.count("_done").alias("fetched"),
@@ -188,10 +225,10 @@ def frontier_coverage(links: DataFrame, captured: DataFrame) -> DataFrame:
 
 def missing_details(links: DataFrame, captured: DataFrame) -> DataFrame:
     """Cases with a discovered link and no capture."""
-    wanted = links.where(F.col("numero").isNotNull()).select("cnpj", "numero").distinct()
+    wanted = links.where(F.col("numero").isNotNull()).select("crawl", "cnpj", "numero").distinct()
     return wanted.join(captured.select("numero").distinct(), "numero", "left_anti")
 
 
 def done_details(links: DataFrame, captured: DataFrame) -> DataFrame:
-    wanted = links.where(F.col("numero").isNotNull()).select("cnpj", "numero").distinct()
+    wanted = links.where(F.col("numero").isNotNull()).select("crawl", "cnpj", "numero").distinct()
     return wanted.join(captured.select("numero"), "numero", "left_semi")

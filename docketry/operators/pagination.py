@@ -1,4 +1,7 @@
-"""Totals, navigation links, page ranges and next list pages. Map-only."""
+"""Totals, navigation links, page ranges and next list pages.
+
+Page work is map-only; next pages add one small shuffle per crawl and URL.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +10,9 @@ from pyspark.sql import functions as F
 
 from docketry import constants as C
 from docketry.functions import markup as M
-from docketry.functions.text import first_group, let, rx, strip
+from docketry.functions.text import first_group, rx, strip
 from docketry.functions.urls import page_url, url_join
-from docketry.operators.frontier import with_limits
+from docketry.operators.frontier import crawl_of, first_captures, largest_limits, request_of, with_limits
 
 
 def total_of(html: Column) -> Column:
@@ -52,39 +55,46 @@ def stable_totals(pages: DataFrame) -> DataFrame:
     )
 
 
-def _nav_href(html: Column, kind: str) -> Column:
-    """Link target of the first text pattern that matches; later ones are not tried."""
+# a link that holds nothing but text; a tag holds no '<', so the scan is linear
+_TEXT_LINK = r"(?i)<a\b[^<>]*+>(?:[^<]*+|\s*+<{1,2}\s*+)</a>"
+_HREF = r"""(?is)^.*href=["']([^"']*)["']"""
+
 
+def text_links(html: Column) -> Column:
+    """array<struct<href, text>> of the links that hold only text, in page order."""
 
-    def href(pattern: str) -> Column:
-        # one scan of the page; the group is read from the match
-        return let(
-            F.regexp_extract(html, pattern, 0),
-            lambda m: F.when(m != "", F.regexp_extract(m, pattern, 1)),
+    def parse(a: Column) -> Column:
+        return F.struct(
+            F.regexp_extract(F.regexp_extract(a, r"^<[^<>]*+>", 0), _HREF, 1).alias("href"),
+            strip(F.regexp_replace(F.regexp_replace(a, r"^<[^<>]*+>", ""), "(?i)</a>$", "")).alias("text"),
         )
 
-    return F.coalesce(*[href(rx(C.ANCHOR_HREF + text, "ius")) for text in C.NAV_TEXT[kind]])
+    return F.transform(F.regexp_extract_all(html, F.lit(rx(_TEXT_LINK)), F.lit(0)), parse)
 
 
-def nav_columns(html: Column) -> dict[str, Column]:
-    found = {
-        kind: first_group(_nav_href(html, kind), C.PAGE_PARAM, "i").try_cast("bigint")
-        for kind in C.NAV_TEXT
-    }
-    numbers = F.array_sort(
-        F.array_distinct(
-            F.transform(
-                F.regexp_extract_all(html, F.lit(rx(C.NUMBERED_LINK, "i")), F.lit(1)),
-                lambda n: n.try_cast("bigint"),
-            )
-        )
-    )
-    return {**{f"{kind}_page": c for kind, c in found.items()}, "page_numbers": numbers}
+def _page_of(href: Column) -> Column:
+    return first_group(href, C.PAGE_PARAM, "i").try_cast("bigint")
+
+
+def nav_columns(links: Column) -> dict[str, Column]:
+    """Target page per kind of link: of the first text pattern that any link matches; later ones are not tried."""
+
+    def first_with(text: str) -> Column:
+        pattern = rx(f"^(?:{text})$", "iu")
+        return F.get(F.filter(links, lambda a: a["text"].rlike(pattern)), F.lit(0))["href"]
+
+    def target(kind: str) -> Column:
+        return _page_of(F.coalesce(*[first_with(text) for text in C.NAV_TEXT[kind]]))
+
+    numbered = F.filter(links, lambda a: a["text"].rlike(r"^\d+$") & _page_of(a["href"]).isNotNull())
+    numbers = F.array_sort(F.array_distinct(F.transform(numbered, lambda a: a["text"].try_cast("bigint"))))
+    return {**{f"{kind}_page": target(kind) for kind in C.NAV_TEXT}, "page_numbers": numbers}
 
 
 def nav_links(pages: DataFrame) -> DataFrame:
     """Navigation targets; a missing or zero last page falls back to the largest number."""
-    staged = pages.select("page_id", *[c.alias(n) for n, c in nav_columns(F.col("html")).items()])
+    linked = pages.select("page_id", text_links(F.col("html")).alias("links"))
+    staged = linked.select("page_id", *[c.alias(n) for n, c in nav_columns(F.col("links")).items()])
     fallback = (F.size("page_numbers") > 0) & (F.coalesce("last_page", F.lit(0)) == 0)
     return staged.select(
         "page_id",
@@ -125,23 +135,30 @@ def _current_page() -> Column:
     return F.coalesce(F.col("context.page_idx"), F.lit(0)).cast("bigint")
 
 
+def _within_limits(pages: DataFrame, limits: DataFrame) -> DataFrame:
+    """Pages that any crawl may go on from; the content of others is not read."""
+    return pages.where(_current_page() + 1 < largest_limits(limits)[0])
+
+
 def next_pages_form(pages: DataFrame, limits: DataFrame) -> DataFrame:
     """Next list URLs of the form route, per list page of a crawl in page order.
 
     Pages done so far are ``page_idx + 1``. With a total the remaining range is
-    planned, otherwise the "next" link is followed. Pages past the largest
-    allowed crawl are dropped before their content is read.
+    planned, otherwise the "next" link is followed. A page captured again plans once.
     """
-    html = F.col("html")
-    read = pages.where(_current_page() + 1 < C.CAP_MAX_PAGES).select(
-        "page_id",
+    req_id = request_of(pages)
+    read = _within_limits(pages, limits).select(
+        crawl_of(req_id).alias("crawl"),
         "url",
+        "page_id",
+        req_id.alias("req_id"),
         F.col("context.cnpj").alias("cnpj"),
         _current_page().alias("cur"),
-        total_of(html).alias("total"),
-        nav_columns(html)["next_page"].alias("next_page"),
+        total_of(F.col("html")).alias("total"),
+        text_links(F.col("html")).alias("links"),
     )
-    limited = with_limits(read, limits).withColumn("lim", F.col("max_pages").cast("bigint"))
+    read = read.withColumn("next_page", nav_columns(F.col("links"))["next_page"]).drop("links")
+    limited = with_limits(first_captures(read), limits).withColumn("lim", F.col("max_pages").cast("bigint"))
     after = F.col("cur") + 1
     planned = F.transform(
         page_range(after, last_page_of(F.col("total")).cast("bigint"), F.col("lim") - after),
@@ -156,8 +173,8 @@ def next_pages_form(pages: DataFrame, limits: DataFrame) -> DataFrame:
     nexts = F.when(F.col("total").isNotNull(), planned).when(F.col("next_page").isNotNull(), followed)
     return (
         limited.where(after < F.col("lim"))
-        .select("page_id", "cnpj", F.explode(nexts).alias("n"))
-        .select("page_id", "cnpj", "n.page_idx", "n.next_url")
+        .select("page_id", "crawl", "cnpj", F.explode(nexts).alias("n"))
+        .select("page_id", "crawl", "cnpj", "n.page_idx", "n.next_url")
     )
 
 
@@ -168,18 +185,23 @@ def next_pages_stable(pages: DataFrame, limits: DataFrame, route: str) -> DataFr
         lambda a: F.lower(strip(a["text"])),
     )
     says_next = F.exists(texts, lambda t: t.rlike("|".join(C.STABLE_NEXT_WORDS)))
-    read = pages.where(_current_page() + 1 < C.CAP_MAX_PAGES).select(
+    req_id = request_of(pages)
+    read = _within_limits(pages, limits).select(
+        crawl_of(req_id).alias("crawl"),
+        "url",
         "page_id",
+        req_id.alias("req_id"),
         F.col("context.cnpj").alias("cnpj"),
         _current_page().alias("cur"),
         F.when(_current_page() < C.STABLE_FREE_PAGES, True).otherwise(says_next).alias("goes_on"),
     )
     after = F.col("cur") + 1
     return (
-        with_limits(read, limits)
+        with_limits(first_captures(read), limits)
         .where(F.col("goes_on") & (after < F.col("max_pages")))
         .select(
             "page_id",
+            "crawl",
             "cnpj",
             after.alias("page_idx"),
             F.concat(F.lit(route.rstrip("/") + "/"), F.col("cnpj"), F.lit("/"), after.cast("string")).alias("next_url"),

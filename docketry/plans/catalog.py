@@ -20,7 +20,6 @@ from docketry.operators import (
     validate,
 )
 from docketry.plans import ingest
-from docketry.schemas import PROCESSOS
 from docketry.session import scratch
 from docketry.sources import pages as pg
 from docketry.sources import rendered as R
@@ -62,10 +61,6 @@ def _batch(spark: SparkSession, sf: str) -> DataFrame:
     return R.captures(spark, sf).where(F.col("status").isin("F", "O"))
 
 
-def _empty_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], PROCESSOS)
-
-
 def _flat(records: DataFrame) -> DataFrame:
     """Records with both arrays as text, so results are scalar."""
     return records.select(
@@ -300,15 +295,9 @@ def page_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def classify_stable_list(spark: SparkSession, sf: str) -> DataFrame:
-    return (
-        classify.classify_stable_list(
-            R.list_pages(spark, sf)
-            .select("html", F.lit("list").alias("source"))
-            .unionByName(R.mixed_pages(spark, sf).select("html", F.lit("mixed").alias("source")))
-        )
-        .groupBy("source", "page_class")
-        .agg(F.count("*").alias("n"))
-    )
+    sources = {"list": R.list_pages(spark, sf), "mixed": R.mixed_pages(spark, sf)}
+    listed, mixed = (df.select("page_id", "html", F.lit(n).alias("source")) for n, df in sources.items())
+    return classify.classify_stable_list(listed.unionByName(mixed)).select("source", "page_id", "page_class")
 
 
 @_query
@@ -423,9 +412,7 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def page_links_rendered(spark: SparkSession, sf: str) -> DataFrame:
-    return extract.page_links(R.list_pages(spark, sf)).where(F.col("npu").isNotNull()).select(
-        "page_id", "pos", "text", "npu"
-    )
+    return extract.page_links(R.list_pages(spark, sf)).select("page_id", "pos", "href", "text", "npu")
 
 
 # ------------------------------------------------------------- links, pagination, frontier
@@ -444,6 +431,20 @@ def frontier_stable(spark: SparkSession, sf: str) -> DataFrame:
     return _stable_links(spark, sf)
 
 
+def _repeated_lists(spark: SparkSession, sf: str) -> DataFrame:
+    return R.repeated_list_pages(spark, sf).where(classify.stable_list_class(F.col("html")) == "list")
+
+
+def _repeated_links(spark: SparkSession, sf: str) -> DataFrame:
+    return frontier.frontier_stable(_repeated_lists(spark, sf), R.second_limit_rows(spark, sf), R.PLAIN_SITE)
+
+
+@_query
+def frontier_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Two requests per tax id, pages captured again."""
+    return _repeated_links(spark, sf)
+
+
 @_query
 def list_totals(spark: SparkSession, sf: str) -> DataFrame:
     return pagination.list_totals(R.list_pages(spark, sf))
@@ -483,6 +484,11 @@ def next_pages_stable(spark: SparkSession, sf: str) -> DataFrame:
     return pagination.next_pages_stable(_stable_listed(spark, sf), R.crawl_limit_rows(spark, sf), R.ROUTE)
 
 
+@_query
+def next_pages_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    return pagination.next_pages_stable(_repeated_lists(spark, sf), R.second_limit_rows(spark, sf), R.ROUTE)
+
+
 def _captured(spark: SparkSession, sf: str) -> DataFrame:
     return R.cases(spark, sf).where(F.col("status") != "P").select(F.col("npu").alias("numero"))
 
@@ -492,6 +498,11 @@ def frontier_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return frontier.frontier_coverage(_stable_links(spark, sf), _captured(spark, sf))
 
 
+@_query
+def frontier_coverage_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    return frontier.frontier_coverage(_repeated_links(spark, sf), _captured(spark, sf))
+
+
 @_query
 def missing_details(spark: SparkSession, sf: str) -> DataFrame:
     return frontier.missing_details(_stable_links(spark, sf), _captured(spark, sf))

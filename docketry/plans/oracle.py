@@ -7,7 +7,7 @@ with the extraction rules.
 from __future__ import annotations
 
 from docketry import constants as C
-from docketry.sources.rendered import FILLER, PLAIN_SITE, ROUTE, SITE
+from docketry.sources.rendered import FILLER, PLAIN_SITE, ROUTE, SECOND, SITE
 
 
 def _npu(k: str, year: str) -> str:
@@ -160,24 +160,37 @@ it AS (
 pg AS (
   SELECT ten, it.c, idx, n, (n + 9) // 10 - 1 AS last, lpad(it.c::VARCHAR, 14, '0') AS cnpj,
          '{ROUTE}/' || lpad(it.c::VARCHAR, 14, '0') || '/' || idx AS url,
-         coalesce(any_value(mp), 5) AS mp, coalesce(any_value(md), 10) AS md
+         coalesce(any_value(mp), 5) AS mp, coalesce(any_value(md), 10) AS md, any_value(mp) IS NOT NULL AS asked
   FROM it LEFT JOIN lim ON lim.c = it.c GROUP BY ten, it.c, idx, n
 )"""
 
 
-def _frontier(where: str, url: str) -> str:
+# the second request of a tax id reads other limits
+_SECOND = f"SELECT * REPLACE (CASE WHEN asked THEN 2 ELSE mp END AS mp, CASE WHEN asked THEN 3 ELSE md END AS md) FROM pg"
+
+
+def _frontier(where: str, url: str, pages: str = "SELECT * FROM pg", shift: int = 0) -> str:
     return f"""WITH {_LISTS},
+lim_pg AS ({pages}),
 r AS (
-  SELECT it.*, pg.cnpj, mp, md, row_number() OVER (PARTITION BY it.c ORDER BY it.idx, it.pos) AS rn
-  FROM it JOIN pg USING (ten) WHERE it.pos < md AND {where}
+  SELECT it.*, p.cnpj, mp, md, row_number() OVER (PARTITION BY it.c ORDER BY it.idx, it.pos) AS rn
+  FROM it JOIN lim_pg p USING (ten) WHERE it.pos < md AND {where}
 )
-SELECT ten AS page_id, cnpj, idx::INTEGER AS page_idx, pos::INTEGER AS pos, npu AS numero, {url} AS detail_url
+SELECT ten + {shift} AS page_id, 'r' || (c + {shift}) AS crawl, c + {shift} AS req_id, cnpj, idx::INTEGER AS page_idx,
+       pos::INTEGER AS pos, npu AS numero, {url} AS detail_url
 FROM r WHERE rn <= mp * md"""
 
 
+def _next_stable(pages: str = "SELECT * FROM pg", shift: int = 0) -> str:
+    return f"""WITH {_LISTS}, lim_pg AS ({pages})
+SELECT ten + {shift} AS page_id, 'r' || (c + {shift}) AS crawl, cnpj, idx + 1 AS page_idx, '{ROUTE}/' || cnpj || '/' || (idx + 1) AS next_url
+FROM lim_pg WHERE idx + 1 < mp AND (idx < last OR idx < 5)"""
+
+
 _STABLE_URL = f"CASE WHEN c % 2 = 0 THEN '{SITE}/processo/' ELSE '{SITE}/cp/processo/' END || npu"
 _FORM_URL = f"CASE WHEN c % 2 = 0 THEN '{SITE}/processo/' ELSE '{PLAIN_SITE}/cp/processo/' END || npu"
 _FRONTIER_STABLE = _frontier("true", _STABLE_URL)
+_FRONTIER_REPEATED = f"({_FRONTIER_STABLE}) UNION ALL ({_frontier('true', _STABLE_URL, _SECOND, SECOND)})"
 
 _LOG = """
 fl AS (
@@ -348,8 +361,8 @@ SELECT relator, count(*) AS n_cases, count(DISTINCT v) AS n_spellings FROM (
     "page_rules": f"""WITH {_MIXED}
 SELECT page_id, page_class = 'detail' AS is_detail, page_class = 'list' AS is_list, page_class = 'error' AS is_error FROM mixed""",
     "classify_stable_list": f"""WITH {_LISTS}
-SELECT 'list' AS source, 'list' AS page_class, count(*) AS n FROM pg
-UNION ALL SELECT 'mixed', 'error', count(*) FROM o""",
+SELECT 'list' AS source, ten AS page_id, 'list' AS page_class FROM pg
+UNION ALL SELECT 'mixed', k, 'error' FROM o""",
     "classify_listed": f"""WITH {_LISTS}
 SELECT ten AS page_id, CASE WHEN c % 3 = 1 THEN 'detail' ELSE 'list' END AS page_class FROM pg""",
     "label_confusion": f"""WITH {_MIXED}
@@ -413,7 +426,15 @@ UNION ALL SELECT c_custkey, 'filtro', CASE WHEN c_custkey % 2 = 0 THEN {_npu('c_
 WITH a AS (SELECT page_id, string_split(html, '<a ') AS parts FROM pages),
 b AS (SELECT page_id, unnest(parts[2:]) AS p, unnest(range(0, len(parts) - 1)) AS pos FROM a)
 SELECT page_id, pos::INTEGER AS pos, replace(regexp_extract(p, 'href="([^"]*)"', 1), '&amp;', '&') AS href, CAST(NULL AS VARCHAR) AS npu FROM b""",
-    "page_links_rendered": f"WITH {_LISTS} SELECT ten AS page_id, pos::INTEGER AS pos, npu AS text, npu FROM it",
+    "page_links_rendered": f"""WITH {_LISTS},
+a AS (
+  SELECT ten, 0 AS grp, pos AS j, CASE WHEN c % 2 = 0 THEN '/processo/' ELSE '{PLAIN_SITE}/cp/processo/' END || npu AS href, npu AS text, npu FROM it
+  UNION ALL SELECT ten, 2, 0, '?page=' || (idx + 1), 'Próxima', NULL FROM pg WHERE idx < last
+  UNION ALL SELECT ten, 1, j, '?page=' || [0, idx - 1, idx - 1][j], ['Primeira', '<', 'anterior'][j], NULL FROM pg, unnest([1, 2, 3]) t(j) WHERE idx > 0
+  UNION ALL SELECT ten, 3, 0, '?page=' || last, '>>', NULL FROM pg WHERE c % 2 = 0
+  UNION ALL SELECT ten, 4, j, '?page=' || j, j::VARCHAR, NULL FROM pg, unnest(range(0, last + 1)) t(j)
+)
+SELECT ten AS page_id, (row_number() OVER (PARTITION BY ten ORDER BY grp, j) - 1)::INTEGER AS pos, href, text, npu FROM a""",
     "best_detail_link": f"""WITH {_CASES},
 b AS (SELECT k, npu, CASE k % 4 WHEN 0 THEN '/processo/' || npu WHEN 1 THEN '../processo/' || npu2
       WHEN 2 THEN '/x/processo/' || npu || '?a=1' ELSE '/processo/lista' END AS href,
@@ -421,13 +442,14 @@ b AS (SELECT k, npu, CASE k % 4 WHEN 0 THEN '/processo/' || npu WHEN 1 THEN '../
 SELECT k AS page_id, npu AS numero, href, score, '{SITE}' || replace(href, '../', '/cp/') AS detail_url FROM b""",
     "frontier_form": _frontier("it.c % 3 <> 1", _FORM_URL),
     "frontier_stable": _FRONTIER_STABLE,
+    "frontier_repeated": _FRONTIER_REPEATED,
     "list_totals": f"""WITH {_LISTS}
 SELECT ten AS page_id, CASE WHEN c % 3 <> 2 THEN n END AS total, 10 AS page_size, CASE WHEN c % 3 <> 2 THEN last END AS last_page FROM pg""",
     "stable_totals": f"WITH {_LISTS} SELECT ten AS page_id, CASE WHEN c % 3 <> 2 THEN n END AS total FROM pg",
     "nav_links": f"""WITH {_LISTS}
-SELECT ten AS page_id, CASE WHEN idx < last THEN idx + 1 END AS next_page, last AS last_page, CAST(NULL AS BIGINT) AS first_page,
-       CAST(NULL AS BIGINT) AS prev_page, array_to_string([p::VARCHAR for p in range(0, last + 1)], ',') AS page_numbers,
-       idx < last AS has_next, false AS has_prev, true AS has_last, false AS has_first FROM pg""",
+SELECT ten AS page_id, CASE WHEN idx < last THEN idx + 1 END AS next_page, last AS last_page,
+       CASE WHEN idx > 0 THEN 0::BIGINT END AS first_page, CASE WHEN idx > 0 THEN idx - 1 END AS prev_page, array_to_string([p::VARCHAR for p in range(0, last + 1)], ',') AS page_numbers,
+       idx < last AS has_next, idx > 0 AS has_prev, true AS has_last, idx > 0 AS has_first FROM pg""",
     "page_ranges": """
 WITH s AS (SELECT c_custkey AS q, c_custkey % 4 - 1 AS cur, CASE WHEN c_custkey % 5 > 0 THEN c_custkey % 13 - 1 END AS last, c_custkey % 6 + 1 AS mx FROM customer),
 b AS (SELECT q, greatest(cur, 0) AS lo, CASE WHEN last IS NULL OR last < 0 THEN greatest(cur, 0)
@@ -435,18 +457,21 @@ b AS (SELECT q, greatest(cur, 0) AS lo, CASE WHEN last IS NULL OR last < 0 THEN
 SELECT q AS state_id, unnest(range(lo, hi + 1)) AS page_idx FROM b""",
     "next_pages_form": f"""WITH {_LISTS},
 p AS (SELECT *, unnest(range(idx + 1, greatest(least(mp - 1, last), idx + 1) + 1)) AS page_idx FROM pg WHERE c % 3 = 0 AND idx + 1 < mp)
-SELECT ten AS page_id, cnpj, page_idx, url || '?page=' || page_idx AS next_url FROM p
-UNION ALL SELECT ten, cnpj, idx + 1, url || '?page=' || (idx + 1) FROM pg WHERE c % 3 = 2 AND idx + 1 < mp AND idx < last""",
-    "next_pages_stable": f"""WITH {_LISTS}
-SELECT ten AS page_id, cnpj, idx + 1 AS page_idx, '{ROUTE}/' || cnpj || '/' || (idx + 1) AS next_url
-FROM pg WHERE idx + 1 < mp AND (idx < last OR idx < 5)""",
+SELECT ten AS page_id, 'r' || c AS crawl, cnpj, page_idx, url || '?page=' || page_idx AS next_url FROM p
+UNION ALL SELECT ten, 'r' || c, cnpj, idx + 1, url || '?page=' || (idx + 1) FROM pg WHERE c % 3 = 2 AND idx + 1 < mp AND idx < last""",
+    "next_pages_stable": _next_stable(),
+    "next_pages_repeated": f"({_next_stable()}) UNION ALL ({_next_stable(_SECOND, SECOND)})",
     "frontier_coverage": f"""WITH fr AS ({_FRONTIER_STABLE}), {_CASES},
-l AS (SELECT fr.cnpj, o.status <> 'P' AS done FROM fr JOIN o ON o.npu = fr.numero)
-SELECT cnpj, count(*) AS discovered, count(CASE WHEN done THEN 1 END) AS fetched, count(CASE WHEN NOT done THEN 1 END) AS missing FROM l GROUP BY cnpj""",
+l AS (SELECT fr.crawl, fr.cnpj, o.status <> 'P' AS done FROM fr JOIN o ON o.npu = fr.numero)
+SELECT crawl, cnpj, count(*) AS discovered, count(CASE WHEN done THEN 1 END) AS fetched, count(CASE WHEN NOT done THEN 1 END) AS missing
+FROM l GROUP BY crawl, cnpj""",
+    "frontier_coverage_repeated": f"""WITH fr AS ({_FRONTIER_REPEATED}), {_CASES}
+SELECT crawl, cnpj, count(*) AS discovered, count(CASE WHEN status <> 'P' THEN 1 END) AS fetched, count(CASE WHEN status = 'P' THEN 1 END) AS missing
+FROM fr JOIN o ON o.npu = fr.numero GROUP BY crawl, cnpj""",
     "missing_details": f"""WITH fr AS ({_FRONTIER_STABLE}), {_CASES}
-SELECT fr.numero, fr.cnpj FROM fr JOIN o ON o.npu = fr.numero WHERE status = 'P'""",
+SELECT fr.numero, fr.crawl, fr.cnpj FROM fr JOIN o ON o.npu = fr.numero WHERE status = 'P'""",
     "done_details": f"""WITH fr AS ({_FRONTIER_STABLE}), {_CASES}
-SELECT fr.numero, fr.cnpj FROM fr JOIN o ON o.npu = fr.numero WHERE status <> 'P'""",
+SELECT fr.numero, fr.crawl, fr.cnpj FROM fr JOIN o ON o.npu = fr.numero WHERE status <> 'P'""",
     "fetch_failures": f"""WITH {_LOG}
 SELECT host, seq, status, status = 503 AS status_retry, cf AS content_failure, NOT failed AS success,
        CASE WHEN status = 503 THEN 'status' WHEN cf THEN 'content' ELSE 'none' END AS retry_reason FROM f WHERE NOT ex""",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.operators.intake import accepted, crawl_limits, request_intake
-from docketry.sources.pages import land_raw_pages, spread
+from docketry.sources.pages import land_raw_pages
 
 SITE = "https://docket.example"
 PLAIN_SITE = "http://docket.example"
@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a test table that is one small file over the cores, before pages are rendered from it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -198,6 +204,10 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _cat('<span class="texto_consulta">Total: ', _text(n), "</span>")
     )
     following = F.when(i < last, _cat('<a href="?page=', _text(i + 1), '">Próxima</a>')).otherwise("")
+    earlier = F.when(
+        i > 0, _cat('<a href="?page=0">Primeira</a><a class="volta" href="?page=', _text(i - 1), '"> &lt; </a><a href="?page=', _text(i - 1), '"> anterior</a>')
+    ).otherwise("")
+    final = F.when(c % 2 == 0, _cat('<a href="?page=', _text(last), '">>></a>')).otherwise("")
     numbers = F.array_join(
         F.transform(
             F.sequence(F.lit(0).cast("bigint"), last), lambda p: _cat('<a href="?page=', _text(p), '">', _text(p), "</a>")
@@ -207,7 +217,7 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = _cat(
         '<html><body><table class="consulta_resultados"><tr><th>CNPJ:</th><td>', cnpj, "</td></tr>",
         F.array_join(F.transform("items", item), ""), '</table><div class="consulta_paginas">', total,
-        following, numbers, "</div></body></html>",
+        earlier, following, final, numbers, "</div></body></html>",
     )
     return _pages(
         pages,
@@ -219,9 +229,31 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         cnpj=cnpj,
         page_idx=i.cast("int"),
         endpoint=F.lit("stable_route"),
+        req_id=c,
     )
 
 
+SECOND, AGAIN = 10**12, 2 * 10**12
+
+
+def repeated_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List pages of two requests per tax id, every third page of the first captured again."""
+    pages = list_pages(spark, sf_dir)
+    second = pages.withColumn("page_id", F.col("page_id") + SECOND).withColumn(
+        "context", F.col("context").withField("req_id", F.col("context.req_id") + SECOND)
+    )
+    again = pages.where(F.col("page_id") % 3 == 0).withColumn("page_id", F.col("page_id") + AGAIN)
+    return pages.unionByName(second).unionByName(again)
+
+
+def second_limit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Limits of both requests of a tax id: the second may read 2 pages of 3 details."""
+    first = crawl_limit_rows(spark, sf_dir)
+    own = {"max_pages": 2, "max_details_per_page": 3, "max_total_details": 6}
+    second = first.withColumn("req_id", F.col("req_id") + SECOND).withColumns({n: F.lit(v) for n, v in own.items()})
+    return first.unionByName(second)
+
+
 def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result pages of a number search, one per order, with good and bad links."""
     k, npu, npu2 = F.col("k"), F.col("npu"), F.col("npu2")

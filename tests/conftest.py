@@ -55,7 +55,7 @@ def make_pages(spark):
         rows = []
         for i, item in enumerate(items):
             html, ctx = item if isinstance(item, tuple) else (item, {})
-            context = tuple(ctx.get(k) for k in ("tipo", "busca", "numero", "cnpj", "page_idx", "endpoint"))
+            context = tuple(ctx.get(k) for k in ("tipo", "busca", "numero", "cnpj", "page_idx", "endpoint", "req_id"))
             rows.append(
                 (ctx.get("page_id", i), ctx.get("url", url), "GET", 200, {}, html, None, context, "2024-01-01T00:00:00", None)
             )

@@ -161,6 +161,16 @@ def test_long_pages_do_not_overflow(values):
 
 
 HOSTILE = [
+    '<a href="',
+    "<a href='x'",
+    "<!--",
+    "<script>",
+    "<p class='relator'>x<p>",
+    "<div class='timeline'><li>",
+    "<b>x",
+    "</table><table>",
+    "<table>",
+    "&eacute &#0000000233;",
     "<a <a <a ",
     "<tr><td>x",
     "<b class=",
@@ -174,21 +184,42 @@ HOSTILE = [
 
 
 def test_scans_stay_linear_on_large_hostile_pages(spark, make_pages):
-    """A large page of each pattern, through everything, within seconds."""
+    """A large page of each pattern through every page operator, within seconds."""
     import time
 
-    from docketry.operators import classify, extract, health
-
-    pages = make_pages(["0015648-78.1999.4.05.0000 " + h * (300_000 // len(h)) for h in HOSTILE])
-    start = time.time()
-    extract.extract_processos(pages).write.format("noop").mode("overwrite").save()
-    pages.select(
-        classify.page_class(F.col("html")),
-        classify.is_error(F.col("html")),
-        health.content_failure(F.lit(200), F.col("html")),
-        F.size(M.anchors(M.markup(F.col("html")))),
-    ).write.format("noop").mode("overwrite").save()
-    assert time.time() - start < 60
+    from docketry.operators import classify, extract, frontier, health, pagination
+
+    context = {"numero": "0015648-78.1999.4.05.0000", "cnpj": "1" * 14, "req_id": 1, "page_idx": 1, "busca": "numero"}
+    start, end = "0015648-78.1999.4.05.0000 <p class='relator'>", "0012656-90.2012.4.05.0000"
+    pages = make_pages([(start + h * (300_000 // len(h)) + end, {**context, "page_id": i}) for i, h in enumerate(HOSTILE)])
+    limits = spark.createDataFrame([(1, 20, 50)], "req_id long, max_pages int, max_details_per_page int")
+    html = F.col("html")
+    results = {
+        "records": extract.extract_processos(pages),
+        "offline": extract.extract_processos(pages, "offline"),
+        "cells": extract.page_cells(pages),
+        "links": extract.page_links(pages),
+        "forms": extract.form_fields(pages),
+        "inputs": extract.inputs_by_keyword(pages, ["processo"]),
+        "signals": classify.page_signals(pages),
+        "class": classify.classify_pages(pages),
+        "stable": classify.classify_stable_list(pages),
+        "error": pages.select(classify.is_error(html), health.content_failure(F.lit(200), html)),
+        "best": frontier.best_detail_link(pages),
+        "form": frontier.frontier_form(pages, limits),
+        "stable links": frontier.frontier_stable(pages, limits),
+        "totals": pagination.list_totals(pages),
+        "stable totals": pagination.stable_totals(pages),
+        "navigation": pagination.nav_links(pages),
+        "next form": pagination.next_pages_form(pages, limits),
+        "next stable": pagination.next_pages_stable(pages, limits, "https://site.example/r"),
+    }
+    seconds = {}
+    for name, result in results.items():
+        begun = time.time()
+        result.write.format("noop").mode("overwrite").save()
+        seconds[name] = round(time.time() - begun, 1)
+    assert max(seconds.values()) < 30, seconds
 
 
 def test_class_names_match_whole_tokens(values):

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from docketry.operators import frontier, intake, pagination
 from docketry.schemas import CRAWL_REQUESTS
@@ -61,44 +62,77 @@ def test_best_link_agrees_with_a_loop(make_pages):
     assert got == {i: h for i, h in expected.items() if h}
 
 
+LIMITS = "req_id long, max_pages int, max_details_per_page int"
+
+
 def _crawl_loop(pages, limits):
+    """Pages as (page_id, req_id, page_idx, url, hrefs); a crawl reads a URL once, when first captured."""
     out, taken = [], {}
-    for page_id, cnpj, idx, hrefs in sorted(pages, key=lambda p: (p[1], p[2], p[0])):
-        max_pages, max_details = limits.get(cnpj, (5, 10))
+    firsts = {}
+    for page in pages:
+        if any(page[4]):
+            crawl = page[0] if page[1] is None else ("r", page[1])
+            key = (crawl, page[3])
+            if key not in firsts or page[0] < firsts[key][0]:
+                firsts[key] = page
+    for (crawl, _), (page_id, req, idx, url, hrefs) in sorted(firsts.items(), key=lambda p: (str(p[0][0]), p[1][2], p[1][0])):
+        max_pages, max_details = limits.get(req, (5, 10))
         here = 0
         for h in hrefs:
-            if taken.get(cnpj, 0) >= max_pages * max_details or here >= max_details:
+            if taken.get(crawl, 0) >= max_pages * max_details or here >= max_details:
                 break
             if not h:
                 continue
-            out.append((page_id, cnpj, here, h))
+            out.append((page_id, req, here, h))
             here += 1
-            taken[cnpj] = taken.get(cnpj, 0) + 1
+            taken[crawl] = taken.get(crawl, 0) + 1
     return out
 
 
+def _crawl_pages(make_pages, pages):
+    raw = make_pages(
+        [("".join(f"<a href='{h}'>t</a>" for h in hrefs), {"page_id": i, "cnpj": "1" * 14, "req_id": r, "page_idx": x, "url": u}) for i, r, x, u, hrefs in pages]
+    )
+    return raw
+
+
 def test_caps_with_one_crawl_holding_most_pages(spark, make_pages):
     rnd = random.Random(2)
     pages = []
     for i in range(1600):
-        cnpj = "1" * 14 if i % 4 else rnd.choice(["2" * 14, "3" * 14])
+        req = 1 if i % 4 else rnd.choice([2, 3, None])
         n = rnd.choice([0, 0, 1, 3, 60]) if i % 5 else 0
         hrefs = ["" if rnd.random() < 0.1 else f"https://o.example/processo/{i}-{j}" for j in range(n)]
-        pages.append((i, cnpj, rnd.randrange(2000), hrefs))
-    limits = {"1" * 14: (20, 50), "3" * 14: (3, 7)}
-    limit_rows = spark.createDataFrame([(c, p, d) for c, (p, d) in limits.items()], "valor string, max_pages int, max_details_per_page int")
-    raw = make_pages(
-        [("".join(f"<a href='{h}'>t</a>" for h in hrefs), {"page_id": i, "cnpj": c, "page_idx": x}) for i, c, x, hrefs in pages]
-    )
+        pages.append((i, req, rnd.randrange(2000), f"https://o.example/l/{rnd.randrange(1200)}", hrefs))
+    limits = {1: (20, 50), 3: (3, 7)}
+    limit_rows = spark.createDataFrame([(c, p, d) for c, (p, d) in limits.items()] * 2, LIMITS)
+    raw = _crawl_pages(make_pages, pages)
     expected = _crawl_loop(pages, limits)
     for got in (frontier.frontier_form(raw, limit_rows), frontier.frontier_stable(raw, limit_rows)):
-        rows = [(r.page_id, r.cnpj, r.pos, r.detail_url) for r in got.collect()]
-        assert sorted(rows) == sorted(expected)
-    assert sum(c == "1" * 14 for _, c, _, _ in expected) == 1000
+        rows = [(r.page_id, r.req_id, r.pos, r.detail_url) for r in got.collect()]
+        assert sorted(rows, key=str) == sorted(expected, key=str)
+    assert sum(c == 1 for _, c, _, _ in expected) == 1000
+
+
+def test_limits_alone_cap_a_crawl(spark, make_pages):
+    """Nothing but the limits table cuts links or pages, however high they are."""
+    pages = [(i, 7, i, f"https://o.example/l/{i}", [f"https://o.example/processo/{i}-{j}" for j in range(120)]) for i in range(30)]
+    raw = _crawl_pages(make_pages, pages)
+    wide = spark.createDataFrame([(7, 40, 200)], LIMITS)
+    assert frontier.frontier_stable(raw, wide).count() == 3600
+    lists = make_pages([("<a href='l?page=26'>próxima</a>", {"req_id": 7, "page_idx": 25})])
+    assert [r.page_idx for r in pagination.next_pages_form(lists, wide).collect()] == [26]
+    assert pagination.next_pages_form(lists, wide.limit(0)).count() == 0
+
+
+def test_pages_without_a_request_share_no_budget(spark, make_pages):
+    pages = [(i, None, 0, "https://o.example/l", [f"https://o.example/processo/{i}-{j}" for j in range(10)]) for i in range(20)]
+    raw = _crawl_pages(make_pages, pages)
+    assert frontier.frontier_stable(raw, spark.createDataFrame([], LIMITS)).count() == 200
 
 
 def test_stable_links_take_the_first_tier_that_exists(spark, make_pages):
-    limits = spark.createDataFrame([], "valor string, max_pages int, max_details_per_page int")
+    limits = spark.createDataFrame([], LIMITS)
     items = [
         "<a href='/processo/1'>a</a><a class='linkar' href='/processo/2'>b</a>",
         "<a href='http://s.example/cp/processo/3'>a</a><a href='processos'>b</a>",
@@ -116,6 +150,7 @@ def test_stable_links_take_the_first_tier_that_exists(spark, make_pages):
 
 def test_coverage_counts_a_case_once(spark):
     links = spark.createDataFrame([("1", A), ("1", A), ("1", B), ("2", B), ("2", None)], "cnpj string, numero string")
+    links = links.withColumn("crawl", F.concat(F.lit("r"), "cnpj"))
     done = spark.createDataFrame([(A,), (A,)], "numero string")
     got = {r.cnpj: (r.discovered, r.fetched, r.missing) for r in frontier.frontier_coverage(links, done).collect()}
     assert got == {"1": (2, 1, 1), "2": (1, 0, 1)}
@@ -153,7 +188,7 @@ def test_nav_links(make_pages):
     items = [
         '<a href="?page=1">Próxima</a> <a href="?page=10">Última</a>',
         '<a href="/x">próxima</a><a href="?page=4">seguinte</a><a href="?page=2">2</a><a href="?page=9">1</a><a href="?page=9">2</a>',
-        '<a href="?page=0">última</a><a href="?page=3">3</a><a class="z" href="?a=1&page=0">PRIMEIRA</a><a href="?page=1"> < </a>',
+        '<a name="x"><a href="?page=0">última</a><a href="?page=3">3</a><a class="z" href="?a=1&page=0">PRIMEIRA</a><a href="?page=1"> < </a>',
         "<a href='?page=5'>></a><a href='?page=7'>>></a><a href='?page=0'>início</a><a href='?page=2'>anterior</a>",
         "nada",
     ]
@@ -180,7 +215,7 @@ def test_page_ranges(spark):
 
 
 def test_next_pages(spark, make_pages):
-    limits = spark.createDataFrame([("1", 3, 5), ("2", 20, 5)], "valor string, max_pages int, max_details_per_page int")
+    limits = spark.createDataFrame([(1, 3, 5), (2, 20, 5)], LIMITS)
     items = [
         ("Total: 95", {"cnpj": "1", "page_idx": 0}),
         ("Total: 95", {"cnpj": "1", "page_idx": 2}),
@@ -191,10 +226,13 @@ def test_next_pages(spark, make_pages):
         ("<a href='x'>Seguinte</a>", {"cnpj": "2", "page_idx": 6}),
         ("<div class='consulta_paginas'><a href='x'>next</a></div>", {"cnpj": "2", "page_idx": 19}),
     ]
-    pages = make_pages(items, "https://s.example/l?q=1")
+    # each its own URL; the first one was captured again
+    items = [(h, {**c, "req_id": int(c["cnpj"]), "url": f"https://s.example/l?q={i}"}) for i, (h, c) in enumerate(items)]
+    items.append((items[0][0], {**items[0][1], "page_id": 99}))
+    pages = make_pages(items)
     form = {(r.page_id, r.page_idx, r.next_url) for r in pagination.next_pages_form(pages, limits).collect()}
-    u = "https://s.example/l?q=1&page="
-    assert form == {(0, 1, u + "1"), (0, 2, u + "2"), (2, 2, u + "2"), (3, 5, "https://s.example/l?page=7")}
+    u = "https://s.example/l?q={}&page={}".format
+    assert form == {(0, 1, u(0, 1)), (0, 2, u(0, 2)), (2, 2, u(2, 2)), (3, 5, "https://s.example/l?page=7")}
     stable = {(r.page_id, r.page_idx, r.next_url) for r in pagination.next_pages_stable(pages, limits, "https://s.example/r/").collect()}
     r = "https://s.example/r/"
     assert stable == {(0, 1, r + "1/1"), (2, 2, r + "2/2"), (3, 5, r + "2/5"), (5, 7, r + "2/7")}

@@ -98,7 +98,7 @@ def test_landing_keeps_known_context_and_duplicates(spark, make_pages):
     rows = landed.collect()
     digest = "sha256:" + hashlib.sha256("<p>á</p>".encode()).hexdigest()
     assert [(r.hash_html, r.fetched_at, r.payload) for r in rows] == [(digest, "2024-02-02T00:00:00", None)] * 2
-    assert rows[0].context.asDict() == dict(tipo="form", busca=None, numero=None, cnpj=None, page_idx=None, endpoint=None)
+    assert rows[0].context.asDict() == dict(tipo="form", busca=None, numero=None, cnpj=None, page_idx=None, endpoint=None, req_id=None)
     assert pg.repeated_captures(landed).first().n == 2
     assert pg.page_integrity(landed).count() == 0
     broken = landed.withColumn("html", F.when(F.col("page_id") == 1, "<p>b</p>").otherwise(F.col("html")))
@@ -107,7 +107,8 @@ def test_landing_keeps_known_context_and_duplicates(spark, make_pages):
 
 def test_selection_order_skip_and_limit(make_pages):
     pages = make_pages([("x", {"tipo": "lista"}), ("", {"tipo": "lista"}), ("y", {"tipo": "form"})] + [("z", {"tipo": "lista"})] * 15)
-    assert len(pg.select_raw_pages(pages).collect()) == 10
+    assert pg.select_raw_pages(pages).count() == 17
+    assert len(pg.select_raw_pages(pages, limit=10).collect()) == 10
     rows = pg.select_raw_pages(pages, tipo="lista", skip=2, limit=3).collect()
     assert [r.page_id for r in rows] == [15, 14, 13]
     assert pg.select_raw_pages(pages, limit=None).count() == 17
