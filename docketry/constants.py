@@ -87,7 +87,7 @@ PAGER_WORDS = [
     r"P[ÁA]GINA\s*\d+",
     r">\s*\d+\s*<",
 ]
-TABLE_MARKS = [r"<TABLE[^>]*>.*?</TABLE>", r"<TBODY[^>]*>.*?</TBODY>", r"<TR[^>]*>.*?</TR>"]
+TABLE_TAGS = ["TABLE", "TBODY", "TR"]
 ERROR_WORDS = [
     r"NENHUM\s+RESULTADO",
     r"N[ÃA]O\s+FORAM?\s+ENCONTRADOS?",

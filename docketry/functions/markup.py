@@ -10,7 +10,7 @@ lookups expect ``markup(html)``, computed once per page by the caller.
 from __future__ import annotations
 
 from functools import reduce
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 from docketry import constants as C
 from docketry.functions.text import first_group, let, strip
 
-_HIDDEN = r"(?is)<(?:!--.*?-->|(script|style)\b[^>]*+>.*?</\1\s*+>)"
 # possessive groups: linear time, and no recursion however long a page is
+# a comment, script or style that is never closed hides the rest of the page
+_HIDDEN = (
+    r"(?i)<(?:!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->)?"
+    r"|(script|style)\b[^<>]*+>[^<]*+(?:<(?!/\1\s*+>)[^<]*+)*+(?:</\1\s*+>)?)"
+)
 _ROW = (
     r"(?i)<tr\b[^<>]*+>[^<]*+(?:<(?!/?tr\b|/table\b)[^<]*+)*+"
     r"(?:</tr\s*+>(?:\s*+</t(?:able|body|head|foot)\s*+>)?|</table\s*+>)?"
@@ -29,11 +33,19 @@ _CELL = r"(?i)<td\b[^<>]*+>([^<]*+(?:<(?!/?t[dhr]\b|/table\b)[^<]*+)*+)"
 _FIRST_TEXT = r"^(?:<[^<>]*+>)*+([^<]++)"
 _ANCHOR = r"(?i)<a\s[^<>]*+>[^<]*+(?:<(?!/a\s*>|a\s)[^<]*+)*+"
 _TAG_HEAD = r"^<[^<>]*+>"
-# an element with its content, or a lone tag; void elements have no content to look for
+# an element with its content, or a lone tag. Void elements have no content; a paragraph or item that is
+# not closed ends where the next one starts, any other element at the end of the fragment
 _CHILD = (
-    r"(?is)<(?!(?:br|hr|img|input|link|meta|wbr)\b)([a-z][a-z0-9]*)\b[^<>]*+>.*?</\1\s*+>|<[^<>]*+>"
+    r"(?i)<(p|li|t[dhr]|option)\b[^<>]*+>[^<]*+(?:<(?!/?\1\b)[^<]*+)*+(?:</\1\s*+>)?"
+    r"|<(?!(?:br|hr|img|input|link|meta|wbr)\b)([a-z][a-z0-9]*)\b[^<>]*+>[^<]*+(?:<(?!/\2\s*+>)[^<]*+)*+(?:</\2\s*+>)?"
+    r"|<[^<>]*+>"
+)
+# names that need no ';', unless a name or a parameter goes on behind them
+_LEGACY = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+_ENTITY = (
+    r"^(?:(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);|#[0-9]++|#[xX][0-9a-fA-F]++"
+    rf"|(?:{'|'.join(_LEGACY)})(?![A-Za-z0-9=]))"
 )
-_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 # references that stand for markup characters stay escaped until text is cut out
 _ESCAPED = {"quot": '"', "apos": "'", "lt": "<", "gt": ">", "amp": "&"}
@@ -54,7 +66,7 @@ def decode_references(page: Column) -> Column:
     """
     # looked up in order: the accented letters come first
     by_point = sorted(name2codepoint.items(), key=lambda x: x[1])
-    names = _pairs((n, chr(p)) for n, p in by_point if n not in _ESCAPED)
+    names = _pairs([(n, f"&{n};" if n in _ESCAPED else chr(p)) for n, p in by_point] + [(n, f"&{n.lower()};") for n in ("LT", "GT", "AMP", "QUOT")])
     kept = _pairs((str(ord(c)), f"&{n};") for n, c in _ESCAPED.items())
 
     def from_point(n: Column) -> Column:
@@ -67,21 +79,25 @@ def decode_references(page: Column) -> Column:
         )
 
     def char_of(ref: Column) -> Column:
-        number = F.when(ref.startswith("#x") | ref.startswith("#X"), F.conv(F.substring(ref, 3, 8), 16, 10)).otherwise(
-            F.substring(ref, 2, 8)
+        # more than six significant digits are no character
+        hexadecimal = let(
+            F.regexp_replace(ref, "^#[xX]0*+", ""), lambda h: F.when(F.length(h).between(1, 6), F.conv(h, 16, 10))
         )
+        number = F.when(ref.startswith("#x") | ref.startswith("#X"), hexadecimal).otherwise(F.substr(ref, F.lit(2)))
         return F.when(
             ref.startswith("#"), let(number.try_cast("bigint"), from_point)
         ).otherwise(F.try_element_at(names, ref))
 
     def piece(p: Column, i: Column) -> Column:
-        decoded = let(
-            char_of(F.regexp_extract(p, _ENTITY, 1)),
-            lambda x: F.when(x.isNotNull(), F.concat(x, F.regexp_replace(p, _ENTITY, ""))).otherwise(
-                F.concat(F.lit("&"), p)
-            ),
-        )
-        return F.when(i == 0, p).otherwise(decoded)
+        def decoded(ref: Column) -> Column:
+            return let(
+                char_of(F.rtrim(ref, F.lit(";"))),
+                lambda x: F.when(x.isNotNull(), F.concat(x, F.substr(p, F.length(ref) + 1))).otherwise(
+                    F.concat(F.lit("&"), p)
+                ),
+            )
+
+        return F.when(i == 0, p).otherwise(let(F.regexp_extract(p, _ENTITY, 0), decoded))
 
     joined = F.array_join(F.transform(F.split(page, "&"), piece), "")
     return F.when(F.contains(page, F.lit("&")), joined).otherwise(page)

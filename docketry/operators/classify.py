@@ -30,12 +30,19 @@ def _is_detail(upper: Column, html: Column) -> Column:
     return wide | classic
 
 
+def _complete(upper: Column, tag: str) -> Column:
+    """An end tag somewhere behind the first start tag. Found by position: a pattern would try every start tag."""
+
+    def closed(rest: Column) -> Column:
+        behind = F.substr(rest, F.instr(rest, ">") + 1)
+        return F.contains(rest, F.lit(">")) & F.contains(behind, F.lit(f"</{tag}>"))
+
+    start = F.locate(f"<{tag}", upper)
+    return F.when(start > 0, let(F.substr(upper, start), closed)).otherwise(False)
+
+
 def _is_list(upper: Column, html: Column) -> Column:
-    # an element can only be complete where its end tag occurs: look for that first
-    complete = [
-        F.contains(upper, F.lit(end)) & upper.rlike(rx(mark, "s"))
-        for end, mark in zip(("</TABLE>", "</TBODY>", "</TR>"), C.TABLE_MARKS)
-    ]
+    complete = [_complete(upper, tag) for tag in C.TABLE_TAGS]
     return upper.rlike(any_of([C.TOTAL_MARK] + C.PAGER_WORDS)) | (
         html.rlike(rf"(?s){C.NPU}.*?{C.NPU}") & reduce(Column.__or__, complete)
     )
@@ -101,17 +108,17 @@ def page_signals(pages: DataFrame) -> DataFrame:
     )
     u, html = F.col("u"), F.col("html")
     named = {"sig_case_header": u.rlike(rx(C.CASE_HEADER)), "sig_npu": html.rlike(C.NPU)}
-    for prefix, patterns, flags in (
-        ("sig_judge", C.JUDGE_WORDS, ""),
-        ("sig_party", C.PARTY_WORDS_WIDE, ""),
-        ("sig_timeline", C.TIMELINE_WORDS, ""),
-        ("sig_total", [C.TOTAL_MARK], ""),
-        ("sig_pager", C.PAGER_WORDS, ""),
-        ("sig_table", C.TABLE_MARKS, "s"),
-        ("sig_error", C.ERROR_WORDS, ""),
+    for prefix, patterns in (
+        ("sig_judge", C.JUDGE_WORDS),
+        ("sig_party", C.PARTY_WORDS_WIDE),
+        ("sig_timeline", C.TIMELINE_WORDS),
+        ("sig_total", [C.TOTAL_MARK]),
+        ("sig_pager", C.PAGER_WORDS),
+        ("sig_error", C.ERROR_WORDS),
     ):
         for i, pattern in enumerate(patterns, 1):
-            named[f"{prefix}_{i}"] = u.rlike(rx(pattern, flags))
+            named[f"{prefix}_{i}"] = u.rlike(rx(pattern))
+    named |= {f"sig_table_{i}": _complete(u, tag) for i, tag in enumerate(C.TABLE_TAGS, 1)}
     named["sig_many_npu"] = html.rlike(rf"(?s){C.NPU}.*?{C.NPU}")
     named["sig_html_tag"] = F.contains(u, F.lit("<HTML"))
     named["sig_body_tag"] = F.contains(u, F.lit("<BODY"))

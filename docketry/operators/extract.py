@@ -160,7 +160,7 @@ def _dated(entries: Column) -> Column:
 
 
 def _anchored_movements(rows: Column) -> Column:
-    anchor = r"""(?i)<a\b(?=[^<>]*\bname\s*=\s*["']?(?-i:mov_))[^<>]*+>([^<]*+(?:<(?!/a)[^<]*+)*+)"""
+    anchor = r"""(?i)<a\b(?=[^<>]*[\s"']name\s*=\s*["']?(?-i:mov_))[^<>]*+>([^<]*+(?:<(?!/a)[^<]*+)*+)"""
 
     def of_row(r: Column, i: Column) -> Column:
         links = F.when(

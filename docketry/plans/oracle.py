@@ -233,7 +233,7 @@ def _signals(source: str) -> str:
         ("sig_timeline", C.TIMELINE_WORDS),
         ("sig_total", [C.TOTAL_MARK]),
         ("sig_pager", C.PAGER_WORDS),
-        ("sig_table", ["(?s)" + p for p in C.TABLE_MARKS]),
+        ("sig_table", [f"(?s)<{t}[^>]*>.*?</{t}>" for t in ("TABLE", "TBODY", "TR")]),
         ("sig_error", C.ERROR_WORDS),
     ):
         for i, p in enumerate(patterns, 1):

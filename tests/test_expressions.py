@@ -138,6 +138,9 @@ def test_references_decode_once_and_keep_markup(values):
         "AT&T &foo; & &#0; &#xD800;": "AT&T &foo; & &#0; &#xD800;",
         "&#128512;": "\U0001f600",
         "sem": "sem",
+        "Jos&eacute, &#233 &#x000000E9 &#0000000233;": "José, é é é",
+        "caf&eacutes ?a=1&copy=2&amp=3 &copy 4 &lt": "caf&eacutes ?a=1&copy=2&amp=3 © 4 <",
+        "&#99999999999999999999; &#xFFFFFFFFFFFFFFFFFFFF;": "&#99999999999999999999; &#xFFFFFFFFFFFFFFFFFFFF;",
     }
     got = values(lambda c: M.unescape(M.markup(c)), list(texts))
     assert dict(zip(texts, got)) == texts
