@@ -259,15 +259,16 @@ def extract_movimentacoes(pages: DataFrame, profile: str = "online") -> DataFram
 
 
 def extract_processos(
-    pages: DataFrame, profile: str = "online", scraped_at: str | None = None
+    pages: DataFrame, profile: str = "online", scraped_at: str | None = None, rerun: bool = False
 ) -> DataFrame:
     """Nested records, one per page that shows a case number, with ``seq`` = page_id.
 
     ``scraped_at`` is the write time of the run; without it the capture time is
-    kept. Only re-extraction sets ``reprocessed_*``.
+    kept. Only re-extraction (``rerun``, always with the offline profile) sets
+    ``reprocessed_*``.
     """
     html, mk, rows = F.col("html"), F.col("mk"), F.col("rows")
-    offline = profile == "offline"
+    again = rerun or profile == "offline"
     nothing = F.lit(None).cast("string")
     return (
         _staged(pages)
@@ -284,8 +285,8 @@ def extract_processos(
             movimentacoes(mk, rows, profile).alias("movimentacoes"),
             F.col("url").alias("fonte_url"),
             (F.lit(scraped_at) if scraped_at else F.col("fetched_at")).alias("scraped_at"),
-            (F.col("fetched_at") if offline else nothing).alias("reprocessed_at"),
-            (F.col("page_id").cast("string") if offline else nothing).alias("reprocessed_from_doc"),
+            (F.col("fetched_at") if again else nothing).alias("reprocessed_at"),
+            (F.col("page_id").cast("string") if again else nothing).alias("reprocessed_from_doc"),
         )
     )
 

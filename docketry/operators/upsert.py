@@ -1,12 +1,14 @@
 """Field-wise merge of case records by ``_id`` and its audit labels.
 
-Semantics: every applied record sets all its fields, NULLs included, and the
-latest ``seq`` wins; ``reprocessed_*`` exist only in re-extracted records, so
-the latest record that has them keeps providing them.
+Semantics: every applied record sets all its fields, NULLs included; records
+apply in write order, (``batch_id``, ``seq``), so a page extracted again in a
+later batch wins over any capture of an earlier one. ``reprocessed_*`` exist only
+in re-extracted records, so the latest record that has them keeps providing them.
 
-The snapshot takes part as the earliest record of its key: one union and one
-aggregation by ``_id``, reduced on the map side, so a case captured in a third
-of all pages sends one row per task and nothing is joined.
+Only cases a batch touches are merged: their earlier record takes part as the
+first one of its key, in one aggregation by ``_id`` that reduces on the map side,
+so a case captured in a third of all pages sends one row per task. The rest of the
+table passes an anti join, which does not move it when the batch is small.
 """
 
 from __future__ import annotations
@@ -22,31 +24,42 @@ RERUN_ONLY = ["reprocessed_at", "reprocessed_from_doc"]
 
 
 def reduce_records(records: DataFrame) -> DataFrame:
-    """Many records per ``_id`` (with ``seq``) -> the merged one, with its last ``seq``."""
+    """Many records per ``_id`` (with ``seq``, or ``batch_id`` and ``seq``) -> the merged one, with its last order."""
+    order = ["batch_id", "seq"] if "batch_id" in records.columns else ["seq"]
     is_rerun = F.col("reprocessed_from_doc").isNotNull()
+    place = F.struct(*order)
     return (
         records.groupBy("_id")
         .agg(
-            F.max("seq").alias("seq"),
-            F.max_by(F.struct(*ALWAYS_SET), "seq").alias("last"),
-            F.max_by(
-                F.when(is_rerun, F.struct(*RERUN_ONLY)), F.when(is_rerun, F.col("seq"))
-            ).alias("rerun"),
+            F.max(place).alias("place"),
+            F.max_by(F.struct(*ALWAYS_SET), place).alias("last"),
+            F.max_by(F.when(is_rerun, F.struct(*RERUN_ONLY)), F.when(is_rerun, place)).alias("rerun"),
         )
         .select(
             "_id",
-            "seq",
+            *[F.col(f"place.{c}").alias(c) for c in order],
             *[F.col(f"last.{f}").alias(f) for f in ALWAYS_SET],
             *[F.col(f"rerun.{f}").alias(f) for f in RERUN_ONLY],
         )
     )
 
 
+def merge_records(base: DataFrame, later: DataFrame) -> DataFrame:
+    """``base`` (one record per case) after ``later`` ones; both with the same columns.
+
+    ``later`` is read several times: a stored table, or small.
+    """
+    ids = later.select("_id").distinct()
+    touched = base.join(ids, "_id", "left_semi").select(*later.columns)
+    kept = base.join(ids, "_id", "left_anti")
+    merged = reduce_records(touched.unionByName(later))
+    return kept.select(*merged.columns).unionByName(merged)
+
+
 def upsert_processos(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
-    """Snapshot after applying a batch (columns of the table plus ``seq``)."""
-    base = snapshot.select("_id", F.lit(-1).cast("bigint").alias("seq"), *FIELDS[1:])
-    merged = reduce_records(base.unionByName(batch.select("_id", "seq", *FIELDS[1:])))
-    return merged.select(*FIELDS)
+    """Snapshot after applying a batch: a stored table with ``seq``, or a small one."""
+    base = snapshot.select(F.lit(-1).cast("bigint").alias("seq"), *FIELDS)
+    return merge_records(base, batch.select("seq", *FIELDS)).select(*FIELDS)
 
 
 def upsert_actions(snapshot_ids: DataFrame, batch: DataFrame) -> DataFrame:

@@ -111,7 +111,7 @@ def select_raw_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def upsert_processos(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat(upsert.upsert_processos(_old_snapshot(spark, sf), _batch(spark, sf)))
+    return _flat(upsert.upsert_processos(_old_snapshot(spark, sf), snapshots.staged(_batch(spark, sf))))
 
 
 @_query
@@ -126,8 +126,8 @@ def compact_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     captures = R.captures(spark, sf)
     snapshots.write_delta(captures.where(F.col("status") != "O"), path, 0)
     snapshots.write_delta(captures.where(F.col("status") == "O"), path, 1)
-    snapshots.compact(spark, path, f"{path}/base-1")
-    return _flat(spark.read.parquet(f"{path}/base-1"))
+    snapshots.compact(spark, path)
+    return _flat(snapshots.read_records(spark, path))
 
 
 @_query
@@ -679,6 +679,19 @@ def reprocess_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def reprocess_delta(spark: SparkSession, sf: str) -> DataFrame:
+    """The same cases ingested, re-extracted offline, compacted, and some re-extracted online after that."""
+    path = scratch(spark, "reprocess-delta")
+    landed = pg.land_raw_pages(R.detail_pages(spark, sf))
+    snapshots.write_delta(ingest.detail_records(landed), path, 0)
+    snapshots.write_delta(ingest.rerun_records(landed, scraped_at="2025-01-01T00:00:00"), path, 1)
+    snapshots.compact(spark, path)
+    even = landed.where(F.col("page_id") % 2 == 0)
+    snapshots.write_delta(ingest.rerun_records(even, "online", "2025-02-01T00:00:00"), path, 2)
+    return _flat(snapshots.read_records(spark, path))
+
+
 @_query
 def ingest_pages(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(ingest.ingest_pages(R.detail_pages(spark, sf), _old_snapshot(spark, sf)))

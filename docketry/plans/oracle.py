@@ -109,9 +109,9 @@ party_off AS (SELECT k, grp, j, papel, offline AS nome FROM party0),
 moves AS (SELECT k, i, {_WHEN} AS data, {_MOVE_TEXT} AS texto FROM o, unnest(range(0, k % 5)) t(i))"""
 
 
-def _extracted(party: str, judge: str, filed: str, legacy: str, moves: str, extra: str) -> str:
+def _extracted(party: str, judge: str, filed: str, legacy: str, moves: str, extra: str, name: str = "ext") -> str:
     return f"""
-ext AS (
+{name} AS (
   SELECT o.k, o.npu AS _id, o.npu AS numero_processo, {legacy} AS numero_legado, {filed} AS data_autuacao,
          {judge} AS relator, '{SITE}/processo/' || o.npu AS fonte_url, {extra},
          coalesce(p.t, '') AS envolvidos, coalesce(m.t, '') AS movimentacoes, o.status
@@ -123,12 +123,15 @@ ext AS (
 
 _LEGACY = "strftime(o.d, '%y') || '.05.' || o.k || '-' || (o.k % 10)"
 _FILED_OFF = "CASE WHEN o.k % 3 = 1 AND o.k % 50 <> 49 THEN CAST(o.d AS VARCHAR) END"
-_ONLINE = _DETAIL + "," + _extracted(
+_ONLINE_FIELDS = (
     "party",
     _JUDGE_ONLINE.replace("k %", "o.k %").replace("nm", "o.nm"),
     _FILED.replace("k %", "o.k %").replace("CAST(d", "CAST(o.d"),
     _LEGACY,
     "moves",
+)
+_ONLINE = _DETAIL + "," + _extracted(
+    *_ONLINE_FIELDS,
     f"{_iso('o.k')} AS scraped_at, CAST(NULL AS VARCHAR) AS reprocessed_at, CAST(NULL AS VARCHAR) AS reprocessed_from_doc",
 )
 _OFFLINE = _DETAIL + "," + _extracted(
@@ -139,6 +142,11 @@ _OFFLINE = _DETAIL + "," + _extracted(
     "(SELECT * FROM moves WHERE k % 6 = 5)",
     f"'2025-01-01T00:00:00' AS scraped_at, {_iso('o.k')} AS reprocessed_at, o.k::VARCHAR AS reprocessed_from_doc",
 )
+_AGAIN = _OFFLINE + "," + _extracted(
+    *_ONLINE_FIELDS,
+    f"'2025-02-01T00:00:00' AS scraped_at, {_iso('o.k')} AS reprocessed_at, o.k::VARCHAR AS reprocessed_from_doc",
+    "again",
+)
 # the earlier table and how the second one merges into it
 _OLD = _RECORDS.replace("rec AS", "rec0 AS", 1) + """,
 rec AS (SELECT * REPLACE ('old' AS relator, 'old' AS reprocessed_from_doc) FROM rec0 WHERE status IN ('F', 'P'))"""
@@ -553,6 +561,8 @@ u AS (SELECT kind, CASE WHEN tipo = 'detalhe' OR (tipo IS NULL AND page_class =
 SELECT count(*) AS processed, count(CASE WHEN t IS NULL OR kind IN (0, 8) THEN 1 END) AS succeeded,
        count(CASE WHEN t = 'd' AND kind NOT IN (0, 8) THEN 1 END) AS failed FROM u""",
     "reprocess_pages": f"WITH {_OFFLINE} SELECT {_RECORD_COLUMNS} FROM ext",
+    "reprocess_delta": f"""WITH {_AGAIN}
+SELECT {_RECORD_COLUMNS} FROM ext WHERE k % 2 = 1 UNION ALL SELECT {_RECORD_COLUMNS} FROM again WHERE k % 2 = 0""",
     "ingest_pages": f"""WITH {_ONLINE}
 SELECT * REPLACE (
   CASE WHEN status IN ('F', 'P') AND k % 3 >= 1 THEN {_iso('k')} END AS reprocessed_at,

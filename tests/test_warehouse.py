@@ -85,11 +85,62 @@ def test_deltas_merge_replay_and_compact(spark, tmp_path):
     now = snapshots.read_records(spark, path)
     got = {r["_id"]: (r.seq, r.relator, r.reprocessed_from_doc) for r in now.collect()}
     assert got == {N[0]: (1, "A B", None), N[1]: (3, "Novo", "2"), N[2]: (4, None, None)}
-    snapshots.compact(spark, path, f"{path}/base-1")
-    again = snapshots.read_records(spark, path, f"{path}/base-1")
+    snapshots.compact(spark, path)
+    again = snapshots.read_records(spark, path)
     assert {r["_id"]: (r.seq, r.relator, r.reprocessed_from_doc) for r in again.collect()} == got
 
 
+def test_later_batches_win_over_later_captures(spark, tmp_path):
+    """A page extracted again keeps its capture number but applies after everything written before."""
+    path, rnd, state, sequence = str(tmp_path / "t"), random.Random(4), {}, []
+    for batch_id in range(6):
+        rows = []
+        for key in rnd.sample(N, 4):
+            over = {"relator": f"J{batch_id}"}
+            if batch_id % 2:
+                over.update(reprocessed_at="T", reprocessed_from_doc=str(batch_id), numero_legado=None)
+            rows.append((rnd.randrange(100), record(key, **over)))
+        sequence.append(rows)
+        for _, r in rows:
+            item = dict(zip(upsert.FIELDS, r))
+            state.setdefault(item["_id"], {}).update(
+                {f: v for f, v in item.items() if not f.startswith("reprocessed") or item["reprocessed_from_doc"]}
+            )
+        snapshots.write_delta(batch(spark, rows), path, batch_id)
+        if batch_id in (2, 3):
+            snapshots.compact(spark, path)
+        expected = {
+            k: tuple(s.get(f) for f in upsert.FIELDS if f not in ("envolvidos", "movimentacoes")) for k, s in state.items()
+        }
+        assert as_dict(snapshots.read_records(spark, path)) == expected
+    table_now = table(spark, [])
+    for rows in sequence:
+        table_now = upsert.upsert_processos(table_now, batch(spark, rows))
+    assert as_dict(table_now) == expected
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_small_batch_does_not_move_the_base(spark, tmp_path):
+    base = batch(spark, [(i, record(f"k{i}", relator=f"J{i % 50}")) for i in range(3000)])
+    path = str(tmp_path / "t")
+    snapshots.write_delta(base, path, 0)
+    snapshots.compact(spark, path)
+    snapshots.write_delta(batch(spark, [(1, record("k7", relator="Z")), (2, record("new"))]), path, 1)
+    now = snapshots.read_records(spark, path)
+    branches = _plan(now).split("BroadcastHashJoin")
+    assert any("LeftAnti" in b for b in branches) and any("LeftSemi" in b for b in branches)
+    kept = next(b for b in branches if "LeftAnti" in b.split("\n")[0])
+    assert "Exchange hashpartitioning" not in kept.split("BroadcastExchange")[0]
+    by_judge = _plan(now.where("relator = 'J3'"))
+    assert "EqualTo(relator,J3)" in by_judge
+    by_id = _plan(now.where("_id = 'k9'"))
+    assert by_id.count("EqualTo(_id,k9)") >= 2
+    assert now.where("relator = 'Z'").count() == 1 and now.count() == 3001
+
+
 def test_landing_keeps_known_context_and_duplicates(spark, make_pages):
     fetched = make_pages(["<p>á</p>", "<p>á</p>"]).withColumn(
         "context", F.struct(F.lit("form").alias("tipo"), F.lit("x").alias("cookie"))
