@@ -1,10 +1,11 @@
 """Fetch-log analytics: failures, running server health, retry planning.
 
 The running state of a host is sequential, and one host may hold a third of the
-log. Its rows are therefore cut into chunks of the sequence number, at most
-``CHUNK`` rows each because the number is unique per host. A chunk is windowed
-on its own; what it needs from before is a small carry (counts, last success and
-the last 19 flags) computed over one summary row per chunk.
+log. A host with more than ``CHUNK`` rows is therefore cut into chunks of about
+equal size by quantiles of its sequence number, which may be dense or sparse. A
+chunk is windowed on its own; what it needs from before is a small carry (counts,
+last success and the last 19 flags) computed over one summary row per chunk, at
+most ``MOST_CHUNKS`` per host.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from docketry import constants as C
 from docketry.functions.text import WS, let, strip
+from docketry.session import scratch
 
-CHUNK = 200_000
+CHUNK, MOST_CHUNKS = 200_000, 1024
 _TAIL = C.HEALTH_RECENT - 1
 
 
@@ -88,16 +90,54 @@ def exception_class(log: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ running state
+def _host() -> Column:
+    return F.coalesce("host", F.lit(""))
+
+
+def _bounds(log: DataFrame, chunk: int) -> DataFrame:
+    """(host, bounds): first sequence numbers of the chunks after the first, for hosts above ``chunk`` rows.
+
+    Reads two columns of the log. Quantiles may differ from run to run, so they are
+    written once and both uses of the rows see the same chunks.
+    """
+    keys = log.select(_host().alias("host"), F.coalesce("seq", F.lit(0)).alias("seq"))
+    busy = keys.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > chunk)
+    path = scratch(log.sparkSession, "health-busy")
+    busy.write.parquet(path)
+    busy = log.sparkSession.read.schema(busy.schema).parquet(path)
+    steps = [i / MOST_CHUNKS for i in range(1, MOST_CHUNKS)]
+    cuts = keys.join(busy, "host").groupBy("host").agg(F.percentile_approx("seq", steps, 10 * MOST_CHUNKS).alias("cuts"), F.max("n").alias("n"))
+    # every stride-th quantile, so that a chunk holds about `chunk` rows where that many chunks are allowed
+    stride = F.greatest(F.lit(1), F.floor(F.lit(MOST_CHUNKS * chunk) / F.col("n"))).cast("int")
+    thinned = F.array_distinct(F.filter("cuts", lambda c, i: (i + 1) % F.col("stride") == 0))
+    path = scratch(log.sparkSession, "health-bounds")
+    bounds = cuts.withColumn("stride", stride).select(F.col("host").alias("_bound_host"), F.transform(thinned, lambda c: c + 1).alias("bounds"))
+    bounds.write.parquet(path)
+    return log.sparkSession.read.schema(bounds.schema).parquet(path)
+
+
+def _chunk_of(seq: Column) -> Column:
+    """Number of bounds not above ``seq``, by halving steps."""
+    steps = [1 << i for i in reversed(range(MOST_CHUNKS.bit_length()))]
+
+    def step(low: Column, width: Column) -> Column:
+        return F.when(F.get("bounds", low + width - 1) <= seq, low + width).otherwise(low)
+
+    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+    return F.when(F.col("bounds").isNull(), 0).otherwise(found)
+
+
 def _chunked(flagged: DataFrame, chunk: int, keep: tuple[str, ...]) -> DataFrame:
     """Narrow rows with everything a chunk can know about itself."""
     # keys that cannot be NULL: no filter is inferred on either use of these rows,
     # so both uses stay equal and share one shuffle
-    narrow = flagged.select(
-        F.coalesce("host", F.lit("")).alias("host"),
+    narrow = flagged.select(_host().alias("host"), "seq", "ts", "failed", *keep)
+    narrow = narrow.join(_bounds(flagged, chunk), F.col("host") == F.col("_bound_host"), "left").select(
+        "host",
         "seq",
         "ts",
         "failed",
-        F.expr(f"coalesce(seq div {int(chunk)}, 0L)").alias("chunk"),
+        F.coalesce(_chunk_of(F.coalesce("seq", F.lit(0))), F.lit(0)).alias("chunk"),
         *keep,
     )
     w = Window.partitionBy("host", "chunk").orderBy("seq")
@@ -259,6 +299,7 @@ def health_state(health: DataFrame) -> DataFrame:
             F.max_by(F.when(F.col("ok_rn") > 0, F.col("last_success")), "n").alias("ok_ts"),
             F.max_by("started", "n").alias("started"),
             F.max_by("degraded", "n").alias("degraded"),
+            F.max("seq").alias("last_seq"),
             F.array_sort(F.collect_list(F.struct("n", "failed"))).alias("tail"),
         )
         .withColumn("tail", F.transform("tail", lambda x: x["failed"]))
@@ -301,8 +342,19 @@ def health_transitions(health: DataFrame, before: DataFrame | None = None) -> Da
     )
 
 
-def health_snapshot(health: DataFrame) -> DataFrame:
-    """Latest state per host (partial aggregation, no sort of a host)."""
+def health_snapshot(health: DataFrame, hosts: DataFrame | None = None) -> DataFrame:
+    """Latest state per host (partial aggregation, no sort of a host).
+
+    With a list of ``hosts`` (one column), those without events are "unknown".
+    """
+    if hosts is not None:
+        listed = hosts.select(F.col("host").alias("_listed")).distinct()
+        found = health_snapshot(health)
+        return listed.join(found, F.col("_listed") == F.col("host"), "left").select(
+            F.col("_listed").alias("host"),
+            F.coalesce("status", F.lit("unknown")).alias("status"),
+            *[c for c in found.columns if c not in ("host", "status")],
+        )
     fields = ["n", "degraded", "failure_rate", "consecutive_failures", "last_success", "recent_failures", "recent_total"]
     return (
         health.groupBy("host")
@@ -337,7 +389,7 @@ def retry_plan(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
         F.col("exception").isNotNull(), F.col("exception").isin(C.RETRYABLE_EXCEPTIONS)
     ).otherwise(status_retry(F.col("status")) | F.col("content_failed"))
     events = with_flags(log).withColumn("retryable", retryable)
-    rows = server_health(events, chunk=chunk, keep=("endpoint", "retry_times", "retryable"))
+    rows = server_health(events, chunk=chunk, keep=("endpoint", "retry_times", "retryable", "download_timeout"))
     attempt = F.coalesce("retry_times", F.lit(0)) + 1
     allowed = _endpoint_value(0, C.RETRY_DEFAULT_MAX).cast("int")
     base = F.least(
@@ -345,9 +397,11 @@ def retry_plan(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
         F.lit(C.BACKOFF_CAP),
     )
     slow = F.when(F.col("degraded"), C.DEGRADED_FACTOR).otherwise(1.0)
+    # the request carries its timeout from attempt to attempt, so repeated scaling compounds up to the cap
+    current = F.coalesce("download_timeout", F.lit(C.TIMEOUT_SEC))
     timeout = F.when(
-        F.col("degraded"), F.least(F.lit(C.TIMEOUT_SEC) * _endpoint_value(2, 1.0), F.lit(C.TIMEOUT_CAP))
-    ).otherwise(C.TIMEOUT_SEC)
+        F.col("degraded"), F.least(current * _endpoint_value(2, 1.0), F.lit(C.TIMEOUT_CAP))
+    ).otherwise(current)
     go_on = attempt <= allowed
     return rows.where("retryable").select(
         "host",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,12 +149,30 @@ def layout_write(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def layout_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of the key tables that serve url+method, number, tax id, judge and recency."""
+    """Lookups of a key per customer by url+method, number, tax id and judge, and of the records of the last day."""
     path = scratch(spark, "lookup")
     pg.write_url_layout(pg.land_raw_pages(R.mixed_pages(spark, sf)), path)
     pg.write_records_layout(_records(spark, sf), path)
-    names = ["by_url", "by_numero", "by_cnpj", "by_judge", "by_scraped_at"]
-    return reports.collection_counts({n: spark.read.parquet(f"{path}/{n}") for n in names})
+    q = F.col("c_custkey")
+    wanted = R.table(spark, sf, "customer").select(
+        F.concat(F.lit(f"{R.SITE}/pagina/"), q.cast("string")).alias("url"),
+        R.case_number(q, F.lit(1995) + q % 7).alias("numero"),
+        F.lpad(q.cast("string"), 14, "0").alias("cnpj"),
+        F.col("c_name").alias("relator"),
+    )
+
+    def found(name: str, rows: DataFrame, key: str, value: str) -> DataFrame:
+        return rows.select(F.lit(name).alias("lookup"), F.col(key).alias("key"), F.col(value).cast("string").alias("found"))
+
+    keyed = {"by_url": ("url", "page_id"), "by_numero": ("numero", "page_id"), "by_cnpj": ("cnpj", "page_id"), "by_judge": ("relator", "_id")}
+    parts = [
+        found(name, spark.read.parquet(f"{path}/{name}").join(wanted.select(key), key), key, value)
+        for name, (key, value) in keyed.items()
+    ]
+    written = spark.read.parquet(f"{path}/by_scraped_at")
+    day = written.agg(F.substring(F.max("scraped_at"), 1, 10)).first()[0]
+    parts.append(found("by_scraped_at", written.where(F.col("scraped_at") >= F.lit(day)), "scraped_at", "_id"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @_query
@@ -554,6 +573,16 @@ def health_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def health_snapshot_hosts(spark: SparkSession, sf: str) -> DataFrame:
+    """A list of hosts, some of which have no events."""
+    hosts = R.table(spark, sf, "customer").select(F.concat(F.lit("h"), (F.col("c_custkey") % 6).cast("string")).alias("host"))
+    snap = health.health_snapshot(health.server_health(R.fetch_log(spark, sf)), hosts)
+    return snap.withColumn("last_success", F.unix_micros("last_success")).withColumn(
+        "failure_rate", F.round("failure_rate", 6)
+    )
+
+
 @_query
 def retry_plan(spark: SparkSession, sf: str) -> DataFrame:
     return health.retry_plan(R.fetch_log(spark, sf)).withColumns(

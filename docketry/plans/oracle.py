@@ -207,7 +207,8 @@ fl AS (
          event_type = 'signup' AS ex,
          CASE WHEN event_type = 'signup' THEN CASE WHEN user_id % 3 = 0 THEN 'ValueError' ELSE 'TimeoutError' END END AS exception,
          CASE WHEN event_type <> 'signup' THEN CASE WHEN event_type = 'error' THEN 503 ELSE 200 END END AS status,
-         event_type = 'view' AND user_id % 5 = 0 AS cf, event_id % 7 AS retry_times
+         event_type = 'view' AND user_id % 5 = 0 AS cf, event_id % 7 AS retry_times,
+         [30.0, 45.0, 100.0][(event_id % 3 + 1)::INTEGER]::DOUBLE AS current_timeout
   FROM events
 ),
 f AS (SELECT *, ex OR status = 503 OR cf AS failed FROM fl)"""
@@ -282,7 +283,7 @@ vr AS (
 
 _ORACLE: dict[str, str] = {
     "land_raw_pages": f"""
-SELECT page_id, url, 'GET' AS method, 200 AS status, 'text/html' AS content_type, length(html)::INTEGER AS n_chars,
+SELECT page_id, url, 'GET' AS method, 200 AS status, 'text/html; título' AS content_type, length(html)::INTEGER AS n_chars,
        CAST(NULL AS VARCHAR) AS payload,
        CASE page_id % 3 WHEN 0 THEN 'lista' WHEN 1 THEN 'detalhe' END AS tipo,
        CASE WHEN page_id % 2 = 0 THEN 'numero' ELSE 'cnpj' END AS busca, CAST(NULL AS VARCHAR) AS numero,
@@ -307,10 +308,13 @@ FROM o, unnest(range(0, k % 3 + 1)) t(r) WHERE status IN ('F', 'O')""",
     "layout_write": f"""WITH {_MIXED}
 SELECT coalesce(tipo, 'undefined') AS tipo, count(*) AS n, min(fetched_at) AS first_at, max(fetched_at) AS last_at,
        count(numero) AS n_numero FROM mixed GROUP BY 1""",
-    "layout_lookup": f"""WITH {_MIXED}
-SELECT 'by_url' AS collection, count(url) AS n FROM mixed UNION ALL SELECT 'by_numero', count(numero) FROM mixed
-UNION ALL SELECT 'by_cnpj', count(CASE WHEN busca = 'cnpj' THEN 1 END) FROM mixed
-UNION ALL SELECT 'by_judge', count(*) FROM rec UNION ALL SELECT 'by_scraped_at', count(*) FROM rec""",
+    "layout_lookup": f"""WITH {_MIXED},
+q AS (SELECT c_custkey AS q, c_name AS nm, {_npu('c_custkey', '1995 + c_custkey % 7')} AS npu, lpad(c_custkey::VARCHAR, 14, '0') AS tax FROM customer)
+SELECT 'by_url' AS lookup, url AS key, page_id::VARCHAR AS found FROM mixed JOIN q ON url = '{SITE}/pagina/' || q.q
+UNION ALL SELECT 'by_numero', numero, page_id::VARCHAR FROM mixed JOIN q ON numero = q.npu
+UNION ALL SELECT 'by_cnpj', q.tax, page_id::VARCHAR FROM mixed JOIN q ON busca = 'cnpj' AND page_id = q.q
+UNION ALL SELECT 'by_judge', relator, _id FROM rec JOIN q ON relator = q.nm
+UNION ALL SELECT 'by_scraped_at', scraped_at, _id FROM rec WHERE scraped_at >= (SELECT max(scraped_at)[1:10] FROM rec)""",
     "page_integrity": "SELECT page_id, false AS hash_ok FROM pages WHERE page_id % 4 = 0",
     "repeated_captures": f"""WITH {_MIXED}
 SELECT 'sha256:' || sha256(html) AS hash_html, count(*) AS n, min(page_id) AS first_page_id
@@ -492,6 +496,12 @@ l AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY host ORDER BY seq
 SELECT host, CASE WHEN degraded THEN 'degraded' ELSE 'healthy' END AS status, round(rate, 6) AS failure_rate,
        cons AS consecutive_failures, last_us AS last_success, least(n, 100) AS sample_size, rf::BIGINT AS recent_failures,
        least(n, 20) AS total_requests FROM l""",
+    "health_snapshot_hosts": f"""WITH {_HEALTH},
+l AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY host ORDER BY seq DESC) = 1),
+n AS (SELECT DISTINCT 'h' || (c_custkey % 6) AS host FROM customer)
+SELECT n.host, CASE WHEN l.host IS NULL THEN 'unknown' WHEN degraded THEN 'degraded' ELSE 'healthy' END AS status, round(rate, 6) AS failure_rate,
+       cons AS consecutive_failures, last_us AS last_success, CASE WHEN l.n > 100 THEN 100 ELSE l.n END AS sample_size,
+       rf::BIGINT AS recent_failures, CASE WHEN l.n > 20 THEN 20 ELSE l.n END AS total_requests FROM n LEFT JOIN l USING (host)""",
     "retry_plan": f"""WITH {_HEALTH},
 dim(endpoint, mx, dm, tm) AS (VALUES ('form', 3, 1.5::DOUBLE, 1.2::DOUBLE), ('detail', 4, 1.0, 1.0), ('list', 5, 2.0, 1.5), ('stable_route', 6, 0.8, 0.9)),
 a AS (SELECT h.*, retry_times + 1 AS attempt, coalesce(mx, 5) AS mx, coalesce(dm, 1.0) AS dm, coalesce(tm, 1.0) AS tm
@@ -499,7 +509,7 @@ a AS (SELECT h.*, retry_times + 1 AS attempt, coalesce(mx, 5) AS mx, coalesce(dm
 d AS (SELECT *, CASE WHEN attempt <= mx THEN least(power(2.0, attempt - 1) * dm, 60.0) * CASE WHEN degraded THEN 2.0 ELSE 1.0 END END AS base FROM a)
 SELECT host, seq, endpoint, attempt::INTEGER AS attempt, mx AS max_retries, attempt > mx AS give_up, degraded,
        round(base * 0.5, 6) AS delay_lo, round(base * 1.5, 6) AS delay_hi,
-       CASE WHEN attempt <= mx THEN round(CASE WHEN degraded THEN least(30.0 * tm, 120.0) ELSE 30.0 END, 6)::DOUBLE END AS timeout_sec FROM d""",
+       CASE WHEN attempt <= mx THEN round(CASE WHEN degraded THEN least(current_timeout * tm, 120.0) ELSE current_timeout END, 6)::DOUBLE END AS timeout_sec FROM d""",
     "collection_counts": """
 SELECT 'raw_pages' AS collection, count(*) AS n FROM orders UNION ALL SELECT 'processos', count(*) FROM orders
 UNION ALL SELECT 'crawl_requests', count(*) FROM customer UNION ALL SELECT 'fetch_log', count(*) FROM events""",

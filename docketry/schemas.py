@@ -71,5 +71,6 @@ FETCH_LOG = T.StructType(
         T.StructField("html", S),
         T.StructField("exception", S),
         T.StructField("retry_times", I),
+        T.StructField("download_timeout", T.DoubleType()),
     ]
 )

@@ -111,7 +111,8 @@ def detail_html() -> Column:
     )
 
     def respondent(j: Column) -> Column:
-        row = _cat("<tr><td>APDO</td><td>: Jos&eacute;&nbsp;&amp; Cia ", _text(j), "</td></tr>")
+        name = F.when(j % 3 == 0, "Jos&eacute;&nbsp;&amp;").when(j % 3 == 1, "Jos&eacute &amp").otherwise("Jos&#000000233 &")
+        row = _cat("<tr><td>APDO</td><td>: ", name, " Cia ", _text(j), "</td></tr>")
         return F.when(j > 0, row).otherwise("")
 
     parties = _cat(
@@ -441,6 +442,7 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~failed, body).alias("html"),
         F.when(failed, F.when(user % 3 == 0, "ValueError").otherwise("TimeoutError")).alias("exception"),
         (e % 7).cast("int").alias("retry_times"),
+        F.when(e % 3 == 1, 45.0).when(e % 3 == 2, 100.0).alias("download_timeout"),
     )
 
 
@@ -452,7 +454,10 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "url",
         F.lit("GET").alias("method"),
         F.lit(200).alias("status"),
-        F.create_map(F.lit("Content-Type"), F.lit("text/html")).alias("headers"),
+        F.create_map(
+            F.encode(F.lit("Content-Type"), "ISO-8859-1"),
+            F.array(F.encode(F.lit("text/html; título"), "ISO-8859-1"), F.encode(F.lit("text/plain"), "ISO-8859-1")),
+        ).alias("headers"),
         F.struct(
             F.when(p % 3 == 0, "lista").when(p % 3 == 1, "detalhe").alias("tipo"),
             F.when(p % 2 == 0, "numero").otherwise("cnpj").alias("busca"),

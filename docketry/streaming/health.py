@@ -3,7 +3,8 @@
 A state operator keyed by host would run a whole host in one task. Here every
 micro-batch runs the chunked batch operator with the closing state of the batch
 before it as its start, so a busy host is spread over the cluster. Log files
-must arrive in event order; inside a batch the order of files does not matter.
+should arrive in event order; inside a batch the order of files does not matter.
+A row that comes after its host's state has passed it is set aside, not counted.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ STATE = T.StructType(
         T.StructField("started", T.TimestampType()),
         T.StructField("degraded", T.BooleanType()),
         T.StructField("tail", T.ArrayType(T.BooleanType())),
+        T.StructField("last_seq", L),
     ]
 )
 
@@ -40,6 +42,12 @@ def apply_batch(log: DataFrame, batch_id: int, table: str, chunk: int = CHUNK) -
     spark = log.sparkSession
     before = _state(spark, table, batch_id - 1)
     out = f"{table}/health/batch_id={batch_id}"
+    passed = before.select(F.coalesce("host", F.lit("")).alias("_passed_host"), "last_seq")
+    rows = log.join(passed, F.coalesce("host", F.lit("")) == F.col("_passed_host"), "left").drop("_passed_host")
+    is_late = F.coalesce(F.col("seq") <= F.col("last_seq"), F.lit(False))
+    late = rows.where(is_late).select("host", "seq", "ts", "url", "status", "exception", "last_seq")
+    late.write.mode("overwrite").parquet(f"{table}/late/batch_id={batch_id}")
+    log = rows.where(~is_late).drop("last_seq")
     server_health(log, start=before, chunk=chunk).write.mode("overwrite").parquet(out)
     health = spark.read.parquet(out)
     health_transitions(health, before).write.mode("overwrite").parquet(
@@ -68,5 +76,10 @@ def read_health(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(f"{table}/health")
 
 
+def read_late(spark: SparkSession, table: str) -> DataFrame:
+    """Rows that came too late, with the last number their host had reached."""
+    return spark.read.parquet(f"{table}/late")
+
+
 def read_transitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(f"{table}/transitions").select("host", "seq", "ts", F.col("change"))
