@@ -225,8 +225,14 @@ def attribute(tag: Column, name: str) -> Column:
     return unescape(F.regexp_replace(quoted, r"""^["']|["']$""", ""))
 
 
-def anchors(mk: Column) -> Column:
-    """array<struct<href, cls, text, npu>> of all anchors in document order."""
+def anchors(mk: Column, containing: str = "") -> Column:
+    """array<struct<href, cls, text, npu>> of all anchors in document order.
+
+    ``containing`` leaves out anchors without a word before their parts are read.
+    """
+    raw = F.regexp_extract_all(mk, F.lit(_ANCHOR), F.lit(0))
+    if containing:
+        raw = F.filter(raw, lambda a: F.contains(a, F.lit(containing)))
 
     def parse(a: Column) -> Column:
         tag = F.regexp_extract(a, _TAG_HEAD, 0)
@@ -236,7 +242,7 @@ def anchors(mk: Column) -> Column:
             first_text(F.regexp_replace(a, _TAG_HEAD, "")).alias("text"),
         )
 
-    parsed = F.transform(F.regexp_extract_all(mk, F.lit(_ANCHOR), F.lit(0)), parse)
+    parsed = F.transform(raw, parse)
     return F.transform(
         parsed,
         lambda a: F.struct(

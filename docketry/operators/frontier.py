@@ -110,7 +110,7 @@ def best_link(links: Column, target: Column) -> Column:
 
 def best_detail_link(pages: DataFrame) -> DataFrame:
     """Per list page with a target number: the link to follow, resolved."""
-    best = best_link(M.anchors(M.markup(F.col("html"))), F.col("context.numero"))
+    best = best_link(M.anchors(M.markup(F.col("html")), "processo"), F.col("context.numero"))
     return pages.select(
         "page_id", "url", F.col("context.numero").alias("numero"), present(best).alias("b")
     ).select(
@@ -180,7 +180,7 @@ def _requests(pages: DataFrame, links: Column, limits: DataFrame, plain_host: st
 
 def frontier_form(pages: DataFrame, limits: DataFrame) -> DataFrame:
     """Detail requests of form-route list pages, with page and crawl caps."""
-    links = F.filter(M.anchors(M.markup(F.col("html"))), lambda a: _has(a["href"], "processo"))
+    links = F.filter(M.anchors(M.markup(F.col("html")), "processo"), lambda a: _has(a["href"], "processo"))
     return _requests(pages, links, limits)
 
 
@@ -200,7 +200,7 @@ def frontier_stable(pages: DataFrame, limits: DataFrame, plain_host: str | None
         ]
         return F.coalesce(*[let(t, lambda x: F.when(F.size(x) > 0, x)) for t in tiers])
 
-    links = let(M.anchors(M.markup(F.col("html"))), first_tier)
+    links = let(M.anchors(M.markup(F.col("html")), "processo"), first_tier)
     return _requests(pages, links, limits, plain_host)
 
 

@@ -12,7 +12,7 @@ from docketry.streaming import health as sh
 OK = "<html><body>" + "conteudo " * 20 + "</body></html>"
 
 
-def make_log(seed=7, n=1500):
+def make_log(seed=7, n=1500, scale=1):
     """Bursts of failures; host h0 has two thirds of the rows, h2 appears late."""
     rnd = random.Random(seed)
     now, rows, bad = datetime(2024, 1, 1), [], 0.1
@@ -27,7 +27,7 @@ def make_log(seed=7, n=1500):
                 [(503, OK, None), (404, OK, None), (200, "<p>Erro 500</p>" + OK, None), (200, "curto", None),
                  (200, "<b></b>" * 60, None), (None, None, "TimeoutError"), (None, None, "ValueError")]
             )
-        rows.append((host, seq, now, "u", rnd.choice(["form", "detalhe", "list"]), status, html, exc, rnd.randrange(7)))
+        rows.append((host, seq * scale, now, "u", rnd.choice(["form", "detalhe", "list"]), status, html, exc, rnd.randrange(7), None))
     return rows
 
 
@@ -82,6 +82,39 @@ def test_chunks_do_not_change_the_state(spark, chunk):
     assert len(got) > 10
 
 
+def test_sparse_sequence_numbers_make_few_even_chunks(spark):
+    """Numbers like clock ticks: chunks follow the rows, not the numbers, and no task holds a host."""
+    rows = make_log(5, 4000, scale=10**6)
+    for i, row in enumerate(rows[:40]):  # far away from the others
+        rows[i] = (row[0], row[1] - 10**15, *row[2:])
+    log, expected = spark.createDataFrame(rows, FETCH_LOG), loop(rows)
+    result = health.server_health(log, chunk=100)
+    assert states(result) == expected
+    sizes = [r["count"] for r in result.groupBy("host", "chunk").count().collect()]
+    assert max(sizes) <= 400 and len(sizes) < len(rows) / 20
+    got = {(r.host, r.seq, r.change) for r in health.health_transitions(result).collect()}
+    assert got == changes(expected)
+
+
+def test_unknown_hosts_are_listed(spark):
+    snap = health.health_snapshot(
+        health.server_health(spark.createDataFrame(make_log(3, 300), FETCH_LOG)),
+        spark.createDataFrame([("h0",), ("h9",), ("h9",)], "host string"),
+    )
+    got = {r.host: (r.status, r.sample_size) for r in snap.collect()}
+    assert set(got) == {"h0", "h9"} and got["h9"] == ("unknown", None) and got["h0"][0] != "unknown"
+
+
+def test_late_rows_are_set_aside(spark, tmp_path):
+    rows = make_log(11, 300)
+    src, table, mark = (str(tmp_path / n) for n in ("in", "table", "mark"))
+    for part in (rows[:200], rows[200:] + rows[10:13]):
+        spark.createDataFrame(part, FETCH_LOG).write.mode("append").parquet(src)
+        sh.stream_health(spark, src, table, mark, chunk=40).awaitTermination()
+    assert states(sh.read_health(spark, table)) == loop(rows)
+    assert {(r.host, r.seq) for r in sh.read_late(spark, table).collect()} == {(r[0], r[1]) for r in rows[10:13]}
+
+
 def test_snapshot_is_the_last_state(spark):
     rows = make_log(3, 300)
     expected = loop(rows)
@@ -113,15 +146,18 @@ def test_stream_equals_batch_and_survives_a_replay(spark, tmp_path):
 def test_retry_plan_bounds(spark):
     now = datetime(2024, 1, 1)
     rows = [
-        ("h", 1, now, "u", "form", 503, OK, None, 0),
-        ("h", 2, now, "u", "form", 503, OK, None, 3),
-        ("h", 3, now, "u", "list", None, None, "TimeoutError", 4),
-        ("h", 4, now, "u", "detalhe", 429, OK, None, None),
-        ("h", 5, now, "u", "list", None, None, "ValueError", 0),
-        ("h", 6, now, "u", "list", 404, OK, None, 0),
-    ] + [("h", 7 + i, now, "u", "stable_route", 500, OK, None, 5) for i in range(5)]
+        ("h", 1, now, "u", "form", 503, OK, None, 0, None),
+        ("h", 2, now, "u", "form", 503, OK, None, 3, None),
+        ("h", 3, now, "u", "list", None, None, "TimeoutError", 4, 70.0),
+        ("h", 4, now, "u", "detalhe", 429, OK, None, None, None),
+        ("h", 5, now, "u", "list", None, None, "ValueError", 0, None),
+        ("h", 6, now, "u", "list", 404, OK, None, 0, None),
+    ] + [("h", 7 + i, now, "u", "stable_route", 500, OK, None, 5, None) for i in range(5)]
+    # a degraded host scales the timeout a request already has, up to the cap
+    rows += [("h", 20, now, "u", "list", 500, OK, None, 1, 45.0), ("h", 21, now, "u", "list", 500, OK, None, 1, 101.25)]
     plan = {r.seq: r for r in health.retry_plan(spark.createDataFrame(rows, FETCH_LOG)).collect()}
-    assert sorted(plan) == [1, 2, 3, 4, 7, 8, 9, 10, 11]
+    assert sorted(plan) == [1, 2, 3, 4, 7, 8, 9, 10, 11, 20, 21]
+    assert (plan[3].timeout_sec, plan[20].timeout_sec, plan[21].timeout_sec) == (70.0, 67.5, 120.0)
     assert (plan[1].delay_lo, plan[1].delay_hi, plan[1].timeout_sec) == (0.75, 2.25, 30.0)
     assert plan[2].give_up and plan[2].delay_lo is None
     assert (plan[3].attempt, plan[3].delay_lo, plan[3].delay_hi) == (5, 16.0, 48.0)
@@ -146,6 +182,6 @@ def test_failure_reasons(spark):
         (404, OK, "none", False),
         (200, OK, "none", True),
     ]
-    rows = [("h", i, now, "u", "form", s, h, None, 0) for i, (s, h, _, _) in enumerate(pages)]
+    rows = [("h", i, now, "u", "form", s, h, None, 0, None) for i, (s, h, _, _) in enumerate(pages)]
     got = health.fetch_failures(spark.createDataFrame(rows, FETCH_LOG)).orderBy("seq").collect()
     assert [(r.retry_reason, r.success) for r in got] == [(p[2], p[3]) for p in pages]

@@ -156,6 +156,18 @@ def test_landing_keeps_known_context_and_duplicates(spark, make_pages):
     assert [r.page_id for r in pg.page_integrity(broken).collect()] == [1]
 
 
+def test_landing_takes_the_first_value_of_each_header(spark, make_pages):
+    latin = lambda text: text.encode("latin-1")
+    many = spark.createDataFrame(
+        [(0, {latin("Título"): [latin("á"), latin("b")], latin("Empty"): []}), (1, None)], "page_id long, h map<binary, array<binary>>"
+    )
+    fetched = make_pages(["x", "y"]).drop("headers").join(many, "page_id").withColumnRenamed("h", "headers")
+    got = {r.page_id: r.headers for r in pg.land_raw_pages(fetched).collect()}
+    assert got == {0: {"Título": "á", "Empty": None}, 1: None}
+    flat = pg.land_raw_pages(make_pages(["x"]).withColumn("headers", F.create_map(F.lit("a"), F.lit("b"))))
+    assert flat.first().headers == {"a": "b"}
+
+
 def test_selection_order_skip_and_limit(make_pages):
     pages = make_pages([("x", {"tipo": "lista"}), ("", {"tipo": "lista"}), ("y", {"tipo": "form"})] + [("z", {"tipo": "lista"})] * 15)
     assert pg.select_raw_pages(pages).count() == 17
