@@ -7,6 +7,7 @@ back by position. Its size bounds the memory of a task and of every group by blo
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from docketry.llm.common import small_batches
+from docketry.session import scratch
 
 
 def pack_texts(texts: list[str]) -> bytes:
@@ -72,6 +74,17 @@ def packed(docs: DataFrame, columns: dict[str, str], text: str, make, extra: str
     return narrow.mapInArrow(run, schema)
 
 
+def stored_blocks(blocks: DataFrame, name: str) -> DataFrame:
+    """Blocks written below spark.checkpoint.dir, bucketed by block: joins on block leave the payloads where they are."""
+    spark = blocks.sparkSession
+    table, path = f"{name}_{uuid.uuid4().hex}", scratch(spark, name)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks.write.bucketBy(buckets, "block").option("path", path).saveAsTable(table)
+    read = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only: the files are an external table's
+    return read
+
+
 def per_block(blocks: DataFrame, make, schema: str) -> DataFrame:
     """make(row as dict) -> list of column lists, for each block row; the rows it gives replace the block's."""
     fields = StructType.fromDDL(schema).fields

@@ -13,6 +13,8 @@ phrase is at most one row per block, and its answer comes back by position.
 
 from __future__ import annotations
 
+from itertools import compress
+
 import ahocorasick
 import numpy as np
 import xxhash
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docketry.llm.blocks import packed, per_block, unpack_texts
+from docketry.llm.blocks import packed, per_block, stored_blocks, unpack_texts
 from docketry.llm.common import sha256, stored
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the rolling hashes
@@ -28,7 +30,7 @@ _seen: dict[bytes, int] = {}
 
 
 def word_hash(word: bytes) -> int:
-    if len(_seen) > 500_000:
+    if len(_seen) > 200_000:
         _seen.clear()
     found = _seen[word] = xxhash.xxh64_intdigest(word)
     return found
@@ -45,8 +47,11 @@ class Words:
             ends.append(len(self.words))
         self.ends = np.array(ends, np.int64)
         self.starts = np.concatenate(([0], self.ends[:-1]))
-        get = _seen.get
-        self.hashes = np.fromiter((get(w) or word_hash(w) for w in self.words), np.uint64, len(self.words))
+        hashes = list(map(_seen.get, self.words))
+        for i, known in enumerate(hashes):
+            if known is None:
+                hashes[i] = word_hash(self.words[i])
+        self.hashes = np.array(hashes, np.uint64)
 
     def rolling(self, size: int, base: int) -> np.ndarray:
         """Hash of each run of `size` words, by position of its first word: sum of hash * base^j modulo 2^64."""
@@ -120,7 +125,7 @@ def covered(words: Words, at: np.ndarray, size: int) -> np.ndarray:
     return inside
 
 
-def substring_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 35, seed: int = 18, most: int = 8_000_000) -> DataFrame:
+def substring_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 35, seed: int = 18, most: int = 4_000_000) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, kept_sha256), one row per input row.
 
     A word goes if it lies in a window of `size` words whose word sequence starts at
@@ -139,7 +144,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", si
         return [found.view(np.int64), places]
 
     made = packed(docs, {"ids": key}, text, first, "seeds array<bigint>, counts array<int>", most)
-    blocks = stored(made, "passage-blocks")
+    blocks = stored_blocks(made, "passage_blocks")
     rows = blocks.select("block", F.posexplode(F.arrays_zip("seeds", "counts")).alias("at", "s")).select("block", "at", "s.seeds", F.col("s.counts").alias("n"))
     repeated = confirmed(rows, ["seeds"], "passage-seeds")
     texts = blocks.select("block", "ids", "lengths", "payload")
@@ -168,8 +173,11 @@ def substring_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", si
         live = np.zeros(which.max(initial=-1) + 1, bool)
         live[values(row["windows"])] = True
         gone = covered(words, near[live[which]], size)
-        kept = [b" ".join([w for w, g in zip(words.words[a:b], gone[a:b].tolist(), strict=True) if not g]).decode() for a, b in zip(words.starts.tolist(), words.ends.tolist(), strict=True)]
-        removed = [int(gone[a:b].sum()) for a, b in zip(words.starts.tolist(), words.ends.tolist(), strict=True)]
+        kept, removed = [], []
+        for a, b in zip(words.starts.tolist(), words.ends.tolist(), strict=True):
+            left, here = words.words[a:b], gone[a:b]
+            removed.append(int(here.sum()))
+            kept.append(b" ".join(compress(left, (~here).tolist()) if removed[-1] else left).decode())
         return [row["ids"].values, words.ends - words.starts, removed, kept, [sha256(k) for k in kept]]
 
     every = texts.join(repeated, "block", "left").join(found.withColumnRenamed("places", "windows"), "block", "left")
