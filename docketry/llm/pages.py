@@ -49,8 +49,9 @@ class Line:
 class Lines(HTMLParser):
     """Lines of text outside furniture, each with its tags and the innermost container around it."""
 
-    def __init__(self):
+    def __init__(self, by_name: bool = True):
         super().__init__(convert_charrefs=True)
+        self.by_name = by_name
         self.stack: list[tuple[str, bool, bool]] = []  # name, furniture, container
         self.open: Counter[str] = Counter()
         self.names = [""]  # of containers; number 0 is the page
@@ -68,7 +69,7 @@ class Lines(HTMLParser):
         self.line = Line(self.holder)
 
     def furniture(self, name: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if name in FURNITURE:
+        if name in FURNITURE and (self.by_name or name != "form"):
             return True
         inside = self.open["article"] or self.open["main"]
         if name == "header" and not inside:
@@ -77,7 +78,7 @@ class Lines(HTMLParser):
             value = (value or "").lower()
             if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
                 return True
-            if key in ("class", "id", "role") and name not in ("html", "body", "main", "article"):
+            if self.by_name and key in ("class", "id", "role") and name not in ("html", "body", "main", "article"):
                 found = WORDS.findall(value)
                 if not NAMES.isdisjoint(found) or not inside and "header" in found:
                     return True
@@ -134,8 +135,8 @@ class Lines(HTMLParser):
             self.line.text.append(data)
 
 
-def lines_of(html: str, piece: int = 1 << 16) -> Lines:
-    parser = Lines()
+def lines_of(html: str, by_name: bool = True, piece: int = 1 << 16) -> Lines:
+    parser = Lines(by_name)
     for at in range(0, len(html), piece):
         parser.feed(html[at : at + piece])
     parser.close()
@@ -168,8 +169,14 @@ def region(parser: Lines, share: float = 0.7) -> int:
 
 
 def main_text(html: str | None) -> str:
-    """Main text of one whole page; white space is one space, blocks are joined by one space."""
+    """Main text of one whole page; white space is one space, blocks are joined by one space.
+
+    Where a class name or a form around the whole page hides all of it, only element
+    names tell furniture.
+    """
     parser = lines_of(html or "")
+    if not parser.kept:
+        parser = lines_of(html or "", by_name=False)
     if not parser.kept:
         return ""
     at = region(parser)

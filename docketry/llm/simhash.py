@@ -54,17 +54,28 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shing
 
 
 def _forest(members: np.ndarray, exact: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Spanning forest of the links within `bits` between the exact members of a bucket and all its members."""
-    label = np.arange(len(members))
+    """Spanning forest of the links within `bits` between the exact members of a bucket and all its members.
+
+    Breadth first: a reached member is compared with those not yet reached only. In a
+    group of near copies that is most of them after the first steps.
+    """
     names = members.view(np.int64)
-    edges = []
-    for i in np.flatnonzero(exact).tolist():
-        near = np.flatnonzero((np.bitwise_count(members ^ members[i]) <= bits) & (label != label[i]))
-        while len(near):
-            j = near[0]
-            edges.append((int(names[i]), int(names[j])))
-            label[label == label[j]] = label[i]
-            near = near[label[near] != label[i]]
+    edges: list[tuple[int, int]] = []
+    left = np.arange(len(members))
+    for hub in np.flatnonzero(exact).tolist():
+        at = int(np.searchsorted(left, hub))
+        if at == len(left) or left[at] != hub:
+            continue  # reached already
+        left = np.delete(left, at)
+        reached = [hub]
+        while reached and len(left):
+            i = reached.pop()
+            pool = left if exact[i] else left[exact[left]]
+            near = pool[np.bitwise_count(members[pool] ^ members[i]) <= bits]
+            if len(near):
+                edges += zip([int(names[i])] * len(near), names[near].tolist(), strict=True)
+                reached += near.tolist()
+                left = left[~np.isin(left, near, assume_unique=True)]
     return edges
 
 

@@ -186,6 +186,8 @@ def test_main_text_of_pages():
     assert pages.main_text(cut) == TEXT
     plain = PAGE.replace("article>", "div>")
     assert pages.main_text(plain) == TEXT
+    wrapped = '<form id="aspnetForm"><div class="header-fixed nav-left"><nav>menu</nav><p>All of the page.</p></div></form>'
+    assert pages.main_text(wrapped) == "All of the page."
     assert [pages.main_text(x) for x in (None, "", "   ", "<nav>x</nav>", "just text", "<p>a</p>b")] == ["", "", "", "", "just text", "a b"]
 
 
@@ -297,7 +299,7 @@ def test_line_dedup_equals_its_sql_with_odd_rows(spark, odd_docs, no_docs, tmp_p
             body.insert(rng.randint(0, len(body)), rng.choice([footer, f"  {footer}\t"]))
         if i % 4 == 0:
             body = copy if i % 8 else copy[:3]
-        rows.append((100 + i, "\n".join(body), f"s{i % (6 + i % 12)}"))
+        rows.append((100 + i, "\n".join(body), f"s{rng.randrange(17)}"))
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     docs.coalesce(1).write.parquet(str(tmp_path / "d"))
     con = duckdb.connect()
