@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle
-from docketry.plans import catalog, ingest
+from docketry.plans import catalog, ingest, oracle
 from docketry.schemas import PROCESSOS
 from docketry.sources import pages as pg
 from docketry.sources import rendered as R
@@ -17,13 +17,14 @@ def duck(sf):
     return check_oracle.connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_equals_oracle(spark, duck, sf, name):
     assert check_oracle.compare(spark, duck, name, sf) == ""
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_written_tables_go_to_the_shared_folder(spark):
