@@ -3,10 +3,12 @@
 from collections import Counter
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 from test_pairs_and_passages import plain_components, plain_hits, plain_print
 
 import __spark_entry__
+import check_oracle
 from docketry.llm import lines, queries, rules
 from docketry.llm.common import stored, table
 
@@ -78,6 +80,11 @@ def test_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs, tmp_path):
             assert found.count() == (1 if "html" in query else n), query
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_queries_with_sql_equal_it(spark, name):
+    assert check_oracle.compare(spark, check_oracle.connect(SF), name, SF) == ""
+
+
 def test_ids_pass_as_they_are(spark):
     docs = table(spark, SF, "documents").agg(F.sum("doc_id"), F.count("*")).first()
     for name in ("op3_substring_dedup", "op7_decontamination", "op10_simhash"):
