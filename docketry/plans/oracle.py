@@ -256,6 +256,32 @@ SELECT page_id, {tests}, regexp_matches(html, {_lit(C.NPU)}) AS sig_npu,
 FROM u"""
 
 
+# what the twelve kinds of mixed pages show, read off their texts
+_SHOWN = {
+    0: "npu party_1 html_tag body_tag",
+    1: "short",
+    2: "html_tag body_tag short",
+    3: "body_tag",
+    4: "error_1 html_tag body_tag",
+    5: "html_tag body_tag",
+    6: "total_1 html_tag body_tag",
+    7: "pager_1 html_tag body_tag",
+    8: "npu many_npu table_1 table_3 html_tag body_tag",
+    9: "case_header judge_1 party_1 timeline_4 html_tag body_tag",
+    10: "html_tag body_tag",
+    11: "short",
+}
+_COUNTED = {"judge": 3, "party": 8, "timeline": 8, "total": 1, "pager": 6, "table": 3, "error": 12}
+
+
+def _mixed_signals() -> str:
+    names = ["case_header", "npu", "many_npu", "html_tag", "body_tag", "short"]
+    names += [f"{n}_{i}" for n, most in _COUNTED.items() for i in range(1, most + 1)]
+    kinds = {n: [str(k) for k, shown in _SHOWN.items() if n in shown.split()] for n in names}
+    columns = [f"kind IN ({', '.join(ks)}) AS sig_{n}" if ks else f"false AS sig_{n}" for n, ks in kinds.items()]
+    return f"WITH {_MIXED} SELECT page_id, {', '.join(columns)} FROM mixed"
+
+
 _INTAKE_VALUE = f"""CASE
     WHEN q % 20 = 0 THEN tax[1:13]
     WHEN q % 10 < 4 THEN CASE WHEN q % 2 = 0 THEN tax[1:2] || '.' || tax[3:5] || '.' || tax[6:8] || '/' || tax[9:12] || '-' || tax[13:14] ELSE tax END
@@ -367,7 +393,7 @@ SELECT batch_id, count(*) AS n, count(CASE WHEN length(iso) = 10 THEN 1 END) AS
 SELECT relator, count(*) AS n_cases, count(DISTINCT v) AS n_spellings FROM (
   SELECT CASE WHEN k % 6 = 3 THEN 'JUÍZA FEDERAL ' || nm ELSE nm END AS relator, k % 6 AS v FROM o) GROUP BY relator""",
     "page_signals": _signals("pages"),
-    "page_signals_mixed": _signals("mixed"),
+    "page_signals_mixed": _mixed_signals(),
     "classify_pages": f"WITH {_MIXED} SELECT page_id, page_class FROM mixed",
     "classify_site_pages": "SELECT 'error' AS page_class, count(*) AS n FROM pages",
     "page_rules": f"""WITH {_MIXED}
