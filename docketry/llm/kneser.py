@@ -10,13 +10,14 @@ perplexity of trusted texts that the model has not seen set the accepted range.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.blocks import packed, per_block, unpack_texts
+from docketry.llm.blocks import packed, per_block, stored_blocks, unpack_texts
 from docketry.llm.common import stored
 
 BITS = 12  # per symbol; symbol 0 is the boundary before and after a text
@@ -45,33 +46,75 @@ def symbols(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
     return out, events
 
 
+def _numbered(code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct codes below `size`, index of each code); by a table of flags where it stays small."""
+    if size > 1 << 25:
+        return np.unique(code, return_inverse=True)
+    seen = np.zeros(size, bool)
+    seen[code] = True
+    found = np.flatnonzero(seen)
+    place = np.zeros(size, np.int32)
+    place[found] = np.arange(len(found), dtype=np.int32)
+    return found, place[code]
+
+
 def grams(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(packed distinct n-grams, index per event, text number per event). Same texts, same order of n-grams."""
     sym, events = symbols(texts, order)
-    known, level = np.unique(sym, return_inverse=True)
-    base = known.astype(np.int64)
-    dense, size = level.astype(np.int64), len(known)
-    names, one, count = base, dense, size
+    names, one = _numbered(sym, 1 << BITS)
+    base, dense, size = names.astype(np.int64), one, len(names)
+    names = base
     live = events >= 0
     for k in range(2, order + 1):
-        code = one[:-1] * size + dense[k - 1 :]
+        wide = np.int32 if len(names) * size < 1 << 31 else np.int64
+        code = one[:-1].astype(wide) * wide(size) + dense[k - 1 :]
         if k == order:
-            keep = live[k - 1 :]
-            code = code[keep]
-        if count * size <= 1 << 25:
-            seen = np.zeros(count * size, bool)
-            seen[code] = True
-            found = np.flatnonzero(seen)
-            place = np.zeros(count * size, np.int32)
-            place[found] = np.arange(len(found), dtype=np.int32)
-            one = place[code].astype(np.int64)
-        else:
-            found, one = np.unique(code, return_inverse=True)
+            code = code[live[k - 1 :]]
+        found, one = _numbered(code, len(names) * size)
         names = (names[found // size] << BITS) | base[found % size]
-        count = len(found)
     return names, one, events[order - 1 :][live[order - 1 :]]
 
 
+def pieces(texts: list[str], most: int = 1_500_000) -> Iterator[tuple[int, list[str]]]:
+    """(number of the first text, texts) of about `most` characters: bounds the arrays of a block."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        if held and held + len(t) > most:
+            yield start, texts[start:i]
+            start, held = i, 0
+        held += len(t)
+    if start < len(texts):
+        yield start, texts[start:]
+
+
+def distinct_grams(texts: list[str], order: int) -> np.ndarray:
+    """Sorted packed n-grams of the texts."""
+    found = [grams(part, order)[0] for _, part in pieces(texts)]
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+
+
+def gram_counts(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted packed n-grams, how often each occurs)."""
+    names, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for _, part in pieces(texts):
+        found, at, _ = grams(part, order)
+        names.append(found)
+        counts.append(np.bincount(at, minlength=len(found)))
+    every, which = np.unique(np.concatenate(names), return_inverse=True)
+    return every, np.bincount(which, np.concatenate(counts), len(every)).astype(np.int64)
+
+
+def text_sums(texts: list[str], order: int, names: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(events, sum of values) per text; `values` belong to the sorted `names`."""
+    events, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    for first, part in pieces(texts):
+        found, at, number = grams(part, order)
+        here = slice(first, first + len(part))
+        events[here] = np.bincount(number, minlength=len(part))
+        sums[here] = np.bincount(number, values[np.searchsorted(names, found)][at], len(part))
+    return events, sums
+
+
 def suffix(g: str, k: int) -> Column:
     return F.col(g).bitwiseAND(F.lit((1 << (BITS * k)) - 1))
 
@@ -139,8 +182,8 @@ def _values(x):
 def perplexities(docs: DataFrame, labels: DataFrame, text: str, key: str, lang: str, order: int, most: int) -> DataFrame:
     """(doc_id, lang, role, n_symbols, logp): role 1 trains, 2 calibrates, 0 neither."""
     kind = docs.schema[key].dataType.simpleString()
-    made = packed(docs, {"ids": key, "langs": lang}, text, lambda texts: [grams(texts, order)[0]], "grams array<bigint>", most)
-    blocks = stored(made, "kn-blocks")
+    made = packed(docs, {"ids": key, "langs": lang}, text, lambda texts: [distinct_grams(texts, order)], "grams array<bigint>", most)
+    blocks = stored_blocks(made, "kn_blocks")
 
     trusted = labels.where("quality is not null").groupBy(F.col(f"`{key}`").alias("id")).agg(F.min("quality").alias("q")).where("q = 1 and id is not null")
     role = F.when(F.pmod(F.xxhash64("id"), F.lit(5)) == 0, 2).otherwise(1)
@@ -160,11 +203,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, text: str, key: str, lang:
         return unpack_texts(row["payload"].as_py(), row["lengths"].values.to_pylist())
 
     def count(row) -> list:
-        picked = [t for t, r in zip(texts_of(row), roles_of(row), strict=True) if r == 1]
-        if not picked:
-            return [[], []]
-        names, at, _ = grams(picked, order)
-        return [names, np.bincount(at, minlength=len(names))]
+        return list(gram_counts([t for t, r in zip(texts_of(row), roles_of(row), strict=True) if r == 1], order))
 
     trained = per_block(known.select("block", "lengths", "payload", "at", "role"), count, "g bigint, n bigint")
     top = stored(trained.groupBy("g").agg(F.sum("n").alias("c")), "kn-counts")
@@ -179,12 +218,10 @@ def perplexities(docs: DataFrame, labels: DataFrame, text: str, key: str, lang:
     def score(row) -> list:
         logp = np.zeros(len(row["places"].values), np.float64)
         logp[_values(row["places"]).astype(np.int64)] = _values(row["logp"])
-        _, at, number = grams(texts_of(row), order)
-        n = len(row["lengths"].values)
-        total = np.bincount(number, logp[at], n)
-        return [row["ids"].values, row["langs"].values, roles_of(row), np.bincount(number, minlength=n), total]
+        events, sums = text_sums(texts_of(row), order, row["grams"].values.to_numpy(), logp)
+        return [row["ids"].values, row["langs"].values, roles_of(row), events, sums]
 
-    joined = known.drop("grams").join(answers, "block")
+    joined = known.join(answers, "block")
     return per_block(joined, score, f"doc_id {kind}, lang string, role int, n_symbols bigint, logp double")
 
 
@@ -194,7 +231,7 @@ def quality(
     text: str = "text",
     key: str = "doc_id",
     lang: str = "lang",
-    order: int = 5,
+    order: int = 4,
     quantiles: tuple[float, float] = (0.004, 0.996),
     least: int = 50,
     most: int = 12_000_000,
