@@ -121,7 +121,7 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def plan(blocks: DataFrame, wanted: DataFrame, shards: int, passes: int, seed: int) -> DataFrame:
-    """One row per block: source, block, source_size, target, draws array<struct<pass, shard, words>>.
+    """One row per block: source, block, source_size, target, draws array<struct<pass, shard, words>>, and whether a draw is partial.
 
     `blocks` is (source, block, words), `wanted` the result of targets().
     """
@@ -143,25 +143,28 @@ def plan(blocks: DataFrame, wanted: DataFrame, shards: int, passes: int, seed: i
     placed = drawn.join(places, ["no", "place"])
     draws = F.sort_array(F.collect_list(F.struct("pass", "shard", F.col("take").alias("words"))))
     draws = placed.groupBy("no", "block").agg(draws.alias("draws"))  # at most one row per pass
-    return rows.join(draws, ["no", "block"], "left").select("source", "block", "source_size", "target", "draws")
+    partial = F.coalesce(F.exists("draws", lambda d: d["words"] < F.col("words")), F.lit(False))
+    return rows.join(draws, ["no", "block"], "left").select("source", "block", "source_size", "target", "draws", partial.alias("partial"))
 
 
 def _mixed(docs: DataFrame, weights, share, passes, shards, blocks, shard_words, text, key, source, seed) -> tuple[DataFrame, str]:
     """Numbered rows of docs with size, source_size, target, draws, taken; the name of the text column."""
     rows, (of_key, of_source, of_text) = numbered(docs, key, source, text)
-    sized = rows.withColumn("size", n_words(of_text)).withColumn("order", F.xxhash64(F.lit(seed), F.col(of_key), F.col(of_text)))
-    sized = sized.withColumn("part", F.pmod("order", F.lit(blocks)))
-    by_block = sized.groupBy(F.col(of_source).alias("source"), F.col("part").alias("block"))
-    table = stored(by_block.agg(F.sum("size").alias("words")), "mix-blocks")
+    rows = rows.withColumn("order", F.xxhash64(F.lit(seed), F.col(of_key), F.col(of_text))).withColumn("part", F.pmod("order", F.lit(blocks)))
+    by_block = rows.groupBy(F.col(of_source).alias("source"), F.col("part").alias("block"))
+    table = stored(by_block.agg(F.sum(n_words(of_text)).alias("words")), "mix-blocks")
     sizes = stored(table.groupBy("source").agg(F.sum("words").alias("source_size")), "mix-sources")
     if shards is None:
         total = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
         shards = max(8, math.ceil(share * total / shard_words))
     wanted = stored(targets(sizes, weights, share, passes), "mix-targets")
     plans = stored(plan(table, wanted, shards, passes, seed), "mix-plan")
-    rows = sized.join(plans, F.col(of_source).eqNullSafe(F.col("source")) & (F.col("part") == F.col("block")))
+    rows = rows.join(plans, F.col(of_source).eqNullSafe(F.col("source")) & (F.col("part") == F.col("block")))
+    # only blocks that are cut, at most one per source and pass, need their rows in order
     inside = W.partitionBy("source", "block").orderBy("order", of_key).rowsBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    whole = rows.where(~F.col("partial")).withColumn("size", n_words(of_text)).withColumn("before", F.lit(0).cast("long"))
+    cut_here = rows.where("partial").withColumn("size", n_words(of_text))
+    rows = whole.unionByName(cut_here.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0))))
 
     def cut(d: Column) -> Column:
         words = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), d["words"] - F.col("before")))
@@ -181,7 +184,7 @@ def mix(
     passes: int = 2,
     shards: int | None = None,
     blocks: int = 1024,
-    shard_words: int = 20_000_000,
+    shard_words: int = 4_000_000,
     text: str = "text",
     key: str = "doc_id",
     source: str = "source",
@@ -209,7 +212,7 @@ def mixed_corpus(
     passes: int = 2,
     shards: int | None = None,
     blocks: int = 1024,
-    shard_words: int = 20_000_000,
+    shard_words: int = 4_000_000,
     text: str = "text",
     key: str = "doc_id",
     source: str = "source",
