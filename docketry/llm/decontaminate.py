@@ -9,6 +9,8 @@ original.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
@@ -80,20 +82,18 @@ def original_spans(text: str, hits: np.ndarray) -> list[tuple[int, int]]:
     return [(int(point[starts[run[0]]]), int(point[stops[run[-1]]])) for run in np.split(hits, cut) if len(run)]
 
 
-def item_blocks(benchmark: DataFrame, item: str, text: str, most: int) -> list[list[tuple[str, str]]]:
-    """Items as (name, text), in blocks of at most `most` bytes of text; one block in the usual case.
+def item_blocks(benchmark: DataFrame, item: str, text: str, most: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
+    """Number of blocks and the items as (name, text) block by block; one block in the usual case.
 
-    The benchmark is a stated query set. Its blocks are read one after the other, so
-    the driver and each automaton hold `most` bytes of item text (or one longer item).
+    The benchmark is a stated query set. A block holds about `most` bytes of text (or one
+    longer item), and the driver holds one block at a time.
     """
     items = benchmark.where(F.col(f"`{text}`").isNotNull())
     items = items.select(F.coalesce(F.col(f"`{item}`").cast("string"), F.lit("null")).alias("name"), F.col(f"`{text}`").alias("item"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("item")), F.lit(0))).first()[0]
-    n = max(1, -(-int(total) // most))
-    if n == 1:
-        return [[(r[0], r[1]) for r in items.collect()]]
-    part = F.pmod(F.xxhash64("name", "item"), F.lit(2 * n))
-    return [[(r[0], r[1]) for r in items.where(part == i).collect()] for i in range(2 * n)]
+    n = 1 if total <= most else 2 * -(-int(total) // most)
+    part = F.pmod(F.xxhash64("name", "item"), F.lit(n))
+    return n, ([(r[0], r[1]) for r in items.where(part == i).collect()] for i in range(n))
 
 
 def contamination(
@@ -116,8 +116,8 @@ def contamination(
     columns are not read. A benchmark above `most` bytes is scanned for in blocks, whose
     results are united per document.
     """
-    blocks = item_blocks(benchmark, item, item_text, most)
-    spark = docs.sparkSession
+    n_blocks, blocks = item_blocks(benchmark, item, item_text, most)
+    context = docs.sparkSession.sparkContext
 
     def scanner(shared):
         def make(keys, marks, texts):
@@ -138,9 +138,16 @@ def contamination(
     kind = docs.schema[key].dataType.simpleString()
     narrow = docs.select(F.col(f"`{key}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").alias("text"))
     schema = f"doc_id {kind}, text_key long, n_words long, hits array<long>, item_ids array<string>, spans string"
-    parts = [map_batches(narrow, ["doc_id", "text_key", "text"], "text", scanner(spark.sparkContext.broadcast(b)), schema) for b in blocks]
+    parts = []
+    for items in blocks:
+        shared = context.broadcast(items)
+        part = map_batches(narrow, ["doc_id", "text_key", "text"], "text", scanner(shared), schema)
+        if n_blocks > 1:
+            part = stored(part, "contamination-block")
+            shared.unpersist()
+        parts.append(part)
     found = parts[0]
-    if len(parts) > 1:
+    if n_blocks > 1:
         every = parts[0].select("doc_id", "text_key", "n_words", "hits", "item_ids")
         rows = every.groupBy("doc_id", "text_key").count()
         for p in parts[1:]:
