@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -31,7 +33,10 @@ def build_session(app: str = "docketry", master: str | None = None, **conf: str)
 
 @cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="docketry-")
+    """Folder of a local session, removed when the process ends."""
+    root = tempfile.mkdtemp(prefix="docketry-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch(spark: SparkSession, name: str) -> str:

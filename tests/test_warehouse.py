@@ -189,6 +189,34 @@ def test_layout_prunes_by_type(spark, make_pages, tmp_path):
     assert "PartitionFilters: [isnotnull(tipo" in plan
 
 
+def _scanned(df):
+    """Rows that the scan of a collected lookup passed on: those of the files it did not skip."""
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_lookups_skip_the_files_of_other_keys(spark, make_pages, tmp_path):
+    path = str(tmp_path)
+    pages = make_pages([("x", {"page_id": i, "numero": f"{i:07d}-00.2000.4.05.0000", "url": f"u{i:04d}", "cnpj": f"{i:014d}"}) for i in range(400)])
+    records = table(spark, [record(f"k{i:03d}", relator=f"J{i % 20:02d}", scraped_at=f"2024-01-01T00:{i // 60:02d}:{i % 60:02d}") for i in range(400)])
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # a file per partition, however small
+    try:
+        pg.write_url_layout(pages, path)
+        pg.write_records_layout(records, path)
+    finally:
+        spark.conf.unset(key)
+    lookups = [
+        ("by_url", "url = 'u0123' and method = 'GET'", 1),
+        ("by_numero", "numero = '0000321-00.2000.4.05.0000'", 1),
+        ("by_cnpj", "cnpj = '00000000000007'", 1),
+        ("by_judge", "relator = 'J03'", 20),
+        ("by_scraped_at", "scraped_at >= '2024-01-01T00:06:30'", 10),
+    ]
+    for name, where, n in lookups:
+        found = spark.read.parquet(f"{path}/{name}").where(where)
+        assert len(found.collect()) == n and _scanned(found) <= 250, name
+
+
 def test_page_rules(spark, make_pages):
     pages = pg.land_raw_pages(make_pages([("x", {"tipo": "lista", "numero": "1", "cnpj": "2", "page_idx": -1, "busca": "z"}), ("x", {"tipo": "form"})]))
     pages = pages.withColumn("status", F.when(F.col("page_id") == 0, 99).otherwise(599)).withColumn(
