@@ -177,13 +177,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
     """The rows of docs that stand for their component: the one with the smallest doc_id.
 
-    Among rows that share that doc_id, or in a component without ids, the smallest text
-    stays, then the smallest values of the other columns. Columns are those of docs.
+    Where several texts have that doc_id, or a component has no ids, the text of smallest
+    hash stays; among rows repeated with equal id and text, the one with the smallest
+    values of the other columns. Columns are those of docs. Texts move once, in the join,
+    or not at all where the keepers are few; only repeated rows are grouped.
     """
     found = near_duplicates(docs, text, key, **settings).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    found = stored(found.select("doc_id", "text_key", "root").distinct(), "keepers")
+    texts = found.groupBy("root", "text_key", "doc_id").agg(F.count("*").alias("copies"))
+    one = texts.groupBy("root").agg(F.min(F.struct("text_key", "doc_id", "copies")).alias("k"))
+    keepers = stored(one.select("k.*"), "keepers")
     rows, (of_key, of_text) = numbered(docs, key, text)
     same = F.col(of_key).eqNullSafe(F.col("doc_id")) & (F.xxhash64(of_text) == F.col("text_key"))
+    kept = rows.join(keepers, same)
     order = [of_text, *[c for c in rows.columns if c != of_text]]
-    one = rows.join(found, same).groupBy("doc_id", "root").agg(F.min(F.struct(*order)).alias("r"))
-    return renamed(one.select("r.*"), docs)
+    repeated = kept.where("copies > 1").groupBy("doc_id", "text_key").agg(F.min(F.struct(*order)).alias("r")).select("r.*")
+    return renamed(kept.where("copies = 1").select(*order).unionByName(repeated.select(*order)), docs)
