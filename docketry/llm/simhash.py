@@ -136,8 +136,12 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """
     pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     pairs = stored(pairs, "edges")
-    before = None
-    for _ in range(rounds):
+
+    def state(pairs: DataFrame):
+        return pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+
+    before = state(pairs)
+    for _ in range(rounds if before[0] else 0):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m"))
         least = stored(least, "least")
@@ -148,11 +152,14 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         pairs = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        now = state(pairs)
         if now == before:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            break
         before = now
-    raise RuntimeError("components did not settle")
+    else:
+        if before[0]:
+            raise RuntimeError("components did not settle")
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3, bits: int = 3, seed: int = 42) -> DataFrame:
