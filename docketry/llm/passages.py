@@ -26,32 +26,46 @@ from docketry.llm.blocks import packed, per_block, stored_blocks, unpack_texts
 from docketry.llm.common import sha256, stored
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the rolling hashes
-_seen: dict[bytes, int] = {}
-
-
-def word_hash(word: bytes) -> int:
-    if len(_seen) > 200_000:
-        _seen.clear()
-    found = _seen[word] = xxhash.xxh64_intdigest(word)
-    return found
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+LONG = 4096  # bytes from which a word is hashed alone
+POWERS = np.cumprod(np.full(LONG + 1, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64)
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray, piece: int = 1 << 16) -> np.ndarray:
+    """64-bit hash of each run of bytes: a polynomial over its bytes, mixed with its length."""
+    lengths = stops - starts
+    out = np.zeros(len(starts), np.uint64)
+    for i in np.flatnonzero(lengths > LONG).tolist():
+        out[i] = xxhash.xxh64_intdigest(raw[starts[i] : stops[i]].tobytes())
+    usual = np.flatnonzero(lengths <= LONG)
+    total = np.cumsum(lengths[usual])
+    cuts = np.searchsorted(total, np.arange(piece, total[-1] if len(total) else 0, piece))
+    for part in np.split(usual, np.unique(cuts)):  # bounded memory
+        if not len(part):
+            continue
+        n = lengths[part]
+        first = np.cumsum(n) - n
+        inside = np.arange(n.sum()) - np.repeat(first, n)
+        values = (raw[np.repeat(starts[part], n) + inside].astype(np.uint64) + np.uint64(1)) * POWERS[inside]
+        h = np.add.reduceat(values, first) ^ (n.astype(np.uint64) * np.uint64(BASES[1]))
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (29, 0xC4CEB9FE1A85EC53)):
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+        out[part] = h ^ (h >> np.uint64(32))
+    return out
 
 
 class Words:
-    """All words of some texts in a row, with the texts' ends and a hash per word."""
+    """Hashes of all words of some texts in a row, and where each text's words start and end."""
 
     def __init__(self, texts: list[str]):
-        self.words: list[bytes] = []
-        ends = []
-        for t in texts:
-            self.words += t.encode().split()
-            ends.append(len(self.words))
-        self.ends = np.array(ends, np.int64)
+        self.raw = [t.encode() for t in texts]
+        joined = np.frombuffer(b"\n".join([*self.raw, b""]), np.uint8)
+        solid = ~SPACE[joined]
+        edge = np.flatnonzero(np.diff(solid.view(np.int8), prepend=np.int8(0)))
+        self.hashes = word_hashes(joined, edge[::2], edge[1::2])
+        self.ends = np.searchsorted(edge[::2], np.cumsum([len(r) + 1 for r in self.raw]))
         self.starts = np.concatenate(([0], self.ends[:-1]))
-        hashes = list(map(_seen.get, self.words))
-        for i, known in enumerate(hashes):
-            if known is None:
-                hashes[i] = word_hash(self.words[i])
-        self.hashes = np.array(hashes, np.uint64)
 
     def rolling(self, size: int, base: int) -> np.ndarray:
         """Hash of each run of `size` words, by position of its first word: sum of hash * base^j modulo 2^64."""
@@ -104,7 +118,7 @@ def confirmed(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 def covered(words: Words, at: np.ndarray, size: int) -> np.ndarray:
     """Flag per word: inside an occurrence of a confirmed passage, a run of confirmed windows at positions `at`."""
-    inside = np.zeros(len(words.words), bool)
+    inside = np.zeros(len(words.hashes), bool)
     if not len(at):
         return inside
     text = np.searchsorted(words.ends, at, side="right")
@@ -174,8 +188,8 @@ def substring_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", si
         live[values(row["windows"])] = True
         gone = covered(words, near[live[which]], size)
         kept, removed = [], []
-        for a, b in zip(words.starts.tolist(), words.ends.tolist(), strict=True):
-            left, here = words.words[a:b], gone[a:b]
+        for raw, a, b in zip(words.raw, words.starts.tolist(), words.ends.tolist(), strict=True):
+            left, here = raw.split(), gone[a:b]
             removed.append(int(here.sum()))
             kept.append(b" ".join(compress(left, (~here).tolist()) if removed[-1] else left).decode())
         return [row["ids"].values, words.ends - words.starts, removed, kept, [sha256(k) for k in kept]]
