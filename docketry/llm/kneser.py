@@ -231,7 +231,7 @@ def quality(
     text: str = "text",
     key: str = "doc_id",
     lang: str = "lang",
-    order: int = 4,
+    order: int = 5,
     quantiles: tuple[float, float] = (0.004, 0.996),
     least: int = 50,
     most: int = 12_000_000,
