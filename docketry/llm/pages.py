@@ -28,6 +28,7 @@ FURNITURE = frozenset(
     "head script style noscript template svg math iframe object canvas audio video nav footer aside form button select textarea dialog menu".split()
 )
 CONTAINERS = frozenset("html body main article section div td table center blockquote".split())
+PARTS = frozenset("table td blockquote".split())  # containers of a part of a text
 #: words in class, id or role that name furniture
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
@@ -153,19 +154,41 @@ def content_lines(lines: list[Line], sigma: float = 1.0, radius: int = 2) -> np.
     return smooth >= min(smooth.std(), smooth.max())
 
 
-def region(parser: Lines, share: float = 0.7) -> int:
-    """Number of the container of the content: the outermost article, else main, that holds `share` of it, else the deepest container that does."""
-    held = [0] * len(parser.names)
-    for x, marked in zip(parser.kept, content_lines(parser.kept), strict=True):
-        if marked:
-            held[x.holder] += len(x.text[0])
-    for c in range(len(held) - 1, 0, -1):  # children are numbered after their parents
-        held[parser.parents[c]] += held[c]
-    most = [c for c, n in enumerate(held) if n >= share * held[0]]
+def held_by(places: list[int], sizes: list[int], parents: list[int]) -> list[int]:
+    """Sum of the sizes placed in each element or below; parents are numbered before their children, 0 holds all."""
+    held = [0] * len(parents)
+    for place, n in zip(places, sizes, strict=True):
+        held[place] += n
+    for c in range(len(held) - 1, 0, -1):
+        held[parents[c]] += held[c]
+    return held
+
+
+def marked_sizes(lines: list[Line]) -> list[int]:
+    """Length of each content line, 0 for the others."""
+    return [len(x.text[0]) if marked else 0 for x, marked in zip(lines, content_lines(lines), strict=True)]
+
+
+def region(parser: Lines, lines: list[Line], share: float = 0.7) -> list[int]:
+    """Numbers of the containers of the content.
+
+    The outermost articles with content, if they hold `share` of it, else the outermost
+    mains that do; else the smallest container that holds all of it, the page at last. A
+    table, a cell or a quotation is part of a text, not its container.
+    """
+    held = held_by([x.holder for x in lines], marked_sizes(lines), parser.parents)
     for name in ("article", "main"):
-        if named := [c for c in most if parser.names[c] == name]:
-            return named[0]
-    return most[-1]
+        inside, found = [False] * len(held), []
+        for c in range(1, len(held)):
+            inside[c] = inside[parser.parents[c]] or parser.names[c] == name
+            if inside[c] and not inside[parser.parents[c]] and held[c]:
+                found.append(c)
+        if found and sum(held[c] for c in found) >= share * held[0]:
+            return found
+    part = [False] * len(held)
+    for c in range(1, len(held)):
+        part[c] = part[parser.parents[c]] or parser.names[c] in PARTS
+    return [max(c for c, n in enumerate(held) if n == held[0] and not part[c])]
 
 
 def main_text(html: str | None) -> str:
@@ -179,10 +202,10 @@ def main_text(html: str | None) -> str:
         parser = lines_of(html or "", by_name=False)
     if not parser.kept:
         return ""
-    at = region(parser)
+    found = set(region(parser, parser.kept))
     inside = [False] * len(parser.names)
     for c, parent in enumerate(parser.parents):
-        inside[c] = c == at or inside[parent]
+        inside[c] = c in found or inside[parent]
     return " ".join(" ".join(x.text[0].split()) for x in parser.kept if inside[x.holder])
 
 

@@ -2,9 +2,27 @@
 
 import inspect
 
-from docketry.llm import kneser
+from docketry.llm import kneser, pages
 
 
 def test_the_quality_model_counts_five_characters():
     assert inspect.signature(kneser.quality).parameters["order"].default == 5
     assert all(len(t) == 5 for t in [kneser.symbols(["abcde"], 5)[0][4:9]])
+
+
+PARAGRAPH = "This is a paragraph of the text that is long enough to count as content, number {} of them."
+P = [f"<p>{PARAGRAPH.format(i)}</p>" for i in range(9)]
+T = [PARAGRAPH.format(i) for i in range(9)]
+
+
+def test_text_beside_the_largest_container_is_kept():
+    for outer in ("blockquote", "table><tr><td", "div", "section"):
+        close = "".join(f"</{x}>" for x in reversed(outer.split("><")))
+        page = f"<body><ul><li><a href=/>x</a></ul><div id=content><h2>Title</h2>{P[0]}<{outer}>{''.join(P[1:8])}{close}<h3>End</h3>{P[8]}</div></body>"
+        assert pages.main_text(page) == " ".join(["Title", *T[:8], "End", T[8]])
+    cell = f"<body><h2>Title</h2><table><tr><td><div>{''.join(P)}</div></td></tr></table></body>"
+    assert pages.main_text(cell) == " ".join(["Title", *T])
+    halves = f"<body><div><h2>One</h2>{''.join(P[:7])}</div><div><h2>Two</h2>{''.join(P[7:])}</div></body>"
+    assert pages.main_text(halves) == " ".join(["One", *T[:7], "Two", *T[7:]])
+    articles = f"<body><p>x</p><article>{''.join(P[:7])}</article><article>{''.join(P[7:])}</article></body>"
+    assert pages.main_text(articles) == " ".join(T)
