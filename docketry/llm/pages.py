@@ -1,10 +1,11 @@
 """Main text of web pages: parser events, text-to-tag ratio per line, Gaussian smoothing, threshold clusters.
 
 The standard-library parser is fed piece by piece. Its events make lines (blocks)
-with their text and tags, and drop elements that are furniture by name or by class.
-The smoothed ratio of text to tags marks the lines of content; the region is the
-container that holds them, whose other lines (headings, short paragraphs) belong to
-the text as well.
+with their text and tags, and drop elements that are furniture by name. The smoothed
+ratio of text to tags marks the lines of content. An element whose class names
+furniture is only a suspect: the whole page read, it stays if it holds the content.
+The region is the container that holds the content lines, whose other lines (headings,
+short paragraphs) belong to the text as well.
 """
 
 from __future__ import annotations
@@ -25,11 +26,11 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split()
 )
 FURNITURE = frozenset(
-    "head script style noscript template svg math iframe object canvas audio video nav footer aside form button select textarea dialog menu".split()
+    "head script style noscript template svg math iframe object canvas audio video nav footer aside button select textarea dialog menu".split()
 )
 CONTAINERS = frozenset("html body main article section div td table center blockquote".split())
 PARTS = frozenset("table td blockquote".split())  # containers of a part of a text
-#: words in class, id or role that name furniture
+#: words in class, id or role that make an element suspect of being furniture
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
     "sidebar footer masthead cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe signup "
@@ -39,51 +40,56 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class Line:
-    __slots__ = ("text", "tags", "holder")
+    __slots__ = ("text", "tags", "holder", "suspect")
 
-    def __init__(self, holder: int):
+    def __init__(self, holder: int, suspect: int):
         self.text: list[str] = []
         self.tags = 0
         self.holder = holder
+        self.suspect = suspect
 
 
 class Lines(HTMLParser):
-    """Lines of text outside furniture, each with its tags and the innermost container around it."""
+    """Lines of text outside furniture, each with its tags and the innermost container and suspect around it."""
 
-    def __init__(self, by_name: bool = True):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.by_name = by_name
-        self.stack: list[tuple[str, bool, bool]] = []  # name, furniture, container
+        self.stack: list[tuple[str, bool, bool, bool]] = []  # name, furniture, suspect, container
         self.open: Counter[str] = Counter()
         self.names = [""]  # of containers; number 0 is the page
         self.parents = [0]
         self.holder = 0
+        self.above = [0]  # of suspects: the suspect around each; number 0 is none
+        self.depths = [0]
+        self.suspect = 0
+        self.within = [0]  # of containers: the suspect around each
         self.hidden = 0
         self.kept: list[Line] = []
-        self.line = Line(0)
+        self.line = Line(0, 0)
 
     def end_line(self) -> None:
         if self.line.text:
             self.line.text = ["".join(self.line.text)]
             if not self.line.text[0].isspace():
                 self.kept.append(self.line)
-        self.line = Line(self.holder)
+        self.line = Line(self.holder, self.suspect)
 
-    def furniture(self, name: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if name in FURNITURE and (self.by_name or name != "form"):
-            return True
+    def furniture(self, name: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+        """Whether an element is furniture, and whether it may be, by its class or as a form."""
+        if name in FURNITURE:
+            return True, False
         inside = self.open["article"] or self.open["main"]
         if name == "header" and not inside:
-            return True
+            return True, False
+        suspect = name == "form"
         for key, value in attrs:
             value = (value or "").lower()
             if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
-                return True
-            if self.by_name and key in ("class", "id", "role") and name not in ("html", "body", "main", "article"):
+                return True, False
+            if key in ("class", "id", "role") and name not in ("html", "body", "main", "article"):
                 found = WORDS.findall(value)
-                if not NAMES.isdisjoint(found) or not inside and "header" in found:
-                    return True
-        return False
+                suspect = suspect or not NAMES.isdisjoint(found) or not inside and "header" in found
+        return False, suspect
 
     def handle_starttag(self, tag, attrs):
         self.line.tags += 1
@@ -91,15 +97,20 @@ class Lines(HTMLParser):
             self.end_line()
         if tag in VOID:
             return
-        hide, hold = self.furniture(tag, attrs), tag in CONTAINERS
-        if hide:
+        (hide, doubt), hold = self.furniture(tag, attrs), tag in CONTAINERS
+        if hide or doubt:
             self.end_line()
-        self.stack.append((tag, hide, hold))
+        self.stack.append((tag, hide, doubt, hold))
         self.open[tag] += 1
         self.hidden += hide
+        if doubt:
+            self.above.append(self.suspect)
+            self.depths.append(self.depths[self.suspect] + 1)
+            self.suspect = self.line.suspect = len(self.above) - 1
         if hold:
             self.names.append(tag)
             self.parents.append(self.holder)
+            self.within.append(self.suspect)
             self.holder = self.line.holder = len(self.names) - 1
 
     def handle_startendtag(self, tag, attrs):
@@ -120,24 +131,26 @@ class Lines(HTMLParser):
             if self.stack[at][0] != tag:
                 return
         while self.stack:
-            name, hide, hold = self.stack.pop()
+            name, hide, doubt, hold = self.stack.pop()
             self.open[name] -= 1
             self.hidden -= hide
             if hold:
                 self.holder = self.parents[self.holder]
-            if hide:
+            if hide or doubt:
                 self.end_line()
+            if doubt:
+                self.suspect = self.above[self.suspect]
             if name == tag:
                 break
-        self.line.holder = self.holder
+        self.line.holder, self.line.suspect = self.holder, self.suspect
 
     def handle_data(self, data):
         if not self.hidden:
             self.line.text.append(data)
 
 
-def lines_of(html: str, by_name: bool = True, piece: int = 1 << 16) -> Lines:
-    parser = Lines(by_name)
+def lines_of(html: str, piece: int = 1 << 16) -> Lines:
+    parser = Lines()
     for at in range(0, len(html), piece):
         parser.feed(html[at : at + piece])
     parser.close()
@@ -169,6 +182,38 @@ def marked_sizes(lines: list[Line]) -> list[int]:
     return [len(x.text[0]) if marked else 0 for x, marked in zip(lines, content_lines(lines), strict=True)]
 
 
+def without_suspects(parser: Lines, own: float = 0.2) -> list[Line]:
+    """Lines outside the suspects that do not hold the content.
+
+    The page's own article or main is the first among those within fewest suspects that
+    hold at least a share `own` of the content; suspects around it stay. On a page
+    without one, suspects stay that hold most of the content, and all of them if the
+    others would take more of it than they leave.
+    """
+    lines = parser.kept
+    if not any(x.suspect for x in lines):
+        return lines
+    sizes = marked_sizes(lines)
+    held = held_by([x.holder for x in lines], sizes, parser.parents)
+    named = [c for c, name in enumerate(parser.names) if name in ("article", "main") and held[c] and held[c] >= own * held[0]]
+    stay = [False] * len(parser.above)
+    if named:
+        at = parser.within[min(named, key=lambda c: parser.depths[parser.within[c]])]
+        while at:
+            stay[at] = True
+            at = parser.above[at]
+    else:
+        weights = held_by([x.suspect for x in lines], sizes, parser.above)
+        stay = [2 * w > weights[0] for w in weights]
+    stay[0] = True
+    for i in range(1, len(stay)):
+        stay[i] = stay[i] and stay[parser.above[i]]
+    left = sum(n for x, n in zip(lines, sizes, strict=True) if stay[x.suspect])
+    if not named and 2 * left < held[0]:
+        return lines
+    return [x for x in lines if stay[x.suspect]]
+
+
 def region(parser: Lines, lines: list[Line], share: float = 0.7) -> list[int]:
     """Numbers of the containers of the content.
 
@@ -192,21 +237,16 @@ def region(parser: Lines, lines: list[Line], share: float = 0.7) -> list[int]:
 
 
 def main_text(html: str | None) -> str:
-    """Main text of one whole page; white space is one space, blocks are joined by one space.
-
-    Where a class name or a form around the whole page hides all of it, only element
-    names tell furniture.
-    """
+    """Main text of one whole page; white space is one space, blocks are joined by one space."""
     parser = lines_of(html or "")
-    if not parser.kept:
-        parser = lines_of(html or "", by_name=False)
-    if not parser.kept:
+    lines = without_suspects(parser)
+    if not lines:
         return ""
-    found = set(region(parser, parser.kept))
+    found = set(region(parser, lines))
     inside = [False] * len(parser.names)
     for c, parent in enumerate(parser.parents):
         inside[c] = c in found or inside[parent]
-    return " ".join(" ".join(x.text[0].split()) for x in parser.kept if inside[x.holder])
+    return " ".join(" ".join(x.text[0].split()) for x in lines if inside[x.holder])
 
 
 def extract(pages: DataFrame, html: str = "html", key: str = "page_id", url: str = "url") -> DataFrame:

@@ -26,3 +26,17 @@ def test_text_beside_the_largest_container_is_kept():
     assert pages.main_text(halves) == " ".join(["One", *T[:7], "Two", *T[7:]])
     articles = f"<body><p>x</p><article>{''.join(P[:7])}</article><article>{''.join(P[7:])}</article></body>"
     assert pages.main_text(articles) == " ".join(T)
+
+
+def test_a_name_on_a_wrapper_does_not_hide_the_content():
+    inner = f"<h1>Title</h1>{''.join(P)}<div class=comments><p>Nice.</p></div>"
+    for wrapper in ('div class="layout has-sidebar"', 'div id=page class="with-menu"', 'section class="post comments-open"', "form id=aspnetForm"):
+        end = f"</{wrapper.split()[0]}>"
+        for name in ("article", "main", "div"):
+            page = f"<body><div>Site of mine</div><{wrapper}><{name}>{inner}</{name}><div class=sidebar><p>Other things</p></div>{end}</body>"
+            assert pages.main_text(page).removeprefix("Site of mine ") == " ".join(["Title", *T])
+    remarks = "".join(f"<article>{p}</article>" for p in P[3:])
+    page = f"<body><article>{''.join(P[:3])}</article><section class=comments>{remarks}</section></body>"
+    assert pages.main_text(page) == " ".join(T[:3])
+    parts = "".join(f"<div class=promo>{p}</div>" for p in P)
+    assert pages.main_text(f"<body><p>x</p>{parts}</body>").endswith(" ".join(T))
