@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from docketry.llm.blocks import packed, per_block, stored_blocks, unpack_texts
 from docketry.llm.common import stored
 
-BITS = 12  # per symbol; symbol 0 is the boundary before and after a text
-EDGE = 0
+# An n-gram is two longs, g and h: of each symbol, the low 12 bits are in g and the high 9 in h, which is 0 for most scripts' text.
+BITS, HIGH_BITS = 12, 9
+EDGE = 0  # the boundary before and after a text; other symbols are code points plus 1
 
 
 def symbols(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -30,14 +31,14 @@ def symbols(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
     Letters are lowered, digits alike, runs of white space one space. Events are a
     text's symbols and the boundary that ends it; elsewhere the number is -1.
     """
-    gap = "\ue000"  # stands for the boundary; this private-use character inside a text is taken for its neighbour
-    joined = gap + gap.join(t.lower().replace(gap, "\ue001") for t in texts) + gap
+    gap = "\udfff"  # stands for the boundary: half a surrogate pair, which no text holds
+    joined = gap + gap.join(t.lower() for t in texts) + gap
     code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     code = np.where((code >= 48) & (code <= 57), 48, np.where((code == 32) | ((code >= 9) & (code <= 13)), 32, code))
     code = code[np.concatenate(([True], ~((code[1:] == 32) & (code[:-1] == 32))))]
     edge = code == ord(gap)
     number = np.cumsum(edge) - 1 - edge  # an edge ends the text before it
-    sym = np.where(edge, EDGE, 1 + code % ((1 << BITS) - 1)).astype(np.int32)
+    sym = np.where(edge, EDGE, 1 + code.astype(np.int32))
     repeat = np.where(edge, order - 1, 1)
     out = np.repeat(sym, repeat)
     first = np.cumsum(repeat) - repeat
@@ -58,21 +59,47 @@ def _numbered(code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return found, place[code]
 
 
-def grams(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(packed distinct n-grams, index per event, text number per event). Same texts, same order of n-grams."""
+def grams(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(g and h of the distinct n-grams, index per event, text number per event). Same texts, same order of n-grams."""
     sym, events = symbols(texts, order)
-    names, one = _numbered(sym, 1 << BITS)
-    base, dense, size = names.astype(np.int64), one, len(names)
-    names = base
+    names, one = _numbered(sym, 1 << BITS + HIGH_BITS)
+    low, high = names & ((1 << BITS) - 1), names >> BITS
+    first_low, first_high, dense, size = low, high, one, len(names)
     live = events >= 0
     for k in range(2, order + 1):
-        wide = np.int32 if len(names) * size < 1 << 31 else np.int64
+        wide = np.int32 if len(low) * size < 1 << 31 else np.int64
         code = one[:-1].astype(wide) * wide(size) + dense[k - 1 :]
         if k == order:
             code = code[live[k - 1 :]]
-        found, one = _numbered(code, len(names) * size)
-        names = (names[found // size] << BITS) | base[found % size]
-    return names, one, events[order - 1 :][live[order - 1 :]]
+        found, one = _numbered(code, len(low) * size)
+        before, last = found // size, found % size
+        low, high = (low[before] << BITS) | first_low[last], (high[before] << HIGH_BITS) | first_high[last]
+    return low, high, one, events[order - 1 :][live[order - 1 :]]
+
+
+def unique_pairs(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(g and h of the distinct n-grams sorted by h, then g; the index of each one given). Those with h = 0 are sorted by g alone."""
+    flat = high == 0
+    found, at_found = np.unique(low[flat], return_inverse=True)
+    order = np.lexsort((low[~flat], high[~flat]))
+    g, h = low[~flat][order], high[~flat][order]
+    new = np.ones(len(order), bool)
+    new[1:] = (g[1:] != g[:-1]) | (h[1:] != h[:-1])
+    rest = np.empty(len(order), np.int64)
+    rest[order] = np.cumsum(new) - 1
+    at = np.empty(len(low), np.int64)
+    at[flat], at[~flat] = at_found, len(found) + rest
+    return np.concatenate((found, g[new])), np.concatenate((np.zeros(len(found), np.int64), h[new])), at
+
+
+def places_of(low: np.ndarray, high: np.ndarray, names: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Index of each n-gram given among sorted `names` that hold it."""
+    flat, n = high == 0, int(np.searchsorted(names[1], 1))
+    at = np.empty(len(low), np.int64)
+    at[flat] = np.searchsorted(names[0][:n], low[flat])
+    rest = unique_pairs(np.concatenate((names[0][n:], low[~flat])), np.concatenate((names[1][n:], high[~flat])))[2]
+    at[~flat] = n + rest[len(names[0]) - n :]
+    return at
 
 
 def pieces(texts: list[str], most: int = 1_500_000) -> Iterator[tuple[int, list[str]]]:
@@ -87,45 +114,51 @@ def pieces(texts: list[str], most: int = 1_500_000) -> Iterator[tuple[int, list[
         yield start, texts[start:]
 
 
-def distinct_grams(texts: list[str], order: int) -> np.ndarray:
-    """Sorted packed n-grams of the texts."""
-    found = [grams(part, order)[0] for _, part in pieces(texts)]
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+def distinct_grams(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted g and h of the n-grams of the texts."""
+    return gram_counts(texts, order)[:2]
 
 
-def gram_counts(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted packed n-grams, how often each occurs)."""
-    names, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+def gram_counts(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted g and h of the n-grams, how often each occurs)."""
+    lows, highs, counts = ([np.empty(0, np.int64)] for _ in range(3))
     for _, part in pieces(texts):
-        found, at, _ = grams(part, order)
-        names.append(found)
-        counts.append(np.bincount(at, minlength=len(found)))
-    every, which = np.unique(np.concatenate(names), return_inverse=True)
-    return every, np.bincount(which, np.concatenate(counts), len(every)).astype(np.int64)
+        low, high, at, _ = grams(part, order)
+        lows.append(low)
+        highs.append(high)
+        counts.append(np.bincount(at, minlength=len(low)))
+    low, high, which = unique_pairs(np.concatenate(lows), np.concatenate(highs))
+    return low, high, np.bincount(which, np.concatenate(counts), len(low)).astype(np.int64)
 
 
-def text_sums(texts: list[str], order: int, names: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(events, sum of values) per text; `values` belong to the sorted `names`."""
+def text_sums(texts: list[str], order: int, names: tuple[np.ndarray, np.ndarray], values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(events, sum of values) per text; `values` belong to the sorted g and h in `names`."""
     events, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
     for first, part in pieces(texts):
-        found, at, number = grams(part, order)
+        low, high, at, number = grams(part, order)
         here = slice(first, first + len(part))
         events[here] = np.bincount(number, minlength=len(part))
-        sums[here] = np.bincount(number, values[np.searchsorted(names, found)][at], len(part))
+        sums[here] = np.bincount(number, values[places_of(low, high, names)][at], len(part))
     return events, sums
 
 
-def suffix(g: str, k: int) -> Column:
-    return F.col(g).bitwiseAND(F.lit((1 << (BITS * k)) - 1))
+def suffix(k: int, g: str = "g", h: str = "h") -> list[Column]:
+    """The last k symbols, as columns g and h by the names given."""
+    return [F.col("g").bitwiseAND(F.lit((1 << (BITS * k)) - 1)).alias(g), F.col("h").bitwiseAND(F.lit((1 << (HIGH_BITS * k)) - 1)).alias(h)]
 
 
-def context(g: str) -> Column:
-    return F.shiftrightunsigned(g, BITS)
+def context() -> list[Column]:
+    return [F.shiftrightunsigned("g", BITS).alias("ctx"), F.shiftrightunsigned("h", HIGH_BITS).alias("ctx_h")]
+
+
+def with_high(rows: DataFrame) -> DataFrame:
+    """Rows with an h, 0 where there is none."""
+    return rows if "h" in rows.columns else rows.withColumn("h", F.lit(0).cast("long"))
 
 
 @dataclass(frozen=True)
 class Level:
-    """Model tables of one order: counts (g, c), contexts (ctx, total, k1, k2, k3), and the three discounts."""
+    """Model tables of one order: counts (g, h, c), contexts (ctx, ctx_h, total, k1, k2, k3), and the three discounts."""
 
     counts: DataFrame
     contexts: DataFrame
@@ -144,35 +177,36 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
 def levels(top: DataFrame, order: int) -> list[Level]:
     """Model tables from order 1 to `order`: raw counts at the top, below the number of distinct left neighbours."""
     out = []
-    counts = top
+    counts = with_high(top)
     for k in range(order, 0, -1):
         if k < order:
-            counts = stored(counts.groupBy(suffix("g", k).alias("g")).agg(F.count("*").alias("c")), f"kn-counts-{k}")
+            counts = stored(counts.groupBy(*suffix(k)).agg(F.count("*").alias("c")), f"kn-counts-{k}")
         kinds = [F.count(F.when(F.col("c") == i, 1)).alias(f"k{i}") for i in (1, 2)] + [F.count(F.when(F.col("c") > 2, 1)).alias("k3")]
-        contexts = counts.groupBy(context("g").alias("ctx")).agg(F.sum("c").alias("total"), *kinds)
+        contexts = counts.groupBy(*context()).agg(F.sum("c").alias("total"), *kinds)
         out.append(Level(counts, stored(contexts, f"kn-contexts-{k}"), discounts(counts)))
     return out[::-1]
 
 
 def log_probabilities(wanted: DataFrame, model: list[Level]) -> DataFrame:
-    """(g, logp) for every wanted n-gram: one join with the counts, one with the contexts, one with the order below."""
+    """(g, h, logp) for every wanted n-gram: one join with the counts, one with the contexts, one with the order below."""
     order = len(model)
-    below = None
+    wanted, below = with_high(wanted), None
     for k, level in enumerate(model, 1):
-        asked = wanted if k == order else wanted.select(suffix("g", k).alias("g")).distinct()
-        rows = asked.join(level.counts, "g", "left").withColumn("ctx", context("g")).join(level.contexts, "ctx", "left")
+        asked = wanted if k == order else wanted.select(*suffix(k)).distinct()
+        rows = asked.join(level.counts, ["g", "h"], "left").select("*", *context()).join(level.contexts, ["ctx", "ctx_h"], "left")
         if below is None:
             kinds = level.counts.count() + 1
             rows = rows.withColumn("lower", F.lit(1.0 / kinds))
         else:
-            rows = rows.withColumn("tail", suffix("g", k - 1)).join(below.select(F.col("g").alias("tail"), F.col("p").alias("lower")), "tail")
+            lower = below.select(F.col("g").alias("tail"), F.col("h").alias("tail_h"), F.col("p").alias("lower"))
+            rows = rows.select("*", *suffix(k - 1, "tail", "tail_h")).join(lower, ["tail", "tail_h"])
         d1, d2, d3 = level.discounts
         cut = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         own = F.coalesce((F.col("c") - cut) / F.col("total"), F.lit(0.0))
         spare = (d1 * F.col("k1") + d2 * F.col("k2") + d3 * F.col("k3")) / F.col("total")
-        rows = rows.select("g", F.when(F.col("total").isNull(), F.col("lower")).otherwise(own + spare * F.col("lower")).alias("p"))
+        rows = rows.select("g", "h", F.when(F.col("total").isNull(), F.col("lower")).otherwise(own + spare * F.col("lower")).alias("p"))
         below = stored(rows, f"kn-order-{k}")
-    return below.select("g", F.log("p").cast("float").alias("logp"))
+    return below.select("g", "h", F.log("p").cast("float").alias("logp"))
 
 
 def _values(x):
@@ -182,7 +216,7 @@ def _values(x):
 def perplexities(docs: DataFrame, labels: DataFrame, text: str, key: str, lang: str, order: int, most: int) -> DataFrame:
     """(doc_id, lang, role, n_symbols, logp): role 1 trains, 2 calibrates, 0 neither."""
     kind = docs.schema[key].dataType.simpleString()
-    made = packed(docs, {"ids": key, "langs": lang}, text, lambda texts: [distinct_grams(texts, order)], "grams array<bigint>", most)
+    made = packed(docs, {"ids": key, "langs": lang}, text, lambda texts: distinct_grams(texts, order), "grams array<bigint>, highs array<bigint>", most)
     blocks = stored_blocks(made, "kn_blocks")
 
     trusted = labels.where("quality is not null").groupBy(F.col(f"`{key}`").alias("id")).agg(F.min("quality").alias("q")).where("q = 1 and id is not null")
@@ -205,20 +239,21 @@ def perplexities(docs: DataFrame, labels: DataFrame, text: str, key: str, lang:
     def count(row) -> list:
         return list(gram_counts([t for t, r in zip(texts_of(row), roles_of(row), strict=True) if r == 1], order))
 
-    trained = per_block(known.select("block", "lengths", "payload", "at", "role"), count, "g bigint, n bigint")
-    top = stored(trained.groupBy("g").agg(F.sum("n").alias("c")), "kn-counts")
-    asked = blocks.select("block", F.posexplode("grams").alias("at", "g"))
-    wanted = stored(asked.select("g").distinct(), "kn-wanted")
+    trained = per_block(known.select("block", "lengths", "payload", "at", "role"), count, "g bigint, h bigint, n bigint")
+    top = stored(trained.groupBy("g", "h").agg(F.sum("n").alias("c")), "kn-counts")
+    asked = blocks.select("block", F.posexplode(F.arrays_zip("grams", "highs")).alias("at", "s"))
+    asked = asked.select("block", "at", F.col("s.grams").alias("g"), F.col("s.highs").alias("h"))
+    wanted = stored(asked.select("g", "h").distinct(), "kn-wanted")
     found = stored(log_probabilities(wanted, levels(top, order)), "kn-logp")
 
-    answers = asked.join(found, "g").groupBy("block")  # bounded by the distinct n-grams of a block
+    answers = asked.join(found, ["g", "h"]).groupBy("block")  # bounded by the distinct n-grams of a block
     answers = answers.agg(F.collect_list(F.struct("at", "logp")).alias("a"))
     answers = answers.select("block", F.col("a.at").alias("places"), F.col("a.logp").alias("logp"))
 
     def score(row) -> list:
         logp = np.zeros(len(row["places"].values), np.float64)
         logp[_values(row["places"]).astype(np.int64)] = _values(row["logp"])
-        events, sums = text_sums(texts_of(row), order, row["grams"].values.to_numpy(), logp)
+        events, sums = text_sums(texts_of(row), order, (row["grams"].values.to_numpy(), row["highs"].values.to_numpy()), logp)
         return [row["ids"].values, row["langs"].values, roles_of(row), events, sums]
 
     joined = known.join(answers, "block")
@@ -247,7 +282,7 @@ def quality(
     symbol is equally likely and every row is kept. An empty table gives an empty result.
     """
     if not 2 <= order <= 5:
-        raise ValueError("order must be 2 to 5: 12 bits a symbol")
+        raise ValueError("order must be 2 to 5: 21 bits a symbol in two longs")
     rows = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{lang}`").cast("string").alias(lang), F.col(f"`{text}`").alias(text))
     scored = stored(perplexities(rows, labels, text, key, lang, order, most), "kn-scores")
     scored = scored.withColumn("perplexity", F.exp(-F.col("logp") / F.col("n_symbols")))

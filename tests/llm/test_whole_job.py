@@ -1,6 +1,10 @@
 """Cases in which an operator did less than its whole job."""
 
 import inspect
+import math
+import random
+
+from test_filters_and_models import plain_logp
 
 from docketry.llm import kneser, pages
 
@@ -10,6 +14,18 @@ def test_the_quality_model_counts_five_characters():
     assert all(len(t) == 5 for t in [kneser.symbols(["abcde"], 5)[0][4:9]])
 
 
+def test_all_code_points_are_kept_apart(spark):
+    rng = random.Random(10)
+    alphabet = ["a", "b", *(chr(c) for c in (97 + 4095, 98 + 4095, 0x4E00, 0x4E00 + 4095, 0xAC00, 0xE000, 0xE001, 0x1F600, 0x10FFFF))]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 50))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "zh") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in kneser.perplexities(docs, labels, "text", "doc_id", "lang", 5, 500).collect()}
+    trained = [t for i, t in enumerate(texts) if got[i].role == 1]
+    for i, (n, logp) in enumerate(plain_logp(trained, texts, 5)):
+        assert got[i].n_symbols == n and math.isclose(got[i].logp, logp, rel_tol=1e-4, abs_tol=1e-4)
+
+
 PARAGRAPH = "This is a paragraph of the text that is long enough to count as content, number {} of them."
 P = [f"<p>{PARAGRAPH.format(i)}</p>" for i in range(9)]
 T = [PARAGRAPH.format(i) for i in range(9)]
