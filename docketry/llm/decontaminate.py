@@ -82,6 +82,10 @@ def original_spans(text: str, hits: np.ndarray) -> list[tuple[int, int]]:
     return [(int(point[starts[run[0]]]), int(point[stops[run[-1]]])) for run in np.split(hits, cut) if len(run)]
 
 
+def listed(text: str | None, hits: np.ndarray) -> str:
+    return ",".join(f"{a}:{b}" for a, b in original_spans(text, hits)) if len(hits) else ""
+
+
 def item_blocks(benchmark: DataFrame, item: str, text: str, most: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
     """Number of blocks and the items as (name, text) block by block; one block in the usual case.
 
@@ -114,7 +118,8 @@ def contamination(
     Null and empty texts have no words; items without words are never found; an item
     without an id is named "null"; repeated items and rows count as they stand; other
     columns are not read. A benchmark above `most` bytes is scanned for in blocks, whose
-    results are united per document.
+    results are united per document; one more pass over the contaminated texts gives the
+    spans of the united hits.
     """
     n_blocks, blocks = item_blocks(benchmark, item, item_text, most)
     context = docs.sparkSession.sparkContext
@@ -123,14 +128,12 @@ def contamination(
         def make(keys, marks, texts):
             if not held:
                 held.append(automaton_of(shared.value, width))
-            out = ([], [], [], [], [])
+            out = ([], [], [], [], [], [])
             for doc, mark, t in zip(keys, marks, texts, strict=True):
                 n, hits, names = scan(t, held[0])
-                found = original_spans(t, hits) if len(hits) else []
-                for column, value in zip(out, (doc, mark, n, hits.tolist(), (sorted(names), found)), strict=True):
+                for column, value in zip(out, (doc, mark, n, hits.tolist(), sorted(names), listed(t, hits)), strict=True):
                     column.append(value)
-            names, spans = [x[0] for x in out[4]], [",".join(f"{a}:{b}" for a, b in x[1]) for x in out[4]]
-            return *out[:3], out[3], names, spans
+            return out
 
         held: list = []
         return make
@@ -154,11 +157,22 @@ def contamination(
             every = every.unionByName(p.select("doc_id", "text_key", "n_words", "hits", "item_ids").where("size(item_ids) > 0"))
         every = every.groupBy("doc_id", "text_key").agg(
             F.max("n_words").alias("n_words"),
-            F.array_distinct(F.flatten(F.collect_set("hits"))).alias("hits"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set("hits")))).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("item_ids"),
         )
+        every = stored(every, "contamination-united")
+
+        def spans_of(keys, marks, hits, texts):
+            return keys, marks, [listed(t, np.array(h, np.int64)) for t, h in zip(texts, hits, strict=True)]
+
+        hit = every.where("size(hits) > 0").select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "hits")
+        again = narrow.join(hit, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")))
+        spans = map_batches(again, ["doc_id", "text_key", "hits", "text"], "text", spans_of, f"d {kind}, t long, spans string")
+        spans = spans.groupBy("d", "t").agg(F.max("spans").alias("spans"))  # repeated rows have equal spans
+        every = every.join(spans, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")), "left").drop("d", "t")
+        every = every.withColumn("spans", F.coalesce("spans", F.lit("")))
         every = every.join(rows.withColumnsRenamed({"doc_id": "d", "text_key": "t"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")))
-        found = every.select("*", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("copy")).withColumn("spans", F.lit(None).cast("string"))
+        found = every.select("*", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("copy"))
     return found.select(
         "doc_id",
         "text_key",

@@ -6,7 +6,7 @@ import random
 
 from test_filters_and_models import plain_logp
 
-from docketry.llm import kneser, pages
+from docketry.llm import decontaminate, kneser, pages
 
 
 def test_the_quality_model_counts_five_characters():
@@ -56,3 +56,15 @@ def test_a_name_on_a_wrapper_does_not_hide_the_content():
     assert pages.main_text(page) == " ".join(T[:3])
     parts = "".join(f"<div class=promo>{p}</div>" for p in P)
     assert pages.main_text(f"<body><p>x</p>{parts}</body>").endswith(" ".join(T))
+
+
+def test_blocks_of_items_give_the_same_spans(spark):
+    rng = random.Random(11)
+    words = ["The", "cat", "élan", "x1", "9", "über", "do-re", "mi", "a"]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(3, 9)))) for i in range(12)]
+    rows = [(i, rng.choice(["; ", " "]).join(rng.choices(words, k=rng.randint(0, 60)))) for i in range(40)]
+    rows += [rows[0], (None, rows[1][1]), (50, None), (51, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    one, several = ([tuple(r) for r in decontaminate.contamination(docs, bench, width=4, most=most).collect()] for most in (16_000_000, 60))
+    assert sorted(one, key=str) == sorted(several, key=str) and sum(bool(r[-1]) for r in one) > 5
