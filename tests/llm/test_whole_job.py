@@ -6,7 +6,7 @@ import random
 
 from test_filters_and_models import plain_logp
 
-from docketry.llm import decontaminate, kneser, pages
+from docketry.llm import decontaminate, kneser, pages, secrets
 
 
 def test_the_quality_model_counts_five_characters():
@@ -68,3 +68,16 @@ def test_blocks_of_items_give_the_same_spans(spark):
     bench = spark.createDataFrame(items, "item_id int, text string")
     one, several = ([tuple(r) for r in decontaminate.contamination(docs, bench, width=4, most=most).collect()] for most in (16_000_000, 60))
     assert sorted(one, key=str) == sorted(several, key=str) and sum(bool(r[-1]) for r in one) > 5
+
+
+def test_a_long_line_does_not_end_the_training(spark):
+    rng = random.Random(12)
+    value = lambda: "".join(rng.choices("0123456789abcdef", k=20))
+    rows = [(0, " ".join(str(rng.randint(1, 999)) for _ in range(3000)))]
+    rows += [(i, f"the name is {rng.randint(1, 99)} and password={value()} in the file") for i in range(1, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secrets.training_rows(docs, tokens=1500)
+    assert {r["id"] for r in found} == {str(i) for i in range(40)}
+    assert all(len(r["words"]) <= 256 for r in found) and 1244 <= sum(len(r["words"]) for r in found) <= 1500
+    assert secrets.train_on(docs, tokens=1500).names
+    assert secrets.bounded([0] * 200 + [1] + [2] * 99, 256) == [(0, 199), (199, 300)]
