@@ -69,4 +69,73 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM doc LEFT JOIN kept USING (r)
 """
 
-SQL = {"op3_substring_dedup": OP3, "op6_line_dedup": OP6, "op7_decontamination": OP7}
+OP11 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM benchmark
+),
+asked AS (SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest(t) AS term FROM item) GROUP BY ALL),
+total AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM doc WHERE len(t) > 0),
+tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM doc) WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, n),
+part AS (
+  SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * len(t) * n) // l)))) AS s
+  FROM tf JOIN weight USING (term) JOIN doc USING (r), total
+),
+score AS (SELECT item_id, r, CAST(sum(c * s) AS BIGINT) AS score FROM asked JOIN part USING (term) GROUP BY ALL HAVING sum(c * s) > 0),
+best AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM score JOIN doc USING (r)
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM best WHERE rank <= 20
+"""
+
+OP12 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+score AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM score) WHERE rank <= 20
+"""
+
+OP13 = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+score AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM score WHERE same) WHERE place <= 5
+),
+ranked AS (
+  SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+  FROM positive JOIN score USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+SQL = {
+    "op3_substring_dedup": OP3,
+    "op6_line_dedup": OP6,
+    "op7_decontamination": OP7,
+    "op11_ranked_search": OP11,
+    "op12_exact_topk": OP12,
+    "op13_hard_negatives": OP13,
+}
