@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import decontaminate, kneser, lines, mixing, oracle, pages, passages, ranked, rules, secrets, simhash, toxicity
+from docketry.llm import decontaminate, gnat, kdtree, kneser, lines, mixing, oracle, pages, passages, ranked, rules, secrets, simhash, toxicity
 from docketry.llm.common import table
 
 
@@ -67,6 +67,14 @@ def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return kdtree.exact_topk(table(spark, folder, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return gnat.hard_negatives(table(spark, folder, "embeddings"), relabel=7)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
