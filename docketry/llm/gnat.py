@@ -108,34 +108,28 @@ def build(x: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     return order, {"spans": np.array(spans), "kids": np.array(kids), "points": np.array(points).astype("<i4"), "lo": np.array(lo), "hi": np.array(hi), "lengths": lengths}
 
 
-def searches(tree: dict[str, np.ndarray], questions: np.ndarray):
-    """search(n, windows, skip): searches the tree for all windows of question n; skip marks rows that do not count."""
+def visit(block: vectors.Block) -> None:
+    """Searches a tree for all windows: subtrees best first, eliminated where their scores meet no window."""
+    tree, squares = block.tree, (block.x * block.x).sum(axis=1)
     spans, kids, lengths = tree["spans"].tolist(), tree["kids"].tolist(), tree["lengths"]
-    points, squares = tree["points"].astype(np.float64), (questions * questions).sum(axis=1)
-    away = distances(questions, points)
-
-    def search(n: int, wins: list[vectors.Found], skip: np.ndarray | None) -> None:
-        heap = [(-np.inf, -np.inf, 0)] if wins else []
-        while heap:
-            largest, smallest, node = heapq.heappop(heap)
-            if not any(-largest >= w.low and smallest <= w.high for w in wins):
-                continue
-            first, number = kids[node]
-            if number:
-                of = slice(first, first + number)
-                low, high = score_range(squares[n], away[n, of], tree["lo"][of, :number], tree["hi"][of, :number], lengths[of, 0], lengths[of, 1])
-                for j, (s, e) in enumerate(zip(low.tolist(), high.tolist(), strict=True)):
-                    if any(e >= w.low and s <= w.high for w in wins):
-                        heapq.heappush(heap, (-e, s, first + j))
-                continue
-            a, b = spans[node]
-            rows = np.arange(a, b) if skip is None else a + np.flatnonzero(~skip[a:b])
-            if len(rows):
-                scores = vectors.products(tree["x"][rows], questions[n])
-                for w in wins:
-                    w.add(scores, rows, tree["copies"][rows])
-
-    return search
+    away = distances(block.x, tree["points"].astype(np.float64))
+    every = np.arange(len(block.x))
+    heap = [(-np.inf, 0, every, np.full(len(every), np.inf), np.full(len(every), -np.inf))]
+    while heap:
+        _, node, asks, largest, smallest = heapq.heappop(heap)
+        asks = asks[block.open(asks, largest, smallest)]
+        first, number = kids[node]
+        if not len(asks):
+            continue
+        if not number:
+            block.score(*spans[node], asks)
+            continue
+        of = slice(first, first + number)
+        low, high = score_range(squares[asks, None], away[asks, None, of], tree["lo"][of, :number], tree["hi"][of, :number], lengths[of, 0], lengths[of, 1])
+        for j in range(number):
+            to = block.open(asks, high[:, j], low[:, j])
+            if to.any():
+                heapq.heappush(heap, (-high[to, j].max(), first + j, asks[to], high[to, j], low[to, j]))
 
 
 def hard_negatives(

@@ -101,28 +101,22 @@ def build(x: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     return order, {"spans": np.array(spans), "kids": np.array(kids), "lo": lo, "hi": hi}
 
 
-def searches(tree: dict[str, np.ndarray], questions: np.ndarray):
-    """search(n, windows, skip): best-first search of the tree for question n; skip marks rows that do not count."""
-    bounds = boxes_reach(questions, tree["lo"], tree["hi"])
+def visit(block: vectors.Block) -> None:
+    """Best-first search of a tree: nodes in descending order of their bounds, until none reaches a k-th score."""
+    tree, every = block.tree, np.arange(len(block.x))
+    bounds = boxes_reach(block.x, tree["lo"], tree["hi"])
     spans, kids = tree["spans"].tolist(), tree["kids"].tolist()
-
-    def search(n: int, wins: list[vectors.Found], skip: np.ndarray | None) -> None:
-        of, (win,) = bounds[n].tolist(), wins
-        heap = [(-of[0], 0)]
-        while heap:
-            bound, node = heapq.heappop(heap)
-            if -bound < win.low:
-                return
-            a, b = spans[node]
-            if kids[node][0]:
-                for kid in kids[node]:
-                    if of[kid] >= win.low:
-                        heapq.heappush(heap, (-of[kid], kid))
-                continue
-            rows = np.arange(a, b) if skip is None else a + np.flatnonzero(~skip[a:b])
-            win.add(vectors.products(tree["x"][rows], questions[n]), rows, tree["copies"][rows])
-
-    return search
+    heap = [(-np.inf, 0)]
+    while heap:
+        _, node = heapq.heappop(heap)
+        asks = every[block.open(every, bounds[:, node])]
+        if not len(asks):
+            continue
+        if not kids[node][0]:
+            block.score(*spans[node], asks)
+            continue
+        for kid in kids[node]:
+            heapq.heappush(heap, (-bounds[asks, kid].max(), kid))
 
 
 def exact_topk(table: DataFrame, k: int = 20, every: int = 20, scale: int = 64, key: str = "vec_id", vector: str = "embedding", shard_rows: int = 8192) -> DataFrame:

@@ -80,12 +80,13 @@ def matrix(vectors: list[bytes], dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(vectors), "<i4").reshape(len(vectors), dim).astype(np.float64)
 
 
-def products(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact inner products; beyond 53 bits in whole numbers of any size, held within a long."""
-    if not rows.size or rows.shape[1] * np.abs(rows).max() * max(np.abs(q).max(), 1.0) < 2**53:
-        return (rows @ q).astype(np.int64)
-    ask = [int(c) for c in q.tolist()]
-    return np.array([min(max(sum(int(a) * b for a, b in zip(r, ask, strict=True)), -LONG), LONG) for r in rows.tolist()], np.int64)
+def products(rows: np.ndarray, questions: np.ndarray) -> np.ndarray:
+    """Exact inner products, rows by questions; beyond 53 bits in whole numbers of any size, held within a long."""
+    if not rows.size or not questions.size or rows.shape[1] * np.abs(rows).max() * max(np.abs(questions).max(), 1.0) < 2**53:
+        return (rows @ questions.T).astype(np.int64)
+    asks, held = [[int(c) for c in q] for q in questions.tolist()], range(-LONG, LONG + 1)
+    exact = [[sum(int(a) * b for a, b in zip(r, q, strict=True)) for q in asks] for r in rows.tolist()]
+    return np.array([[min(max(s, held[0]), held[-1]) for s in line] for line in exact], np.int64)
 
 
 def kth(scores: np.ndarray, copies: np.ndarray, k: int) -> int:
@@ -118,6 +119,48 @@ class Found:
         return sorted(pairs)[: self.k]
 
 
+class Block:
+    """The questions of a message, asked of one tree together.
+
+    A tree opens its nodes in the order of the best bound that any question has; a question
+    takes part in a node only while a window of its own can gain from it.
+    """
+
+    def __init__(self, tree: dict[str, np.ndarray], message: dict[str, np.ndarray], k: int, same: bool | None) -> None:
+        self.tree, self.x, self.ask = tree, message["x"].astype(np.float64), message["ask"]
+        self.labels, self.same = message["label"], same
+        ends, lows, highs = (message[c].tolist() for c in ("ends", "lows", "highs"))
+        self.wins = [[Found(lo, hi, k) for lo, hi in zip(lows[a:b], highs[a:b], strict=True)] for a, b in zip(ends, ends[1:], strict=False)]
+        width = max((len(w) for w in self.wins), default=0)
+        self.low, self.high = np.full((len(self.wins), width), np.inf), np.full((len(self.wins), width), -np.inf)
+        for n, wins in enumerate(self.wins):
+            self.low[n, : len(wins)], self.high[n, : len(wins)] = [w.low for w in wins], [w.high for w in wins]
+
+    def open(self, asks: np.ndarray, largest: np.ndarray, smallest: np.ndarray | float = -np.inf) -> np.ndarray:
+        """Those of the questions for which scores from smallest to largest meet a window of theirs."""
+        floor = smallest[:, None] if isinstance(smallest, np.ndarray) else smallest
+        return ((largest[:, None] >= self.low[asks]) & (floor <= self.high[asks])).any(axis=1)
+
+    def score(self, a: int, b: int, asks: np.ndarray) -> None:
+        """Rows a to b of the tree, exactly, for some of the questions."""
+        tree = self.tree
+        scores = products(tree["x"][a:b], self.x[asks])
+        near = (scores >= self.low[asks].min(axis=1)) & (scores <= self.high[asks].max(axis=1))
+        if self.same is not None:
+            near &= (tree["labels"][a:b, None] == self.labels[asks]) == self.same
+        for column in np.flatnonzero(near.any(axis=0)).tolist():
+            n, rows = asks[column], np.flatnonzero(near[:, column])
+            for w, win in enumerate(self.wins[n]):
+                win.add(scores[rows, column], a + rows, tree["copies"][a + rows])
+                self.low[n, w] = win.low
+
+    def answers(self) -> list[list[int]]:
+        """Columns ask, win, score, vec_id."""
+        starts, ids = self.tree["starts"], self.tree["ids"]
+        rows = [(ask, w, -s, i) for ask, wins in zip(self.ask.tolist(), self.wins, strict=True) for w, win in enumerate(wins) for s, i in win.best(starts, ids)]
+        return [list(c) for c in zip(*rows, strict=True)] or [[], [], [], []]
+
+
 def distinct(rows: DataFrame, keep: int) -> DataFrame:
     """(dim, v, label, ids): distinct vectors of a label with their `keep` smallest ids, ascending, each once.
 
@@ -281,18 +324,9 @@ def _answers(shards: Shards, messages: DataFrame, wave: int, k: int, same: bool
                     tree = from_bytes(held)
                     tree["x"] = tree["x"].astype(np.float64)
                     tree["copies"] = np.diff(tree["starts"])
-                m = from_bytes(payload)
-                out: list[list[int]] = [[], [], [], []]
-                searches = method.searches(tree, m["x"].astype(np.float64))
-                for n in range(len(m["ask"])):
-                    a, b = m["ends"][n], m["ends"][n + 1]
-                    wins = [Found(int(lo), int(hi), k) for lo, hi in zip(m["lows"][a:b], m["highs"][a:b], strict=True)]
-                    skip = None if same is None else (tree["labels"] == m["label"][n]) != same
-                    searches(n, wins, skip)
-                    for w, win in enumerate(wins):
-                        for s, vec_id in win.best(tree["starts"], tree["ids"]):
-                            for column, value in zip(out, (int(m["ask"][n]), w, -s, vec_id), strict=True):
-                                column.append(value)
+                block = Block(tree, from_bytes(payload), k, same)
+                method.visit(block)
+                out = block.answers()
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64())], names=["ask", "win", "score", "vec_id"])
 
     return both.mapInArrow(run, "ask long, win int, score long, vec_id long")

@@ -196,19 +196,18 @@ def test_components_beyond_53_bits_score_exactly(spark):
     assert Counter(map(tuple, kdtree.exact_topk(table, 5).collect())) == plain_topk(rows, 5, 20, 64)
 
 
-def visited(method, x, q, k, monkeypatch):
-    """Share of the rows scored in one search of one tree."""
+def one_question(method, x, q, low, high, k, monkeypatch):
+    """The scores found in one tree for one window, and the share of the rows that were scored."""
     order, arrays = method.build(x)
-    tree = arrays | {"x": x[order], "copies": np.ones(len(x), np.int64)}
+    tree = arrays | {"x": x[order], "labels": np.zeros(len(x), int), "copies": np.ones(len(x), np.int64)}
+    ask = {"x": q[None], "ask": np.array([7]), "label": np.array([0]), "lows": np.array([low]), "highs": np.array([high]), "ends": np.array([0, 1])}
     seen = []
     exact = vectors.products
-    monkeypatch.setattr(vectors, "products", lambda rows, ask: seen.append(len(rows)) or exact(rows, ask))
-    win = vectors.Found(vectors.NONE, vectors.LONG, k)
-    method.searches(tree, q[None])(0, [win], None)
+    monkeypatch.setattr(vectors, "products", lambda rows, asks: seen.append(len(rows)) or exact(rows, asks))
+    block = vectors.Block(tree, ask, k, None)
+    method.visit(block)
     monkeypatch.setattr(vectors, "products", exact)
-    want = sorted((x @ q).astype(int).tolist())[-k:]
-    assert sorted(win.scores.tolist())[-k:] == want
-    return sum(seen) / len(x)
+    return sorted(block.wins[0][0].scores.tolist())[-k:], sum(seen) / len(x)
 
 
 @pytest.mark.parametrize("method", [kdtree, gnat])
@@ -217,7 +216,11 @@ def test_bounds_leave_out_most_of_clustered_vectors(method, monkeypatch):
     centers = rng.normal(size=(40, 16))
     centers *= 400 / np.linalg.norm(centers, axis=1)[:, None]
     x = np.floor(centers[rng.integers(0, 40, 8000)] + rng.normal(size=(8000, 16)))
-    shares = [visited(method, x, x[i], 20, monkeypatch) for i in range(0, 8000, 400)]
+    shares = []
+    for i in range(0, 8000, 400):
+        found, share = one_question(method, x, x[i], vectors.NONE, vectors.LONG, 20, monkeypatch)
+        assert found == sorted((x @ x[i]).astype(int).tolist())[-20:]
+        shares.append(share)
     assert np.mean(shares) < 0.3
 
 
@@ -226,17 +229,10 @@ def test_a_window_eliminates_inner_and_outer_subtrees(monkeypatch):
     rng = np.random.default_rng(6)
     angle = rng.uniform(0, math.pi, 6000)
     x = np.floor(1000 * np.column_stack([np.cos(angle), np.sin(angle)]))
-    order, arrays = gnat.build(x)
-    tree = arrays | {"x": x[order], "copies": np.ones(len(x), np.int64)}
-    seen = []
-    exact = vectors.products
-    monkeypatch.setattr(vectors, "products", lambda rows, ask: seen.append(len(rows)) or exact(rows, ask))
     q = np.array([1000.0, 0.0])
-    win = vectors.Found(400_000, 500_000, 5)
-    gnat.searches(tree, q[None])(0, [win], None)
+    found, share = one_question(gnat, x, q, 400_000, 500_000, 5, monkeypatch)
     scores = (x @ q).astype(int)
-    want = sorted(scores[(scores >= 400_000) & (scores <= 500_000)].tolist())[-5:]
-    assert sorted(win.scores.tolist())[-5:] == want and sum(seen) < 0.2 * len(x)
+    assert found == sorted(scores[(scores >= 400_000) & (scores <= 500_000)].tolist())[-5:] and share < 0.2
 
 
 def test_equal_vectors_send_few_ids(spark):
