@@ -738,6 +738,29 @@ def stream_pages(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(snapshots.read_records(spark, f"{path}/table"))
 
 
+@_query
+def stream_after_compact(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream, a compaction, a second stream with a fresh checkpoint, an offline re-extraction of all, new captures.
+
+    A third of the cases is streamed by each stream and the rest by the first; the second
+    one then gets its third again, after the re-extraction, and folds at every second delta.
+    """
+    path = scratch(spark, "stream-after-compact")
+    landed = pg.land_raw_pages(R.detail_pages(spark, sf))
+    third = F.col("page_id") % 3 == 2
+
+    def arrive(pages: DataFrame, name: str, fold_every: int | None = None) -> None:
+        pg.append_raw_pages(pages, f"{path}/{name}")
+        sp.stream_pages(spark, f"{path}/{name}", f"{path}/table", f"{path}/mark-{name}", fold_every=fold_every).awaitTermination()
+
+    arrive(landed.where(~third), "first")
+    snapshots.compact(spark, f"{path}/table")
+    arrive(landed.where(third), "second", 2)
+    snapshots.write_delta(ingest.rerun_records(landed, scraped_at="2025-01-01T00:00:00"), f"{path}/table", 0, "rerun")
+    arrive(landed.where(third), "second", 2)
+    return _flat(snapshots.read_records(spark, f"{path}/table"))
+
+
 def _streamed_health(spark: SparkSession, sf: str) -> str:
     """The log arrives in three appends in event order; returns the table folder."""
     path = scratch(spark, "stream-health")

@@ -604,6 +604,9 @@ SELECT * REPLACE (
   CASE WHEN status IN ('F', 'P') AND k % 3 >= 1 THEN {_iso('k')} END AS reprocessed_at,
   CASE WHEN status IN ('F', 'P') THEN 'old' END AS reprocessed_from_doc) FROM (SELECT k, status, {_RECORD_COLUMNS} FROM ext)""",
     "stream_pages": f"WITH {_ONLINE} SELECT {_RECORD_COLUMNS} FROM ext",
+    "stream_after_compact": f"""WITH {_AGAIN}
+SELECT {_RECORD_COLUMNS} FROM ext WHERE k % 3 <> 2
+UNION ALL SELECT {_RECORD_COLUMNS} FROM (SELECT * REPLACE ({_iso('k')} AS scraped_at) FROM again) WHERE k % 3 = 2""",
     "stream_health": _HEALTH_ROWS,
     "stream_health_transitions": _HEALTH_CHANGES,
 }
