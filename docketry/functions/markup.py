@@ -2,7 +2,7 @@
 
 These are lexical scans with Java regex over one page at a time: they stay in
 the JVM, keep document order in arrays and never shuffle. Element ends are not
-tracked: text is taken up to the next tag, items up to the next item. A tag ends
+tracked but for nested tables (``nesting``): text is taken up to the next tag, items up to the next item. A tag ends
 at '>' and holds no '<', which keeps every scan linear in the page. Element
 lookups expect ``markup(html)``, computed once per page by the caller.
 """
@@ -121,17 +121,34 @@ def first_text(c: Column) -> Column:
 
 
 def table_rows(mk: Column) -> Column:
-    """array<struct<raw, last, cells>>: rows in page order, ``last`` = ends its table part."""
+    """array<struct<raw, last, cells, texts, pair, second, below>>: rows in page order.
+
+    ``last`` = ends its table part. This is for pages without nested tables, where all
+    follows from raw and cells; the fields behind ``cells`` are NULL. See ``nesting``.
+    """
+    none = F.lit(None)
     return F.transform(
         F.regexp_extract_all(mk, F.lit(_ROW), F.lit(0)),
         lambda r: F.struct(
             r.alias("raw"),
             r.rlike(_LAST_ROW).alias("last"),
             F.regexp_extract_all(r, F.lit(_CELL), F.lit(1)).alias("cells"),
+            none.cast("array<string>").alias("texts"),
+            none.cast("array<string>").alias("pair"),
+            none.cast("string").alias("second"),
+            none.cast("string").alias("below"),
         ),
     )
 
 
+def cell_texts(row: Column) -> tuple[Column, Column, Column]:
+    """Number of cells below a row, and the first texts of the first two."""
+    first, second = (
+        F.coalesce(F.get(row["pair"], F.lit(i)), first_text(F.get(row["cells"], F.lit(i)))) for i in (0, 1)
+    )
+    return F.coalesce(F.size(row["pair"]), F.size(row["cells"])), first, second
+
+
 def second_cell(row: Column) -> Column:
     """Content of a row's second cell, NULL when that is a header cell or missing."""
     head_and_content = F.get(

@@ -34,7 +34,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     Conditionals and lambdas are outside common-subexpression elimination, so a
     regex written twice there also runs twice.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    # not F.get, which holds its argument twice: nested lets would double the plan at each level
+    return F.transform(F.array(value), body)[0]
 
 
 def present(value: Column, test: Callable[[Column], Column] | None = None) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docketry import constants as C
 from docketry.functions import markup as M
+from docketry.functions.nesting import NESTED, may_nest, with_nested_rows
 from docketry.functions.text import (
     WS,
     br_date_to_iso,
@@ -18,6 +19,7 @@ from docketry.functions.text import (
     first_group,
     let,
     non_empty,
+    present,
     rx,
     strip_judge_title,
 )
@@ -70,18 +72,18 @@ def data_autuacao(html: Column, mk: Column, profile: str = "online") -> Column:
 
 # -------------------------------------------------------------------------- judge
 def _judge_from_rows(rows: Column) -> Column:
-    def named(cell: Column) -> Column:
-        texts = [M.first_text(cell)] + [M.tag_text(cell, tag) for tag in C.JUDGE_CELL_TAGS]
+    def named(r: Column) -> Column:
+        cell = F.coalesce(r["second"], F.get(r["cells"], F.lit(1)))
+        texts = [M.cell_texts(r)[2]] + [M.tag_text(cell, tag) for tag in C.JUDGE_CELL_TAGS]
         return F.coalesce(
             *[non_empty(F.regexp_replace(clean_text(t), rf"^{WS}*[:;]{WS}*", "")) for t in texts]
         )
 
-    labelled = F.filter(
-        rows,
-        lambda r: (F.size(r["cells"]) >= 2)
-        & F.contains(F.lower(clean_text(M.first_text(F.get(r["cells"], F.lit(0))))), F.lit("relator")),
-    )
-    names = F.transform(labelled, lambda r: named(F.get(r["cells"], F.lit(1))))
+    def labels(r: Column) -> Column:
+        n, first, _ = M.cell_texts(r)
+        return (n >= 2) & F.contains(F.lower(clean_text(first)), F.lit("relator"))
+
+    names = F.transform(F.filter(rows, labels), named)
     return _first(F.filter(names, lambda n: n.isNotNull()))
 
 
@@ -135,13 +137,12 @@ def relator(html: Column, mk: Column, rows: Column, profile: str = "online") ->
 # ------------------------------------------------------------- parties, movements
 def envolvidos(rows: Column, profile: str = "online") -> Column:
     def pair(r: Column) -> Column:
-        role = clean_text(M.first_text(F.get(r["cells"], F.lit(0))))
-        name = clean_text(M.first_text(F.get(r["cells"], F.lit(1))))
+        role, name = (clean_text(t) for t in M.cell_texts(r)[1:])
         if profile == "online":
             name = F.regexp_replace(name, rf"^{WS}*:{WS}*", "")
         return F.struct(role.alias("papel"), name.alias("nome"))
 
-    pairs = F.transform(F.filter(rows, lambda r: F.size(r["cells"]) >= 2), pair)
+    pairs = F.transform(F.filter(rows, lambda r: M.cell_texts(r)[0] >= 2), pair)
 
     def kept(p: Column) -> Column:
         filled = (p["papel"] != "") & (p["nome"] != "")
@@ -166,8 +167,8 @@ def _anchored_movements(rows: Column) -> Column:
         links = F.when(
             F.contains(r["raw"], F.lit("mov_")), F.regexp_extract_all(r["raw"], F.lit(anchor), F.lit(1))
         ).otherwise(F.array().cast("array<string>"))
-        below = F.when(~r["last"], F.get(rows, i + 1))
-        text = clean_text(M.first_text(M.second_cell(below["raw"])))
+        below = F.coalesce(r["below"], F.when(~r["last"], F.get(rows, i + 1)["raw"]))
+        text = clean_text(M.first_text(M.second_cell(below)))
         text = clean_text(F.regexp_replace(text, C.RECEIPT_TAIL, ""))
         return F.transform(
             links,
@@ -205,22 +206,39 @@ def movimentacoes(mk: Column, rows: Column, profile: str = "online") -> Column:
 
 # ------------------------------------------------------------------- table operators
 def page_cells(pages: DataFrame) -> DataFrame:
-    """One row per table cell: page, row, cell position, raw content and first text."""
+    """One row per table cell: page, row, cell position, raw content and first text.
+
+    A cell counts to the row it stands in; the text is the first one below it, tables
+    inside included, which raw leaves to their own rows.
+    """
     return (
-        pages.select("page_id", F.posexplode(M.table_rows(M.markup(F.col("html")))).alias("row_idx", "r"))
-        .select("page_id", "row_idx", F.posexplode("r.cells").alias("cell_idx", "raw"))
-        .withColumn("text", clean_text(M.first_text(F.col("raw"))))
+        _staged(pages).select("page_id", F.posexplode("rows").alias("row_idx", "r"))
+        .select("page_id", "row_idx", "r.texts", F.posexplode("r.cells").alias("cell_idx", "raw"))
+        .withColumn("text", clean_text(F.coalesce(F.get("texts", F.col("cell_idx")), M.first_text(F.col("raw")))))
+        .drop("texts")
     )
 
 
+def _parsed(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("mk", M.markup(F.col("html")))
+
+
 def _staged(pages: DataFrame) -> DataFrame:
-    """Pages with markup and rows as columns, each computed once per page."""
-    return pages.withColumn("mk", M.markup(F.col("html"))).withColumn("rows", M.table_rows(F.col("mk")))
+    """Pages with markup and rows as columns, each computed once per page.
+
+    Pages with nested tables take a way of their own. The others, nearly always all, leave
+    it at a test of their html in the scan.
+    """
+    html = F.col("html")
+    within = lambda m: F.coalesce(m.rlike(NESTED), F.lit(False))
+    flat = pages.select("*", present(M.markup(html), lambda m: ~may_nest(html) | ~within(m)).alias("mk"))
+    nested = pages.where(may_nest(html)).select("*", present(M.markup(html), within).alias("mk"))
+    return flat.withColumn("rows", M.table_rows(F.col("mk"))).unionByName(with_nested_rows(nested, M.first_text))
 
 
 def extract_numero(pages: DataFrame, profile: str = "online") -> DataFrame:
     found = numero(F.col("html"), F.col("mk"), profile)
-    return _staged(pages).select("page_id", found.alias("numero"))
+    return _parsed(pages).select("page_id", found.alias("numero"))
 
 
 def extract_legado(pages: DataFrame, profile: str = "online") -> DataFrame:
@@ -229,7 +247,7 @@ def extract_legado(pages: DataFrame, profile: str = "online") -> DataFrame:
 
 def extract_data_autuacao(pages: DataFrame, profile: str = "online") -> DataFrame:
     filed = data_autuacao(F.col("html"), F.col("mk"), profile)
-    return _staged(pages).select("page_id", filed.alias("data_autuacao"))
+    return _parsed(pages).select("page_id", filed.alias("data_autuacao"))
 
 
 def extract_relator(pages: DataFrame, profile: str = "online") -> DataFrame:

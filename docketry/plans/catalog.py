@@ -345,6 +345,21 @@ def page_cells(spark: SparkSession, sf: str) -> DataFrame:
     return extract.page_cells(_details(spark, sf)).select("page_id", "row_idx", "cell_idx", "text")
 
 
+@_query
+def page_cells_nested(spark: SparkSession, sf: str) -> DataFrame:
+    return extract.page_cells(R.nested_pages(spark, sf)).select("page_id", "row_idx", "cell_idx", "raw", "text")
+
+
+@_query
+def extract_envolvidos_nested(spark: SparkSession, sf: str) -> DataFrame:
+    return extract.extract_envolvidos(R.nested_pages(spark, sf))
+
+
+@_query
+def extract_relator_nested(spark: SparkSession, sf: str) -> DataFrame:
+    return extract.extract_relator(R.nested_pages(spark, sf))
+
+
 @_query
 def extract_numero(spark: SparkSession, sf: str) -> DataFrame:
     return extract.extract_numero(_details(spark, sf))

@@ -439,6 +439,33 @@ SELECT k AS page_id, r::INTEGER AS row_idx, c::INTEGER AS cell_idx, t AS text FR
     "extract_legado": f"WITH {_CASES} SELECT k AS page_id, {_LEGACY} AS numero_legado FROM o",
     "extract_data_autuacao": f"WITH {_CASES} SELECT k AS page_id, {_FILED} AS data_autuacao FROM o",
     "extract_data_autuacao_offline": f"WITH {_CASES} SELECT k AS page_id, {_FILED_OFF} AS data_autuacao FROM o",
+    "page_cells_nested": f"""WITH {_CASES},
+b AS (SELECT *, CASE WHEN k % 4 = 3 THEN 1 ELSE 0 END AS jr, 'DESEMBARGADOR FEDERAL ' || nm AS judge FROM o),
+cells AS (
+  SELECT k, 0 AS r, 0 AS c, 'Menu' AS raw, 'Menu' AS t FROM b
+  UNION ALL SELECT k, 0, 1, '', 'RELATOR' FROM b
+  UNION ALL SELECT k, 0, 2, 'Rodape ' || k, 'Rodape ' || k FROM b
+  UNION ALL SELECT k, 1, 0, 'RELATOR', 'RELATOR' FROM b
+  UNION ALL SELECT k, 1, 1, CASE jr WHEN 1 THEN '' ELSE ': <b>' || judge || '</b>' END, CASE jr WHEN 1 THEN judge ELSE ':' END FROM b
+  UNION ALL SELECT k, 2, 0, judge, judge FROM b WHERE jr = 1
+  UNION ALL SELECT k, jr + 2, 0, 'APTE', 'APTE' FROM b
+  UNION ALL SELECT k, jr + 2, 1, '', nm FROM b
+  UNION ALL SELECT k, jr + 2, 2, 'resto ' || k, 'resto ' || k FROM b
+  UNION ALL SELECT k, jr + 3, 0, nm, nm FROM b
+  UNION ALL SELECT k, jr + 3, 1, 'Valor ' || k, 'Valor ' || k FROM b
+  UNION ALL SELECT k, jr + 3 + j, 0, 'APDO', 'APDO' FROM b, unnest(range(1, k % 3 + 1)) t(j)
+  UNION ALL SELECT k, jr + 3 + j, 1, ': Parte ' || j, ': Parte ' || j FROM b, unnest(range(1, k % 3 + 1)) t(j)
+)
+SELECT k AS page_id, r::INTEGER AS row_idx, c AS cell_idx, raw, t AS text FROM cells""",
+    "extract_envolvidos_nested": f"""WITH {_CASES},
+pairs AS (
+  SELECT k, 0 AS j, 'Menu' AS papel, 'RELATOR' AS nome FROM o
+  UNION ALL SELECT k, 1, 'APTE', nm FROM o
+  UNION ALL SELECT k, 2, nm, 'Valor ' || k FROM o
+  UNION ALL SELECT k, 2 + j, 'APDO', 'Parte ' || j FROM o, unnest(range(1, k % 3 + 1)) t(j)
+)
+SELECT k AS page_id, j::INTEGER AS pos, papel, nome FROM pairs""",
+    "extract_relator_nested": f"WITH {_CASES} SELECT k AS page_id, nm AS relator FROM o",
     "extract_relator": f"WITH {_CASES} SELECT k AS page_id, {_JUDGE_ONLINE} AS relator FROM o",
     "extract_relator_offline": f"WITH {_CASES} SELECT k AS page_id, {_JUDGE_OFFLINE} AS relator FROM o",
     "extract_envolvidos": f"""WITH {_DETAIL}

@@ -23,6 +23,7 @@ def build_session(app: str = "docketry", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # call sites of columns cost more than columns
     )
     if master:
         b = b.master(master)

@@ -163,6 +163,31 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_html() -> Column:
+    """Detail page of an order inside of a layout table, with tables inside of its cells."""
+    k, nm, npu = F.col("k"), F.col("nm"), F.col("npu")
+    judge = F.when(
+        k % 4 == 3, _cat("<table><tr><td>DESEMBARGADOR FEDERAL ", nm, "</td></tr></table>")
+    ).otherwise(_cat(": <b>DESEMBARGADOR FEDERAL ", nm, "</b>"))
+    others = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), k % 3),
+        lambda j: F.when(j > 0, _cat("<tr><td>APDO</td><td>: Parte ", _text(j), "</td></tr>")).otherwise(""),
+    )
+    return _cat(
+        "<html><body><p>", npu, '</p><table width="100%"><tr><td>Menu</td><td><table><tr><td>RELATOR</td><td>', judge,
+        "</td></tr><tr><td>APTE</td><td><table><tr><td>", nm, "</td><td>Valor ", _text(k),
+        "</td></tr></table></td><td>resto ", _text(k), "</td></tr>", F.array_join(others, ""),
+        "</table></td><td>Rodape ", _text(k), "</td></tr></table></body></html>",
+    )
+
+
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched detail pages built of nested tables, one per order."""
+    k, npu = F.col("k"), F.col("npu")
+    url = _cat(f"{SITE}/processo/", npu)
+    return _pages(cases(spark, sf_dir), nested_html(), url, k, tipo=F.lit("detalhe"), numero=npu)
+
+
 def text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail pages whose single movement is a whole document text."""
     text = F.col("text")
