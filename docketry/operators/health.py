@@ -94,8 +94,8 @@ def _host() -> Column:
     return F.coalesce("host", F.lit(""))
 
 
-def _bounds(log: DataFrame, chunk: int) -> DataFrame:
-    """(host, bounds): first sequence numbers of the chunks after the first, for hosts above ``chunk`` rows.
+def _bounds(log: DataFrame, chunk: int) -> DataFrame | None:
+    """(host, bounds): first sequence numbers of the chunks after the first, for hosts above ``chunk`` rows; None without such hosts.
 
     Reads two columns of the log. Quantiles may differ from run to run, so they are
     written once and both uses of the rows see the same chunks.
@@ -105,6 +105,8 @@ def _bounds(log: DataFrame, chunk: int) -> DataFrame:
     path = scratch(log.sparkSession, "health-busy")
     busy.write.parquet(path)
     busy = log.sparkSession.read.schema(busy.schema).parquet(path)
+    if busy.isEmpty():
+        return None
     steps = [i / MOST_CHUNKS for i in range(1, MOST_CHUNKS)]
     cuts = keys.join(busy, "host").groupBy("host").agg(F.percentile_approx("seq", steps, 10 * MOST_CHUNKS).alias("cuts"), F.max("n").alias("n"))
     # every stride-th quantile, so that a chunk holds about `chunk` rows where that many chunks are allowed
@@ -132,14 +134,11 @@ def _chunked(flagged: DataFrame, chunk: int, keep: tuple[str, ...]) -> DataFrame
     # keys that cannot be NULL: no filter is inferred on either use of these rows,
     # so both uses stay equal and share one shuffle
     narrow = flagged.select(_host().alias("host"), "seq", "ts", "failed", *keep)
-    narrow = narrow.join(_bounds(flagged, chunk), F.col("host") == F.col("_bound_host"), "left").select(
-        "host",
-        "seq",
-        "ts",
-        "failed",
-        F.coalesce(_chunk_of(F.coalesce("seq", F.lit(0))), F.lit(0)).alias("chunk"),
-        *keep,
-    )
+    bounds, number = _bounds(flagged, chunk), F.lit(0)
+    if bounds is not None:
+        narrow = narrow.join(bounds, F.col("host") == F.col("_bound_host"), "left")
+        number = F.coalesce(_chunk_of(F.coalesce("seq", F.lit(0))), F.lit(0))
+    narrow = narrow.select("host", "seq", "ts", "failed", number.alias("chunk"), *keep)
     w = Window.partitionBy("host", "chunk").orderBy("seq")
     to_here = w.rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("host", "chunk")
@@ -282,17 +281,18 @@ def server_health(
     )
 
 
-def health_state(health: DataFrame) -> DataFrame:
-    """Closing state per host, to continue from with ``server_health(start=...)``.
+def chunk_states(health: DataFrame, start: DataFrame | None = None) -> DataFrame:
+    """State of a host at the end of each of its chunks, to continue from with ``server_health(start=...)``.
 
-    Only the last 19 rows of a host are grouped: the rank limit is applied before
-    the shuffle (window group limit), so a busy host sends few rows per task.
+    Only the last 19 rows of a chunk are grouped: the rank limit is applied before the
+    shuffle (window group limit), so a busy host sends few rows per task. Flags older
+    than a chunk come from the chunks before it, and from the ``start`` of the log.
     """
-    newest = Window.partitionBy("host").orderBy(F.desc("n"))
-    return (
+    newest = Window.partitionBy("host", "chunk").orderBy(F.desc("n"))
+    ends = (
         health.withColumn("back", F.row_number().over(newest))
         .where(F.col("back") <= _TAIL)
-        .groupBy("host")
+        .groupBy("host", "chunk")
         .agg(
             F.max("n").alias("n"),
             F.max("ok_rn").alias("ok_rn"),
@@ -304,6 +304,22 @@ def health_state(health: DataFrame) -> DataFrame:
         )
         .withColumn("tail", F.transform("tail", lambda x: x["failed"]))
     )
+    # every chunk has a row, so 19 chunks hold at least 19 flags if that many exist
+    chunks = Window.partitionBy("host").orderBy("chunk").rowsBetween(1 - _TAIL, 0)
+    tail = F.flatten(F.collect_list("tail").over(chunks))
+    if start is None:
+        return ends.withColumn("tail", _last(tail, _TAIL))
+    old = start.select(F.col("host").alias("_h"), F.col("tail").alias("_old"))
+    joined = ends.withColumn("tail", tail).join(old, F.col("host") == F.col("_h"), "left")
+    known = F.coalesce("_old", F.array().cast("array<boolean>"))
+    return joined.withColumn("tail", _last(F.concat(known, F.col("tail")), _TAIL)).drop("_h", "_old")
+
+
+def health_state(states: DataFrame) -> DataFrame:
+    """Closing state per host among ``chunk_states`` (partial aggregation)."""
+    fields = [c for c in states.columns if c != "host"]
+    last = states.groupBy("host").agg(F.max_by(F.struct(*fields), "n").alias("s"))
+    return last.select("host", *[F.col(f"s.{c}").alias(c) for c in fields])
 
 
 def health_transitions(health: DataFrame, before: DataFrame | None = None) -> DataFrame:

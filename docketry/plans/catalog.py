@@ -776,14 +776,14 @@ def stream_after_compact(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(snapshots.read_records(spark, f"{path}/table"))
 
 
-def _streamed_health(spark: SparkSession, sf: str) -> str:
-    """The log arrives in three appends in event order; returns the table folder."""
+def _streamed_health(spark: SparkSession, sf: str, order: tuple[int, ...] = (0, 1, 2)) -> str:
+    """The log arrives in three appends, its thirds in this order; returns the table folder."""
     path = scratch(spark, "stream-health")
     log = R.fetch_log(spark, sf)
     bounds = log.agg(F.min("seq").alias("lo"), (F.max("seq") + 1).alias("hi")).first()
     third = (bounds["hi"] - bounds["lo"]) // 3
     cuts = [bounds["lo"], bounds["lo"] + third, bounds["lo"] + 2 * third, bounds["hi"]]
-    for lo, hi in zip(cuts, cuts[1:]):
+    for lo, hi in [(cuts[i], cuts[i + 1]) for i in order]:
         log.where((F.col("seq") >= lo) & (F.col("seq") < hi)).write.mode("append").parquet(f"{path}/in")
         sh.stream_health(spark, f"{path}/in", f"{path}/table", f"{path}/checkpoint").awaitTermination()
     return f"{path}/table"
@@ -798,3 +798,15 @@ def stream_health(spark: SparkSession, sf: str) -> DataFrame:
 def stream_health_transitions(spark: SparkSession, sf: str) -> DataFrame:
     changes = sh.read_transitions(spark, _streamed_health(spark, sf))
     return changes.select("host", "seq", _micros("ts"), "change")
+
+
+@_query
+def stream_health_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The last third of the log comes first: what it said is restated twice."""
+    return _health_columns(sh.read_health(spark, _streamed_health(spark, sf, (2, 0, 1))))
+
+
+@_query
+def stream_transitions_late(spark: SparkSession, sf: str) -> DataFrame:
+    changes = sh.read_transitions(spark, _streamed_health(spark, sf, (1, 2, 0)))
+    return changes.select("host", "seq", _micros("ts"), "change")

@@ -636,6 +636,8 @@ SELECT {_RECORD_COLUMNS} FROM ext WHERE k % 3 <> 2
 UNION ALL SELECT {_RECORD_COLUMNS} FROM (SELECT * REPLACE ({_iso('k')} AS scraped_at) FROM again) WHERE k % 3 = 2""",
     "stream_health": _HEALTH_ROWS,
     "stream_health_transitions": _HEALTH_CHANGES,
+    "stream_health_late": _HEALTH_ROWS,
+    "stream_transitions_late": _HEALTH_CHANGES,
 }
 _ORACLE["ingest_pages"] = _ORACLE["ingest_pages"].replace("SELECT * REPLACE", "SELECT * EXCLUDE (k, status) REPLACE")
 

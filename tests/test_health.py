@@ -8,6 +8,7 @@ import pytest
 from docketry.operators import health
 from docketry.schemas import FETCH_LOG
 from docketry.streaming import health as sh
+from docketry.streaming.pages import stream_name
 
 OK = "<html><body>" + "conteudo " * 20 + "</body></html>"
 
@@ -105,14 +106,50 @@ def test_unknown_hosts_are_listed(spark):
     assert set(got) == {"h0", "h9"} and got["h9"] == ("unknown", None) and got["h0"][0] != "unknown"
 
 
-def test_late_rows_are_set_aside(spark, tmp_path):
+@pytest.mark.parametrize("seed,size,chunk", [(1, 60, 25), (2, 7, 1_000_000), (3, 150, 1)])
+def test_any_order_of_arrival_ends_in_the_batch_rows(spark, tmp_path, seed, size, chunk):
+    """Whole parts in random order, and single rows far behind; small batches keep their hosts' last flags."""
+    rnd = random.Random(seed)
+    rows = make_log(20 + seed, size * 4)
+    expected = loop(rows)
+    strays = rnd.sample(rows, len(rows) // 10)
+    inside = [r for r in rows if r not in strays]
+    parts = [inside[i : i + size] for i in range(0, len(inside), size)]
+    if seed == 1:
+        rnd.shuffle(parts)
+    parts[-1] += strays[::2]
+    parts.append(strays[1::2])
+    table = str(tmp_path / "table")
+    for i, part in enumerate(parts):
+        sh.apply_batch(spark.createDataFrame(part, FETCH_LOG), i, table, chunk=chunk)
+        if i == 2:  # the states so far are those of the rows so far, in order
+            so_far = sorted((r for p in parts[:3] for r in p), key=lambda r: r[1])
+            assert states(sh.read_health(spark, table)) == loop(so_far)
+    assert states(sh.read_health(spark, table)) == expected
+    got = [(r.host, r.seq, r.change) for r in sh.read_transitions(spark, table).collect()]
+    assert set(got) == changes(expected) and len(got) == len(set(got))
+
+
+def test_a_late_row_recomputes_only_what_follows(spark, tmp_path):
+    rows = make_log(11, 600)
+    late = next(r for r in rows[400:] if r[0] == "h0")
+    table = str(tmp_path / "table")
+    sh.apply_batch(spark.createDataFrame([r for r in rows if r is not late], FETCH_LOG), 0, table, chunk=20)
+    sh.apply_batch(spark.createDataFrame([late], FETCH_LOG), 1, table)
+    assert states(sh.read_health(spark, table)) == loop(rows)
+    again = spark.read.parquet(f"{table}/health/version=1").collect()
+    behind = [r for r in rows if r[0] == "h0" and r[1] >= late[1]]
+    assert {r.host for r in again} == {"h0"} and len(behind) <= len(again) <= len(behind) + 80
+
+
+def test_a_new_stream_over_the_same_table_goes_on(spark, tmp_path):
+    """Two checkpoints are two writers: batch 0 of the second is not taken for a replay."""
     rows = make_log(11, 300)
-    src, table, mark = (str(tmp_path / n) for n in ("in", "table", "mark"))
-    for part in (rows[:200], rows[200:] + rows[10:13]):
-        spark.createDataFrame(part, FETCH_LOG).write.mode("append").parquet(src)
-        sh.stream_health(spark, src, table, mark, chunk=40).awaitTermination()
+    table = str(tmp_path / "table")
+    for name, part in (("a", rows[100:]), ("b", rows[:100])):
+        spark.createDataFrame(part, FETCH_LOG).write.parquet(str(tmp_path / name))
+        sh.stream_health(spark, str(tmp_path / name), table, str(tmp_path / f"mark-{name}"), chunk=40).awaitTermination()
     assert states(sh.read_health(spark, table)) == loop(rows)
-    assert {(r.host, r.seq) for r in sh.read_late(spark, table).collect()} == {(r[0], r[1]) for r in rows[10:13]}
 
 
 def test_snapshot_is_the_last_state(spark):
@@ -137,7 +174,7 @@ def test_stream_equals_batch_and_survives_a_replay(spark, tmp_path):
         sh.stream_health(spark, src, table, mark, chunk=40).awaitTermination()
         if hi == 400:
             # the batch is run once more, as after a lost driver
-            sh.apply_batch(part, 1, table, chunk=40)
+            sh.apply_batch(part, 1, table, chunk=40, writer=stream_name(spark, mark))
     assert states(sh.read_health(spark, table)) == expected
     got = {(r.host, r.seq, r.change) for r in sh.read_transitions(spark, table).collect()}
     assert got == changes(expected)
