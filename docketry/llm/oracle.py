@@ -7,15 +7,12 @@ one AS (
   SELECT r, site, unnest(lines) AS raw, generate_subscripts(lines, 1) AS i FROM cut
 ),
 solid AS (
-  SELECT r, site, i, trim(raw, E' \t\n\x0b\x0c\r') AS line FROM one WHERE length(trim(raw, E' \t\n\x0b\x0c\r')) > 0
-),
-placed AS (
-  SELECT site, line, lag(line) OVER w AS a, lead(line) OVER w AS b, (lag(line) OVER w) IS NULL AS top
-  FROM solid WINDOW w AS (PARTITION BY r ORDER BY i)
+  SELECT r, site, trim(raw, E' \t\n\x0b\x0c\r') AS line FROM one WHERE length(trim(raw, E' \t\n\x0b\x0c\r')) > 0
 ),
+spread AS (SELECT line FROM solid GROUP BY line HAVING count(DISTINCT site) >= 8),
+own AS (SELECT r FROM solid LEFT JOIN spread ON solid.line = spread.line GROUP BY r HAVING 2 * count(spread.line) <= count(*)),
 bad AS (
-  SELECT line FROM placed GROUP BY line
-  HAVING count(DISTINCT site) >= 8 AND count(DISTINCT (a, b, top)) >= greatest(8, 0.25 * count(*))
+  SELECT line FROM solid JOIN own USING (r) JOIN spread USING (line) GROUP BY line HAVING count(DISTINCT site) >= 8
 ),
 kept AS (
   SELECT r, count(*) AS n, count(bad.line) AS n_cut, string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE bad.line IS NULL) AS left_text

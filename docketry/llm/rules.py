@@ -192,7 +192,7 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def learn_rules(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", sample: int = 9000, **settings) -> list[Rule]:
-    """Rules from at most `sample` labelled ids, in hash order; low quality is label 0.
+    """Rules from at most `sample` labelled ids, and as many distinct texts, in hash order; low quality is label 0.
 
     Ids with contradicting labels, null labels and rows that the base rules reject are
     not learned from. Without labels of both kinds the list is empty: every row passes.
@@ -204,7 +204,8 @@ def learn_rules(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
     chosen = picked.join(F.broadcast(marked.select("doc_id")), "doc_id", "left_semi")  # at most `sample` ids
     rows = statistics(chosen).join(F.broadcast(marked), "doc_id")
     rows = rows.where(~base_failed()).select("doc_id", "text_key", "q", *[share(s[0]).alias(s[0]) for s in SHARES])
-    table = rows.dropDuplicates(["doc_id", "text_key"]).limit(2 * sample).toArrow()
+    rows = rows.dropDuplicates(["doc_id", "text_key"]).orderBy(F.xxhash64("doc_id"), "doc_id", "text_key")
+    table = rows.limit(sample).toArrow()
     if not table.num_rows:
         return []
     order = np.lexsort((table["text_key"].to_numpy(), table["doc_id"].to_numpy()))

@@ -296,7 +296,7 @@ def test_line_dedup_equals_its_sql_with_odd_rows(spark, odd_docs, no_docs, tmp_p
     for i in range(300):
         body = [rng.choice(fillers) for _ in range(rng.randint(1, 6))]
         if i % 3 == 0:
-            body.insert(rng.randint(0, len(body)), rng.choice([footer, f"  {footer}\t"]))
+            body[0:0] = [rng.choice([footer, f"  {footer}\t"]), "Imprint", "Imprint"][: rng.randint(1, 3)]
         if i % 4 == 0:
             body = copy if i % 8 else copy[:3]
         rows.append((100 + i, "\n".join(body), f"s{rng.randrange(17)}"))
@@ -312,6 +312,19 @@ def test_line_dedup_equals_its_sql_with_odd_rows(spark, odd_docs, no_docs, tmp_p
     assert lines.line_dedup(no_docs).count() == 0
 
 
+def test_a_long_footer_goes_whole_beside_copies(spark):
+    """Three lines on 12 sites, also in a document with 4000 exact and 300 near copies, whose own lines stay."""
+    footer = ["Contact us", "Terms of use", "All rights reserved"]
+    rows = [(i, "\n".join([f"own {i} {j}" for j in range(4)] + footer), f"s{i % 12}") for i in range(240)]
+    body = [f"copied {j}" for j in range(9)]
+    rows += [(1000 + i, "\n".join(body + footer), f"s{i % 12}") for i in range(4000)]
+    near = [[*body[: i % 9], f"changed {i}", *body[i % 9 + 1 :]] for i in range(300)]
+    rows += [(9000 + i, "\n".join(x), f"s{i % 12}") for i, x in enumerate(near)]
+    got = lines.line_dedup(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    want = {i: "\n".join(x for x in t.split("\n") if x not in footer) for i, t, _ in rows}
+    assert {r.doc_id: r.text for r in got.collect()} == want
+
+
 def test_cut_keeps_the_columns(spark, odd_docs):
     got = lines.cut_boilerplate(odd_docs)
     assert got.columns == odd_docs.columns

@@ -19,7 +19,7 @@ def test_stages_are_the_ones_asked_for():
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality rules", "line dedup", "simhash near-dedup", "benchmark decontamination", "mixing to target weights"]
     assert set(queries.queries()) == {n for n in __spark_entry__.queries() if n.startswith("op")}
-    assert len(queries.queries()) == 10 and "pipeline" in __spark_entry__.queries()
+    assert len(queries.queries()) == 13 and "pipeline" in __spark_entry__.queries()
 
 
 def test_stages_on_the_smallest_tables(spark):
@@ -76,6 +76,8 @@ def test_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs, tmp_path):
         corpus_pipeline.run(spark, folder).count()
         n = source.count()
         for query, f in queries.queries().items():
+            if query.startswith(("op11", "op12", "op13")):  # rows per question; test_searches has their odd and empty tables
+                continue
             found = f(spark, folder)
             assert found.count() == (1 if "html" in query else n), query
 
