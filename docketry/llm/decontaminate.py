@@ -1,15 +1,16 @@
 """Benchmark decontamination: one Aho-Corasick automaton over normalised test items, one scan per text.
 
 Texts and items are normalised alike (A-Z lowered, everything but a-z, 0-9 and
-characters from U+0080 on is a separator), so a window of item words is a plain
-substring of the normalised text, with a space at either end. Hits are mapped
-from offsets in the normalised text to word numbers and to code points of the
-original.
+characters from U+0080 on is a separator). The automaton reads words, not letters: a word of the items is a code of
+two symbols, so a window has two nodes per word, and a word that no item holds ends
+every match. The places of hits are word numbers of the text, mapped to code points of
+the original.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
@@ -26,49 +27,59 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(NORMAL).split()
 
 
-def windows_of(items: list[tuple[str, str]], width: int) -> dict[str, tuple[int, set[str]]]:
-    """Window text with a space at either end -> (number of words, names of the items that hold it)."""
-    out: dict[str, tuple[int, set[str]]] = {}
+UNKNOWN = "\0\0"
+
+
+def code_of(number: int) -> str:
+    """First and second symbol have ranges of their own, so a match starts at a word; no node has over 512 second symbols."""
+    return chr(0x10000 + number // 512) + chr(1 + number % 512)
+
+
+@dataclass
+class Windows:
+    """Automaton over the windows of items; its values are (number of words, numbers of the items in `names`)."""
+
+    automaton: ahocorasick.Automaton
+    codes: dict[bytes, str]
+    names: list[str]
+
+
+def automaton_of(items: list[tuple[str, str]], width: int) -> Windows | None:
+    """None if no item has a word."""
+    codes: dict[bytes, str] = {}
+    names: dict[str, int] = {}
+    automaton = ahocorasick.Automaton()
     for name, text in items:
-        words = words_of(text)
+        words = [codes.get(w) or codes.setdefault(w, code_of(len(codes))) for w in words_of(text)]
         for i in range(max(1, len(words) - width + 1) if words else 0):
             part = words[i : i + width]
-            window = f" {b' '.join(part).decode('latin-1')} "
-            out.setdefault(window, (len(part), set()))[1].add(name)
-    return out
-
-
-def automaton_of(items: list[tuple[str, str]], width: int) -> ahocorasick.Automaton | None:
-    windows = windows_of(items, width)
-    if not windows:
+            window = "".join(part)
+            of = names.setdefault(name, len(names))
+            known = automaton.get(window, None)
+            if known is None:
+                automaton.add_word(window, (len(part), (of,)))
+            elif of not in known[1]:
+                automaton.add_word(window, (len(part), (*known[1], of)))
+    if not codes:
         return None
-    automaton = ahocorasick.Automaton()
-    for window, (n, names) in windows.items():
-        automaton.add_word(window, (n, tuple(sorted(names))))
     automaton.make_automaton()
-    return automaton
+    return Windows(automaton, codes, list(names))
 
 
-def scan(text: str | None, automaton: ahocorasick.Automaton | None) -> tuple[int, np.ndarray, set[str]]:
+def scan(text: str | None, windows: Windows | None) -> tuple[int, np.ndarray, set[str]]:
     """Number of words, sorted numbers of the hit words, names of the items found."""
     words = words_of(text)
-    names: set[str] = set()
-    if automaton is None or not words:
-        return len(words), np.empty(0, np.int64), names
-    normal = f" {b' '.join(words).decode('latin-1')} "
-    ends, counts = [], []
-    for end, (n, found) in automaton.iter(normal):
-        ends.append(end)
-        counts.append(n)
-        names.update(found)
-    if not ends:
-        return len(words), np.empty(0, np.int64), names
-    stops = np.cumsum([len(w) + 1 for w in words])  # offset of the space after each word
-    last = np.searchsorted(stops, ends)
+    if windows is None or not words:
+        return len(words), np.empty(0, np.int64), set()
+    coded = "".join([windows.codes.get(w, UNKNOWN) for w in words])
     change = np.zeros(len(words) + 1, np.int64)
-    np.add.at(change, last + 1, -1)
-    np.add.at(change, last + 1 - np.array(counts), 1)
-    return len(words), np.flatnonzero(np.cumsum(change[:-1]) > 0), names
+    items: set[int] = set()
+    for at, (n, found) in windows.automaton.iter(coded):
+        end = at // 2
+        change[end + 1] -= 1
+        change[end + 1 - n] += 1
+        items.update(found)
+    return len(words), np.flatnonzero(np.cumsum(change[:-1]) > 0), {windows.names[i] for i in items}
 
 
 def original_spans(text: str, hits: np.ndarray) -> list[tuple[int, int]]:
@@ -89,6 +100,8 @@ def listed(text: str | None, hits: np.ndarray) -> str:
 def item_blocks(benchmark: DataFrame, item: str, text: str, most: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
     """Number of blocks and the items as (name, text) block by block; one block in the usual case.
 
+    An automaton takes some 160 MB of a Python worker per MB of items.
+
     The benchmark is a stated query set. A block holds about `most` bytes of text (or one
     longer item), and the driver holds one block at a time.
     """
@@ -108,7 +121,7 @@ def contamination(
     key: str = "doc_id",
     item: str = "item_id",
     item_text: str = "text",
-    most: int = 16_000_000,
+    most: int = 4_000_000,
 ) -> DataFrame:
     """One row per document: doc_id, text_key, n_words, n_hit, n_items, item_ids, items_sha256, contaminated, spans.
 
