@@ -395,30 +395,95 @@ def _endpoint_value(position: int, default: float) -> Column:
     return value
 
 
+#: Failed attempts that can stand before an attempt that is still planned: the largest number of allowed retries.
+REACH = max(C.RETRY_DEFAULT_MAX, *(values[0] for values in C.ENDPOINTS.values()))
+
+
+def _request() -> Column:
+    """One request over its attempts: host, url and endpoint, nulls read as empty."""
+    return F.concat_ws("\n", _host(), F.coalesce("url", F.lit("")), F.coalesce("endpoint", F.lit("")))
+
+
+def _after(attempt: Column, current: Column) -> Column:
+    """Timeout that a retry carries after an attempt with `current`."""
+    return F.when(attempt["degraded"], F.least(current * attempt["factor"], F.lit(C.TIMEOUT_CAP))).otherwise(current)
+
+
+def _carried(earlier: Column, times: Column) -> Column:
+    """Timeout that attempt `times` gets from the attempts of its request before it, oldest first; null without a chain."""
+
+    def step(state: Column, attempt: Column) -> Column:
+        handed = F.when(state["next"] == attempt["times"], state["timeout"])
+        current = F.coalesce(attempt["logged"], handed, F.lit(C.TIMEOUT_SEC))
+        return F.struct(
+            F.when(attempt["goes_on"], attempt["times"] + 1).otherwise(-1).alias("next"),
+            _after(attempt, current).alias("timeout"),
+        )
+
+    start = F.struct(F.lit(-1).alias("next"), F.lit(C.TIMEOUT_SEC).alias("timeout"))
+    return F.aggregate(earlier, start, step, lambda s: F.when(s["next"] == times, s["timeout"]))
+
+
+def with_timeouts(rows: DataFrame, log: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Attempts (request, seq, attempt) with `current`, the timeout each was sent with.
+
+    The logged timeout counts. Without one an attempt carries what the attempt right before
+    it in the log of its request handed on, if that was retried and its number is one less;
+    else the default. At most `REACH` attempts stand before one, so a window of as many rows
+    is folded. A request of more than `chunk` rows (a form has one url) is cut by quantiles
+    of its sequence numbers; a chunk gets the last attempts of the chunks before it.
+    """
+    bounds, number = _bounds(log.select(_request().alias("host"), "seq"), chunk), F.lit(0)
+    if bounds is not None:
+        rows = rows.join(bounds, F.col("request") == F.col("_bound_host"), "left")
+        number = F.coalesce(_chunk_of(F.coalesce("seq", F.lit(0))), F.lit(0))
+        rows = rows.withColumn("part", number).drop("_bound_host", "bounds")
+    by = ["request"] if bounds is None else ["request", "part"]
+    w = Window.partitionBy(*by).orderBy("seq")
+    rows = rows.withColumn("earlier", F.collect_list("attempt").over(w.rowsBetween(-REACH, -1)))
+    if bounds is not None:
+        tails = rows.groupBy(*by).agg(F.max_by(F.concat("earlier", F.array("attempt")), "seq").alias("tail"))
+        before = Window.partitionBy("request").orderBy("part").rowsBetween(-REACH, -1)  # a chunk has a row, so as many chunks hold as many attempts
+        tails = tails.select(F.col("request").alias("_request"), F.col("part").alias("_part"), F.flatten(F.collect_list("tail").over(before)).alias("tail"))
+        rows = rows.join(tails, (F.col("request") == F.col("_request")) & (F.col("part") == F.col("_part")))
+        rows = rows.withColumn("earlier", _last(F.concat("tail", "earlier"), REACH)).drop("_request", "_part", "tail", "part")
+    current = F.coalesce("attempt.logged", _carried(F.col("earlier"), F.col("attempt.times")), F.lit(C.TIMEOUT_SEC))
+    return rows.withColumn("current", current).drop("earlier")
+
+
 def retry_plan(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Per failed retryable attempt: give-up flag, delay bounds and timeout.
 
     Bounds replace a random draw. The state used is the one after the event, so
     the attempt's columns travel with the health rows and nothing is joined back.
+    A request carries its timeout from attempt to attempt (`with_timeouts`), so
+    repeated scaling compounds up to the cap, with a logged timeout or without.
     """
     retryable = F.when(
         F.col("exception").isNotNull(), F.col("exception").isin(C.RETRYABLE_EXCEPTIONS)
     ).otherwise(status_retry(F.col("status")) | F.col("content_failed"))
-    events = with_flags(log).withColumn("retryable", retryable)
-    rows = server_health(events, chunk=chunk, keep=("endpoint", "retry_times", "retryable", "download_timeout"))
-    attempt = F.coalesce("retry_times", F.lit(0)) + 1
+    events = with_flags(log).withColumns({"retryable": F.coalesce(retryable, F.lit(False)), "request": _request()})
+    rows = server_health(events, chunk=chunk, keep=("endpoint", "retry_times", "retryable", "download_timeout", "request"))
+    times = F.coalesce("retry_times", F.lit(0))
+    attempt = times + 1
     allowed = _endpoint_value(0, C.RETRY_DEFAULT_MAX).cast("int")
+    go_on = attempt <= allowed
+    rows = rows.withColumn(
+        "attempt",
+        F.struct(
+            times.alias("times"),
+            (F.col("retryable") & go_on).alias("goes_on"),
+            "degraded",
+            _endpoint_value(2, 1.0).alias("factor"),
+            F.col("download_timeout").alias("logged"),
+        ),
+    ).select("request", "host", "seq", "endpoint", "retry_times", "retryable", "degraded", "attempt")
+    rows = with_timeouts(rows, log, chunk)
     base = F.least(
         F.lit(C.BACKOFF_BASE) * F.pow(F.lit(C.BACKOFF_MULTIPLIER), attempt - 1) * _endpoint_value(1, 1.0),
         F.lit(C.BACKOFF_CAP),
     )
     slow = F.when(F.col("degraded"), C.DEGRADED_FACTOR).otherwise(1.0)
-    # the request carries its timeout from attempt to attempt, so repeated scaling compounds up to the cap
-    current = F.coalesce("download_timeout", F.lit(C.TIMEOUT_SEC))
-    timeout = F.when(
-        F.col("degraded"), F.least(current * _endpoint_value(2, 1.0), F.lit(C.TIMEOUT_CAP))
-    ).otherwise(current)
-    go_on = attempt <= allowed
     return rows.where("retryable").select(
         "host",
         "seq",
@@ -429,5 +494,5 @@ def retry_plan(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
         "degraded",
         F.when(go_on, base * C.JITTER_LOW * slow).alias("delay_lo"),
         F.when(go_on, base * C.JITTER_HIGH * slow).alias("delay_hi"),
-        F.when(go_on, timeout).alias("timeout_sec"),
+        F.when(go_on, _after(F.col("attempt"), F.col("current"))).alias("timeout_sec"),
     )

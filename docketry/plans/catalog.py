@@ -110,6 +110,12 @@ def select_raw_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def select_deep_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """A page of the selection far behind its start: found by its keys, not by sorting what is skipped."""
+    return pg.select_raw_pages(R.mixed_pages(spark, sf), tipo="detalhe", skip=1200, limit=1500).select("page_id", "url", "fetched_at")
+
+
 @_query
 def upsert_processos(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(upsert.upsert_processos(_old_snapshot(spark, sf), snapshots.staged(_batch(spark, sf))))
@@ -605,6 +611,12 @@ def retry_plan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def retry_chains(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests retried up to seven times, whose timeouts the log mostly lacks."""
+    return health.retry_plan(R.chained_log(spark, sf)).select("host", "seq", "endpoint", "attempt", "give_up", "degraded", F.round("timeout_sec", 6).alias("timeout_sec"))
+
+
 # ------------------------------------------------------------------------------ reports
 def _stored_pages(spark: SparkSession, sf: str) -> DataFrame:
     return R.mixed_pages(spark, sf)

@@ -224,6 +224,13 @@ s1 AS (
   FROM s0
 ),
 h AS (SELECT *, n >= 10 AND (rate > 0.5 OR cons > 5 OR us - last_us > 300000000) AS degraded FROM s1)"""
+# the log of repeated attempts: the health states of its own two hosts
+_CHAINED = _HEALTH.replace(
+    "f AS (SELECT *, ex",
+    """fc AS (SELECT * REPLACE ('h' || (seq // 7 % 2) AS host, ['list', 'form', 'stable_route', 'detail', 'list'][(seq // 7 % 5 + 1)::INTEGER] AS endpoint),
+       seq // 7 AS r, CASE WHEN seq % 7 = 0 AND seq // 7 % 4 = 1 THEN 45.0 WHEN seq % 35 = 17 THEN 20.0 END AS logged FROM fl),
+f AS (SELECT *, ex""",
+).replace("AS failed FROM fl)", "AS failed FROM fc)")
 _HEALTH_ROWS = f"""WITH {_HEALTH}
 SELECT host, seq, us AS ts, failed, n, rf::BIGINT AS recent_failures, cons AS consecutive_failures,
        last_us AS last_success, round(rate, 6) AS failure_rate, degraded FROM h"""
@@ -321,6 +328,9 @@ FROM pages""",
 SELECT page_id, url, {_iso('page_id % 50')} AS fetched_at FROM pages
 WHERE page_id % 3 = 0 AND page_id % 2 = 1 AND html <> ''
 ORDER BY page_id % 50 DESC, page_id DESC LIMIT 20 OFFSET 5""",
+    "select_deep_pages": f"""WITH {_MIXED}
+SELECT page_id, url, fetched_at FROM mixed WHERE tipo = 'detalhe' AND html <> ''
+ORDER BY fetched_at DESC, page_id DESC LIMIT 1500 OFFSET 1200""",
     "upsert_processos": f"""WITH {_RECORDS}
 SELECT _id, numero_processo, numero_legado, data_autuacao, CASE WHEN status = 'P' THEN 'old' ELSE relator END AS relator,
        fonte_url, scraped_at, reprocessed_at,
@@ -563,6 +573,20 @@ d AS (SELECT *, CASE WHEN attempt <= mx THEN least(power(2.0, attempt - 1) * dm,
 SELECT host, seq, endpoint, attempt::INTEGER AS attempt, mx AS max_retries, attempt > mx AS give_up, degraded,
        round(base * 0.5, 6) AS delay_lo, round(base * 1.5, 6) AS delay_hi,
        CASE WHEN attempt <= mx THEN round(CASE WHEN degraded THEN least(current_timeout * tm, 120.0) ELSE current_timeout END, 6)::DOUBLE END AS timeout_sec FROM d""",
+    "retry_chains": f"""WITH RECURSIVE {_CHAINED},
+dim(endpoint, mx, tm) AS (VALUES ('form', 3, 1.2::DOUBLE), ('detail', 4, 1.0), ('list', 5, 1.5), ('stable_route', 6, 0.9)),
+a AS (SELECT host, seq, r, endpoint, retry_times AS times, degraded, coalesce(mx, 5) AS mx, coalesce(tm, 1.0) AS tm, logged,
+             exception IS NOT DISTINCT FROM 'TimeoutError' OR coalesce(status = 503, false) OR cf AS retryable FROM h LEFT JOIN dim USING (endpoint)),
+b AS (SELECT *, logged IS NULL AND coalesce(lag(g) OVER (PARTITION BY r ORDER BY seq), false) AS chained
+      FROM (SELECT *, retryable AND times + 1 <= mx AS g FROM a)),
+t AS (
+  SELECT *, coalesce(logged, 30.0)::DOUBLE AS cur FROM b WHERE NOT chained
+  UNION ALL
+  SELECT b.*, CASE WHEN t.degraded THEN least(t.cur * t.tm, 120.0) ELSE t.cur END FROM t JOIN b ON b.r = t.r AND b.times = t.times + 1 AND b.chained
+)
+SELECT host, seq, endpoint, (times + 1)::INTEGER AS attempt, times + 1 > mx AS give_up, degraded,
+       CASE WHEN times + 1 <= mx THEN round(CASE WHEN degraded THEN least(cur * tm, 120.0) ELSE cur END, 6)::DOUBLE END AS timeout_sec
+FROM t WHERE retryable""",
     "collection_counts": """
 SELECT 'raw_pages' AS collection, count(*) AS n FROM orders UNION ALL SELECT 'processos', count(*) FROM orders
 UNION ALL SELECT 'crawl_requests', count(*) FROM customer UNION ALL SELECT 'fetch_log', count(*) FROM events""",

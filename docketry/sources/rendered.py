@@ -471,6 +471,20 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chained_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetch log with seven attempts per request, few of them with a logged timeout; every third request is the same form."""
+    request = F.floor(F.col("seq") / 7)
+    names = F.array(*[F.lit(x) for x in ("list", "form", "stable_route", "detail", "list")])
+    return fetch_log(spark, sf_dir).withColumns(
+        {
+            "host": _cat("h", _text(request % 2)),
+            "url": F.when(request % 3 == 0, f"{SITE}/form").otherwise(_cat(f"{SITE}/request/", _text(request))),
+            "endpoint": F.element_at(names, (request % 5 + 1).cast("int")),
+            "download_timeout": F.when((F.col("seq") % 7 == 0) & (request % 4 == 1), 45.0).when(F.col("seq") % 35 == 17, 20.0),
+        }
+    )
+
+
 def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` read as fetched pages without any stored type."""
     p = F.col("page_id")

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from docketry import constants as C
 from docketry.operators import health
 from docketry.schemas import FETCH_LOG
 from docketry.streaming import health as sh
@@ -203,6 +204,41 @@ def test_retry_plan_bounds(spark):
     assert plan[11].degraded and plan[11].delay_lo == pytest.approx(25.6) and plan[11].timeout_sec == pytest.approx(27.0)
 
 
+def _planned_timeouts(rows, states):
+    """Attempt by attempt: what each retry of a request carries."""
+    out, carried = {}, {}
+    for host, seq, _, url, endpoint, status, _, exception, times, logged in sorted(rows, key=lambda r: (r[0], r[1])):
+        allowed, _, factor = C.ENDPOINTS.get(endpoint, (C.RETRY_DEFAULT_MAX, 1.0, 1.0))
+        times = times or 0
+        number, timeout = carried.get((host, url, endpoint), (None, None))
+        current = logged if logged is not None else timeout if number == times else C.TIMEOUT_SEC
+        retried = exception in C.RETRYABLE_EXCEPTIONS if exception else status in C.RETRY_STATUS
+        after = min(current * factor, C.TIMEOUT_CAP) if states[host, seq] else current
+        carried[host, url, endpoint] = (times + 1, after) if retried and times + 1 <= allowed else (None, None)
+        if retried:
+            out[host, seq] = after if times + 1 <= allowed else None
+    return out
+
+
+def test_timeouts_compound_along_a_request_without_a_log_of_them(spark):
+    rng, now, rows = random.Random(3), datetime(2024, 1, 1), []
+    live = {}
+    for seq in range(600):
+        host, url = rng.choice("ab"), rng.choice(["form", "form", "u1", "u2"])
+        endpoint = "list" if url == "form" else rng.choice(["stable_route", "detalhe"])
+        times = live.get((host, url, endpoint), 0)
+        status = rng.choice([200, 404, 503, 503, 503, 500])
+        live[host, url, endpoint] = rng.choice([times + 1, times + 1, times + 1, 0, 3]) if status in (500, 503) else 0
+        rows.append((host, seq, now, url, endpoint, status, OK, None, times or None, rng.choice([None] * 8 + [40.0])))
+    log = spark.createDataFrame(rows, FETCH_LOG)
+    states = {(r.host, r.seq): r.degraded for r in health.server_health(log).collect()}
+    expected = _planned_timeouts(rows, states)
+    assert max(t for t in expected.values() if t) == C.TIMEOUT_CAP and len(set(expected.values())) > 15
+    for chunk in (health.CHUNK, 40, 3):
+        got = {(r.host, r.seq): r.timeout_sec for r in health.retry_plan(log, chunk=chunk).collect()}
+        assert got == pytest.approx(expected), chunk
+
+
 def test_failure_reasons(spark):
     now = datetime(2024, 1, 1)
     pages = [

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -179,6 +180,29 @@ def test_selection_order_skip_and_limit(make_pages):
     assert sorted(r.page_id for r in rest.collect()) == [0, 2, *range(3, 14)]
 
 
+def test_deep_selection_equals_a_full_sort(spark, make_pages):
+    rng = random.Random(7)
+    days = [None, "", "2024-01-01T00:00:00", "2024-01-01T00:00:01", "2024-01-02", "á", "2024"]
+    rows = [(rng.choice(days + ["2024-01-01T00:00:00"] * 20), rng.choice([None, 5, rng.randrange(-(1 << 63), 1 << 63), rng.randrange(60)])) for _ in range(400)]
+    base = make_pages(["x"]).drop("fetched_at", "page_id")
+    pages = base.crossJoin(F.broadcast(spark.createDataFrame(rows, "fetched_at string, page_id long"))).repartition(5)
+    low = -1 << 64
+    order = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode(), low if r[1] is None else r[1]), reverse=True)
+    for skip, limit in [(0, 30), (37, 50), (211, 1), (390, 30), (399, 5), (400, 5), (120, None), (397, None), (300, 0)]:
+        got = [(r.fetched_at, r.page_id) for r in pg.select_raw_pages(pages, skip=skip, limit=limit, direct=6).collect()]
+        expected = order[skip:] if limit is None else order[skip : skip + limit]
+        assert Counter(got) == Counter(expected), (skip, limit)
+        if limit:
+            assert got == expected
+
+
+def test_deep_selection_sorts_no_skipped_row(make_pages):
+    pages = make_pages(["x"] * 300)
+    rest = pg.select_raw_pages(pages, skip=200, direct=10)
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "TakeOrdered" not in plan and "Exchange" not in plan and rest.count() == 100
+
+
 def test_layout_prunes_by_type(spark, make_pages, tmp_path):
     path = str(tmp_path / "pages")
     pages = make_pages([("x", {"tipo": t}) for t in ("lista", "detalhe", None) for _ in range(20)])
