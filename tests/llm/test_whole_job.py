@@ -4,6 +4,7 @@ import inspect
 import math
 import random
 
+import numpy as np
 from test_filters_and_models import plain_logp
 
 from docketry.llm import decontaminate, kneser, pages, secrets
@@ -81,3 +82,30 @@ def test_a_long_line_does_not_end_the_training(spark):
     assert all(len(r["words"]) <= 256 for r in found) and 1244 <= sum(len(r["words"]) for r in found) <= 1500
     assert secrets.train_on(docs, tokens=1500).names
     assert secrets.bounded([0] * 200 + [1] + [2] * 99, 256) == [(0, 199), (199, 300)]
+
+
+def test_secret_tags_of_a_long_line_do_not_depend_on_its_parts():
+    rng = random.Random(5)
+    line = "".join(rng.choice(["1", "a7", "=", " ", "key9 ", "Zz", ",", "token "]) for _ in range(9000))
+    (tokens,) = secrets.stretches(line)
+    rows = secrets.features([line[a:b] for a, b in tokens.tolist()], [])
+    names = {f: i for i, f in enumerate(sorted({f for r in rows for f in r}), 1)}
+    noise = np.random.default_rng(1)
+    model = secrets.Field(names, noise.normal(size=(len(names) + 1, 3)), noise.normal(size=(3, 3)), noise.normal(size=3))
+    whole = model.decode(rows)
+    parts = list(secrets.feature_parts(line, tokens, [], most=97))
+    assert [r for p in parts for r in p] == rows and model.decode_parts(parts, len(rows)).tolist() == whole
+    found = model.spans(line, least=1)
+    others = sorted((a, a + rng.randrange(1, 400)) for a in rng.sample(range(len(line)), 60))
+    assert secrets.overlaps(found, others) == [any(s < b and a < e for s, e in others) for a, b in found]
+    values = sorted(secrets.base_spans("token: abcdef123456 " * 50 + "AKIA" + "B2" * 20)[1])
+    spans = [(i, i + 4) for i in range(0, 1000, 4)]
+    tags = secrets.gold_tags(spans, values)
+    assert [t != secrets.OUT for t in tags] == [any(v[0] <= a and b <= v[1] for v in values) for a, b in spans]
+
+
+def test_far_marks_of_one_line_share_no_text():
+    text = ("x" * 900 + "7") * 40 + "\nab 5"
+    found = list(secrets.stretches(text))
+    assert [(f[0, 0], f[-1, 1]) for f in found] == [(0, 901 * 40), (901 * 40 + 1, len(text))]
+    assert list(secrets.stretches("no mark here")) == []
