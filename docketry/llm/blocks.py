@@ -74,12 +74,13 @@ def packed(docs: DataFrame, columns: dict[str, str], text: str, make, extra: str
     return narrow.mapInArrow(run, schema)
 
 
-def stored_blocks(blocks: DataFrame, name: str) -> DataFrame:
+def stored_blocks(blocks: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Blocks written below spark.checkpoint.dir, bucketed by block: joins on block leave the payloads where they are."""
     spark = blocks.sparkSession
     table, path = f"{name}_{uuid.uuid4().hex}", scratch(spark, name)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks.write.bucketBy(buckets, "block").option("path", path).saveAsTable(table)
+    writer = blocks.write.bucketBy(buckets, "block").option("path", path)
+    (writer.option("compression", codec) if codec else writer).saveAsTable(table)
     read = spark.table(table)
     spark.sql(f"DROP TABLE {table}")  # the name only: the files are an external table's
     return read

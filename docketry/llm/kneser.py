@@ -22,6 +22,9 @@ from docketry.llm.common import stored
 
 # An n-gram is two longs, g and h: of each symbol, the low 12 bits are in g and the high 9 in h, which is 0 for most scripts' text.
 BITS, HIGH_BITS = 12, 9
+#: An answer is one long: the place of an n-gram in its block, and minus its log-probability (a double above 0 has below 746) in steps of 2**-22.
+COST_BITS = 22
+CODEC = "zstd"  # of the written tables, which count as disk
 EDGE = 0  # the boundary before and after a text; other symbols are code points plus 1
 
 
@@ -180,10 +183,10 @@ def levels(top: DataFrame, order: int) -> list[Level]:
     counts = with_high(top)
     for k in range(order, 0, -1):
         if k < order:
-            counts = stored(counts.groupBy(*suffix(k)).agg(F.count("*").alias("c")), f"kn-counts-{k}")
+            counts = stored(counts.groupBy(*suffix(k)).agg(F.count("*").alias("c")), f"kn-counts-{k}", CODEC)
         kinds = [F.count(F.when(F.col("c") == i, 1)).alias(f"k{i}") for i in (1, 2)] + [F.count(F.when(F.col("c") > 2, 1)).alias("k3")]
         contexts = counts.groupBy(*context()).agg(F.sum("c").alias("total"), *kinds)
-        out.append(Level(counts, stored(contexts, f"kn-contexts-{k}"), discounts(counts)))
+        out.append(Level(counts, stored(contexts, f"kn-contexts-{k}", CODEC), discounts(counts)))
     return out[::-1]
 
 
@@ -204,9 +207,10 @@ def log_probabilities(wanted: DataFrame, model: list[Level]) -> DataFrame:
         cut = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         own = F.coalesce((F.col("c") - cut) / F.col("total"), F.lit(0.0))
         spare = (d1 * F.col("k1") + d2 * F.col("k2") + d3 * F.col("k3")) / F.col("total")
-        rows = rows.select("g", "h", F.when(F.col("total").isNull(), F.col("lower")).otherwise(own + spare * F.col("lower")).alias("p"))
-        below = stored(rows, f"kn-order-{k}")
-    return below.select("g", "h", F.log("p").cast("float").alias("logp"))
+        below = rows.select("g", "h", F.when(F.col("total").isNull(), F.col("lower")).otherwise(own + spare * F.col("lower")).alias("p"))
+        if k < order:
+            below = stored(below, f"kn-order-{k}", CODEC)
+    return below.select("g", "h", F.log("p").alias("logp"))
 
 
 def _values(x):
@@ -217,7 +221,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, text: str, key: str, lang:
     """(doc_id, lang, role, n_symbols, logp): role 1 trains, 2 calibrates, 0 neither."""
     kind = docs.schema[key].dataType.simpleString()
     made = packed(docs, {"ids": key, "langs": lang}, text, lambda texts: distinct_grams(texts, order), "grams array<bigint>, highs array<bigint>", most)
-    blocks = stored_blocks(made, "kn_blocks")
+    blocks = stored_blocks(made, "kn_blocks", CODEC)
 
     trusted = labels.where("quality is not null").groupBy(F.col(f"`{key}`").alias("id")).agg(F.min("quality").alias("q")).where("q = 1 and id is not null")
     role = F.when(F.pmod(F.xxhash64("id"), F.lit(5)) == 0, 2).otherwise(1)
@@ -240,19 +244,20 @@ def perplexities(docs: DataFrame, labels: DataFrame, text: str, key: str, lang:
         return list(gram_counts([t for t, r in zip(texts_of(row), roles_of(row), strict=True) if r == 1], order))
 
     trained = per_block(known.select("block", "lengths", "payload", "at", "role"), count, "g bigint, h bigint, n bigint")
-    top = stored(trained.groupBy("g", "h").agg(F.sum("n").alias("c")), "kn-counts")
+    top = stored(trained.groupBy("g", "h").agg(F.sum("n").alias("c")), "kn-counts", CODEC)
     asked = blocks.select("block", F.posexplode(F.arrays_zip("grams", "highs")).alias("at", "s"))
     asked = asked.select("block", "at", F.col("s.grams").alias("g"), F.col("s.highs").alias("h"))
-    wanted = stored(asked.select("g", "h").distinct(), "kn-wanted")
-    found = stored(log_probabilities(wanted, levels(top, order)), "kn-logp")
+    wanted = stored(asked.select("g", "h").distinct(), "kn-wanted", CODEC)
+    cost = F.round(-F.col("logp") * float(1 << COST_BITS)).cast("long")
+    found = stored(log_probabilities(wanted, levels(top, order)).select("g", "h", cost.alias("cost")), "kn-costs", CODEC)
 
     answers = asked.join(found, ["g", "h"]).groupBy("block")  # bounded by the distinct n-grams of a block
-    answers = answers.agg(F.collect_list(F.struct("at", "logp")).alias("a"))
-    answers = answers.select("block", F.col("a.at").alias("places"), F.col("a.logp").alias("logp"))
+    answers = answers.agg(F.collect_list(F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("cost"))).alias("answers"))
 
     def score(row) -> list:
-        logp = np.zeros(len(row["places"].values), np.float64)
-        logp[_values(row["places"]).astype(np.int64)] = _values(row["logp"])
+        answers = _values(row["answers"])
+        logp = np.zeros(len(answers), np.float64)
+        logp[answers >> 32] = (answers & 0xFFFFFFFF) / -float(1 << COST_BITS)
         events, sums = text_sums(texts_of(row), order, (row["grams"].values.to_numpy(), row["highs"].values.to_numpy()), logp)
         return [row["ids"].values, row["langs"].values, roles_of(row), events, sums]
 
