@@ -111,3 +111,18 @@ def test_hostile_nesting_takes_seconds(make_pages):
     start = time.time()
     extract.extract_envolvidos(make_pages(shapes)).count()
     assert time.time() - start < 60
+
+
+def test_markup_is_read_once_on_the_way_to_rows(make_pages):
+    """Pages with comments may nest; before, their markup was built by two branches."""
+    plan = _staged(make_pages(["<!-- x --><table><tr><td>a</td></tr></table>"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("script|style") == 1 and "Union" not in plan
+
+
+def test_rows_of_flat_empty_and_nested_pages_of_one_batch(make_pages):
+    nested = "<table><tr><td>A</td><td><table><tr><td>b</td><td>c</td></tr></table></td></tr></table>"
+    pages = make_pages([nested, None, "", "<table><tr><td>A</td></tr></table>", "&lt;table>" + nested])
+    got = {r["page_id"]: r["rows"] for r in _staged(pages).select("page_id", "rows").collect()}
+    assert set(got) == set(range(5)) and got[1] is None and got[2] == []
+    assert [r["cells"] for r in got[0]] == [["A", ""], ["b", "c"]] == [r["cells"] for r in got[4]]
+    assert got[3][0]["cells"] == ["A"] and got[3][0]["pair"] is None and got[0][0]["pair"] == ["A", "b"]
