@@ -223,16 +223,15 @@ def _parsed(pages: DataFrame) -> DataFrame:
 
 
 def _staged(pages: DataFrame) -> DataFrame:
-    """Pages with markup and rows as columns, each computed once per page.
+    """Pages with markup and rows as columns, each computed once per page, in one pass.
 
-    Pages with nested tables take a way of their own. The others, nearly always all, leave
-    it at a test of their html in the scan.
+    Pages with nested tables take a way of their own: only their markup is handed to it.
     """
-    html = F.col("html")
-    within = lambda m: F.coalesce(m.rlike(NESTED), F.lit(False))
-    flat = pages.select("*", present(M.markup(html), lambda m: ~may_nest(html) | ~within(m)).alias("mk"))
-    nested = pages.where(may_nest(html)).select("*", present(M.markup(html), within).alias("mk"))
-    return flat.withColumn("rows", M.table_rows(F.col("mk"))).unionByName(with_nested_rows(nested, M.first_text))
+    mk, inside = F.col("mk"), F.col("_nested")
+    parsed = pages.select("*", F.explode(F.array(M.markup(F.col("html")))).alias("mk"))
+    marked = parsed.select("*", F.explode(F.array(F.when(mk.rlike(NESTED), mk))).alias("_nested"))
+    rows = F.when(inside.isNull(), M.table_rows(mk)).otherwise(nested_rows(inside))
+    return marked.select("*", F.explode(F.array(rows)).alias("rows")).drop("_nested")
 
 
 def extract_numero(pages: DataFrame, profile: str = "online") -> DataFrame:
@@ -332,7 +331,8 @@ def form_fields(pages: DataFrame) -> DataFrame:
             F.struct(F.lit(forced[1]).alias("key"), value.alias("value")),
         ),
     )
-    return pages.withColumn("hidden", named).select(
+    # a generator: as a column of its own it would be merged into each place that uses it
+    return pages.select("*", F.explode(F.array(named)).alias("hidden")).select(
         "page_id", F.map_from_entries(entries).alias("fields")
     )
 

@@ -1,7 +1,9 @@
 """Classification and extraction on hand-written pages."""
 
+from pyspark.sql import functions as F
 
 from docketry.operators import classify, extract
+from docketry.sources import rendered as R
 
 NPU = "0015648-78.1999.4.05.0000"
 PAD = "<p>" + "conteudo " * 20 + "</p>"
@@ -198,3 +200,17 @@ def test_signals_are_one_column_each(make_pages):
     row = classify.page_signals(make_pages(["Relator 1/2/2003 total: 4"])).first().asDict()
     on = {k for k, v in row.items() if v is True}
     assert on == {"sig_judge_1", "sig_timeline_4", "sig_total_1", "sig_short"}
+
+
+def test_pages_are_rendered_in_tasks_of_a_bounded_number_of_rows(spark, sf, monkeypatch):
+    monkeypatch.setattr(R, "TASK_ROWS", 40)
+    n = R.table(spark, sf, "customer").count()
+    assert R.form_pages(spark, sf).rdd.getNumPartitions() == max(spark.sparkContext.defaultParallelism, -(-n // 40))
+    orders = R.table(spark, sf, "orders").count()
+    assert R.cases(spark, sf).rdd.getNumPartitions() == -(-orders // 40) > spark.sparkContext.defaultParallelism
+
+
+def test_inputs_of_a_form_are_read_once(make_pages):
+    form = '<input type="hidden" name="a" value="1">'
+    plan = extract.form_fields(make_pages([form])).select(F.explode("fields"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"(?i)<input\b") == 1
