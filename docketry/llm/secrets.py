@@ -1,7 +1,7 @@
 """Secret scans: fixed base patterns, and a linear-chain conditional random field that adds what they miss.
 
-Tokens around digits, very long runs and secret words form sequences. Each token is
-tagged begin, inside or outside of a secret from its shape and length, its
+Every line of a text is a sequence; the field learns from those parts of lines that lie
+around digits, very long runs and secret words. Each token is tagged begin, inside or outside of a secret from its shape and length, its
 neighbouring words and features of the file; Viterbi decodes the tags. The field is
 trained in numpy on a bounded sample of documents, tagged by the base patterns.
 """
@@ -116,6 +116,18 @@ def stretches(text: str, reach: int = 6, margin: int = 200) -> Iterator[np.ndarr
             yield tokens[a:b]
 
 
+def line_tokens(text: str) -> Iterator[np.ndarray]:
+    """Token spans (rows of start, end) of every line that has any."""
+    start = 0
+    while start < len(text):
+        end = text.find("\n", start)
+        end = len(text) if end < 0 else end
+        tokens = np.fromiter((x for m in TOKEN.finditer(text, start, end) for x in m.span()), np.int64).reshape(-1, 2)
+        if len(tokens):
+            yield tokens
+        start = end + 1
+
+
 def shape(token: str) -> str:
     """Runs of X (upper), x (lower), d (digit), u (not ASCII) and other characters, at most six."""
     classes = token.translate(CLASS)
@@ -204,32 +216,87 @@ class Field:
         return self.decode_parts([rows], len(rows)).tolist()
 
     def decode_parts(self, parts: Iterable[list[list[str]]], n: int) -> np.ndarray:
-        """Viterbi over `n` tokens whose features come in parts: the scores go from part to part, back pointers take 3 bytes a token."""
-        best, back, at = None, np.zeros((n, 3), np.int8), 0
-        for rows in parts:
-            for s in self.weights[self.ids(rows)].sum(axis=1):
+        """Viterbi over `n` tokens whose features come in parts."""
+        return self.best_tags((self.weights[self.ids(rows)].sum(axis=1) for rows in parts), n)
+
+    def best_tags(self, parts: Iterable[np.ndarray], n: int) -> np.ndarray:
+        """Viterbi over `n` tokens whose scores come in parts: the best goes from part to part, back pointers take 3 bytes a token."""
+        (oo, ob, oi), (bo, bb, bi), (io, ib, ii) = self.moves.tolist()
+        best, back, at = None, bytearray(3 * n), 0
+        for scores in parts:
+            for so, sb, si in scores.tolist():
                 if best is None:
-                    best = s + self.first
+                    o, b, i = best = [s + f for s, f in zip((so, sb, si), self.first.tolist(), strict=True)]
                 else:
-                    every = best[:, None] + self.moves
-                    back[at] = every.argmax(axis=0)
-                    best = every.max(axis=0) + s
+                    ways = ((o + oo, b + bo, i + io), (o + ob, b + bb, i + ib), (o + oi, b + bi, i + ii))
+                    for k, (x, y, z) in enumerate(ways):
+                        if y > x:
+                            back[3 * at + k] = 2 if z > y else 1
+                        elif z > x:
+                            back[3 * at + k] = 2
+                    o, b, i = max(ways[0]) + so, max(ways[1]) + sb, max(ways[2]) + si
                 at += 1
         tags = np.zeros(n, np.int8)
-        tag = int(best.argmax())
-        for i in range(n - 1, -1, -1):
-            tags[i] = tag
-            tag = int(back[i, tag])
+        tag = int(np.argmax([o, b, i]))
+        for at in range(n - 1, -1, -1):
+            tags[at] = tag
+            tag = back[3 * at + tag]
         return tags
 
-    def spans(self, text: str, least: int = 8) -> list[tuple[int, int]]:
-        """Decoded secrets of a text, at least `least` characters long."""
+    def of_token(self, token: str) -> tuple[str, np.ndarray]:
+        """The word a token is to its neighbours, and its shares of scores: of its own, one, two and three places on, one back, its shape on and back."""
+        kind, size, turns = shape(token), min(6, len(token).bit_length()), sum(1 for _ in islice(TURN.finditer(token), 5))
+        word = token.lower() if len(token) <= 12 else kind
+        own = ["bias", f"shape {kind}", f"size {size}", f"shape {kind} size {size}", f"turns {turns}"]
+        own += [f"head {token[:4]}" if size > 3 and token[:4].isupper() else "no head", f"word {word}" if size <= 3 else "long"]
+        return word, self.shares(own + (["short"] if size <= 3 else []), word, kind)
+
+    def shares(self, own: list[str], word: str, kind: str) -> np.ndarray:
+        others = [f"word-1 {word}", f"word-2 {word}", f"word-3 {word}", f"word+1 {word}", f"before {kind}", f"after {kind}"]
+        every = self.weights[[self.names.get(f, 0) for f in own + others]]
+        out = every[-7:].copy()
+        out[0] = every[:-6].sum(axis=0)
+        return out
+
+    def scores(self, tokens: list[str], shared: list[str], seen: dict, most: int = 100_000) -> np.ndarray:
+        """Scores per token and tag, as from ``features``: what a token gives is looked up once (`seen`, at most `most` tokens)."""
+        if len(seen) > most:
+            seen.clear()
+        places: dict[str, int] = {}
+        at = np.array([places.setdefault(t, len(places)) for t in tokens], np.int64)
+        for t in places:
+            if t not in seen:
+                seen[t] = self.of_token(t)
+        if "" not in seen:
+            seen[""] = "edge", self.shares(["no feature"], "edge", "edge")
+        edges = seen[""]
+        table = np.stack([seen[t][1] for t in places] + [edges[1]])
+        edge = np.full(3, len(places))
+        wide = np.concatenate((edge, at, edge[:1]))
+        n = len(at)
+        on = [wide[3 - k : 3 - k + n] for k in (1, 2, 3)]
+        back = wide[4 : 4 + n]
+        out = table[at, 0] + sum(table[x, k] for k, x in enumerate(on, 1)) + table[back, 4] + table[on[0], 5] + table[back, 6]
+        out += sum((self.weights[self.names.get(f, 0)] for f in shared), np.zeros(3))
+        words = [seen[t][0] for t in places] + [edges[0]]
+        for i, t in enumerate(tokens):
+            if len(t) >= 8:
+                out[i] += self.weights[self.names.get(f"pair {words[on[1][i]]} {words[on[0][i]]}", 0)]
+        return out
+
+    def score_parts(self, text: str, tokens: np.ndarray, shared: list[str], seen: dict, most: int = 4096) -> Iterator[np.ndarray]:
+        """Scores of the tokens, `most` at a time, each with the neighbours that the whole line gives it."""
+        for lo in range(0, len(tokens), most):
+            hi, before = min(lo + most, len(tokens)), max(0, lo - 3)
+            yield self.scores([text[a:b] for a, b in tokens[before : hi + 1].tolist()], shared, seen)[lo - before : hi - before]
+
+    def spans(self, text: str, least: int = 8, seen: dict | None = None) -> list[tuple[int, int]]:
+        """Decoded secrets of every line of a whole text, at least `least` characters long. seen: kept between texts."""
         if not self.names:
             return []
-        found, shared = [], None
-        for tokens in stretches(text):
-            shared = shared or file_features(text)
-            tags = self.decode_parts(feature_parts(text, tokens, shared), len(tokens))
+        found, shared, seen = [], file_features(text), {} if seen is None else seen
+        for tokens in line_tokens(text):
+            tags = self.best_tags(self.score_parts(text, tokens, shared, seen), len(tokens))
             for start, end in secret_runs(tags):
                 a, b = int(tokens[start, 0]), int(tokens[end - 1, 1])
                 if b - a >= least:
@@ -397,10 +464,11 @@ def secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", model: Fie
 
     def make(keys, texts):
         out: tuple[list, ...] = (keys, [], [], [], [], [], [])
+        seen: dict = {}
         for t in texts:
             t = t or ""
             base = base_spans(t)[0]
-            found = shared.value.spans(t)
+            found = shared.value.spans(t, seen=seen)
             meets = overlaps(found, [(a, b) for _, a, b in base]) if base else [False] * len(found)
             added = [("crf", a, b) for (a, b), m in zip(found, meets, strict=True) if not m]
             every = sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0])))

@@ -109,3 +109,26 @@ def test_far_marks_of_one_line_share_no_text():
     found = list(secrets.stretches(text))
     assert [(f[0, 0], f[-1, 1]) for f in found] == [(0, 901 * 40), (901 * 40 + 1, len(text))]
     assert list(secrets.stretches("no mark here")) == []
+
+
+def test_every_token_of_a_text_is_scored_and_tagged():
+    """Before, tokens far from digits, very long runs and secret words were never looked at."""
+    rng = random.Random(6)
+    text = "\n".join(" ".join(rng.choice(["Ab", "zeta", "Grünwaldheim", "a7=", "abcdefghijklmnop", "é", "key9"]) for _ in range(rng.randrange(40))) for _ in range(30))
+    lines = [t.tolist() for t in secrets.line_tokens(text)]
+    assert [x for t in lines for x in t] == [[*m.span()] for m in secrets.TOKEN.finditer(text)]
+    shared = secrets.file_features(text)
+    rows = [secrets.features([text[a:b] for a, b in t], shared) for t in lines]
+    names = {f: i for i, f in enumerate(sorted({f for some in rows for r in some for f in r}), 1)}
+    noise = np.random.default_rng(2)
+    model = secrets.Field(names, noise.normal(size=(len(names) + 1, 3)), noise.normal(size=(3, 3)), noise.normal(size=3))
+    model.weights[0] = 0
+    seen, want = {}, []
+    for tokens, some in zip(lines, rows, strict=True):
+        parts = [*model.score_parts(text, np.array(tokens), shared, seen, most=7)]
+        assert np.allclose(np.concatenate(parts), model.weights[model.ids(some)].sum(axis=1))
+        want += [(tokens[a][0], tokens[b - 1][1]) for a, b in secrets.secret_runs(np.array(model.decode(some)))]
+    assert model.spans(text, least=1) == want and len(want) > 50
+    field = secrets.Field({"shape x size 5": 1}, np.array([[0.0, 0, 0], [0, 9, 0]]), np.zeros((3, 3)), np.zeros(3))
+    plain = "no mark near " * 60 + "correcthorsebattery"
+    assert field.spans(plain) == [(780, 799)] and list(secrets.stretches(plain)) == []
