@@ -113,10 +113,11 @@ def test_hostile_nesting_takes_seconds(make_pages):
     assert time.time() - start < 60
 
 
-def test_markup_is_read_once_on_the_way_to_rows(make_pages):
-    """Pages with comments may nest; before, their markup was built by two branches."""
-    plan = _staged(make_pages(["<!-- x --><table><tr><td>a</td></tr></table>"]))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("script|style") == 1 and "Union" not in plan
+def test_only_pages_that_nest_without_their_hidden_parts_are_parsed_as_nested(values):
+    """Before, every page with a comment or a script was decoded a second time."""
+    flat, nested = "<table><tr><td>a</td></tr></table>", "<table><tr><td><table></table></td></tr></table>"
+    pages = ["<!-- x -->" + flat + flat, nested, "<table><!-- </table> --><table>", "<table></t&#97;<!-- -->ble><!--", "<ta<!-- -->ble><table>", None]
+    assert values(extract._nests, pages) == [False, True, True, True, True, False]
 
 
 def test_rows_of_flat_empty_and_nested_pages_of_one_batch(make_pages):
