@@ -2,7 +2,7 @@
 
 Every line of a text is a sequence; the field learns from those parts of lines that lie
 around digits, very long runs and secret words. Each token is tagged begin, inside or outside of a secret from its shape and length, its
-neighbouring words and features of the file; Viterbi decodes the tags. The field is
+neighbouring words and features of the file; Viterbi decodes the tags, of many lines at a time. The field is
 trained in numpy on a bounded sample of documents, tagged by the base patterns.
 """
 
@@ -31,6 +31,7 @@ Span = tuple[str, int, int]
 
 OUT, BEGIN, IN = range(3)
 TOKEN = re.compile(r"[A-Za-z0-9_+/\-\u0080-\U0010ffff]+|[^\x20\x09-\x0D]")
+TOKEN_OR_END = re.compile(r"[A-Za-z0-9_+/\-\u0080-\U0010ffff]+|[^\x20\x09\x0B-\x0D]")
 DIGITS = re.compile(r"[0-9]+")
 LONG = re.compile(r"[A-Za-z0-9+/_\-]{28,}")
 HINTS = ("passw", "passphrase", "secret", "token", "api", "credential", "bearer", "private")
@@ -116,18 +117,37 @@ def stretches(text: str, reach: int = 6, margin: int = 200) -> Iterator[np.ndarr
             yield tokens[a:b]
 
 
+def token_spans(text: str, start: int = 0, end: int | None = None) -> np.ndarray:
+    """Rows of start, end."""
+    return np.fromiter((x for m in TOKEN.finditer(text, start, len(text) if end is None else end) for x in m.span()), np.int64).reshape(-1, 2)
+
+
 def line_tokens(text: str) -> Iterator[np.ndarray]:
     """Token spans (rows of start, end) of every line that has any."""
     start = 0
     while start < len(text):
         end = text.find("\n", start)
         end = len(text) if end < 0 else end
-        tokens = np.fromiter((x for m in TOKEN.finditer(text, start, end) for x in m.span()), np.int64).reshape(-1, 2)
+        tokens = token_spans(text, start, end)
         if len(tokens):
             yield tokens
         start = end + 1
 
 
+def cuts(text: str, most: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of runs of whole lines of at most `most` characters; a longer line is a run of its own."""
+    start = 0
+    while start < len(text):
+        end = len(text)
+        if end - start > most:
+            end = text.rfind("\n", start, start + most)
+            if end < 0:
+                end = text.find("\n", start + most)
+                end = len(text) if end < 0 else end
+        yield start, end
+        start = end + 1
+
+
 def shape(token: str) -> str:
     """Runs of X (upper), x (lower), d (digit), u (not ASCII) and other characters, at most six."""
     classes = token.translate(CLASS)
@@ -206,6 +226,10 @@ class Field:
     weights: np.ndarray = field(default_factory=lambda: np.zeros((1, 3)))
     moves: np.ndarray = field(default_factory=lambda: np.zeros((3, 3)))
     first: np.ndarray = field(default_factory=lambda: np.zeros(3))
+    seen: dict = field(default_factory=dict, repr=False, compare=False)  # tokens looked up by this process
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "seen": {}}
 
     def ids(self, rows: list[list[str]]) -> np.ndarray:
         """Feature numbers, 0 for unknown ones (its weights stay 0)."""
@@ -243,46 +267,29 @@ class Field:
             tag = back[3 * at + tag]
         return tags
 
-    def of_token(self, token: str) -> tuple[str, np.ndarray]:
-        """The word a token is to its neighbours, and its shares of scores: of its own, one, two and three places on, one back, its shape on and back."""
-        kind, size, turns = shape(token), min(6, len(token).bit_length()), sum(1 for _ in islice(TURN.finditer(token), 5))
-        word = token.lower() if len(token) <= 12 else kind
-        own = ["bias", f"shape {kind}", f"size {size}", f"shape {kind} size {size}", f"turns {turns}"]
-        own += [f"head {token[:4]}" if size > 3 and token[:4].isupper() else "no head", f"word {word}" if size <= 3 else "long"]
-        return word, self.shares(own + (["short"] if size <= 3 else []), word, kind)
-
-    def shares(self, own: list[str], word: str, kind: str) -> np.ndarray:
-        others = [f"word-1 {word}", f"word-2 {word}", f"word-3 {word}", f"word+1 {word}", f"before {kind}", f"after {kind}"]
-        every = self.weights[[self.names.get(f, 0) for f in own + others]]
-        out = every[-7:].copy()
-        out[0] = every[:-6].sum(axis=0)
-        return out
+    def numbers(self, features: list[str]) -> list[int]:
+        return [self.names.get(f, 0) for f in features]
 
-    def scores(self, tokens: list[str], shared: list[str], seen: dict, most: int = 100_000) -> np.ndarray:
-        """Scores per token and tag, as from ``features``: what a token gives is looked up once (`seen`, at most `most` tokens)."""
+    def known(self, tokens: Iterable[str], seen: dict, most: int = 100_000) -> Shares:
+        """Shares in which all `tokens` stand, by their numbers in `seen`, which is emptied above `most` tokens."""
+        shares = seen.get("") or Shares(self)
         if len(seen) > most:
             seen.clear()
-        places: dict[str, int] = {}
-        at = np.array([places.setdefault(t, len(places)) for t in tokens], np.int64)
-        for t in places:
-            if t not in seen:
-                seen[t] = self.of_token(t)
-        if "" not in seen:
-            seen[""] = "edge", self.shares(["no feature"], "edge", "edge")
-        edges = seen[""]
-        table = np.stack([seen[t][1] for t in places] + [edges[1]])
-        edge = np.full(3, len(places))
-        wide = np.concatenate((edge, at, edge[:1]))
-        n = len(at)
-        on = [wide[3 - k : 3 - k + n] for k in (1, 2, 3)]
-        back = wide[4 : 4 + n]
-        out = table[at, 0] + sum(table[x, k] for k, x in enumerate(on, 1)) + table[back, 4] + table[on[0], 5] + table[back, 6]
-        out += sum((self.weights[self.names.get(f, 0)] for f in shared), np.zeros(3))
-        words = [seen[t][0] for t in places] + [edges[0]]
-        for i, t in enumerate(tokens):
-            if len(t) >= 8:
-                out[i] += self.weights[self.names.get(f"pair {words[on[1][i]]} {words[on[0][i]]}", 0)]
-        return out
+        if len(seen) < 2:
+            seen[""], seen["\n"], shares.size = shares, 0, 1
+        new = list(set(tokens).difference(seen))
+        seen.update(zip(new, range(shares.size, shares.size + len(new))))
+        shares.add(new)
+        return shares
+
+    def scores(self, tokens: list[str], shared: list[str], seen: dict) -> np.ndarray:
+        """Scores per token and tag of one sequence, as from ``features``: what a token gives is looked up once (`seen`)."""
+        shares, n = self.known(tokens, seen), len(tokens)
+        at = np.fromiter(map(seen.__getitem__, tokens), np.int64, n)
+        return shares.scores(at, np.arange(n), np.arange(n) == n - 1, self.of_file(shared))
+
+    def of_file(self, shared: list[str]) -> np.ndarray:
+        return sum((self.weights[k] for k in self.numbers(shared)), np.zeros(3))
 
     def score_parts(self, text: str, tokens: np.ndarray, shared: list[str], seen: dict, most: int = 4096) -> Iterator[np.ndarray]:
         """Scores of the tokens, `most` at a time, each with the neighbours that the whole line gives it."""
@@ -290,18 +297,181 @@ class Field:
             hi, before = min(lo + most, len(tokens)), max(0, lo - 3)
             yield self.scores([text[a:b] for a, b in tokens[before : hi + 1].tolist()], shared, seen)[lo - before : hi - before]
 
-    def spans(self, text: str, least: int = 8, seen: dict | None = None) -> list[tuple[int, int]]:
-        """Decoded secrets of every line of a whole text, at least `least` characters long. seen: kept between texts."""
+    def spans(self, text: str, least: int = 8) -> list[tuple[int, int]]:
+        """Decoded secrets of every line of a whole text, at least `least` characters long."""
+        return self.spans_of([text], least)[0]
+
+    def spans_of(self, texts: list[str], least: int = 8, most: int = 1 << 20) -> list[list[tuple[int, int]]]:
+        """The decoded secrets of every text. Lines are decoded many at a time, `most` characters at once; a longer line alone, in parts."""
+        found: list[list[tuple[int, int]]] = [[] for _ in texts]
         if not self.names:
-            return []
-        found, shared, seen = [], file_features(text), {} if seen is None else seen
-        for tokens in line_tokens(text):
-            tags = self.best_tags(self.score_parts(text, tokens, shared, seen), len(tokens))
-            for start, end in secret_runs(tags):
-                a, b = int(tokens[start, 0]), int(tokens[end - 1, 1])
-                if b - a >= least:
-                    found.append((a, b))
-        return found
+            return found
+        held, group = 0, []
+        for number, text in enumerate(texts):
+            files = file_features(text)
+            for start, end in cuts(text, most):
+                if end - start > most:  # one line
+                    tokens = token_spans(text, start, end)
+                    if len(tokens):
+                        tags = self.best_tags(self.score_parts(text, tokens, files, self.seen), len(tokens))
+                        found[number] += secret_spans(tokens, tags, least)
+                    continue
+                if group and held + end - start > most:
+                    self.add_spans(group, found, least)
+                    held, group = 0, []
+                held += end - start
+                group.append((number, start, text[start:end], files))
+        if group:
+            self.add_spans(group, found, least)
+        return [sorted(f) for f in found]
+
+    def add_spans(self, group: list[tuple[int, int, str, list[str]]], found: list[list[tuple[int, int]]], least: int) -> None:
+        """Decode the lines of a group of (text number, offset, whole lines, file features) together and add the secrets to `found`."""
+        tokens: list[str] = []
+        sizes = []
+        for _, _, lines, _ in group:
+            before = len(tokens)
+            tokens += TOKEN_OR_END.findall(lines)
+            tokens.append("\n")
+            sizes.append(len(tokens) - before)
+        shares = self.known(tokens, self.seen)
+        at = np.fromiter(map(self.seen.__getitem__, tokens), np.int64, len(tokens))
+        lengths = np.diff(np.flatnonzero(at == 0), prepend=-1) - 1
+        lengths = lengths[lengths > 0]
+        starts = np.cumsum(lengths) - lengths
+        owner = np.repeat(np.arange(len(group)), sizes)[at > 0]
+        at = at[at > 0]
+        if not len(at):
+            return
+        place = np.arange(len(at)) - np.repeat(starts, lengths)
+        files = np.stack([self.of_file(files) for *_, files in group])
+        scores = shares.scores(at, place, place == np.repeat(lengths, lengths) - 1, files[owner])
+        tags = self.best_tags_of(scores, starts, lengths)
+        line_of = np.repeat(np.arange(len(starts)), lengths)
+        spans, first, mine = np.empty((0, 2), np.int64), 0, -1
+        for line in np.unique(line_of[tags != OUT]).tolist():
+            a, b = starts[line], starts[line] + lengths[line]
+            if owner[a] != mine:
+                mine = int(owner[a])
+                spans, first = token_spans(group[mine][2]) + group[mine][1], int(np.searchsorted(owner, mine))
+            found[group[mine][0]] += secret_spans(spans[a - first : b - first], tags[a:b], least)
+
+    def best_tags_of(self, scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Viterbi over many sequences, a step of all of them at a time; those that few are as long as, one by one."""
+        tags = np.zeros(len(scores), np.int8)
+        order = np.argsort(-lengths, kind="stable")
+        starts, lengths = starts[order], lengths[order]
+        alone = int(np.argmin(np.append(np.cumsum(lengths) - lengths + 12 * lengths, lengths.sum())))  # a step of all costs about 12 single ones
+        for a, n in zip(starts[:alone].tolist(), lengths[:alone].tolist(), strict=True):
+            tags[a : a + n] = self.best_tags([scores[a : a + n]], n)
+        starts, lengths = starts[alone:], lengths[alone:]
+        if not len(starts):
+            return tags
+        scores = np.ascontiguousarray(scores.T)
+        live = np.searchsorted(-lengths, -np.arange(int(lengths[0]) + 1), side="left")  # sequences longer than t: the first live[t]
+        best = scores[:, starts] + self.first[:, None]
+        moves, back, last = self.moves[:, :, None], [], np.zeros(len(starts), np.int8)
+        for t in range(1, int(lengths[0]) + 1):
+            n = int(live[t])
+            if n < best.shape[1]:
+                last[n : best.shape[1]] = best[:, n:].argmax(axis=0)
+                best = best[:, :n]
+            if not n:
+                break
+            ways = best[:, None, :] + moves
+            most = np.maximum(ways[0], ways[1])
+            back.append(np.where(ways[2] > most, np.int8(2), (ways[1] > ways[0]).view(np.int8)))
+            best = np.maximum(most, ways[2]) + scores[:, starts[:n] + t]
+        every = np.arange(len(starts))
+        for t in range(int(lengths[0]) - 1, -1, -1):
+            n = int(live[t])
+            tags[starts[:n] + t] = last[:n]
+            if t:
+                last[:n] = back[t - 1][last[:n], every[:n]]
+        return tags
+
+
+class Shares:
+    """What numbered tokens add to the scores: rows of `table` by place; number 0 is the edge of a line.
+
+    A token's share comes from its word, if the field knows it, its pattern of character classes and its head.
+    """
+
+    def __init__(self, model: Field) -> None:
+        self.model = model
+        pairs = [f.split(" ")[1:] for f in model.names if f.startswith("pair ")]
+        alone = [f.split(" ")[1] for f in model.names if f.startswith(("word ", "word-", "word+"))]
+        self.words = {w: i for i, w in enumerate(dict.fromkeys([w for p in pairs for w in p] + alone + ["edge"]), 1)}
+        every = [[f"word{k} {w}" for k in ("-1", "-2", "-3", "+1", "")] for w in self.words]
+        self.of_words = np.stack([self.weights(["no feature"] * 5), *map(self.weights, every)])
+        codes = np.array([self.words[a] * (len(self.words) + 1) + self.words[b] for a, b in pairs], np.int64)
+        order = np.argsort(codes)
+        self.codes, self.of_pairs = codes[order], self.weights([f"pair {a} {b}" for a, b in pairs])[order]
+        self.long, self.short = self.weights(["long", "short"])
+        self.patterns: dict[str, int] = {}
+        self.table = np.zeros((7, 1024, 3))  # a token's own; one, two, three places on; one back; its shape on and back
+        self.word, self.is_long, self.size = np.zeros(1024, np.int64), np.zeros(1024, bool), 1
+        self.table[1:5, 0], self.word[0] = self.of_words[self.words["edge"], :4], self.words["edge"]
+        self.table[5:, 0] = self.weights(["before edge", "after edge"])
+
+    def weights(self, features: list[str]) -> np.ndarray:
+        return self.model.weights[self.model.numbers(features)]
+
+    def pattern(self, classes: str, token: str) -> int:
+        """Number of a pattern of character classes: its shape, and its shares as a token's own and as that of a neighbour."""
+        if not self.patterns:
+            self.kinds: list[str] = []
+            self.of_patterns: list[np.ndarray] = []
+        kind, size, turns = shape(token), min(6, len(token).bit_length()), sum(1 for _ in islice(TURN.finditer(token), 5))
+        own = self.weights(["bias", f"shape {kind}", f"size {size}", f"shape {kind} size {size}", f"turns {turns}"]).sum(axis=0)
+        self.kinds.append(kind)
+        self.of_patterns.append(np.stack((own, *self.weights([f"before {kind}", f"after {kind}"]))))
+        self.patterns[classes] = len(self.kinds) - 1
+        return len(self.kinds) - 1
+
+    def add(self, tokens: list[str], most: int = 1 << 16) -> None:
+        """Give the next numbers to new tokens."""
+        size, get, names = self.size + len(tokens), self.words.get, self.model.names
+        if size > len(self.word):
+            more = max(size, 2 * len(self.word)) - len(self.word)
+            self.table = np.concatenate((self.table, np.zeros((7, more, 3))), axis=1)
+            self.word, self.is_long = np.append(self.word, np.zeros(more, np.int64)), np.append(self.is_long, np.zeros(more, bool))
+        for lo in range(0, len(tokens), 4096):
+            if len(self.patterns) > most:
+                self.patterns.clear()
+            words, patterns, heads, none = [], [], [], names.get("no head", 0)
+            for t in tokens[lo : lo + 4096]:
+                classes = t.translate(CLASS)
+                p = self.patterns.get(classes)
+                if p is None:
+                    p = self.pattern(classes, t)
+                patterns.append(p)
+                words.append(get(t.lower() if len(t) <= 12 else self.kinds[p], 0))
+                heads.append(names.get(f"head {t[:4]}", 0) if len(t) >= 8 and t[:4].isupper() else none)
+            long = np.fromiter((len(t) >= 8 for t in tokens[lo : lo + 4096]), bool, len(words))
+            of_words, of_patterns = self.of_words[words], np.stack([self.of_patterns[p] for p in patterns])
+            to, first = slice(self.size, self.size + len(words)), of_patterns[:, 0] + self.model.weights[heads]
+            self.table[0, to] = np.where(long[:, None], first + self.long, first + of_words[:, 4] + self.short)
+            self.table[1:5, to], self.table[5:, to] = of_words[:, :4].transpose(1, 0, 2), of_patterns[:, 1:].transpose(1, 0, 2)
+            self.word[to], self.is_long[to] = words, long
+            self.size += len(words)
+
+    def scores(self, at: np.ndarray, place: np.ndarray, last: np.ndarray, files: np.ndarray) -> np.ndarray:
+        """Scores of tokens by number, of many sequences on end: `place` in the own one, `last` at its end, `files` the shares of file features."""
+        wide = np.concatenate((np.zeros(3, np.int64), at, np.zeros(1, np.int64)))
+        n = len(at)
+        on = [np.where(place >= k, wide[3 - k : 3 - k + n], 0) for k in (1, 2, 3)]
+        back = np.where(last, 0, wide[4:])
+        part = lambda k, x: self.table[k].take(x, axis=0)
+        out = part(0, at) + (part(1, on[0]) + part(2, on[1]) + part(3, on[2])) + part(4, back) + part(5, on[0]) + part(6, back)
+        out += files
+        if len(self.codes):
+            which = np.flatnonzero(self.is_long[at])
+            code = self.word[on[1][which]] * (len(self.words) + 1) + self.word[on[0][which]]
+            found = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            hit = self.codes[found] == code
+            out[which[hit]] += self.of_pairs[found[hit]]
+        return out
 
 
 def feature_parts(text: str, tokens: np.ndarray, shared: list[str], most: int = 4096) -> Iterator[list[list[str]]]:
@@ -320,6 +490,12 @@ def secret_runs(tags: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(starts.tolist(), ends.tolist(), strict=True)
 
 
+def secret_spans(tokens: np.ndarray, tags: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """(start, end) of the secrets of one line, at least `least` characters long."""
+    found = [(int(tokens[a, 0]), int(tokens[b - 1, 1])) for a, b in secret_runs(tags)]
+    return [(a, b) for a, b in found if b - a >= least]
+
+
 def overlaps(spans: list[tuple[int, int]], others: list[tuple[int, int]]) -> list[bool]:
     """Whether each span meets one of `others`, which are sorted by start."""
     starts = np.array([a for a, _ in others], np.int64)
@@ -464,11 +640,9 @@ def secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", model: Fie
 
     def make(keys, texts):
         out: tuple[list, ...] = (keys, [], [], [], [], [], [])
-        seen: dict = {}
-        for t in texts:
-            t = t or ""
+        texts = [t or "" for t in texts]
+        for t, found in zip(texts, shared.value.spans_of(texts), strict=True):
             base = base_spans(t)[0]
-            found = shared.value.spans(t, seen=seen)
             meets = overlaps(found, [(a, b) for _, a, b in base]) if base else [False] * len(found)
             added = [("crf", a, b) for (a, b), m in zip(found, meets, strict=True) if not m]
             every = sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0])))

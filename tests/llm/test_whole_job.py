@@ -132,3 +132,32 @@ def test_every_token_of_a_text_is_scored_and_tagged():
     field = secrets.Field({"shape x size 5": 1}, np.array([[0.0, 0, 0], [0, 9, 0]]), np.zeros((3, 3)), np.zeros(3))
     plain = "no mark near " * 60 + "correcthorsebattery"
     assert field.spans(plain) == [(780, 799)] and list(secrets.stretches(plain)) == []
+
+
+def test_lines_are_decoded_together_and_as_one_by_one(monkeypatch):
+    """Before, each line was scored and decoded by calls of its own, and its tokens looked up anew for every batch."""
+    rng = random.Random(9)
+    words = ["Ab", "zeta", "Grünwaldheim", "a7=", "abcdefghijklmnop", "é", "key9", "AKIAQ7X2", "\x0b", "x" * 70, "edge"]
+    line = lambda most: " ".join(rng.choice(words) + rng.choice(["", str(rng.randrange(999))]) for _ in range(rng.randrange(most)))
+    texts = ["\n".join(line(20) for _ in range(rng.randrange(40))) for _ in range(20)] + ["", "\n", "\n\n a\n", line(3000), line(900) + "\n" + line(5)]
+    lines = [[(t, x) for x in secrets.line_tokens(t)] for t in texts]
+    rows = [secrets.features([t[a:b] for a, b in x], secrets.file_features(t)) for some in lines for t, x in some]
+    names = {f: i for i, f in enumerate(sorted({f for some in rows for r in some for f in r}), 1)}
+    noise = np.random.default_rng(3)
+    model = secrets.Field(names, noise.normal(size=(len(names) + 1, 3)), noise.normal(size=(3, 3)), noise.normal(size=3))
+    model.weights[0] = 0
+    want, decoded = [], iter(rows)
+    for some in lines:
+        found = []
+        for _, x in some:
+            found += [(x[a, 0], x[b - 1, 1]) for a, b in secrets.secret_runs(np.array(model.decode(next(decoded))))]
+        want.append([(a, b) for a, b in found if b - a >= 3])
+    calls = []
+    alone = secrets.Field.best_tags
+    monkeypatch.setattr(secrets.Field, "best_tags", lambda self, parts, n: calls.append(n) or alone(self, parts, n))
+    assert model.spans_of(texts, least=3) == want and sum(map(len, want)) > 300
+    assert len(calls) < 10 < len(rows) / 20
+    assert all(model.spans_of(texts, least=3, most=m) == want for m in (1, 40, 900))
+    looked_up = len(model.seen)
+    monkeypatch.setattr(secrets.Shares, "pattern", None)
+    assert model.spans_of(texts, least=3) == want and len(model.seen) == looked_up
