@@ -24,7 +24,7 @@ from docketry.session import scratch
 
 def pack_texts(texts: list[str]) -> bytes:
     """Texts as one compressed payload; their lengths in code points are kept apart."""
-    return zstandard.ZstdCompressor(level=1).compress("".join(texts).encode())
+    return zstandard.ZstdCompressor(level=6).compress("".join(texts).encode())
 
 
 def unpack_texts(payload: bytes, lengths: list[int]) -> list[str]:

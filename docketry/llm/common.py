@@ -20,11 +20,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
-    """Write below spark.checkpoint.dir and read again: cuts the lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, codec: str | None = None, **options: str) -> DataFrame:
+    """Write below spark.checkpoint.dir and read again: cuts the lineage, survives lost executors. options: of the Parquet writer."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path, compression=codec)
+    df.write.options(**options).parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -25,6 +25,8 @@ BITS, HIGH_BITS = 12, 9
 #: An answer is one long: the place of an n-gram in its block, and minus its log-probability (a double above 0 has below 746) in steps of 2**-22.
 COST_BITS = 22
 CODEC = "zstd"  # of the written tables, which count as disk
+#: Keys are nearly all distinct: a dictionary of them would be written beside what it stands for.
+PLAIN = {"parquet.enable.dictionary": "false"}
 EDGE = 0  # the boundary before and after a text; other symbols are code points plus 1
 
 
@@ -159,6 +161,11 @@ def with_high(rows: DataFrame) -> DataFrame:
     return rows if "h" in rows.columns else rows.withColumn("h", F.lit(0).cast("long"))
 
 
+def sorted_table(rows: DataFrame, name: str, *keys: str) -> DataFrame:
+    """Rows written in the order of their keys, file by file: neighbours share most bytes, in the files and in later shuffles."""
+    return stored(rows.sortWithinPartitions(*keys), name, CODEC, **PLAIN)
+
+
 @dataclass(frozen=True)
 class Level:
     """Model tables of one order: counts (g, h, c), contexts (ctx, ctx_h, total, k1, k2, k3), and the three discounts."""
@@ -183,10 +190,10 @@ def levels(top: DataFrame, order: int) -> list[Level]:
     counts = with_high(top)
     for k in range(order, 0, -1):
         if k < order:
-            counts = stored(counts.groupBy(*suffix(k)).agg(F.count("*").alias("c")), f"kn-counts-{k}", CODEC)
+            counts = sorted_table(counts.groupBy(*suffix(k)).agg(F.count("*").alias("c")), f"kn-counts-{k}", "h", "g")
         kinds = [F.count(F.when(F.col("c") == i, 1)).alias(f"k{i}") for i in (1, 2)] + [F.count(F.when(F.col("c") > 2, 1)).alias("k3")]
         contexts = counts.groupBy(*context()).agg(F.sum("c").alias("total"), *kinds)
-        out.append(Level(counts, stored(contexts, f"kn-contexts-{k}", CODEC), discounts(counts)))
+        out.append(Level(counts, sorted_table(contexts, f"kn-contexts-{k}", "ctx_h", "ctx"), discounts(counts)))
     return out[::-1]
 
 
@@ -209,7 +216,7 @@ def log_probabilities(wanted: DataFrame, model: list[Level]) -> DataFrame:
         spare = (d1 * F.col("k1") + d2 * F.col("k2") + d3 * F.col("k3")) / F.col("total")
         below = rows.select("g", "h", F.when(F.col("total").isNull(), F.col("lower")).otherwise(own + spare * F.col("lower")).alias("p"))
         if k < order:
-            below = stored(below, f"kn-order-{k}", CODEC)
+            below = sorted_table(below, f"kn-order-{k}", "h", "g")
     return below.select("g", "h", F.log("p").alias("logp"))
 
 
@@ -244,10 +251,10 @@ def perplexities(docs: DataFrame, labels: DataFrame, text: str, key: str, lang:
         return list(gram_counts([t for t, r in zip(texts_of(row), roles_of(row), strict=True) if r == 1], order))
 
     trained = per_block(known.select("block", "lengths", "payload", "at", "role"), count, "g bigint, h bigint, n bigint")
-    top = stored(trained.groupBy("g", "h").agg(F.sum("n").alias("c")), "kn-counts", CODEC)
+    top = sorted_table(trained.groupBy("g", "h").agg(F.sum("n").alias("c")), "kn-counts", "h", "g")
     asked = blocks.select("block", F.posexplode(F.arrays_zip("grams", "highs")).alias("at", "s"))
     asked = asked.select("block", "at", F.col("s.grams").alias("g"), F.col("s.highs").alias("h"))
-    wanted = stored(asked.select("g", "h").distinct(), "kn-wanted", CODEC)
+    wanted = sorted_table(asked.select("g", "h").distinct(), "kn-wanted", "h", "g")
     cost = F.round(-F.col("logp") * float(1 << COST_BITS)).cast("long")
     found = stored(log_probabilities(wanted, levels(top, order)).select("g", "h", cost.alias("cost")), "kn-costs", CODEC)
 

@@ -5,9 +5,11 @@ import math
 import random
 
 import numpy as np
+import zstandard
+from pyspark.sql import functions as F
 from test_filters_and_models import plain_logp
 
-from docketry.llm import decontaminate, kneser, pages, secrets, toxicity
+from docketry.llm import blocks, decontaminate, kneser, pages, secrets, toxicity
 
 
 def test_the_quality_model_counts_five_characters():
@@ -197,3 +199,26 @@ def test_thresholds_come_from_all_labelled_rows(spark):
         assert math.isclose(r.score, 1 / (1 + math.exp(cuts[""] - z[r.doc_id])), rel_tol=1e-3, abs_tol=1e-4)
         over = z[r.doc_id] - cuts[rows[r.doc_id][2]]
         assert abs(over) < 1e-4 or r.flagged == (over > 0)
+
+
+def test_blocks_and_tables_of_the_quality_model_take_less_disk(spark):
+    """Before, payloads were compressed at the lowest level and n-gram tables written in hash order, with dictionaries of distinct keys."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("etaoinshr", k=rng.randint(2, 9))) for _ in range(300)]
+    after = {w: rng.choices(words, k=4) for w in words}
+
+    def text():
+        out = [rng.choice(words)]
+        while len(out) < 200:
+            out.append(rng.choice(after[out[-1]]))
+        return " ".join(out)
+
+    texts = [text() for _ in range(400)] + ["", "é\n"]
+    payload = blocks.pack_texts(texts)
+    assert blocks.unpack_texts(payload, [len(t) for t in texts]) == texts
+    assert len(payload) < 0.93 * len(zstandard.ZstdCompressor(level=1).compress("".join(texts).encode()))
+    rows = spark.range(60_000).select((F.xxhash64("id") % 10**9).alias("g"), (F.col("id") % 2).alias("h")).repartition(2)
+    written = kneser.sorted_table(rows, "sorted-rows", "h", "g")
+    assert written.exceptAll(rows).count() == 0 and written.count() == 60_000
+    for mine in written.withColumn("file", F.input_file_name()).groupBy("file").agg(F.collect_list(F.struct("h", "g")).alias("r")).collect():
+        assert mine.r == sorted(mine.r)
