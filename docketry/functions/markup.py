@@ -31,6 +31,8 @@ _ROW = (
 _LAST_ROW = r"(?i)</t(?:able|body|head|foot)\s*>$"
 _CELL = r"(?i)<td\b[^<>]*+>([^<]*+(?:<(?!/?t[dhr]\b|/table\b)[^<]*+)*+)"
 _FIRST_TEXT = r"^(?:<[^<>]*+>)*+([^<]++)"
+#: fields of a row; who reads only some of them spares the others
+FIELDS = ("raw", "last", "cells", "texts", "pair", "second", "below")
 _ANCHOR = r"(?i)<a\s[^<>]*+>[^<]*+(?:<(?!/a\s*>|a\s)[^<]*+)*+"
 _TAG_HEAD = r"^<[^<>]*+>"
 # an element with its content, or a lone tag. Void elements have no content; a paragraph or item that is
@@ -120,25 +122,29 @@ def first_text(c: Column) -> Column:
     return unescape(F.regexp_extract(c, _FIRST_TEXT, 1))
 
 
-def table_rows(mk: Column) -> Column:
+def table_rows(mk: Column, wanted: tuple[str, ...] = FIELDS) -> Column:
     """array<struct<raw, last, cells, texts, pair, second, below>>: rows in page order.
 
     ``last`` = ends its table part. This is for pages without nested tables, where all
-    follows from raw and cells; the fields behind ``cells`` are NULL. See ``nesting``.
+    follows from raw and cells; the fields behind ``cells`` are NULL, and those that no wanted
+    one follows from. See ``nesting``.
     """
-    none = F.lit(None)
-    return F.transform(
-        F.regexp_extract_all(mk, F.lit(_ROW), F.lit(0)),
-        lambda r: F.struct(
-            r.alias("raw"),
-            r.rlike(_LAST_ROW).alias("last"),
-            F.regexp_extract_all(r, F.lit(_CELL), F.lit(1)).alias("cells"),
+    none, of_cells = F.lit(None), {"cells", "texts", "pair", "second"}
+
+    def row(r: Column) -> Column:
+        cells = F.regexp_extract_all(r, F.lit(_CELL), F.lit(1))
+        moves = not {"raw", "last", "below"}.isdisjoint(wanted)
+        return F.struct(
+            (r if moves else none.cast("string")).alias("raw"),
+            (r.rlike(_LAST_ROW) if moves else none.cast("boolean")).alias("last"),
+            (none.cast("array<string>") if of_cells.isdisjoint(wanted) else cells).alias("cells"),
             none.cast("array<string>").alias("texts"),
             none.cast("array<string>").alias("pair"),
             none.cast("string").alias("second"),
             none.cast("string").alias("below"),
-        ),
-    )
+        )
+
+    return F.transform(F.regexp_extract_all(mk, F.lit(_ROW), F.lit(0)), row)
 
 
 def cell_texts(row: Column) -> tuple[Column, Column, Column]:

@@ -1,8 +1,13 @@
 """Rows and cells of nested tables, as intervals of a page's table tags.
 
-A page is cut in front of every table, row and cell tag; the pieces keep page order and
-each belongs to a nesting level. Sorted by (level, position) an element ends where the
-next one of its level starts, however many tables lie between; sorted back by position,
+An element ends where the next tag of its nesting level starts, however many tables lie
+between. ``nested_rows`` writes the level of each table, row and cell tag in front of it
+as a letter, and patterns then find the element by that letter: some passes over the
+page, and one more over its part for each level that a row or cell lies below.
+
+A page of more levels than letters goes to ``with_deep_rows``. It is cut in front of every
+table, row and cell tag; the pieces keep page order and each belongs to a level. Sorted by
+(level, position) an element ends at the next one of its level; sorted back by position,
 the cells inside of a row are a slice, and so are its own cells in the order of levels.
 Levels and counts are running sums in chunks, so a page of n tags takes about n times the
 root of n cheap steps, without a stack. The steps are columns of their
@@ -16,9 +21,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.functions.markup import FIELDS
+from docketry.functions.text import let
+
 #: a table that starts inside of another one
 NESTED = r"(?i)<table\b[^<>]*+>[^<]*+(?:<(?!/?table\b)[^<]*+)*+<table\b"
-_CUT = r"(?i)(?=</?(?:table|t[rdh])\b[^<>]*+>)"
+_TAG = r"</?(?:table|t[rdh])\b[^<>]*+>"
+_CUT = rf"(?i)(?={_TAG})"
 _HIDDEN = r"(?i)<(?:!--|script\b|style\b)"
 _NAME = r"^<(/?[A-Za-z]++)"
 _HEAD = r"^<[^<>]*+>"
@@ -113,7 +122,125 @@ def may_nest(html: Column) -> Column:
     return F.coalesce(html.rlike(NESTED) | html.rlike(_HIDDEN), F.lit(False))
 
 
-def with_nested_rows(pages: DataFrame, first_text: Callable[[Column], Column]) -> DataFrame:
+#: levels of a page that have a letter
+LETTERS = 25
+_TABLE_CUT = r"(?i)(?=</?table\b[^<>]*+>)"
+# in a marked page \x01 and the letter of its level stand in front of each table, row and cell tag, and nowhere else
+_TABLE_INSIDE = r"\x01(.)<table\b[^\x01]*+(?:\x01(?!\1</table\b)[^\x01]*+)*+(?:\x01.</table\b[^<>]*+>)?"
+_TO_ROW_TAG = r"[^\x01]*+(?:\x01(?!\2</?t(?:r|able)\b)[^\x01]*+)*+"
+_ROW = rf"(?i)(?=(\x01(.)<tr\b{_TO_ROW_TAG})AFTER)\x01.<tr\b"
+_ROW_END = r"(\x01\2[^\x01]*+)?"
+_SIBLING = rf"(?:\x01\2</tr\b{_TO_ROW_TAG})?(\x01\2<tr\b{_TO_ROW_TAG})?"
+_CELL = r"(?i)\x01(.)<td\b[^\x01]*+(?:\x01(?!\1)[^\x01]*+)*+"
+_SECOND_CELL = (
+    r"(?i)\x01.<td\b[^\x01]*+(?:\x01(?!.<td\b)[^\x01]*+)*+"
+    r"(\x01(.)<td\b[^\x01]*+(?:\x01(?!\2)[^\x01]*+)*+)"
+)
+# a '<' that starts no tag hides the text up to the next table, row or cell tag
+_MARKED_TEXT = r"^(?:(?:\x01.)?<[^<>]*+>|<[^\x01]*+)*+([^<\x01]++)"
+
+
+def _clean(mk: Column) -> Column:
+    return F.replace(F.replace(mk, F.lit("\x01"), F.lit(" ")), F.lit("\x02"), F.lit(" "))
+
+
+def _marked(mk: Column) -> Column:
+    """The page with the letters of its levels, the outermost one as A; NULL where they do not suffice."""
+
+    def with_ends(parts: Column) -> Column:
+        ends = F.transform(parts, lambda x, i: F.when(i == 0, "").when(x.startswith("</"), "X").otherwise("T"))
+        return let(F.array_join(ends, ""), lambda e: with_levels(parts, e))
+
+    def with_levels(parts: Column, ends: Column) -> Column:
+        def level(_: Column, i: Column) -> Column:
+            return F.length(F.replace(F.substring(ends, F.lit(1), i), F.lit("X"), F.lit(""))) * 2 - i
+
+        return let(F.transform(parts, level), lambda levels: let(F.array_min(levels), lambda low: lettered(parts, levels, low)))
+
+    def lettered(parts: Column, levels: Column, low: Column) -> Column:
+        def mark(level: Column) -> Column:
+            return F.concat(F.lit("\x01"), F.char(level - low + ord("A")))
+
+        def part(x: Column, i: Column) -> Column:
+            level = F.get(levels, i)
+            marked = F.regexp_replace(x, F.lit(f"(?i){_TAG}"), F.concat(mark(level), F.lit("$0")))
+            # the end of a table belongs to its inside
+            return F.when(x.startswith("</"), F.concat(mark(level + 1), F.substr(marked, F.lit(3)))).otherwise(marked)
+
+        return F.when(F.array_max(levels) - low < LETTERS, F.array_join(F.transform(parts, part), ""))
+
+    return let(F.split(F.concat(F.lit(" "), _clean(mk)), _TABLE_CUT), with_ends)
+
+
+def too_deep(mk: Column) -> Column:
+    """Page of more levels than ``nested_rows`` knows."""
+    return mk.isNotNull() & _marked(mk).isNull()
+
+
+def may_be_deep(html: Column) -> Column:
+    """Cheap test of the page as it came for ``too_deep``: many table tags, or a name of a tag that decoding may make one."""
+    many = rf"(?i)(?:</?table\b[^<]*+(?:<(?!/?table\b)[^<]*+)*+){{{LETTERS}}}"
+    return F.coalesce(html.rlike(many) | html.rlike(rf"(?i)<[/a-z]{{0,6}}(?:&|{_HIDDEN[4:]})"), F.lit(False))
+
+
+def nested_rows(mk: Column, first_text: Callable[[Column], Column], wanted: tuple[str, ...] = FIELDS) -> Column:
+    """Rows of a page whose tables are nested, as of ``with_deep_rows``; NULL for a page that is too deep.
+
+    Fields that are not wanted are NULL.
+    """
+
+    def every(c: Column, pattern: str, group: int) -> Column:
+        return F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
+
+    def text(cell: Column) -> Column:
+        return first_text(F.regexp_extract(cell, _MARKED_TEXT, 1))
+
+    def content(cell: Column) -> Column:
+        return F.regexp_replace(cell, rf"(?i)^\x01.<[^<>]*+>|{_TABLE_INSIDE}", "")
+
+    def raw(row: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(row, f"(?i){_TABLE_INSIDE}", ""), r"\x01.", "")
+
+    def cells(row: Column) -> Column:
+        """Its own cells, with the tables inside."""
+        return F.filter(every(row, _CELL, 0), lambda c: F.substring(c, 2, 1) == F.substring(row, 2, 1))
+
+    def first_two(row: Column) -> Column:
+        """The first two cells at any depth below."""
+        found = F.array(F.regexp_extract(row, _CELL, 0), F.regexp_extract(row, _SECOND_CELL, 1))
+        return F.filter(found, lambda c: c != "")
+
+    def row(r: Column, own: Column, two: Column, end: Column, sibling: Column) -> Column:
+        part_ends = end.rlike(_PART_END) | r.rlike(rf"{_PART_END}[^\x01]*+$")
+        given = {
+            "raw": raw(r),
+            "last": F.lit(True),
+            "cells": F.transform(own, content),
+            "texts": F.transform(own, text),
+            "pair": F.transform(two, text),
+            "second": content(F.get(two, F.lit(1))),
+            "below": F.when(~part_ends & (sibling != ""), raw(sibling)),
+        }
+        kinds = {"last": "boolean", "cells": "array<string>", "texts": "array<string>", "pair": "array<string>"}
+        nothing = {n: F.lit(None).cast(kinds.get(n, "string")) for n in FIELDS}
+        return F.struct(*[(given if n in wanted else nothing)[n].alias(n) for n in FIELDS])
+
+    def with_ends(page: Column, ends: Column, siblings: Column) -> Column:
+        def of(r: Column, i: Column) -> Column:
+            return let(cells(r), lambda own: let(first_two(r), lambda two: row(r, own, two, F.get(ends, i), F.get(siblings, i))))
+
+        return F.transform(every(page, _ROW.replace("AFTER", ""), 1), of)
+
+    def rows(page: Column) -> Column:
+        if "below" not in wanted:
+            return with_ends(page, F.array(), F.array())
+        following = (every(page, _ROW.replace("AFTER", x), 3) for x in (_ROW_END, _SIBLING))
+        return let(next(following), lambda ends: let(next(following), lambda siblings: with_ends(page, ends, siblings)))
+
+    return let(_marked(mk), rows)
+
+
+def with_deep_rows(pages: DataFrame, first_text: Callable[[Column], Column]) -> DataFrame:
     """pages (with ``mk``, whose tables are nested) and ``rows``, in page order.
 
     array<struct<raw, last, cells, texts, pair, second, below>>. raw, cells: content of the
@@ -133,8 +260,7 @@ def with_nested_rows(pages: DataFrame, first_text: Callable[[Column], Column]) -
         pages = pages.select("*", F.inline(F.array(fields)))
         return lambda name: F.col(names[name])
 
-    clean = F.replace(F.replace(F.col("mk"), F.lit("\x01"), F.lit(" ")), F.lit("\x02"), F.lit(" "))
-    pieces = stage(pieces=F.split(F.concat(F.lit(" "), clean), _CUT))("pieces")
+    pieces = stage(pieces=F.split(F.concat(F.lit(" "), _clean(F.col("mk"))), _CUT))("pieces")
     tags = stage(kinds=F.transform(pieces, _kind), texts=F.transform(pieces, first_text))
     kinds, found = tags("kinds"), tags("texts")
     steps = {

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docketry import constants as C
 from docketry.functions import markup as M
-from docketry.functions.nesting import NESTED, may_nest, with_nested_rows
+from docketry.functions.nesting import FIELDS, NESTED, may_be_deep, may_nest, nested_rows, too_deep, with_deep_rows
 from docketry.functions.text import (
     WS,
     br_date_to_iso,
@@ -25,6 +25,11 @@ from docketry.functions.text import (
 )
 
 
+#: fields of table rows that judge and parties read, and movements
+PARTY_FIELDS = ("pair", "second")
+MOVEMENT_FIELDS = ("raw", "last", "below")
+
+
 def _first(values: Column) -> Column:
     return F.get(values, F.lit(0))
 
@@ -212,7 +217,7 @@ def page_cells(pages: DataFrame) -> DataFrame:
     inside included, which raw leaves to their own rows.
     """
     return (
-        _staged(pages).select("page_id", F.posexplode("rows").alias("row_idx", "r"))
+        _staged(pages, "cells", "texts").select("page_id", F.posexplode("rows").alias("row_idx", "r"))
         .select("page_id", "row_idx", "r.texts", F.posexplode("r.cells").alias("cell_idx", "raw"))
         .withColumn("text", clean_text(F.coalesce(F.get("texts", F.col("cell_idx")), M.first_text(F.col("raw")))))
         .drop("texts")
@@ -232,17 +237,21 @@ def _nests(html: Column) -> Column:
     return may_nest(html) & (html.rlike(NESTED) | bare.rlike(NESTED) | bare.rlike("(?i)<[/a-z]{0,6}&"))
 
 
-def _staged(pages: DataFrame) -> DataFrame:
+def _staged(pages: DataFrame, *wanted: str) -> DataFrame:
     """Pages with markup and rows as columns, each computed once per page.
 
-    Pages with nested tables take a way of their own. The others, nearly always all, leave
-    it at a test of their html in the scan, also those with comments or scripts.
+    A page is read once, whether its tables are nested or not; only one of more levels than
+    there are letters takes a way of its own. ``wanted``: the fields of a row that are read,
+    without them all.
     """
-    html = F.col("html")
-    within = lambda m: F.coalesce(m.rlike(NESTED), F.lit(False))
-    flat = pages.select("*", present(M.markup(html), lambda m: ~within(m) | ~_nests(html)).alias("mk"))
-    nested = pages.where(_nests(html)).select("*", present(M.markup(html), within).alias("mk"))
-    return flat.withColumn("rows", M.table_rows(F.col("mk"))).unionByName(with_nested_rows(nested, M.first_text))
+    html, mk = F.col("html"), F.col("mk")
+    nests = lambda m: F.coalesce(m.rlike(NESTED), F.lit(False)) & _nests(html)
+    fields = wanted or FIELDS
+    rows = F.when(nests(mk), nested_rows(mk, M.first_text, fields)).otherwise(M.table_rows(mk, fields))
+    parsed = pages.select("*", F.explode(F.array(M.markup(html))).alias("mk"))
+    usual = parsed.select("*", F.inline(F.filter(F.array(F.struct(rows.alias("rows"))), lambda x: x["rows"].isNotNull() | mk.isNull())))
+    deep = pages.where(may_be_deep(html)).select("*", present(M.markup(html), lambda m: nests(m) & too_deep(m)).alias("mk"))
+    return usual.unionByName(with_deep_rows(deep, M.first_text))
 
 
 def extract_numero(pages: DataFrame, profile: str = "online") -> DataFrame:
@@ -261,13 +270,13 @@ def extract_data_autuacao(pages: DataFrame, profile: str = "online") -> DataFram
 
 def extract_relator(pages: DataFrame, profile: str = "online") -> DataFrame:
     judge = relator(F.col("html"), F.col("mk"), F.col("rows"), profile)
-    return _staged(pages).select("page_id", judge.alias("relator"))
+    return _staged(pages, *PARTY_FIELDS).select("page_id", judge.alias("relator"))
 
 
 def extract_envolvidos(pages: DataFrame, profile: str = "online") -> DataFrame:
     """One row per party, ``pos`` in page order."""
     return (
-        _staged(pages)
+        _staged(pages, *PARTY_FIELDS)
         .select("page_id", F.posexplode(envolvidos(F.col("rows"), profile)).alias("pos", "p"))
         .select("page_id", "pos", "p.papel", "p.nome")
     )
@@ -276,7 +285,7 @@ def extract_envolvidos(pages: DataFrame, profile: str = "online") -> DataFrame:
 def extract_movimentacoes(pages: DataFrame, profile: str = "online") -> DataFrame:
     """One row per movement, ``pos`` in page order."""
     return (
-        _staged(pages)
+        _staged(pages, *MOVEMENT_FIELDS)
         .select(
             "page_id",
             F.posexplode(movimentacoes(F.col("mk"), F.col("rows"), profile)).alias("pos", "m"),
@@ -298,7 +307,7 @@ def extract_processos(
     again = rerun or profile == "offline"
     nothing = F.lit(None).cast("string")
     return (
-        _staged(pages)
+        _staged(pages, *PARTY_FIELDS, *MOVEMENT_FIELDS)
         .withColumn("_id", numero(html, mk, profile))
         .where(F.col("_id").isNotNull())
         .select(
