@@ -168,3 +168,23 @@ def test_a_consumer_gets_the_fields_it_reads(make_pages):
     nested = "<table><tr><td>A</td><td><table><tr><td>b</td><td>c</td></tr></table></td></tr></table>"
     row = _staged(make_pages([nested]), "pair").select("rows").first()["rows"][0]
     assert row["pair"] == ["A", "b"] and all(row[n] is None for n in FIELDS if n != "pair")
+
+
+def test_records_search_the_case_number_once_and_classify_behind_the_cheap_test(spark, make_pages, tmp_path):
+    """Before, a filter on the number searched it a second time, and each page was classified once per way."""
+    from docketry.plans import ingest
+
+    make_pages(["<html><p>PROCESSO Nº 0000001-00.2000.4.05.0000</p>RELATOR</html>"]).write.parquet(str(tmp_path / "pages"))
+    records = ingest.detail_records(spark.read.parquet(str(tmp_path / "pages")))
+    filters = [x for x in records._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter " in x]
+    assert len(filters) == 2 and not any("isnotnull(coalesce(" in x for x in filters)
+    assert [x.index("</?table") < x.index("RELATOR") for x in filters if "</?table" in x] == [True]
+    assert [r["_id"] for r in records.collect()] == ["0000001-00.2000.4.05.0000"]
+
+
+def test_whitespace_is_that_of_unicode(spark, values):
+    from docketry.functions.text import WS
+
+    some = [chr(c) for c in range(0x3100)]
+    assert values(lambda c: c.rlike(f"^{WS}$"), some) == values(lambda c: c.rlike(r"^[\s\x1C-\x1F\x85\p{Z}]$"), some)
+    assert values(lambda c: c.rlike(f"^[^<>{WS[1:]}$"), some) == values(lambda c: c.rlike(r"^[^<>\s\x1C-\x1F\x85\p{Z}]$"), some)
